@@ -1,16 +1,18 @@
 """Shared DataFrame algorithms: skew-safe ranking and lineage cuts.
 
-``prefix_rank`` numbers rows inside a group without ever sending a whole
-group to one task: rows are range-partitioned on (group, order), numbered
-inside each partition, and each (partition, group) slice receives the count
-of the same group's rows in earlier partitions as an offset. A group holding
-a third of all rows is therefore spread over many tasks.
+``prefix_rank`` / ``prefix_sum`` number or accumulate rows inside a group
+without ever sending a whole group to one task: rows are cut into
+order-preserving blocks of the first order column, numbered inside each
+(group, block) slice, and each slice receives the totals of the same
+group's earlier blocks as an offset. A group holding a third of all rows is
+therefore spread over many tasks.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
@@ -21,31 +23,60 @@ def _num_partitions(df: DataFrame, partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+MAX_BLOCKS = 64
+
+
+def _block_column(df: DataFrame, order_col: str, n_blocks: int) -> Column:
+    """Order-preserving block number of ``order_col`` from approximate quantiles.
+
+    The boundaries are a handful of scalars computed once (one partial
+    aggregate); the block of a row is then a pure function of its key, so
+    every later evaluation of the plan assigns the same block, whatever the
+    shuffle order or retries.
+    """
+    n_blocks = max(1, min(n_blocks, MAX_BLOCKS))
+    key = F.col(order_col)
+    if isinstance(df.schema[order_col].dataType, T.TimestampType):
+        key = F.unix_micros(key)
+    key = key.cast("double")
+    if n_blocks == 1:
+        return F.lit(0)
+    qs = [i / n_blocks for i in range(1, n_blocks)]
+    row = df.select(F.percentile_approx(key, qs, 10000).alias("q")).first()
+    bounds = sorted({b for b in (row["q"] or []) if b is not None})
+    block = F.lit(0)
+    for b in bounds:
+        block = block + F.when(key >= F.lit(float(b)), F.lit(1)).otherwise(F.lit(0))
+    return block
+
+
+def _prepare(df: DataFrame, group_cols: list[str], order_cols: list[str], partitions: int | None):
+    groups = list(group_cols) or ["_g"]
+    base = df if group_cols else df.withColumn("_g", F.lit(0))
+    n = _num_partitions(df, partitions)
+    base = base.withColumn("_blk", _block_column(base, order_cols[0], n))
+    return base, groups
+
+
 def prefix_rank(df: DataFrame, group_cols: list[str], order_cols: list[str], out: str = "rn",
                 partitions: int | None = None) -> DataFrame:
     """Add ``out``: 0-based position of each row inside its group.
 
-    ``group_cols + order_cols`` must identify a row (ties would be numbered
-    in an arbitrary order).
+    Rows are split into (group, block) slices, blocks being order-preserving
+    ranges of the first order column; each slice is numbered by a window and
+    shifted by the sizes of the same group's earlier blocks. A hot group is
+    thus spread over up to 64 tasks. ``group_cols + order_cols`` must
+    identify a row.
     """
-    n = _num_partitions(df, partitions)
-    groups = list(group_cols) or ["_g"]
-    base = df if group_cols else df.withColumn("_g", F.lit(0))
-    keys = groups + list(order_cols)
-    ranged = (base.repartitionByRange(n, *keys)
-              .sortWithinPartitions(*keys)
-              .withColumn("_pid", F.spark_partition_id())
-              # partition index << 33 | position inside the sorted partition
-              .withColumn("_pos", F.monotonically_increasing_id()))
-    slices = ranged.groupBy("_pid", *groups).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
-    before = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select(
-        "_pid", *groups, "_first",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    res = (ranged.join(offsets, ["_pid", *groups])
-           .withColumn(out, (F.col("_off") + F.col("_pos") - F.col("_first")).cast("bigint"))
-           .drop("_pid", "_pos", "_first", "_off"))
+    base, groups = _prepare(df, group_cols, order_cols, partitions)
+    local = Window.partitionBy(*groups, "_blk").orderBy(*order_cols)
+    ranked = base.withColumn("_lr", F.row_number().over(local) - 1)
+    slices = base.groupBy(*groups, "_blk").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*groups).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = slices.select(*groups, "_blk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    res = (ranked.join(offsets, [*groups, "_blk"])
+           .withColumn(out, (F.col("_off") + F.col("_lr")).cast("bigint"))
+           .drop("_blk", "_lr", "_off"))
     return res if group_cols else res.drop("_g")
 
 
@@ -53,30 +84,24 @@ def prefix_sum(df: DataFrame, group_cols: list[str], order_cols: list[str], valu
                partitions: int | None = None) -> DataFrame:
     """Running (inclusive) sums of ``value_cols`` inside each group, skew-safe.
 
-    Same two-level scheme as :func:`prefix_rank`: a window sum inside each
-    (range partition, group) slice plus the totals of earlier slices.
+    Same (group, block) scheme as :func:`prefix_rank`.
     """
-    n = _num_partitions(df, partitions)
-    groups = list(group_cols) or ["_g"]
-    base = df if group_cols else df.withColumn("_g", F.lit(0))
-    keys = groups + list(order_cols)
+    base, groups = _prepare(df, group_cols, order_cols, partitions)
     vals = {k: (F.col(v) if isinstance(v, str) else v) for k, v in value_cols.items()}
-    ranged = (base.repartitionByRange(n, *keys)
-              .withColumn("_pid", F.spark_partition_id()))
     for k, v in vals.items():
-        ranged = ranged.withColumn(f"_v_{k}", v)
-    local = Window.partitionBy("_pid", *groups).orderBy(*order_cols).rowsBetween(
-        Window.unboundedPreceding, 0)
+        base = base.withColumn(f"_v_{k}", v)
+    local = Window.partitionBy(*groups, "_blk").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = base
     for k in vals:
-        ranged = ranged.withColumn(f"_l_{k}", F.sum(f"_v_{k}").over(local))
-    slices = ranged.groupBy("_pid", *groups).agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in vals])
-    before = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select("_pid", *groups, *[
+        ranked = ranked.withColumn(f"_l_{k}", F.sum(f"_v_{k}").over(local))
+    slices = base.groupBy(*groups, "_blk").agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in vals])
+    before = Window.partitionBy(*groups).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = slices.select(*groups, "_blk", *[
         F.coalesce(F.sum(f"_t_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in vals])
-    res = ranged.join(offsets, ["_pid", *groups])
+    res = ranked.join(offsets, [*groups, "_blk"])
     for k in vals:
         res = res.withColumn(k, F.col(f"_o_{k}") + F.col(f"_l_{k}"))
-    res = res.drop("_pid", *[c for k in vals for c in (f"_v_{k}", f"_l_{k}", f"_o_{k}")])
+    res = res.drop("_blk", *[c for k in vals for c in (f"_v_{k}", f"_l_{k}", f"_o_{k}")])
     return res if group_cols else res.drop("_g")
 
 

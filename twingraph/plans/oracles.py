@@ -110,5 +110,259 @@ conf AS (
 oracle("q_confidence", with_ctes("SELECT * FROM conf", PRESENT, DEGREES_OP, CONFIDENCE))
 
 
+
+
+# --- Step 2: pairing and scoring ----------------------------------------------
+
+def dlit(x: float) -> str:
+    return f"CAST('{x!r}' AS DOUBLE)"
+
+
+def _tol(base: float) -> float:
+    return (base * (1 + C.TOLERANCE_MODIFIER)) / 100.0
+
+
+def tolerant_match_sql(name: str, base: float, o: str = "o", p: str = "p") -> str:
+    return (f"(abs(CAST({o}.{name} AS DOUBLE) - CAST({p}.{name} AS DOUBLE)) "
+            f"<= CAST({o}.{name} AS DOUBLE) * {dlit(_tol(base))})")
+
+
+def tolerant_points_sql(o: str = "o", p: str = "p") -> str:
+    terms = [f"CASE WHEN {tolerant_match_sql(n, b, o, p)} THEN {w} ELSE 0 END" for n, b, w in C.TOLERANT_PROPS]
+    terms.append(f"CASE WHEN coalesce({o}.valuable_data AND {p}.valuable_data, false) THEN {C.VALUABLE_POINTS} ELSE 0 END")
+    return "CAST((" + " + ".join(terms) + ") AS BIGINT)"
+
+
+def changed_sql(o: str = "o", p: str = "p") -> str:
+    terms = [f"CASE WHEN {tolerant_match_sql(n, b, o, p)} THEN 0 ELSE 1 END" for n, b, _ in C.TOLERANT_PROPS]
+    terms.append(f"CASE WHEN coalesce({o}.valuable_data AND {p}.valuable_data, false) THEN 0 ELSE 1 END")
+    return "CAST((" + " + ".join(terms) + ") AS BIGINT)"
+
+
+def score_sql(pts: str) -> str:
+    return f"CASE WHEN {pts} > 0 THEN CAST({pts} AS DOUBLE) / {dlit(81.0)} ELSE {dlit(0.0)} END"
+
+
+def strict_points_sql(o: str = "o", p: str = "p") -> str:
+    terms = [f"CASE WHEN {o}.{n} = {p}.{n} THEN {w} ELSE 0 END" for n, w in C.STRICT_PROPS]
+    ratio_small = (f"(CASE WHEN {p}.stored_value = 0 THEN false ELSE "
+                   f"{o}.stored_value / {p}.stored_value <= {dlit(C.STRICT_STORED_VALUE_RATIO)} END)")
+    terms.append(f"CASE WHEN NOT {ratio_small} THEN {C.STRICT_STORED_VALUE_POINTS} ELSE 0 END")
+    return "CAST((" + " + ".join(terms) + ") AS BIGINT)"
+
+
+def jaccard_sql(o: str = "o", p: str = "p") -> str:
+    terms = [f"CASE WHEN {o}.{n} = {p}.{n} THEN 1 ELSE 0 END" for n, _, _ in C.TOLERANT_PROPS]
+    return "CAST((" + " + ".join(terms) + ") AS DOUBLE) / " + dlit(8.0)
+
+
+PAIR_COLS = ["id", "children", "props", "current_depth", "prop_value_range", "max_depth",
+             "max_branching_factor", "max_properties", "stored_value"]
+
+oracle("q_node_pairs", with_ctes(
+    "SELECT " + ", ".join(f"{s}.{c} AS {s}_{c}" for s in ("o", "p") for c in PAIR_COLS)
+    + " FROM o_nodes o FULL OUTER JOIN p_nodes p ON o.id = p.id"))
+
+PTS = tolerant_points_sql()
+oracle("q_node_score", with_ctes(f"""
+SELECT o_id, p_id, pts, changed, round({score_sql('pts')}, 2) AS score, pts >= {C.BEST_MATCH_MIN_POINTS} AS authentic
+FROM (SELECT o.id AS o_id, p.id AS p_id, {PTS} AS pts, {changed_sql()} AS changed
+      FROM o_nodes o JOIN p_nodes p ON o.id = p.id)"""))
+
+oracle("q_node_score_strict", with_ctes(f"""
+SELECT o_id, p_id, pts, {score_sql('pts')} AS score
+FROM (SELECT o.id AS o_id, p.id AS p_id, {strict_points_sql()} AS pts FROM o_nodes o JOIN p_nodes p ON o.id = p.id)"""))
+
+oracle("q_node_jaccard", with_ctes(f"""
+SELECT o.id AS o_id, p.id AS p_id, {jaccard_sql()} AS jaccard FROM o_nodes o JOIN p_nodes p ON o.id = p.id"""))
+
+EDGE_PAIRS = """
+edge_pairs AS (
+  SELECT coalesce(o.src, p.src) AS src, coalesce(o.dst, p.dst) AS dst,
+         o.weight AS o_weight, p.weight AS p_weight, o.weight AS cost_in_original
+  FROM o_edges o FULL OUTER JOIN p_edges p ON o.src = p.src AND o.dst = p.dst)
+"""
+EDGE_SCORES = f"""
+edge_scores AS (
+  SELECT src, dst, o_weight, p_weight,
+         CASE WHEN abs(o_weight - p_weight) <= o_weight * {dlit(C.EDGE_WEIGHT_TOLERANCE / 100.0)}
+              THEN {dlit(C.EDGE_MATCH_SCORE)} ELSE {dlit(0.0)} END AS score
+  FROM edge_pairs WHERE o_weight IS NOT NULL AND p_weight IS NOT NULL)
+"""
+oracle("q_edge_pairs", with_ctes("SELECT * FROM edge_pairs", EDGE_PAIRS))
+oracle("q_edge_score", with_ctes("SELECT * FROM edge_scores", EDGE_PAIRS, EDGE_SCORES))
+
+oracle("q_edge_set_jaccard", with_ctes(f"""
+SELECT i.id, coalesce(c.inter, 0) AS inter, coalesce(c.uni, 0) AS uni,
+       CASE WHEN coalesce(c.uni, 0) = 0 THEN {dlit(0.0)}
+            ELSE CAST(coalesce(c.inter, 0) AS DOUBLE) / CAST(c.uni AS DOUBLE) END AS jaccard
+FROM (SELECT o.id FROM o_nodes o JOIN p_nodes p ON o.id = p.id) i
+LEFT JOIN (
+  SELECT node, CAST(sum(in_o * in_p) AS BIGINT) AS inter, count(*) AS uni
+  FROM (SELECT src AS node, in_o, in_p FROM j UNION ALL SELECT dst, in_o, in_p FROM j) GROUP BY node) c
+ON c.node = i.id""", """
+j AS (SELECT coalesce(o.src, p.src) AS src, coalesce(o.dst, p.dst) AS dst,
+             CASE WHEN o.src IS NULL THEN 0 ELSE 1 END AS in_o, CASE WHEN p.src IS NULL THEN 0 ELSE 1 END AS in_p
+      FROM o_edges o FULL OUTER JOIN p_edges p ON o.src = p.src AND o.dst = p.dst)
+"""))
+
+BEST = f"""
+all_pairs AS (SELECT o.id AS o_id, p.id AS p_id, {PTS} AS pts FROM o_nodes o, p_nodes p),
+best AS (
+  SELECT p_id, arg_min(o_id, (-pts, o_id)) AS o_id, max(pts) AS pts
+  FROM all_pairs WHERE pts >= {C.BEST_MATCH_MIN_POINTS} GROUP BY p_id)
+"""
+oracle("q_best_match", with_ctes(f"SELECT p_id, o_id, pts, round({score_sql('pts')}, 2) AS score FROM best", BEST))
+
+oracle("q_confidence_pairs", with_ctes("""
+SELECT b.o_id AS original_id, b.p_id AS perturbed_id, coalesce(a.c, 0) AS n_edges, coalesce(m.c, 0) AS shared,
+       CASE WHEN pr.id IS NULL OR coalesce(a.c, 0) = 0 THEN CAST(0 AS DOUBLE)
+            ELSE least(CAST(1 AS DOUBLE),
+                       CAST(1 + CASE WHEN coalesce(a.c, 0) = coalesce(bb.c, 0) THEN coalesce(m.c, 0) ELSE 0 END AS DOUBLE)
+                       / CAST(a.c AS DOUBLE)) END AS score
+FROM best b
+LEFT JOIN present pr ON pr.id = b.o_id
+LEFT JOIN deg_o a ON a.node = b.o_id
+LEFT JOIN deg_p bb ON bb.node = b.o_id
+LEFT JOIN (
+  SELECT b2.o_id, b2.p_id, count(*) AS c FROM best b2 JOIN shared s
+    ON (b2.o_id = b2.p_id AND (s.src = b2.o_id OR s.dst = b2.o_id))
+    OR (b2.o_id <> b2.p_id AND ((s.src = b2.o_id AND s.dst = b2.p_id) OR (s.dst = b2.o_id AND s.src = b2.p_id)))
+  GROUP BY b2.o_id, b2.p_id) m ON m.o_id = b.o_id AND m.p_id = b.p_id""", PRESENT, DEGREES_OP, BEST))
+
+_NODE_VALUES = "SELECT id, children, props, current_depth, prop_value_range, max_depth, " \
+               "max_branching_factor, max_properties, stored_value, valuable_data"
+oracle("q_parse_nodes", with_ctes(_NODE_VALUES + ", CAST(10 AS INTEGER) AS arity FROM p_nodes"))
+oracle("q_nodes_json_roundtrip", with_ctes(_NODE_VALUES + " FROM p_nodes"))
+oracle("q_extract_node_number", with_ctes(
+    "SELECT coalesce(o.id, p.id) AS line_id, p.id AS node_number FROM o_nodes o FULL OUTER JOIN p_nodes p ON o.id = p.id"))
+
+# --- Step 3: metrics ----------------------------------------------------------
+
+
+def link_stats_sql(atl: str, wtl: str, gtl: str, btl: str, rtl: str) -> str:
+    a, w, g, b, r = (f"CAST({x} AS DOUBLE)" for x in (atl, wtl, gtl, btl, rtl))
+    return (f"CASE WHEN {r} <> 0 THEN {a} / {r} END AS acc, "
+            f"CASE WHEN {g} = {r} AND {b} = 0 THEN {dlit(1.0)} WHEN {b} = {r} AND {g} = 0 THEN {dlit(0.0)} "
+            f"WHEN {r} <> 0 THEN ({a} - {w}) / ({r} * {dlit(2.0)}) + {dlit(0.5)} END AS vpr, "
+            f"CASE WHEN {r} <> 0 THEN {w} / {r} END AS btlr")
+
+
+def pct_sql(num: str, den: str) -> str:
+    n, d = f"CAST({num} AS DOUBLE)", f"CAST({den} AS DOUBLE)"
+    return f"CASE WHEN {d} <> 0 THEN greatest({dlit(0.0)}, least({dlit(100.0)}, {n} / {d} * {dlit(100.0)})) END"
+
+
+def cnt(cond: str) -> str:
+    return f"CAST(count(*) FILTER (WHERE {cond}) AS BIGINT)"
+
+
+oracle("q_edge_traceability", with_ctes(f"""
+SELECT node, atl, tp, wtl, above, even, ctl, wtl_links, dtl,
+       dtl + even + above AS gtl, ctl + wtl_links AS btl, dtl + even + above + ctl + wtl_links AS rtl,
+       {link_stats_sql('atl', 'wtl', 'dtl + even + above', 'ctl + wtl_links', 'dtl + even + above + ctl + wtl_links')}
+FROM (SELECT src AS node,
+        {cnt(f'score >= {dlit(C.EDGE_ACCEPT)}')} AS atl, {cnt(f'score >= {dlit(C.EDGE_KEEP)}')} AS tp,
+        {cnt(f'score < {dlit(C.EDGE_KEEP)}')} AS wtl, {cnt(f'score > {dlit(C.EDGE_ACCEPT)}')} AS above,
+        {cnt(f'score = {dlit(C.EDGE_ACCEPT)}')} AS even, {cnt(f'score > {dlit(C.EDGE_CTL)}')} AS ctl,
+        {cnt(f'score < {dlit(C.EDGE_WTL)}')} AS wtl_links, {cnt(f'score < {dlit(C.EDGE_DTL)}')} AS dtl
+      FROM edge_scores GROUP BY src)""", EDGE_PAIRS, EDGE_SCORES))
+
+NODE_SCORES = f"""
+node_scores AS (
+  SELECT o_id, p_id, round({score_sql('pts')}, 2) AS score
+  FROM (SELECT o.id AS o_id, p.id AS p_id, {PTS} AS pts FROM o_nodes o JOIN p_nodes p ON o.id = p.id))
+"""
+oracle("q_node_traceability", with_ctes(f"""
+SELECT atl, tp, wtl, fp, even, ctl, wtl_links, dtl, pairs, {pct_sql('tp', 'tp + fp')} AS precision
+FROM (SELECT {cnt(f'score >= {dlit(C.NODE_ACCEPT)}')} AS atl, {cnt(f'score >= {dlit(C.NODE_KEEP)}')} AS tp,
+             {cnt(f'score < {dlit(C.NODE_KEEP)}')} AS wtl, {cnt(f'score >= {dlit(C.NODE_ACCEPT)}')} AS fp,
+             {cnt(f'score = {dlit(C.NODE_EVEN)}')} AS even, {cnt(f'score > {dlit(C.NODE_CTL)}')} AS ctl,
+             {cnt(f'score < {dlit(C.NODE_WTL)}')} AS wtl_links, {cnt(f'score < {dlit(C.NODE_DTL)}')} AS dtl,
+             count(*) AS pairs
+      FROM node_scores)""", NODE_SCORES))
+
+
+def _b(cond: str) -> str:
+    return f"CAST(CASE WHEN {cond} THEN 1 ELSE 0 END AS BIGINT)"
+
+
+NODE_RUNNING = f"""
+node_lines AS (
+  SELECT o_id, p_id, score,
+         {_b(f'score = {dlit(C.NODE_EVEN)}')} AS even, {_b(f'score > {dlit(C.NODE_CTL)}')} AS ctl,
+         {_b(f'score < {dlit(C.NODE_WTL)}')} AS wtl_links, {_b(f'score < {dlit(C.NODE_DTL)}')} AS dtl,
+         CAST(sum({_b(f'score >= {dlit(C.NODE_ACCEPT)}')}) OVER w AS BIGINT) AS atl_run,
+         CAST(sum({_b(f'score >= {dlit(C.NODE_KEEP)}')}) OVER w AS BIGINT) AS tp_run,
+         CAST(sum({_b(f'score < {dlit(C.NODE_KEEP)}')}) OVER w AS BIGINT) AS wtl_run
+  FROM node_scores WINDOW w AS (ORDER BY o_id, p_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+node_run AS (
+  SELECT o_id, p_id, score, atl_run, tp_run, wtl_run, atl_run AS fp_run,
+         (CAST(dtl AS DOUBLE) + (CAST(even AS DOUBLE) + {dlit(C.NODE_ABOVE_OVERRIDE)}))
+           + CAST(ctl + wtl_links AS DOUBLE) AS rtl,
+         CAST(dtl AS DOUBLE) + (CAST(even AS DOUBLE) + {dlit(C.NODE_ABOVE_OVERRIDE)}) AS gtl,
+         CAST(ctl + wtl_links AS DOUBLE) AS btl
+  FROM node_lines),
+node_verdicts AS (
+  SELECT o_id, p_id, score, atl_run, tp_run, wtl_run, fp_run, rtl,
+         {link_stats_sql('atl_run', 'wtl_run', 'gtl', 'btl', 'rtl')},
+         {pct_sql('tp_run', 'tp_run + fp_run')} AS precision,
+         CASE WHEN tp_run > 0 THEN {dlit(100.0)} END AS recall
+  FROM node_run)
+"""
+VERDICT = (f"CASE WHEN p_id IS NULL THEN 'Node number not found or not a valid integer' "
+           f"WHEN precision > {dlit(C.VERDICT_PRECISION)} THEN 'Node ' || CAST(p_id AS VARCHAR) || ': has been successfully attacked' "
+           f"ELSE 'Node ' || CAST(p_id AS VARCHAR) || ': was unsuccessfully attacked' END")
+oracle("q_node_traceability_running", with_ctes(
+    f"SELECT *, {VERDICT} AS verdict FROM node_verdicts", NODE_SCORES, NODE_RUNNING))
+oracle("q_node_verdict", with_ctes(
+    f"SELECT o_id, p_id, precision, {VERDICT} AS verdict FROM node_verdicts", NODE_SCORES, NODE_RUNNING))
+
+GRAPH_ROWS = f"""
+strict AS (
+  SELECT o.id AS o_id, p.id AS p_id,
+         CASE WHEN p.id IS NULL THEN NULL ELSE {score_sql(strict_points_sql())} END AS score
+  FROM o_nodes o LEFT JOIN p_nodes p ON o.id = p.id),
+graph_rows AS (
+  SELECT s.o_id, s.p_id, s.score,
+         {_b(f's.score >= {dlit(C.GRAPH_ACCEPT)}')} AS atl,
+         {_b(f's.score < {dlit(C.GRAPH_WRONG)}')} AS wtl,
+         {_b(f'pr.id IS NULL AND coalesce(s.score, 0) >= {dlit(C.GRAPH_DISCARD_CTL)}')} AS ctl,
+         {_b(f'pr.id IS NULL AND coalesce(s.score, 0) < {dlit(C.GRAPH_DISCARD_NONE)}')} AS dtl
+  FROM strict s LEFT JOIN present pr ON pr.id = s.o_id),
+counters AS (
+  SELECT CAST(sum(atl) AS BIGINT) AS atl, CAST(sum(atl) AS BIGINT) AS tp,
+         CAST(sum(wtl) AS BIGINT) AS wtl, CAST(sum(wtl) AS BIGINT) AS fp,
+         CAST(sum(ctl) AS BIGINT) AS ctl, CAST(sum(ctl) AS BIGINT) AS fn,
+         CAST(sum(dtl) AS BIGINT) AS dtl, CAST(0 AS BIGINT) AS tn
+  FROM graph_rows)
+"""
+oracle("q_graph_counters", with_ctes("SELECT * FROM counters", PRESENT, GRAPH_ROWS))
+oracle("q_precision_recall", with_ctes(
+    f"SELECT tp, fp, fn, {pct_sql('tp', 'tp + fp')} AS precision, {pct_sql('tp', 'tp + fn')} AS recall FROM counters",
+    PRESENT, GRAPH_ROWS))
+_F1 = (f"CASE WHEN (CASE WHEN tp + fp <> 0 THEN CAST(tp AS DOUBLE) / (tp + fp) END) "
+       f"+ (CASE WHEN tp + fn <> 0 THEN CAST(tp AS DOUBLE) / (tp + fn) END) = 0 THEN {dlit(0.0)} "
+       f"ELSE {dlit(2.0)} * ((CASE WHEN tp + fp <> 0 THEN CAST(tp AS DOUBLE) / (tp + fp) END) "
+       f"* (CASE WHEN tp + fn <> 0 THEN CAST(tp AS DOUBLE) / (tp + fn) END)) "
+       f"/ ((CASE WHEN tp + fp <> 0 THEN CAST(tp AS DOUBLE) / (tp + fp) END) "
+       f"+ (CASE WHEN tp + fn <> 0 THEN CAST(tp AS DOUBLE) / (tp + fn) END)) END")
+oracle("q_f1", with_ctes(
+    f"SELECT tp, fp, fn, tn, {_F1} AS f1, CASE WHEN tn + fp <> 0 THEN CAST(tn AS DOUBLE) / (tn + fp) END AS specificity "
+    "FROM counters", PRESENT, GRAPH_ROWS))
+
+oracle("q_pair_report", with_ctes(f"""
+SELECT o_id, p_id, score AS similarity, c_atl AS atl, c_ctl AS ctl, c_dtl AS dtl, c_wtl AS wtl,
+       c_dtl + c_atl + c_ctl + c_wtl AS rtl,
+       {link_stats_sql('c_atl', 'c_wtl', 'c_dtl + c_atl', 'c_ctl + c_wtl', 'c_dtl + c_atl + c_ctl + c_wtl')},
+       CASE WHEN c_atl + c_wtl <> 0 THEN CAST(c_atl AS DOUBLE) / CAST(c_atl + c_wtl AS DOUBLE) * {dlit(100.0)} END AS precision,
+       CASE WHEN c_atl + c_ctl <> 0 THEN CAST(c_atl AS DOUBLE) / CAST(c_atl + c_ctl AS DOUBLE) * {dlit(100.0)} END AS recall
+FROM (SELECT o_id, p_id, score,
+             CAST(sum(atl) OVER w AS BIGINT) AS c_atl, CAST(sum(wtl) OVER w AS BIGINT) AS c_wtl,
+             CAST(sum(ctl) OVER w AS BIGINT) AS c_ctl, CAST(sum(dtl) OVER w AS BIGINT) AS c_dtl
+      FROM graph_rows WINDOW w AS (ORDER BY o_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""",
+    PRESENT, GRAPH_ROWS))
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

@@ -112,3 +112,153 @@ def q_confidence(spark, sf_dir):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
+
+
+# --- Step 2: sources, pairing, scoring ---------------------------------------
+
+from ..functions import scores as S  # noqa: E402
+from ..operators import metrics as M  # noqa: E402
+from ..operators import similarity as sim  # noqa: E402
+from ..sources import codecs  # noqa: E402
+
+_PAIR18 = [f"{s}_{c}" for s in ("o", "p") for c in
+           ["id", "children", "props", "current_depth", "prop_value_range", "max_depth",
+            "max_branching_factor", "max_properties", "stored_value"]]
+
+
+@register
+def q_node_pairs(spark, sf_dir):
+    """K2/J1 (re-aimed): node pairs by id, 9 + 9 columns (no valuable flag)."""
+    g = _pair(spark, sf_dir)
+    return sim.pairs_by_id(g.o_nodes, g.p_nodes, "full_outer").select(*_PAIR18)
+
+
+@register
+def q_node_score(spark, sf_dir):
+    g = _pair(spark, sf_dir)
+    return sim.node_scores(sim.pairs_by_id(g.o_nodes, g.p_nodes))
+
+
+@register
+def q_node_score_strict(spark, sf_dir):
+    g = _pair(spark, sf_dir)
+    return sim.strict_scores(sim.pairs_by_id(g.o_nodes, g.p_nodes))
+
+
+@register
+def q_node_jaccard(spark, sf_dir):
+    g = _pair(spark, sf_dir)
+    return sim.jaccard_scores(sim.pairs_by_id(g.o_nodes, g.p_nodes))
+
+
+@register
+def q_edge_pairs(spark, sf_dir):
+    g = _pair(spark, sf_dir)
+    return sim.edge_pairs(g.o_edges, g.p_edges)
+
+
+@register
+def q_edge_score(spark, sf_dir):
+    g = _pair(spark, sf_dir)
+    return sim.edge_scores(sim.edge_pairs(g.o_edges, g.p_edges))
+
+
+@register
+def q_edge_set_jaccard(spark, sf_dir):
+    g = _pair(spark, sf_dir)
+    return sim.edge_set_jaccard(g.o_nodes, g.o_edges, g.p_nodes, g.p_edges)
+
+
+@register
+def q_best_match(spark, sf_dir):
+    """Best original for every perturbed node among pairs scoring >= 0.5."""
+    g = _pair(spark, sf_dir)
+    return sim.best_match(sim.candidate_pairs(g.o_nodes, g.p_nodes))
+
+
+@register
+def q_confidence_pairs(spark, sf_dir):
+    """C2 on (original, perturbed) pairs given by the best match."""
+    from ..operators import confidence as conf
+    g = _pair(spark, sf_dir)
+    pairs = sim.best_match(sim.candidate_pairs(g.o_nodes, g.p_nodes)).select(
+        F.col("o_id").alias("original_id"), F.col("p_id").alias("perturbed_id"))
+    return conf.confidence_pairs(pairs, g.o_nodes, g.o_edges, g.p_nodes, g.p_edges)
+
+
+@register
+def q_parse_nodes(spark, sf_dir):
+    """Perturbed nodes rendered as node-record text and parsed back."""
+    g = _pair(spark, sf_dir)
+    text = codecs.nodes_to_text(g.p_nodes)
+    return codecs.parse_nodes(text).select(*codecs.NODE_OUT, "arity")
+
+
+@register
+def q_nodes_json_roundtrip(spark, sf_dir):
+    """Perturbed nodes through the JSON codec (flag written as a string)."""
+    g = _pair(spark, sf_dir)
+    return codecs.nodes_from_json(codecs.nodes_to_json(g.p_nodes))
+
+
+@register
+def q_extract_node_number(spark, sf_dir):
+    """Perturbed id read from field 11 of each pair line; NULL when not a number."""
+    g = _pair(spark, sf_dir)
+    lines = codecs.pair_lines(sim.pairs_by_id(g.o_nodes, g.p_nodes, "full_outer"))
+    return lines.select("line_id", codecs.extract_node_number("line").alias("node_number"))
+
+
+# --- Step 3: metrics ----------------------------------------------------------
+
+@register
+def q_edge_traceability(spark, sf_dir):
+    g = _pair(spark, sf_dir)
+    return M.edge_traceability(sim.edge_scores(sim.edge_pairs(g.o_edges, g.p_edges)))
+
+
+def _node_score_rows(g):
+    return sim.node_scores(sim.pairs_by_id(g.o_nodes, g.p_nodes))
+
+
+@register
+def q_node_traceability(spark, sf_dir):
+    return M.node_traceability(_node_score_rows(_pair(spark, sf_dir)))
+
+
+@register
+def q_node_traceability_running(spark, sf_dir):
+    return M.node_traceability_running(_node_score_rows(_pair(spark, sf_dir)))
+
+
+@register
+def q_node_verdict(spark, sf_dir):
+    r = M.node_traceability_running(_node_score_rows(_pair(spark, sf_dir)))
+    return r.select("o_id", "p_id", "precision", "verdict")
+
+
+def _graph_counter_rows(g):
+    strict = sim.strict_scores(sim.pairs_by_id(g.o_nodes, g.p_nodes, "left"))
+    from ..operators.graph import node_value_match
+    discarded = node_value_match(g.o_nodes, g.p_nodes, "left_anti").select(F.col("id").alias("d_id"))
+    return M.graph_counter_rows(strict, discarded)
+
+
+@register
+def q_graph_counters(spark, sf_dir):
+    return M.graph_counters(_graph_counter_rows(_pair(spark, sf_dir)))
+
+
+@register
+def q_precision_recall(spark, sf_dir):
+    return M.precision_recall(M.graph_counters(_graph_counter_rows(_pair(spark, sf_dir))))
+
+
+@register
+def q_f1(spark, sf_dir):
+    return M.f1_table(M.graph_counters(_graph_counter_rows(_pair(spark, sf_dir))))
+
+
+@register
+def q_pair_report(spark, sf_dir):
+    return M.pair_report(_graph_counter_rows(_pair(spark, sf_dir)))
