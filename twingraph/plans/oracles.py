@@ -366,3 +366,97 @@ FROM (SELECT o_id, p_id, score,
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
+
+
+# --- Step 4/5: walks and paths -----------------------------------------------
+from ..functions.hashing import draw_sql, mix_sql  # noqa: E402
+
+WALKS = f"""
+adj AS (SELECT src AS node, dst AS nbr, row_number() OVER (PARTITION BY src ORDER BY dst) - 1 AS pos FROM p_edges),
+outdeg AS (SELECT src AS node, count(*) AS d FROM p_edges GROUP BY src),
+start AS (SELECT coalesce((SELECT min(dst) FROM p_edges WHERE src = (SELECT min(src) FROM p_edges)),
+                          (SELECT min(src) FROM p_edges)) AS s),
+walks(walk_id, step, node_id) AS (
+  SELECT CAST(range AS BIGINT), CAST(0 AS BIGINT), (SELECT s FROM start) FROM range(0, {C.N_WALKS})
+  UNION ALL
+  SELECT w.walk_id, w.step + 1, a.nbr
+  FROM walks w JOIN outdeg d ON d.node = w.node_id
+  JOIN adj a ON a.node = w.node_id AND a.pos = {mix_sql('w.walk_id', 'w.step + 1', C.SEED)} % d.d
+  WHERE w.step + 1 < {C.MAX_STEPS})
+"""
+WALK_SUMMARY = f"""
+walk_summary AS (
+  SELECT l.walk_id, l.length, l.last_node, coalesce(n.valuable_data, false) AS success,
+         l.length >= {C.MAX_STEPS} AND coalesce(d.d, 0) > 0 AS truncated
+  FROM (SELECT walk_id, count(*) AS length, arg_max(node_id, step) AS last_node FROM walks GROUP BY walk_id) l
+  LEFT JOIN p_nodes n ON n.id = l.last_node
+  LEFT JOIN outdeg d ON d.node = l.last_node)
+"""
+oracle("q_random_walks", with_ctes("SELECT * FROM walks", WALKS, recursive=True))
+oracle("q_walk_success", with_ctes("SELECT * FROM walk_summary", WALKS, WALK_SUMMARY, recursive=True))
+oracle("q_honeypot_hits", with_ctes("""
+SELECT w.walk_id, CAST(count(a.id) AS BIGINT) AS honeypot_steps, count(DISTINCT a.id) AS honeypots
+FROM walks w LEFT JOIN (SELECT id FROM node_d WHERE change = 'Added') a ON a.id = w.node_id
+GROUP BY w.walk_id""", NODE_DIFF, WALKS, recursive=True))
+oracle("q_walk_stats", with_ctes("""
+SELECT CAST(min(length) AS BIGINT) AS min_v, CAST(max(length) AS BIGINT) AS max_v,
+       quantile_cont(CAST(length AS DOUBLE), 0.5) AS median_v, avg(CAST(length AS DOUBLE)) AS mean_v, count(*) AS n
+FROM walk_summary""", WALKS, WALK_SUMMARY, recursive=True))
+
+WALKED_BEST = f"""
+walked AS (SELECT DISTINCT node_id AS id FROM walks),
+walked_pairs AS (
+  SELECT o.id AS o_id, p.id AS p_id, {PTS} AS pts
+  FROM o_nodes o, p_nodes p WHERE p.id IN (SELECT id FROM walked)),
+walked_best AS (
+  SELECT p_id, arg_min(o_id, (-pts, o_id)) AS o_id, max(pts) AS pts, count(*) AS n_matches
+  FROM walked_pairs WHERE pts >= {C.BEST_MATCH_MIN_POINTS} GROUP BY p_id)
+"""
+oracle("q_walk_pairs_scored", with_ctes(
+    f"SELECT p_id, o_id, pts, round({score_sql('pts')}, 2) AS score, n_matches FROM walked_best",
+    WALKS, WALKED_BEST, recursive=True))
+oracle("q_attack_tally", with_ctes(f"""
+SELECT w.walk_id, count(*) AS attempts,
+       CAST(sum(CASE WHEN {draw_sql('w.walk_id', 'w.step', C.SEED + 1)} <= {dlit(C.ATTACK_DRAW)}
+                     THEN CASE WHEN coalesce(round({score_sql('b.pts')}, 2), 0) >= {dlit(C.ATTACK_SCORE)} THEN 2 ELSE 1 END
+                     ELSE 0 END) AS BIGINT) AS successful,
+       CAST(count(*) FILTER (WHERE NOT ({draw_sql('w.walk_id', 'w.step', C.SEED + 1)} <= {dlit(C.ATTACK_DRAW)})) AS BIGINT) AS failed
+FROM walks w LEFT JOIN walked_best b ON b.p_id = w.node_id
+WHERE w.step > 0 GROUP BY w.walk_id""", WALKS, WALKED_BEST, recursive=True))
+
+BFS_VALUABLE = f"""
+und AS (SELECT src AS node, dst AS nbr FROM p_edges UNION SELECT dst, src FROM p_edges),
+bfs(node, d) USING KEY (node) AS (
+  SELECT id, CAST(0 AS BIGINT) FROM p_nodes WHERE valuable_data
+  UNION
+  SELECT u.nbr, min(b.d) + 1 FROM bfs b JOIN und u ON u.node = b.node
+  WHERE NOT EXISTS (SELECT 1 FROM recurring.bfs r WHERE r.node = u.nbr) GROUP BY u.nbr),
+par AS (
+  SELECT b.node, min(u.nbr) AS parent FROM bfs b JOIN und u ON u.node = b.node
+  JOIN bfs b2 ON b2.node = u.nbr AND b2.d = b.d - 1 WHERE b.d > 0 GROUP BY b.node),
+chain(start, cur, path, k) AS (
+  SELECT node, node, CAST(node AS VARCHAR), 0 FROM bfs
+  UNION ALL
+  SELECT c.start, p.parent, c.path || ',' || CAST(p.parent AS VARCHAR), c.k + 1
+  FROM chain c JOIN par p ON p.node = c.cur),
+ends AS (SELECT start, arg_max(cur, k) AS target, arg_max(path, k) AS path FROM chain GROUP BY start),
+nearest AS (
+  SELECT n.id, coalesce(b.d, {C.UNREACHABLE}) AS hops, e.target,
+         CAST(b.d AS DOUBLE) * n.stored_value AS distance, coalesce(e.path, '') AS path
+  FROM p_nodes n LEFT JOIN bfs b ON b.node = n.id LEFT JOIN ends e ON e.start = n.id)
+"""
+oracle("q_nearest_valuable", with_ctes("SELECT id, hops, target, distance FROM nearest", BFS_VALUABLE, recursive=True))
+oracle("q_path_to_valuable", with_ctes("""
+SELECT id, path, CAST(CASE WHEN path = '' THEN 0 ELSE len(string_split(path, ',')) END AS BIGINT) AS path_nodes
+FROM nearest""", BFS_VALUABLE, recursive=True))
+oracle("q_sssp_hops", with_ctes("""
+SELECT node, d AS hops FROM bfs1""", """
+und AS (SELECT src AS node, dst AS nbr FROM p_edges UNION SELECT dst, src FROM p_edges),
+start AS (SELECT coalesce((SELECT min(dst) FROM p_edges WHERE src = (SELECT min(src) FROM p_edges)),
+                          (SELECT min(src) FROM p_edges)) AS s),
+bfs1(node, d) USING KEY (node) AS (
+  SELECT s, CAST(0 AS BIGINT) FROM start
+  UNION
+  SELECT u.nbr, min(b.d) + 1 FROM bfs1 b JOIN und u ON u.node = b.node
+  WHERE NOT EXISTS (SELECT 1 FROM recurring.bfs1 r WHERE r.node = u.nbr) GROUP BY u.nbr)
+""", recursive=True))

@@ -262,3 +262,84 @@ def q_f1(spark, sf_dir):
 @register
 def q_pair_report(spark, sf_dir):
     return M.pair_report(_graph_counter_rows(_pair(spark, sf_dir)))
+
+
+# --- Step 4/5: walks and paths -----------------------------------------------
+
+from .. import constants as C  # noqa: E402
+from ..operators import paths as P  # noqa: E402
+from ..operators import walks as W  # noqa: E402
+
+
+def _walks(spark, g):
+    return W.random_walks(spark, g.p_edges, n_walks=C.N_WALKS, seed=C.SEED, max_steps=C.MAX_STEPS)
+
+
+@register
+def q_random_walks(spark, sf_dir):
+    g = _pair(spark, sf_dir)
+    return _walks(spark, g)
+
+
+@register
+def q_walk_success(spark, sf_dir):
+    g = _pair(spark, sf_dir)
+    return W.walk_summary(_walks(spark, g), g.p_nodes, g.p_edges, C.MAX_STEPS)
+
+
+@register
+def q_honeypot_hits(spark, sf_dir):
+    g = _pair(spark, sf_dir)
+    added = diff.node_diff(g.o_nodes, g.p_nodes).where(F.col("change") == "Added").select("id")
+    return W.honeypot_hits(_walks(spark, g), added)
+
+
+@register
+def q_walk_stats(spark, sf_dir):
+    g = _pair(spark, sf_dir)
+    w = _walks(spark, g)
+    return W.walk_stats(W.walk_summary(w, g.p_nodes, g.p_edges, C.MAX_STEPS), w, over="length")
+
+
+def _walked_matches(spark, g, w):
+    walked = w.select(F.col("node_id").alias("id")).distinct()
+    p = g.p_nodes.join(walked, "id", "left_semi")
+    return sim.candidate_pairs(g.o_nodes, p)
+
+
+@register
+def q_walk_pairs_scored(spark, sf_dir):
+    """J3 (re-aimed): every walked node against all originals, through the exact candidate join."""
+    g = _pair(spark, sf_dir)
+    c = _walked_matches(spark, g, _walks(spark, g))
+    best = sim.best_match(c)
+    n = c.groupBy("p_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_matches"))
+    return best.join(n, "p_id")
+
+
+@register
+def q_attack_tally(spark, sf_dir):
+    g = _pair(spark, sf_dir)
+    w = _walks(spark, g)
+    return W.attack_tally(w, sim.best_match(_walked_matches(spark, g, w)), seed=C.SEED)
+
+
+@register
+def q_nearest_valuable(spark, sf_dir):
+    g = _pair(spark, sf_dir)
+    return P.nearest_valuable(g.p_nodes, g.p_edges).select("id", "hops", "target", "distance")
+
+
+@register
+def q_path_to_valuable(spark, sf_dir):
+    g = _pair(spark, sf_dir)
+    r = P.nearest_valuable(g.p_nodes, g.p_edges)
+    return r.select("id", "path", F.when(F.col("path") == "", F.lit(0))
+                    .otherwise(F.size(F.split("path", ","))).cast("bigint").alias("path_nodes"))
+
+
+@register
+def q_sssp_hops(spark, sf_dir):
+    g = _pair(spark, sf_dir)
+    src = graph.walk_start(g.p_edges).select(F.col("start_id").alias("node"))
+    return P.single_source_hops(src, g.p_edges)
