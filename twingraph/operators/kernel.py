@@ -36,8 +36,8 @@ def _block_column(df: DataFrame, order_col: str, n_blocks: int) -> Column:
     """
     n_blocks = max(1, min(n_blocks, MAX_BLOCKS))
     key = F.col(order_col)
-    if isinstance(df.schema[order_col].dataType, T.TimestampType):
-        key = F.unix_micros(key)
+    if isinstance(df.schema[order_col].dataType, (T.TimestampType, T.TimestampNTZType)):
+        key = F.unix_micros(key.cast("timestamp"))
     key = key.cast("double")
     if n_blocks == 1:
         return F.lit(0)

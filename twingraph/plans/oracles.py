@@ -460,3 +460,172 @@ bfs1(node, d) USING KEY (node) AS (
   SELECT u.nbr, min(b.d) + 1 FROM bfs1 b JOIN und u ON u.node = b.node
   WHERE NOT EXISTS (SELECT 1 FROM recurring.bfs1 r WHERE r.node = u.nbr) GROUP BY u.nbr)
 """, recursive=True))
+
+
+# --- Step 6: move log ----------------------------------------------------------
+
+ROUNDS = """
+mv AS (
+  SELECT *, CAST(sum(CASE WHEN lower("user") = 'restart' THEN 1 ELSE 0 END)
+                   OVER (PARTITION BY game_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+              - CASE WHEN lower("user") = 'restart' THEN 1 ELSE 0 END AS BIGINT) AS round
+  FROM moves),
+mvr AS (SELECT *, row_number() OVER (PARTITION BY game_id, round ORDER BY seq) AS rn FROM mv)
+"""
+BOARD_FACTS = """
+bfacts AS (
+  SELECT n.id AS node, n.valuable_data AS valuable, coalesce(od.c, 0) = 0 AS sink
+  FROM board_nodes n LEFT JOIN (SELECT src, count(*) AS c FROM board_edges GROUP BY src) od ON od.src = n.id),
+bund AS (SELECT src AS a, dst AS b FROM board_edges UNION SELECT dst, src FROM board_edges)
+"""
+PLACE = f"""
+starts AS (
+  SELECT game_id, round, (game_id*7 + round*3 + 1) % {C.BOARD_SIZE} AS thief_start,
+         (game_id*11 + round*5 + 5) % {C.BOARD_SIZE} AS police_start
+  FROM (SELECT DISTINCT game_id, round FROM mv)),
+place AS (
+  SELECT s.game_id, s.round, s.thief_start, s.police_start,
+         CASE WHEN t.valuable THEN 'thief_wins' WHEN s.thief_start = s.police_start THEN 'policeman_wins'
+              WHEN t.sink THEN 'thief_no_moves' WHEN p.sink THEN 'policeman_no_moves' END AS placement_verdict
+  FROM starts s LEFT JOIN bfacts t ON t.node = s.thief_start LEFT JOIN bfacts p ON p.node = s.police_start)
+"""
+_V = "('thief_wins', 'policeman_wins', 'thief_no_moves', 'policeman_no_moves')"
+REPLAY = f"""
+rep(game_id, round, k, seq, t, p, turn, verdict, status) AS (
+  SELECT game_id, round, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), thief_start, police_start,
+         'thief', placement_verdict, CAST(NULL AS VARCHAR)
+  FROM place
+  UNION ALL
+  SELECT game_id, round, k, seq,
+         CASE WHEN moved AND is_thief THEN target ELSE t END,
+         CASE WHEN moved AND NOT is_thief THEN target ELSE p END,
+         CASE WHEN status = 'accepted' THEN CASE WHEN is_thief THEN 'policeman' ELSE 'thief' END ELSE turn END,
+         CASE WHEN verdict IS NULL AND status IN {_V} THEN status ELSE verdict END,
+         status
+  FROM (
+    SELECT *,
+      CASE WHEN u = 'restart' THEN 'restart'
+           WHEN verdict IS NOT NULL THEN 'game_over'
+           WHEN u NOT IN ('thief', 'policeman') THEN 'invalid_user'
+           WHEN u = 'policeman' AND p = t THEN 'policeman_wins'
+           WHEN NOT adj THEN 'invalid_move'
+           WHEN u <> turn THEN 'wrong_turn'
+           WHEN is_thief AND valuable THEN 'thief_wins'
+           WHEN is_thief AND sink THEN 'thief_no_moves'
+           WHEN NOT is_thief AND target = t THEN 'policeman_wins'
+           WHEN NOT is_thief AND sink THEN 'policeman_no_moves'
+           ELSE 'accepted' END AS status,
+      verdict IS NULL AND u IN ('thief', 'policeman') AND NOT (u = 'policeman' AND p = t) AND adj AND u = turn AS moved
+    FROM (
+      SELECT r.game_id, r.round, r.k + 1 AS k, m.seq, r.t, r.p, r.turn, r.verdict,
+             lower(m."user") AS u, lower(m."user") = 'thief' AS is_thief, m.target,
+             coalesce(f.valuable, false) AS valuable, coalesce(f.sink, false) AS sink,
+             b.a IS NOT NULL AS adj
+      FROM rep r
+      JOIN mvr m ON m.game_id = r.game_id AND m.round = r.round AND m.rn = r.k + 1
+      LEFT JOIN bfacts f ON f.node = m.target
+      LEFT JOIN bund b ON b.a = CASE WHEN lower(m."user") = 'thief' THEN r.t ELSE r.p END AND b.b = m.target)))
+"""
+OUTCOMES = """
+outcomes AS (
+  SELECT pl.game_id, pl.round, pl.thief_start, pl.police_start, pl.placement_verdict,
+         coalesce(l.verdict, pl.placement_verdict, 'open') AS outcome,
+         CASE WHEN pl.placement_verdict IS NOT NULL THEN 'placement'
+              WHEN l.verdict IS NOT NULL THEN 'play' END AS decided_at,
+         coalesce(l.t, pl.thief_start) AS thief_node, coalesce(l.p, pl.police_start) AS police_node,
+         coalesce(l.k, 0) AS n_moves
+  FROM place pl
+  LEFT JOIN (SELECT game_id, round, arg_max(verdict, k) AS verdict, arg_max(t, k) AS t, arg_max(p, k) AS p,
+                    max(k) AS k
+             FROM rep GROUP BY game_id, round) l
+    ON l.game_id = pl.game_id AND l.round = pl.round),
+latest AS (
+  SELECT o.game_id, 'thief' AS role, o.thief_node AS node FROM outcomes o
+  JOIN (SELECT game_id, max(round) AS round FROM outcomes GROUP BY game_id) x ON x.game_id = o.game_id AND x.round = o.round
+  UNION ALL
+  SELECT o.game_id, 'policeman', o.police_node FROM outcomes o
+  JOIN (SELECT game_id, max(round) AS round FROM outcomes GROUP BY game_id) x ON x.game_id = o.game_id AND x.round = o.round)
+"""
+_MOVES = dict(graph=False, moves=True)
+oracle("q_start_positions", with_ctes("SELECT game_id, round, thief_start, police_start FROM starts",
+                                      ROUNDS, PLACE, **_MOVES))
+oracle("q_initial_verdict", with_ctes("SELECT * FROM place", ROUNDS, BOARD_FACTS, PLACE, **_MOVES))
+oracle("q_rounds", with_ctes("SELECT game_id, seq, round FROM mv", ROUNDS, **_MOVES))
+oracle("q_turn_audit", with_ctes("""
+SELECT m.game_id, m.seq, lower(m."user") AS "user", lower(p."user") AS prev_user,
+       coalesce(lower(m."user") = lower(p."user"), false) AS repeated
+FROM moves m LEFT JOIN moves p ON p.game_id = m.game_id AND p.seq = m.seq - 1""", **_MOVES))
+oracle("q_replay_moves", with_ctes("""
+SELECT r.game_id, r.seq, r.round, m."user", m.target, r.status, r.t AS thief_node, r.p AS police_node
+FROM rep r JOIN mv m ON m.game_id = r.game_id AND m.seq = r.seq WHERE r.k > 0""",
+    ROUNDS, BOARD_FACTS, PLACE, REPLAY, recursive=True, **_MOVES))
+oracle("q_game_outcomes", with_ctes("SELECT * FROM outcomes",
+                                    ROUNDS, BOARD_FACTS, PLACE, REPLAY, OUTCOMES, recursive=True, **_MOVES))
+oracle("q_latest_positions", with_ctes("SELECT * FROM latest",
+                                       ROUNDS, BOARD_FACTS, PLACE, REPLAY, OUTCOMES, recursive=True, **_MOVES))
+
+_NODE_TXT = ("'NodeObject(' || concat_ws(',', n.id, n.children, n.props, n.current_depth, n.prop_value_range, "
+             "n.max_depth, n.max_branching_factor, n.max_properties, CAST(n.stored_value AS VARCHAR), "
+             "CAST(n.valuable_data AS VARCHAR)) || ')'")
+STATUS = f"""
+bpund AS (SELECT src AS node, dst AS nbr FROM board_p_edges UNION SELECT dst, src FROM board_p_edges),
+bbfs(node, d) USING KEY (node) AS (
+  SELECT id, CAST(0 AS BIGINT) FROM board_nodes WHERE valuable_data
+  UNION
+  SELECT u.nbr, min(b.d) + 1 FROM bbfs b JOIN bpund u ON u.node = b.node
+  WHERE NOT EXISTS (SELECT 1 FROM recurring.bbfs r WHERE r.node = u.nbr) GROUP BY u.nbr),
+bpar AS (
+  SELECT b.node, min(u.nbr) AS parent FROM bbfs b JOIN bpund u ON u.node = b.node
+  JOIN bbfs b2 ON b2.node = u.nbr AND b2.d = b.d - 1 WHERE b.d > 0 GROUP BY b.node),
+bchain(start, cur, path, k) AS (
+  SELECT node, node, CAST(node AS VARCHAR), 0 FROM bbfs
+  UNION ALL
+  SELECT c.start, p.parent, c.path || ',' || CAST(p.parent AS VARCHAR), c.k + 1 FROM bchain c JOIN bpar p ON p.node = c.cur),
+bpath AS (SELECT start AS node, arg_max(path, k) AS path FROM bchain GROUP BY start),
+bdeg_o AS (SELECT node, count(*) AS c FROM (SELECT src AS node FROM board_edges UNION ALL SELECT dst FROM board_edges) GROUP BY node),
+bdeg_p AS (SELECT node, count(*) AS c FROM (SELECT src AS node FROM board_p_edges UNION ALL SELECT dst FROM board_p_edges) GROUP BY node),
+bshared AS (SELECT o.src, o.dst FROM board_edges o JOIN board_p_edges p ON o.src = p.src AND o.dst = p.dst),
+bshared_deg AS (SELECT node, count(*) AS c FROM (SELECT src AS node FROM bshared UNION ALL SELECT dst FROM bshared) GROUP BY node),
+bconf AS (
+  SELECT n.id AS node,
+         CASE WHEN coalesce(a.c, 0) = 0 THEN CAST(0 AS DOUBLE)
+              ELSE least(CAST(1 AS DOUBLE), CAST(1 + CASE WHEN coalesce(a.c, 0) = coalesce(b.c, 0) THEN coalesce(m.c, 0) ELSE 0 END AS DOUBLE)
+                         / CAST(a.c AS DOUBLE)) END AS confidence
+  FROM board_nodes n LEFT JOIN bdeg_o a ON a.node = n.id LEFT JOIN bdeg_p b ON b.node = n.id
+  LEFT JOIN bshared_deg m ON m.node = n.id),
+badj AS (SELECT a AS node, string_agg(CAST(b AS VARCHAR), ',' ORDER BY b) AS adjacent FROM bund GROUP BY a),
+nmoves AS (SELECT game_id, lower("user") AS role, count(*) AS n_moves FROM moves GROUP BY game_id, lower("user")),
+thief_sv AS (SELECT l.game_id, n.stored_value AS thief_sv FROM latest l JOIN board_nodes n ON n.id = l.node WHERE l.role = 'thief'),
+status AS (
+  SELECT l.game_id, l.role, l.node, coalesce(a.adjacent, '') AS adjacent,
+         coalesce(b.d, {C.UNREACHABLE}) AS hops,
+         CASE WHEN b.d IS NOT NULL THEN CAST(b.d AS DOUBLE) * ts.thief_sv END AS distance,
+         coalesce(bp.path, '') AS path, coalesce(c.confidence, CAST(0 AS DOUBLE)) AS confidence,
+         coalesce(nm.n_moves, 0) AS n_moves
+  FROM latest l
+  LEFT JOIN badj a ON a.node = l.node LEFT JOIN bbfs b ON b.node = l.node LEFT JOIN bpath bp ON bp.node = l.node
+  LEFT JOIN bconf c ON c.node = l.node LEFT JOIN nmoves nm ON nm.game_id = l.game_id AND nm.role = l.role
+  LEFT JOIN thief_sv ts ON ts.game_id = l.game_id)
+"""
+_ALL_STATUS = (ROUNDS, BOARD_FACTS, PLACE, REPLAY, OUTCOMES, STATUS)
+oracle("q_player_status", with_ctes("SELECT * FROM status", *_ALL_STATUS, recursive=True, **_MOVES))
+oracle("q_opponent_view", with_ctes("""
+SELECT s.game_id, s.role, o.node AS opponent_node, o.adjacent AS opponent_adjacent
+FROM status s JOIN status o ON o.game_id = s.game_id AND o.role <> s.role""", *_ALL_STATUS, recursive=True, **_MOVES))
+oracle("q_report_lines", with_ctes(f"""
+SELECT s.game_id, s.role, CAST(1 AS BIGINT) AS section, CAST(x.ord - 1 AS BIGINT) AS ord,
+       'Path to Valuable Node: ' || {_NODE_TXT} AS line
+FROM status s, unnest(string_split(s.path, ',')) WITH ORDINALITY AS x(pid, ord)
+JOIN board_nodes n ON n.id = TRY_CAST(x.pid AS BIGINT)
+WHERE s.path <> ''
+UNION ALL
+SELECT game_id, role, 2, 0, 'Confidence Score: ' || CAST(confidence AS VARCHAR) FROM status
+UNION ALL
+SELECT s.game_id, s.role, 3, b.b, 'Adjacent Node: ' || {_NODE_TXT}
+FROM status s JOIN bund b ON b.a = s.node JOIN board_nodes n ON n.id = b.b
+UNION ALL
+SELECT s.game_id, s.role, 4, m.seq, 'Move: Move(' || m."user" || ',' || {_NODE_TXT} || ')'
+FROM status s JOIN moves m ON m.game_id = s.game_id AND lower(m."user") = s.role JOIN board_nodes n ON n.id = m.target
+UNION ALL
+SELECT game_id, role, 5, 0, 'Distance to Valuable Node: ' || coalesce(CAST(distance AS VARCHAR), '-') FROM status
+""", *_ALL_STATUS, recursive=True, **_MOVES))

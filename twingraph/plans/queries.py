@@ -343,3 +343,80 @@ def q_sssp_hops(spark, sf_dir):
     g = _pair(spark, sf_dir)
     src = graph.walk_start(g.p_edges).select(F.col("start_id").alias("node"))
     return P.single_source_hops(src, g.p_edges)
+
+
+# --- Step 6: move log ----------------------------------------------------------
+
+from ..operators import replay as R  # noqa: E402
+
+
+def _board(spark):
+    return fx.board_nodes(spark), fx.board_edges(spark), fx.board_edges(spark, perturbed=True)
+
+
+def _replayed(spark, sf_dir):
+    nodes, edges, _ = _board(spark)
+    return R.replay(fx.moves(spark, sf_dir), nodes, edges)
+
+
+@register
+def q_start_positions(spark, sf_dir):
+    games = R.with_rounds(fx.moves(spark, sf_dir)).select("game_id", "round").distinct()
+    return R.start_positions(games)
+
+
+@register
+def q_initial_verdict(spark, sf_dir):
+    nodes, edges, _ = _board(spark)
+    mv = R.with_rounds(fx.moves(spark, sf_dir))
+    return R.placement(mv, R.node_facts(nodes, edges))
+
+
+@register
+def q_rounds(spark, sf_dir):
+    return R.with_rounds(fx.moves(spark, sf_dir)).select("game_id", "seq", "round")
+
+
+@register
+def q_turn_audit(spark, sf_dir):
+    return R.turn_audit(fx.moves(spark, sf_dir))
+
+
+@register
+def q_replay_moves(spark, sf_dir):
+    return _replayed(spark, sf_dir)[0]
+
+
+@register
+def q_game_outcomes(spark, sf_dir):
+    return _replayed(spark, sf_dir)[1]
+
+
+@register
+def q_latest_positions(spark, sf_dir):
+    return R.latest_positions(_replayed(spark, sf_dir)[1])
+
+
+def _status(spark, sf_dir):
+    from ..operators import status as ST
+    nodes, edges, p_edges = _board(spark)
+    mv = fx.moves(spark, sf_dir)
+    return ST.player_status(R.latest_positions(R.replay(mv, nodes, edges)[1]), mv, nodes, edges, p_edges)
+
+
+@register
+def q_player_status(spark, sf_dir):
+    return _status(spark, sf_dir).drop("path_ids", "adjacent_ids")
+
+
+@register
+def q_opponent_view(spark, sf_dir):
+    from ..operators import status as ST
+    return ST.opponent_view(_status(spark, sf_dir))
+
+
+@register
+def q_report_lines(spark, sf_dir):
+    from ..operators import status as ST
+    nodes, _, _ = _board(spark)
+    return ST.report_lines(_status(spark, sf_dir), fx.moves(spark, sf_dir), nodes)
