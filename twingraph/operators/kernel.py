@@ -111,4 +111,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Survives executor loss, unlike a local checkpoint or a cache.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # Persist first: the checkpoint write then reads the computed blocks
+    # instead of recomputing the whole plan a second time.
+    df = df.persist()
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions import scores as S
 from ..schemas import NODE_FIELDS, NODE_PROPS
+from .kernel import cut_lineage
 
 
 def prefixed(nodes: DataFrame, prefix: str) -> DataFrame:
@@ -236,3 +237,27 @@ def best_match(cands: DataFrame, top_k: int = 1) -> DataFrame:
     w = Window.partitionBy("p_id").orderBy(F.desc("pts"), "o_id")
     return (cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_k)
             .select("p_id", "o_id", "pts", S.rounded(S.points_score("pts")).alias("score"), "rank"))
+
+
+LADDER = (69,)
+
+
+def best_match_exact(o_nodes: DataFrame, p_nodes: DataFrame, min_points: int = C.BEST_MATCH_MIN_POINTS,
+                     ladder: tuple[int, ...] = LADDER) -> DataFrame:
+    """X10 top-1 without enumerating every qualifying pair.
+
+    Thresholds are tried from high to low: a perturbed node whose best pair
+    reaches a higher threshold has its exact best among those pairs, so only
+    the nodes left without a match go on to the next (wider) candidate join.
+    Equal to ``best_match(candidate_pairs(o, p, min_points))``.
+    """
+    steps = [t for t in sorted(set(ladder), reverse=True) if t > min_points] + [min_points]
+    rest = p_nodes
+    found = []
+    for i, t in enumerate(steps):
+        best = best_match(candidate_pairs(o_nodes, rest, t))
+        found.append(best)
+        if i < len(steps) - 1:
+            # Written once: every branch of the next join reads it.
+            rest = cut_lineage(rest.join(best.select(F.col("p_id").alias("id")), "id", "left_anti"))
+    return reduce(DataFrame.unionByName, found)

@@ -20,15 +20,26 @@ from .graph import successors, walk_start
 from .kernel import cut_lineage
 
 BROADCAST_FRONTIER_MAX = 2_000_000
+BROADCAST_STEPS = False  # co-partitioned shuffle of the frontier is cheaper per step
 CUT_EVERY = 8
 
 
 def neighbour_table(edges: DataFrame) -> DataFrame:
-    """``(node, pos, nbr, nbr_deg)`` with ``nbr_deg`` the out-degree of ``nbr`` (0 = sink)."""
+    """``(node, pos, nbr, nbr_deg)`` with ``nbr_deg`` the out-degree of ``nbr`` (0 = sink).
+
+    Every sink also gets one row ``(sink, 0, sink, 0)``: a walk standing on a
+    sink "moves" onto itself, so every step is one inner join that keeps all
+    walks and the plan stays a linear chain.
+    """
     succ = successors(edges)
     deg = edges.groupBy(F.col("src").alias("nbr")).agg(F.count(F.lit(1)).alias("nbr_deg"))
-    return (succ.join(deg, "nbr", "left")
+    rows = (succ.join(deg, "nbr", "left")
             .select("node", "pos", "nbr", F.coalesce("nbr_deg", F.lit(0)).cast("bigint").alias("nbr_deg")))
+    ends = edges.select(F.col("dst").alias("node")).unionByName(edges.select(F.col("src").alias("node")))
+    sinks = (ends.distinct().join(deg.withColumnRenamed("nbr", "node"), "node", "left_anti")
+             .select("node", F.lit(0).cast("bigint").alias("pos"), F.col("node").alias("nbr"),
+                     F.lit(0).cast("bigint").alias("nbr_deg")))
+    return rows.unionByName(sinks)
 
 
 def random_walks(spark: SparkSession, edges: DataFrame, n_walks: int = C.N_WALKS, seed: int = C.SEED,
@@ -36,10 +47,18 @@ def random_walks(spark: SparkSession, edges: DataFrame, n_walks: int = C.N_WALKS
     """Rows ``(walk_id, step, node_id)``, step 0 being the start node.
 
     ``start`` is a one-row frame with column ``start_id`` (default: G10).
+    The frontier keeps one row per walk with its path so far (at most
+    ``max_steps`` ids); walks on a sink stay put and stop growing. Each step
+    is one join of the (broadcast, at most ``n_walks`` rows) frontier with
+    the persisted neighbour table; the frontier is checkpointed every
+    ``CUT_EVERY`` steps.
     """
     if max_steps < 1:
         raise ValueError("max_steps must be >= 1")
-    nbrs = cut_lineage(neighbour_table(edges))  # written once, reused by every step
+    n_part = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Reliable copy, then hash-partitioned on the join key and kept in memory:
+    # every step shuffles only the frontier, never the neighbour table.
+    nbrs = cut_lineage(neighbour_table(edges)).repartition(n_part, "node", "pos").persist()
     start = start if start is not None else walk_start(edges)
     out_deg = edges.groupBy(F.col("src").alias("start_id")).agg(F.count(F.lit(1)).alias("deg"))
     s = (start.select("start_id").join(out_deg, "start_id", "left")
@@ -47,33 +66,28 @@ def random_walks(spark: SparkSession, edges: DataFrame, n_walks: int = C.N_WALKS
     walks = spark.range(0, n_walks).withColumnRenamed("id", "walk_id")
     # s has exactly one row: an equi-join on a constant key broadcasts it.
     frontier = (walks.withColumn("_k", F.lit(0)).join(F.broadcast(s.withColumn("_k", F.lit(0))), "_k")
-                .select("walk_id", F.lit(0).cast("bigint").alias("step"),
-                        F.col("start_id").alias("node_id"), "deg"))
+                .select("walk_id", F.col("start_id").alias("node_id"), "deg",
+                        F.array(F.col("start_id")).alias("path")))
     frontier = cut_lineage(frontier)
-    done = [frontier.select("walk_id", "step", "node_id")]
     small = n_walks <= BROADCAST_FRONTIER_MAX
     for step in range(1, max_steps):
-        active = frontier.where(F.col("deg") > 0)
-        pick = active.select("walk_id", F.col("node_id").alias("node"),
-                             (mix("walk_id", F.lit(step), seed) % F.col("deg")).alias("pos"))
-        side = F.broadcast(pick) if small else pick
+        pick = frontier.select(
+            "walk_id", F.col("node_id").alias("node"), "path", F.col("deg").alias("_d"),
+            F.when(F.col("deg") > 0, mix("walk_id", F.lit(step), seed) % F.col("deg"))
+            .otherwise(F.lit(0)).cast("bigint").alias("pos"))
+        side = F.broadcast(pick) if small and BROADCAST_STEPS else pick
         frontier = (side.join(nbrs, ["node", "pos"])
-                    .select("walk_id", F.lit(step).cast("bigint").alias("step"),
-                            F.col("nbr").alias("node_id"), F.col("nbr_deg").alias("deg")))
+                    .select("walk_id", F.col("nbr").alias("node_id"), F.col("nbr_deg").alias("deg"),
+                            F.when(F.col("_d") > 0, F.concat("path", F.array(F.col("nbr"))))
+                            .otherwise(F.col("path")).alias("path")))
         if step % CUT_EVERY == 0:
             frontier = cut_lineage(frontier)
-            if frontier.isEmpty():
+            if frontier.where(F.col("deg") > 0).isEmpty():
                 break
-        done.append(frontier.select("walk_id", "step", "node_id"))
-        if step % CUT_EVERY == 0:
-            acc = done[0]
-            for d in done[1:]:
-                acc = acc.unionByName(d)
-            done = [cut_lineage(acc)]
-    acc = done[0]
-    for d in done[1:]:
-        acc = acc.unionByName(d)
-    return acc
+    result = cut_lineage(frontier.select("walk_id", F.posexplode("path").alias("step", "node_id")).select(
+        "walk_id", F.col("step").cast("bigint").alias("step"), "node_id"))
+    nbrs.unpersist()
+    return result
 
 
 def walk_summary(walks: DataFrame, nodes: DataFrame, edges: DataFrame, max_steps: int = C.MAX_STEPS) -> DataFrame:

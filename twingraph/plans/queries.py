@@ -173,7 +173,7 @@ def q_edge_set_jaccard(spark, sf_dir):
 def q_best_match(spark, sf_dir):
     """Best original for every perturbed node among pairs scoring >= 0.5."""
     g = _pair(spark, sf_dir)
-    return sim.best_match(sim.candidate_pairs(g.o_nodes, g.p_nodes))
+    return sim.best_match_exact(g.o_nodes, g.p_nodes)
 
 
 @register
@@ -181,7 +181,7 @@ def q_confidence_pairs(spark, sf_dir):
     """C2 on (original, perturbed) pairs given by the best match."""
     from ..operators import confidence as conf
     g = _pair(spark, sf_dir)
-    pairs = sim.best_match(sim.candidate_pairs(g.o_nodes, g.p_nodes)).select(
+    pairs = sim.best_match_exact(g.o_nodes, g.p_nodes).select(
         F.col("o_id").alias("original_id"), F.col("p_id").alias("perturbed_id"))
     return conf.confidence_pairs(pairs, g.o_nodes, g.o_edges, g.p_nodes, g.p_edges)
 
@@ -321,7 +321,9 @@ def q_walk_pairs_scored(spark, sf_dir):
 def q_attack_tally(spark, sf_dir):
     g = _pair(spark, sf_dir)
     w = _walks(spark, g)
-    return W.attack_tally(w, sim.best_match(_walked_matches(spark, g, w)), seed=C.SEED)
+    walked = w.select(F.col("node_id").alias("id")).distinct()
+    best = sim.best_match_exact(g.o_nodes, g.p_nodes.join(walked, "id", "left_semi"))
+    return W.attack_tally(w, best, seed=C.SEED)
 
 
 @register
