@@ -60,10 +60,20 @@ def reconcile(diff: DataFrame, report: DataFrame) -> DataFrame:
                     F.coalesce("in_report", F.lit(False)).alias("in_report"))
 
 
-def as_delta(node_d: DataFrame, edge_d: DataFrame) -> DataFrame:
-    """Diff rows in the DELTA shape used by the report reader."""
-    n = node_d.where(F.col("change") != "Same").select(
+def as_delta(node_d: DataFrame, edge_d: DataFrame, p_edges: DataFrame) -> DataFrame:
+    """Diff rows in the DELTA shape of the perturbation report.
+
+    Modified / Removed nodes: ``a = id``; an Added node is listed under its
+    parent (``a`` = smallest predecessor in P, -1 when it has none, ``b`` = id);
+    edges: ``a = src, b = dst``.
+    """
+    listed = node_d.where(F.col("change").isin("Modified", "Removed")).select(
         F.lit("Nodes").alias("entity"), "change", F.col("id").alias("a"), F.lit(None).cast("bigint").alias("b"))
+    added = node_d.where(F.col("change") == "Added").select("id")
+    parent = p_edges.groupBy(F.col("dst").alias("id")).agg(F.min("src").alias("parent"))
+    n = listed.unionByName(added.join(parent, "id", "left").select(
+        F.lit("Nodes").alias("entity"), F.lit("Added").alias("change"),
+        F.coalesce("parent", F.lit(-1)).cast("bigint").alias("a"), F.col("id").alias("b")))
     e = edge_d.where(F.col("change") != "Same").select(
         F.lit("Edges").alias("entity"), "change", F.col("src").alias("a"), F.col("dst").alias("b"))
     return n.unionByName(e)

@@ -629,3 +629,28 @@ FROM status s JOIN moves m ON m.game_id = s.game_id AND lower(m."user") = s.role
 UNION ALL
 SELECT game_id, role, 5, 0, 'Distance to Valuable Node: ' || coalesce(CAST(distance AS VARCHAR), '-') FROM status
 """, *_ALL_STATUS, recursive=True, **_MOVES))
+
+
+# --- Step 9: sources and sinks -----------------------------------------------
+
+oracle("q_dot_roundtrip", with_ctes("SELECT src, dst, weight FROM p_edges"))
+oracle("q_report_roundtrip", with_ctes("""
+SELECT 'Nodes' AS entity, change, id AS a, CAST(NULL AS BIGINT) AS b FROM node_d WHERE change IN ('Modified', 'Removed')
+UNION ALL
+SELECT 'Nodes', 'Added', coalesce((SELECT min(src) FROM p_edges e WHERE e.dst = n.id), -1), n.id
+FROM node_d n WHERE change = 'Added'
+UNION ALL
+SELECT 'Edges', change, src, dst FROM edge_d WHERE change <> 'Same'""", NODE_DIFF, EDGE_DIFF))
+oracle("q_shards", with_ctes(f"""
+SELECT src, dst, weight, (rn - 1) // {C.SHARD_SIZE} AS shard_id, (rn - 1) % {C.SHARD_SIZE} AS row_in_shard
+FROM (SELECT *, row_number() OVER (ORDER BY src, dst) AS rn FROM p_edges)"""))
+oracle("q_extract_formatted", with_ctes(f"""
+SELECT 'node' AS kind, (rn - 1) // {C.EXTRACT_GROUP} AS group_id, (rn - 1) % {C.EXTRACT_GROUP} AS pos,
+       concat_ws(',', id, children, props, current_depth, prop_value_range, max_depth, max_branching_factor,
+                 max_properties, printf('%.3f', stored_value), CAST(valuable_data AS VARCHAR)) AS line
+FROM (SELECT *, row_number() OVER (ORDER BY id) AS rn FROM p_nodes)
+UNION ALL
+SELECT 'edge', (rn - 1) // {C.EXTRACT_GROUP}, (rn - 1) % {C.EXTRACT_GROUP},
+       concat_ws(',', src, dst, CASE WHEN cost IS NULL THEN '-' ELSE printf('%.3f', cost) END)
+FROM (SELECT p.src, p.dst, o.weight AS cost, row_number() OVER (ORDER BY p.src, p.dst) AS rn
+      FROM p_edges p LEFT JOIN o_edges o ON o.src = p.src AND o.dst = p.dst)"""))

@@ -422,3 +422,49 @@ def q_report_lines(spark, sf_dir):
     from ..operators import status as ST
     nodes, _, _ = _board(spark)
     return ST.report_lines(_status(spark, sf_dir), fx.moves(spark, sf_dir), nodes)
+
+
+# --- Step 9: sources and sinks -----------------------------------------------
+
+import uuid  # noqa: E402
+
+from ..session import scratch_path  # noqa: E402
+from ..sources import readers as RD  # noqa: E402
+from ..sources import sinks as SK  # noqa: E402
+
+
+def _scratch(spark, name):
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@register
+def q_dot_roundtrip(spark, sf_dir):
+    """Perturbed graph written as DOT statements and read back with the DOT reader."""
+    g = _pair(spark, sf_dir)
+    path = _scratch(spark, "dot")
+    RD.edges_to_dot(g.p_edges).unionByName(RD.nodes_to_dot(g.p_nodes)).write.mode("overwrite").text(path)
+    edges, _ = RD.read_dot(spark, path)
+    return edges.select("src", "dst", "weight")
+
+
+@register
+def q_report_roundtrip(spark, sf_dir):
+    """S3 (+ writer): the perturbation diff as report text, read back as DELTA rows."""
+    g = _pair(spark, sf_dir)
+    delta = diff.as_delta(diff.node_diff(g.o_nodes, g.p_nodes), diff.edge_diff(g.o_edges, g.p_edges), g.p_edges)
+    path = _scratch(spark, "report")
+    SK.delta_report_docs(delta).write.mode("overwrite").text(path)
+    return RD.read_delta(spark, path).select("entity", "change", "a", "b")
+
+
+@register
+def q_shards(spark, sf_dir):
+    """K4: perturbed edges in shards of 35 rows in (src, dst) order."""
+    return SK.shard(_pair(spark, sf_dir).p_edges, ["src", "dst"], C.SHARD_SIZE)
+
+
+@register
+def q_extract_formatted(spark, sf_dir):
+    """K5 + P9: node / edge extract in groups of 10, costs from the original graph."""
+    g = _pair(spark, sf_dir)
+    return SK.extract_formatted(g.p_nodes, g.p_edges, g.o_edges, C.EXTRACT_GROUP)
