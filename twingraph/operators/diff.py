@@ -52,10 +52,11 @@ def reconcile(diff: DataFrame, report: DataFrame) -> DataFrame:
     ``diff`` and ``report`` are DELTA rows ``(entity, change, a, b)``.
     Returns each distinct row with ``in_diff``/``in_report`` flags.
     """
-    d = diff.select("entity", "change", "a", "b").distinct().withColumn("in_diff", F.lit(True))
-    r = report.select("entity", "change", "a", "b").distinct().withColumn("in_report", F.lit(True))
-    j = d.join(r, ["entity", "change", "a", "b"], "full_outer")
-    return j.select("entity", "change", "a", "b",
+    keys = ["entity", "change", "a", "b"]
+    d = diff.select(*keys).distinct().withColumn("in_diff", F.lit(True))
+    r = report.select(*[F.col(k).alias(f"r_{k}") for k in keys]).distinct().withColumn("in_report", F.lit(True))
+    j = d.join(r, [d[k].eqNullSafe(r[f"r_{k}"]) for k in keys], "full_outer")  # b is NULL for node lists
+    return j.select(*[F.coalesce(F.col(k), F.col(f"r_{k}")).alias(k) for k in keys],
                     F.coalesce("in_diff", F.lit(False)).alias("in_diff"),
                     F.coalesce("in_report", F.lit(False)).alias("in_report"))
 

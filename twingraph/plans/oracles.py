@@ -654,3 +654,8 @@ SELECT 'edge', (rn - 1) // {C.EXTRACT_GROUP}, (rn - 1) % {C.EXTRACT_GROUP},
        concat_ws(',', src, dst, CASE WHEN cost IS NULL THEN '-' ELSE printf('%.3f', cost) END)
 FROM (SELECT p.src, p.dst, o.weight AS cost, row_number() OVER (ORDER BY p.src, p.dst) AS rn
       FROM p_edges p LEFT JOIN o_edges o ON o.src = p.src AND o.dst = p.dst)"""))
+
+oracle("q_moves_per_window", with_ctes(f"""
+SELECT CAST(epoch(time_bucket(INTERVAL {C.WINDOW_MINUTES} MINUTES, ts)) AS BIGINT) AS window_start,
+       lower("user") AS "user", count(*) AS n
+FROM moves GROUP BY ALL""", graph=False, moves=True))

@@ -468,3 +468,10 @@ def q_extract_formatted(spark, sf_dir):
     """K5 + P9: node / edge extract in groups of 10, costs from the original graph."""
     g = _pair(spark, sf_dir)
     return SK.extract_formatted(g.p_nodes, g.p_edges, g.o_edges, C.EXTRACT_GROUP)
+
+
+@register
+def q_moves_per_window(spark, sf_dir):
+    """M12 batch twin: moves per player and hour."""
+    from ..streaming.replay_stream import moves_per_window
+    return moves_per_window(fx.moves(spark, sf_dir), C.WINDOW_MINUTES)

@@ -33,7 +33,9 @@ def parse_nodes(lines: DataFrame, col: str = "value") -> DataFrame:
     typed); invalid lines are kept so the caller can route them to a reject
     table instead of failing the job.
     """
-    inner = F.regexp_extract(F.col(col), r"\((.*?)\)", 1)
+    # The node record itself when present (also inside Move(...)), else the first group.
+    inner = F.coalesce(F.nullif(F.regexp_extract(F.col(col), r"NodeObject\(([^()]*)\)", 1), F.lit("")),
+                       F.regexp_extract(F.col(col), r"\((.*?)\)", 1))
     parts = F.split(inner, ",")
     out = lines.withColumn("_parts", parts)
     typed = []
