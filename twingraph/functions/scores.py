@@ -121,3 +121,13 @@ def percent_clamped(num, den) -> Column:
     """A5 (noise free): 100 * num / den clamped to [0, 100]; NULL when den = 0."""
     num, den = _d(num), _d(den)
     return F.when(den != 0, F.greatest(F.lit(0.0), F.least(F.lit(100.0), num / den * F.lit(100.0))))
+
+
+def jitter(score, a, b, seed: int, amount: float = 0.1) -> Column:
+    """X11: add a seeded offset in [-amount, amount) (the reference adds +-0.1 noise).
+
+    Off unless called; the registered queries keep scores exact.
+    """
+    from .hashing import draw
+    score = F.col(score) if isinstance(score, str) else score
+    return score + draw(a, b, seed) * F.lit(2 * amount) - F.lit(amount)

@@ -110,3 +110,33 @@ def node_value_match(a: DataFrame, b: DataFrame, how: str = "left_semi") -> Data
     from ..schemas import NODE_FIELDS
     cond = [a[c].eqNullSafe(b[c]) for c in NODE_FIELDS]
     return a.join(b, cond, how)
+
+
+DENSE_MAX_NODES = 5000
+
+
+def adjacency_dense(node_ids: DataFrame, edges: DataFrame, max_nodes: int = DENSE_MAX_NODES) -> DataFrame:
+    """Dense cost rows ``(node, costs)`` over a caller-supplied node subset.
+
+    ``costs[j]`` is the cost to the j-th node of the subset (ascending ids),
+    NULL for no edge (the reference's +Infinity). Quadratic by nature, so the
+    subset size is checked first; the subset ids (bounded) are the only data
+    shipped with the plan, and no join is needed.
+    """
+    ids = node_ids.select(F.col("id").cast("bigint")).distinct()
+    n = ids.count()
+    if n > max_nodes:
+        raise ValueError(f"dense adjacency over {n} nodes exceeds max_nodes={max_nodes}")
+    order = sorted(r["id"] for r in ids.collect())
+    cols = F.array(*[F.lit(i).cast("bigint") for i in order]) if order else F.array().cast("array<bigint>")
+    inside = edges.where(F.col("src").isin(order) & F.col("dst").isin(order))
+    rows = inside.groupBy(F.col("src").alias("node")).agg(
+        F.map_from_entries(F.collect_list(F.struct("dst", "weight"))).alias("m"))
+    base = ids.withColumnRenamed("id", "node").join(rows, "node", "left")
+    return base.select("node", F.transform(cols, lambda j: F.when(F.col("m").isNotNull(), F.col("m")[j]))
+                       .alias("costs"))
+
+
+def usable_edges(edges: DataFrame) -> DataFrame:
+    """Edges a walker may take: finite cost and not a self loop."""
+    return edges.where(F.col("weight").isNotNull() & (F.col("src") != F.col("dst")))

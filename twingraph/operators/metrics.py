@@ -159,3 +159,16 @@ def pair_report(rows: DataFrame) -> DataFrame:
         rtl.cast("bigint").alias("rtl"), st["acc"].alias("acc"), st["vpr"].alias("vpr"), st["btlr"].alias("btlr"),
         F.when(tp + fp != 0, tp / (tp + fp) * F.lit(100.0)).alias("precision"),
         F.when(tp + fn != 0, tp / (tp + fn) * F.lit(100.0)).alias("recall"))
+
+
+def score_text(running: DataFrame) -> DataFrame:
+    """The text block printed per scored pair (verdict, precision, recall, F1)."""
+    f1 = S.f1(F.col("tp_run"), F.col("fp_run"), F.lit(0))
+
+    def txt(c):
+        return F.coalesce(c.cast("string"), F.lit("NaN"))
+
+    return running.select(
+        "o_id", "p_id",
+        F.concat(F.col("verdict"), F.lit(" \nPrecision: "), txt(F.col("precision")),
+                 F.lit("\nRecall: "), txt(F.col("recall")), F.lit("\nF1-Score: "), txt(f1)).alias("text"))

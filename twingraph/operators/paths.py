@@ -29,6 +29,7 @@ def bfs(sources: DataFrame, edges: DataFrame, max_levels: int | None = None) ->
     ends at; ``parent`` is the smallest-id neighbour one level closer.
     """
     und = cut_lineage(undirected(edges))
+    sources = cut_lineage(sources.select("node"))
     level0 = sources.select(
         "node", F.lit(0).cast("bigint").alias("hops"), F.col("node").alias("target"),
         F.lit(None).cast("bigint").alias("parent"), F.array(F.col("node")).alias("path")).distinct()

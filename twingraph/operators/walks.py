@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.hashing import draw, mix
-from .graph import successors, walk_start
+from .graph import successors, usable_edges, walk_start
 from .kernel import cut_lineage
 
 BROADCAST_FRONTIER_MAX = 2_000_000
-BROADCAST_STEPS = False  # co-partitioned shuffle of the frontier is cheaper per step
+BROADCAST_STEPS = True  # frontier <= n_walks rows: broadcast it, stream the neighbour table
 CUT_EVERY = 8
 
 
@@ -31,6 +31,7 @@ def neighbour_table(edges: DataFrame) -> DataFrame:
     sink "moves" onto itself, so every step is one inner join that keeps all
     walks and the plan stays a linear chain.
     """
+    edges = usable_edges(edges)  # idempotent; callers may pass raw edges
     succ = successors(edges)
     deg = edges.groupBy(F.col("src").alias("nbr")).agg(F.count(F.lit(1)).alias("nbr_deg"))
     rows = (succ.join(deg, "nbr", "left")
@@ -55,6 +56,9 @@ def random_walks(spark: SparkSession, edges: DataFrame, n_walks: int = C.N_WALKS
     """
     if max_steps < 1:
         raise ValueError("max_steps must be >= 1")
+    # The edge table feeds several jobs below (ranking, degrees, start node):
+    # derive it once and read the written copy from then on.
+    edges = cut_lineage(usable_edges(edges))
     n_part = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Reliable copy, then hash-partitioned on the join key and kept in memory:
     # every step shuffles only the frontier, never the neighbour table.

@@ -659,3 +659,19 @@ oracle("q_moves_per_window", with_ctes(f"""
 SELECT CAST(epoch(time_bucket(INTERVAL {C.WINDOW_MINUTES} MINUTES, ts)) AS BIGINT) AS window_start,
        lower("user") AS "user", count(*) AS n
 FROM moves GROUP BY ALL""", graph=False, moves=True))
+
+_F1_RUN = (f"CASE WHEN tp_run + fp_run = 0 THEN NULL ELSE {dlit(2.0)} * ((CAST(tp_run AS DOUBLE) / (tp_run + fp_run)) "
+           f"* (CASE WHEN tp_run <> 0 THEN CAST(tp_run AS DOUBLE) / tp_run END)) / "
+           f"((CAST(tp_run AS DOUBLE) / (tp_run + fp_run)) + (CASE WHEN tp_run <> 0 THEN CAST(tp_run AS DOUBLE) / tp_run END)) END")
+oracle("q_score_text", with_ctes(f"""
+SELECT o_id, p_id,
+       {VERDICT} || ' \nPrecision: ' || coalesce(CAST(precision AS VARCHAR), 'NaN')
+       || '\nRecall: ' || coalesce(CAST(recall AS VARCHAR), 'NaN')
+       || '\nF1-Score: ' || coalesce(CAST(
+            CASE WHEN (CASE WHEN tp_run + fp_run <> 0 THEN CAST(tp_run AS DOUBLE) / (tp_run + fp_run) END)
+                    + (CASE WHEN tp_run <> 0 THEN CAST(tp_run AS DOUBLE) / tp_run END) = 0 THEN {dlit(0.0)}
+                 ELSE {dlit(2.0)} * ((CASE WHEN tp_run + fp_run <> 0 THEN CAST(tp_run AS DOUBLE) / (tp_run + fp_run) END)
+                      * (CASE WHEN tp_run <> 0 THEN CAST(tp_run AS DOUBLE) / tp_run END))
+                      / ((CASE WHEN tp_run + fp_run <> 0 THEN CAST(tp_run AS DOUBLE) / (tp_run + fp_run) END)
+                      + (CASE WHEN tp_run <> 0 THEN CAST(tp_run AS DOUBLE) / tp_run END)) END AS VARCHAR), 'NaN') AS text
+FROM node_verdicts""", NODE_SCORES, NODE_RUNNING))

@@ -475,3 +475,9 @@ def q_moves_per_window(spark, sf_dir):
     """M12 batch twin: moves per player and hour."""
     from ..streaming.replay_stream import moves_per_window
     return moves_per_window(fx.moves(spark, sf_dir), C.WINDOW_MINUTES)
+
+
+@register
+def q_score_text(spark, sf_dir):
+    """One text block per scored node pair."""
+    return M.score_text(M.node_traceability_running(_node_score_rows(_pair(spark, sf_dir))))
