@@ -71,6 +71,6 @@ def test_small_graph_hops(spark):
     nodes = spark.createDataFrame([(i, 0.5, i == 5) for i in range(7)], "id long, stored_value double, valuable_data boolean")
     edges = spark.createDataFrame([(i, i + 1, 1.0) for i in range(5)] + [(0, 4, 1.0)], "src long, dst long, weight double")
     r = {x["id"]: x for x in paths.nearest_valuable(nodes, edges).collect()}
-    assert [r[i]["hops"] for i in range(6)] == [2, 3, 2, 1, 1, 0]
+    assert [r[i]["hops"] for i in range(6)] == [2, 3, 3, 2, 1, 0]
     assert r[6]["hops"] == 2147483647 and r[6]["distance"] is None
     assert r[0]["path"] == "0,4,5" and r[0]["distance"] == 1.0

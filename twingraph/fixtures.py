@@ -8,25 +8,44 @@ integer rules, and the move log from ``events``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import constants as C
-from .operators.kernel import prefix_rank
+from .operators.kernel import cut_lineage, prefix_rank
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-@dataclass
 class GraphPair:
-    o_nodes: DataFrame
-    o_edges: DataFrame
-    p_nodes: DataFrame
-    p_edges: DataFrame
+    """Original and perturbed graph; edge tables are derived on first use.
+
+    Node tables stay lazy (a cheap projection of ``part`` whose filters reach
+    the scan). Edge tables come from a window over all of ``lineitem`` and feed
+    several joins per query, so on first access they are written once to the
+    shared checkpoint folder and every consumer reads that copy.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
+        self._spark, self._dir, self._mat = spark, sf_dir, materialize
+        self.o_nodes = original_nodes(spark, sf_dir)
+        self.p_nodes = perturbed_nodes(self.o_nodes)
+
+    @cached_property
+    def o_edges(self) -> DataFrame:
+        e = original_edges(self._spark, self._dir)
+        return cut_lineage(e) if self._mat else e
+
+    @cached_property
+    def p_edges(self) -> DataFrame:
+        # One scalar (the part count) is needed by the rewiring rule.
+        n_parts = table(self._spark, self._dir, "part").count()
+        e = perturbed_edges(self.o_edges, self.o_nodes, n_parts)
+        return cut_lineage(e) if self._mat else e
 
 
 def original_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,12 +133,8 @@ def perturbed_edges(o_edges: DataFrame, o_nodes: DataFrame, n_parts: int) -> Dat
     return base.unionByName(to_new).unionByName(from_new)
 
 
-def graph_pair(spark: SparkSession, sf_dir: str) -> GraphPair:
-    o_nodes = original_nodes(spark, sf_dir)
-    o_edges = original_edges(spark, sf_dir)
-    # One scalar (the part count) is needed by the rewiring rule.
-    n_parts = table(spark, sf_dir, "part").count()
-    return GraphPair(o_nodes, o_edges, perturbed_nodes(o_nodes), perturbed_edges(o_edges, o_nodes, n_parts))
+def graph_pair(spark: SparkSession, sf_dir: str, materialize: bool = True) -> GraphPair:
+    return GraphPair(spark, sf_dir, materialize)
 
 
 # ---------------------------------------------------------------------------

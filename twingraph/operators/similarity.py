@@ -256,6 +256,8 @@ def best_match_exact(o_nodes: DataFrame, p_nodes: DataFrame, min_points: int = C
     found = []
     for i, t in enumerate(steps):
         best = best_match(candidate_pairs(o_nodes, rest, t))
+        if i < len(steps) - 1:
+            best = cut_lineage(best)  # at most one row per perturbed node; read twice below
         found.append(best)
         if i < len(steps) - 1:
             # Written once: every branch of the next join reads it.
