@@ -122,3 +122,22 @@ def test_csv_sinks_round_trip(spark, tmp_dir):
     assert dirs == ["shard_id=0", "shard_id=1", "shard_id=2"]
     sizes = {r["shard_id"]: r["count"] for r in sharded.groupBy("shard_id").count().collect()}
     assert sizes == {0: 10, 1: 10, 2: 9}
+
+
+def test_parquet_graph_round_trip(spark, tmp_dir):
+    from twingraph import fixtures as fx
+    from .conftest import SF_SMALL
+    g = fx.graph_pair(spark, SF_SMALL)
+    readers.write_graph(g.p_nodes, g.p_edges, os.path.join(tmp_dir, "g"))
+    nodes, edges = readers.read_graph(spark, os.path.join(tmp_dir, "g"))
+    assert nodes.exceptAll(g.p_nodes).count() == 0 and nodes.count() == g.p_nodes.count()
+    assert edges.exceptAll(g.p_edges.select("src", "dst", "weight")).count() == 0
+
+
+def test_read_pairs_by_name(spark, tmp_dir):
+    p = _write(tmp_dir, "pairs.csv",
+               "1,2,3,1,5,6,7,8,0.5,true, 1,2,3,1,5,6,7,8,0.25,false\n"
+               "2,2,3,1,5,6,7,8,0.5,false, 9,2,3,1,5,6,7,8,0.75,true\n")
+    df = codecs.read_pairs(spark, p)
+    rows = {r["o_id"]: r for r in df.collect()}
+    assert rows[1]["p_stored_value"] == 0.25 and rows[2]["p_id"] == 9 and rows[2]["p_valuable_data"] is True

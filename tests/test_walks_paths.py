@@ -74,3 +74,21 @@ def test_small_graph_hops(spark):
     assert [r[i]["hops"] for i in range(6)] == [2, 3, 3, 2, 1, 0]
     assert r[6]["hops"] == 2147483647 and r[6]["distance"] is None
     assert r[0]["path"] == "0,4,5" and r[0]["distance"] == 1.0
+
+
+def test_dense_adjacency_bounded(spark):
+    e = spark.createDataFrame([(1, 2, 4.0), (2, 3, 1.0), (3, 1, 2.5)], "src long, dst long, weight double")
+    ids = spark.createDataFrame([(1,), (2,), (3,)], "id long")
+    rows = {r["node"]: r["costs"] for r in graph.adjacency_dense(ids, e).collect()}
+    assert rows == {1: [None, 4.0, None], 2: [None, None, 1.0], 3: [2.5, None, None]}
+    with pytest.raises(ValueError):
+        graph.adjacency_dense(ids, e, max_nodes=2)
+
+
+def test_jitter_is_seeded_and_bounded(spark):
+    from twingraph.functions import scores as S
+    df = spark.range(0, 1000).select(F.col("id"), S.jitter(F.lit(0.5), "id", F.lit(1), 42).alias("j"))
+    lo, hi = df.agg(F.min("j"), F.max("j")).first()
+    assert 0.4 <= lo < 0.45 and 0.55 < hi < 0.6
+    again = spark.range(0, 1000).select(F.col("id"), S.jitter(F.lit(0.5), "id", F.lit(1), 42).alias("j"))
+    assert df.exceptAll(again).count() == 0
