@@ -15,7 +15,7 @@ def _data(spark):
 
 def test_prefix_rank_hot_group(spark):
     df = _data(spark)
-    got = prefix_rank(df, ["g"], ["k"], out="rn")
+    got = prefix_rank(df, ["g"], ["k"], out="rn", hot_rows=5000)  # group 0 (10k rows) takes the block path
     exp = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("k")) - 1)
     assert got.select("g", "k", "rn").exceptAll(exp.select("g", "k", "rn")).count() == 0
     assert got.count() == df.count()
@@ -23,13 +23,13 @@ def test_prefix_rank_hot_group(spark):
 
 def test_prefix_rank_global(spark):
     df = _data(spark).select("k").distinct()
-    got = prefix_rank(df, [], ["k"], out="rn")
+    got = prefix_rank(df, [], ["k"], out="rn", hot_rows=1000)
     assert got.agg(F.min("rn"), F.max("rn"), F.countDistinct("rn")).first() == (0, df.count() - 1, df.count())
 
 
 def test_prefix_sum_matches_window(spark):
     df = _data(spark)
-    got = prefix_sum(df, ["g"], ["k"], {"s": "v"})
+    got = prefix_sum(df, ["g"], ["k"], {"s": "v"}, hot_rows=5000)
     w = Window.partitionBy("g").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     exp = df.withColumn("s", F.sum("v").over(w))
     assert got.select("g", "k", "s").exceptAll(exp.select("g", "k", "s")).count() == 0
@@ -37,8 +37,17 @@ def test_prefix_sum_matches_window(spark):
 
 def test_rows_never_meet_in_one_partition(spark):
     """Only the per-block slice totals (at most 64 rows) may be gathered in one partition."""
-    plan = prefix_rank(_data(spark), [], ["k"], out="rn")._jdf.queryExecution().executedPlan().toString()
+    plan = prefix_rank(_data(spark), [], ["k"], out="rn", hot_rows=1000)._jdf.queryExecution().executedPlan().toString()
     lines = plan.splitlines()
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
             assert "HashAggregate" in lines[i + 1] and "_n#" in lines[i + 1], lines[i + 1]
+
+
+def test_with_next_hot_group_equals_lead(spark):
+    from twingraph.operators.kernel import with_next
+    df = _data(spark)
+    got = with_next(df, ["g"], ["k"], "v", "nv", hot_rows=5000)
+    exp = df.withColumn("nv", F.lead("v").over(Window.partitionBy("g").orderBy("k")))
+    assert got.count() == df.count()
+    assert got.select("g", "k", "v", "nv").exceptAll(exp.select("g", "k", "v", "nv")).count() == 0

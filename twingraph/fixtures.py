@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import constants as C
-from .operators.kernel import cut_lineage, prefix_rank
+from .operators.kernel import cut_lineage, prefix_rank, with_next
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,19 +66,20 @@ def original_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def original_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Consecutive parts of every order, one weighted edge per ordered pair."""
+    """Consecutive parts of every order, one weighted edge per ordered pair.
+
+    The next line of an order comes from :func:`with_next`: a ``lead`` window
+    for ordinary orders, a skew-safe numbered self-join for an order holding
+    a huge share of the lines. Lines tied on the whole sort key are identical
+    in every column used, so the edges do not depend on how ties are broken.
+    """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice")
-    w = Window.partitionBy("l_orderkey").orderBy(
-        "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
-    raw = li.select(
-        F.col("l_partkey").alias("src"),
-        F.lead("l_partkey").over(w).alias("dst"),
-        (F.col("l_quantity").cast("bigint") % 9 + 1).alias("w"),
-    )
-    return (raw.where(F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
-            .groupBy("src", "dst")
-            .agg(F.min("w").cast("double").alias("weight")))
+    raw = with_next(li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"],
+                    "l_partkey", "dst")
+    return (raw.where(F.col("dst").isNotNull() & (F.col("l_partkey") != F.col("dst")))
+            .groupBy(F.col("l_partkey").alias("src"), "dst")
+            .agg(F.min(F.col("l_quantity").cast("bigint") % 9 + 1).cast("double").alias("weight")))
 
 
 def _dropped(idcol):

@@ -1,11 +1,12 @@
 """Shared DataFrame algorithms: skew-safe ranking and lineage cuts.
 
 ``prefix_rank`` / ``prefix_sum`` number or accumulate rows inside a group
-without ever sending a whole group to one task: rows are cut into
-order-preserving blocks of the first order column, numbered inside each
-(group, block) slice, and each slice receives the totals of the same
-group's earlier blocks as an offset. A group holding a third of all rows is
-therefore spread over many tasks.
+without ever sending a huge group to one task. Groups up to ``HOT_ROWS`` rows
+use a plain window; larger ones (found by a partial count, at most
+rows / HOT_ROWS of them) are cut into order-preserving blocks of the first
+order column, numbered inside each (group, block) slice, and each slice
+receives the totals of the same group's earlier blocks as an offset. A group
+holding a third of all rows is therefore spread over many tasks.
 """
 
 from __future__ import annotations
@@ -50,61 +51,124 @@ def _block_column(df: DataFrame, order_col: str, n_blocks: int) -> Column:
     return block
 
 
-def _prepare(df: DataFrame, group_cols: list[str], order_cols: list[str], partitions: int | None):
-    groups = list(group_cols) or ["_g"]
-    base = df if group_cols else df.withColumn("_g", F.lit(0))
+HOT_ROWS = 1_000_000  # a group up to this size is ranked by one task
+
+
+def _split_hot(df: DataFrame, groups: list[str], hot_rows: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """Split ``df`` into rows of ordinary groups and rows of groups above ``hot_rows``.
+
+    The hot-group list has at most ``rows / hot_rows`` entries, a proven bound,
+    so it is broadcast and the split costs no shuffle of ``df``.
+    """
+    counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_cnt"))
+    hot = counts.where(F.col("_cnt") > hot_rows).select(*groups)
+    if hot.isEmpty():
+        return df, None
+    if groups == ["_g"]:  # one global group, and it is hot
+        return None, df
+    flagged = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), groups, "left")
+    return (flagged.where(F.col("_hot").isNull()).drop("_hot"),
+            flagged.where(F.col("_hot")).drop("_hot"))
+
+
+def _prepare(df: DataFrame, groups: list[str], order_cols: list[str], partitions: int | None):
     n = _num_partitions(df, partitions)
-    base = base.withColumn("_blk", _block_column(base, order_cols[0], n))
-    return base, groups
+    return df.withColumn("_blk", _block_column(df, order_cols[0], n))
 
 
 def prefix_rank(df: DataFrame, group_cols: list[str], order_cols: list[str], out: str = "rn",
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``out``: 0-based position of each row inside its group.
 
-    Rows are split into (group, block) slices, blocks being order-preserving
-    ranges of the first order column; each slice is numbered by a window and
-    shifted by the sizes of the same group's earlier blocks. A hot group is
-    thus spread over up to 64 tasks. ``group_cols + order_cols`` must
-    identify a row.
+    Ordinary groups are numbered by a window. Groups above ``hot_rows`` are
+    split into (group, block) slices, blocks being order-preserving ranges of
+    the first order column; each slice is numbered by a window and shifted by
+    the sizes of the same group's earlier blocks, so a group holding a third
+    of all rows is spread over up to 64 tasks. ``group_cols + order_cols``
+    must identify a row.
     """
-    base, groups = _prepare(df, group_cols, order_cols, partitions)
-    local = Window.partitionBy(*groups, "_blk").orderBy(*order_cols)
-    ranked = base.withColumn("_lr", F.row_number().over(local) - 1)
-    slices = base.groupBy(*groups, "_blk").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*groups).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select(*groups, "_blk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    res = (ranked.join(offsets, [*groups, "_blk"])
-           .withColumn(out, (F.col("_off") + F.col("_lr")).cast("bigint"))
-           .drop("_blk", "_lr", "_off"))
+    groups = list(group_cols) or ["_g"]
+    base = df if group_cols else df.withColumn("_g", F.lit(0))
+    cold, hot = _split_hot(base, groups, hot_rows)
+    if hot is not None and groups == ["_g"]:
+        cold = None
+    res = None if cold is None else cold.withColumn(out, (F.row_number().over(Window.partitionBy(*groups).orderBy(*order_cols)) - 1)
+                          .cast("bigint"))
+    if hot is not None:
+        hb = _prepare(hot, groups, order_cols, partitions)
+        local = Window.partitionBy(*groups, "_blk").orderBy(*order_cols)
+        ranked = hb.withColumn("_lr", F.row_number().over(local) - 1)
+        slices = hb.groupBy(*groups, "_blk").agg(F.count(F.lit(1)).alias("_n"))
+        before = Window.partitionBy(*groups).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = slices.select(*groups, "_blk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+        hres = (ranked.join(offsets, [*groups, "_blk"])
+                .withColumn(out, (F.col("_off") + F.col("_lr")).cast("bigint"))
+                .drop("_blk", "_lr", "_off"))
+        res = hres if res is None else res.unionByName(hres)
     return res if group_cols else res.drop("_g")
 
 
 def prefix_sum(df: DataFrame, group_cols: list[str], order_cols: list[str], value_cols: dict[str, Column | str],
-               partitions: int | None = None) -> DataFrame:
+               partitions: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Running (inclusive) sums of ``value_cols`` inside each group, skew-safe.
 
-    Same (group, block) scheme as :func:`prefix_rank`.
+    Same scheme as :func:`prefix_rank`: a window for ordinary groups,
+    (group, block) slices plus offsets for groups above ``hot_rows``.
     """
-    base, groups = _prepare(df, group_cols, order_cols, partitions)
+    groups = list(group_cols) or ["_g"]
+    base = df if group_cols else df.withColumn("_g", F.lit(0))
     vals = {k: (F.col(v) if isinstance(v, str) else v) for k, v in value_cols.items()}
     for k, v in vals.items():
         base = base.withColumn(f"_v_{k}", v)
-    local = Window.partitionBy(*groups, "_blk").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = base
-    for k in vals:
-        ranked = ranked.withColumn(f"_l_{k}", F.sum(f"_v_{k}").over(local))
-    slices = base.groupBy(*groups, "_blk").agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in vals])
-    before = Window.partitionBy(*groups).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select(*groups, "_blk", *[
-        F.coalesce(F.sum(f"_t_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in vals])
-    res = ranked.join(offsets, [*groups, "_blk"])
-    for k in vals:
-        res = res.withColumn(k, F.col(f"_o_{k}") + F.col(f"_l_{k}"))
-    res = res.drop("_blk", *[c for k in vals for c in (f"_v_{k}", f"_l_{k}", f"_o_{k}")])
+    cold, hot = _split_hot(base, groups, hot_rows)
+    if hot is not None and groups == ["_g"]:
+        cold = None
+    frame = Window.partitionBy(*groups).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    res = cold
+    if res is not None:
+        for k in vals:
+            res = res.withColumn(k, F.sum(f"_v_{k}").over(frame))
+    if hot is not None:
+        hb = _prepare(hot, groups, order_cols, partitions)
+        local = Window.partitionBy(*groups, "_blk").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+        ranked = hb
+        for k in vals:
+            ranked = ranked.withColumn(f"_l_{k}", F.sum(f"_v_{k}").over(local))
+        slices = hb.groupBy(*groups, "_blk").agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in vals])
+        before = Window.partitionBy(*groups).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = slices.select(*groups, "_blk", *[
+            F.coalesce(F.sum(f"_t_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in vals])
+        hres = ranked.join(offsets, [*groups, "_blk"])
+        for k in vals:
+            hres = hres.withColumn(k, F.col(f"_o_{k}") + F.col(f"_l_{k}"))
+        hres = hres.drop("_blk", *[c for k in vals for c in (f"_l_{k}", f"_o_{k}")])
+        res = hres if res is None else res.unionByName(hres)
+    res = res.drop(*[f"_v_{k}" for k in vals])
     return res if group_cols else res.drop("_g")
 
 
+def with_next(df: DataFrame, group_cols: list[str], order_cols: list[str], value_col: str, out: str,
+              hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Add ``out``: ``value_col`` of the next row of the group in ``order_cols`` order.
+
+    ``lead`` over a window for ordinary groups; rows of groups above
+    ``hot_rows`` are numbered with the block scheme of :func:`prefix_rank`
+    and meet their successor through an equi-join on ``(group, rn + 1)``,
+    which spreads a hot group over many tasks.
+    """
+    cold, hot = _split_hot(df, list(group_cols), hot_rows)
+    res = None
+    if cold is not None:
+        w = Window.partitionBy(*group_cols).orderBy(*order_cols)
+        res = cold.withColumn(out, F.lead(value_col).over(w))
+    if hot is not None:
+        ranked = prefix_rank(hot, group_cols, order_cols, out="_rn", hot_rows=0)
+        nxt = ranked.select(*group_cols, (F.col("_rn") - 1).alias("_rn"), F.col(value_col).alias(out))
+        hres = ranked.join(nxt, [*group_cols, "_rn"], "left").drop("_rn")
+        res = hres if res is None else res.unionByName(hres)
+    return res
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder (reliable checkpoint).
 
