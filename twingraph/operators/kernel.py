@@ -11,6 +11,8 @@ holding a third of all rows is therefore spread over many tasks.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -181,3 +183,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     out = df.checkpoint(eager=True)
     df.unpersist()
     return out
+
+
+@contextmanager
+def session_conf(spark, key: str, value: str):
+    """Temporarily set a runtime SQL conf for a block of small iterative jobs, then restore it."""
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)

@@ -11,13 +11,15 @@ hub's neighbours stay spread over many partitions. The frontier has at most
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.hashing import draw, mix
 from .graph import successors, usable_edges, walk_start
-from .kernel import cut_lineage
+from .kernel import cut_lineage, session_conf
 
 BROADCAST_FRONTIER_MAX = 2_000_000
 BROADCAST_STEPS = True  # frontier <= n_walks rows: broadcast it, stream the neighbour table
@@ -62,7 +64,10 @@ def random_walks(spark: SparkSession, edges: DataFrame, n_walks: int = C.N_WALKS
     n_part = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Reliable copy, then hash-partitioned on the join key and kept in memory:
     # every step shuffles only the frontier, never the neighbour table.
-    nbrs = cut_lineage(neighbour_table(edges)).repartition(n_part, "node", "pos").persist()
+    nbrs = cut_lineage(neighbour_table(edges))
+    if not (BROADCAST_STEPS and n_walks <= BROADCAST_FRONTIER_MAX):
+        nbrs = nbrs.repartition(n_part, "node", "pos")
+    nbrs = nbrs.persist()
     start = start if start is not None else walk_start(edges)
     out_deg = edges.groupBy(F.col("src").alias("start_id")).agg(F.count(F.lit(1)).alias("deg"))
     s = (start.select("start_id").join(out_deg, "start_id", "left")
@@ -74,20 +79,24 @@ def random_walks(spark: SparkSession, edges: DataFrame, n_walks: int = C.N_WALKS
                         F.array(F.col("start_id")).alias("path")))
     frontier = cut_lineage(frontier)
     small = n_walks <= BROADCAST_FRONTIER_MAX
-    for step in range(1, max_steps):
-        pick = frontier.select(
-            "walk_id", F.col("node_id").alias("node"), "path", F.col("deg").alias("_d"),
-            F.when(F.col("deg") > 0, mix("walk_id", F.lit(step), seed) % F.col("deg"))
-            .otherwise(F.lit(0)).cast("bigint").alias("pos"))
-        side = F.broadcast(pick) if small and BROADCAST_STEPS else pick
-        frontier = (side.join(nbrs, ["node", "pos"])
-                    .select("walk_id", F.col("nbr").alias("node_id"), F.col("nbr_deg").alias("deg"),
-                            F.when(F.col("_d") > 0, F.concat("path", F.array(F.col("nbr"))))
-                            .otherwise(F.col("path")).alias("path")))
-        if step % CUT_EVERY == 0:
-            frontier = cut_lineage(frontier)
-            if frontier.where(F.col("deg") > 0).isEmpty():
-                break
+    # Each step is a broadcast join of at most n_walks rows: runtime re-planning
+    # (AQE) has nothing to gain there and costs a re-optimisation per stage.
+    ctx = session_conf(spark, "spark.sql.adaptive.enabled", "false") if small and BROADCAST_STEPS else nullcontext()
+    with ctx:
+        for step in range(1, max_steps):
+            pick = frontier.select(
+                "walk_id", F.col("node_id").alias("node"), "path", F.col("deg").alias("_d"),
+                F.when(F.col("deg") > 0, mix("walk_id", F.lit(step), seed) % F.col("deg"))
+                .otherwise(F.lit(0)).cast("bigint").alias("pos"))
+            side = F.broadcast(pick) if small and BROADCAST_STEPS else pick
+            frontier = (side.join(nbrs, ["node", "pos"])
+                        .select("walk_id", F.col("nbr").alias("node_id"), F.col("nbr_deg").alias("deg"),
+                                F.when(F.col("_d") > 0, F.concat("path", F.array(F.col("nbr"))))
+                                .otherwise(F.col("path")).alias("path")))
+            if step % CUT_EVERY == 0:
+                frontier = cut_lineage(frontier)
+                if frontier.where(F.col("deg") > 0).isEmpty():
+                    break
     result = cut_lineage(frontier.select("walk_id", F.posexplode("path").alias("step", "node_id")).select(
         "walk_id", F.col("step").cast("bigint").alias("step"), "node_id"))
     nbrs.unpersist()
