@@ -93,3 +93,14 @@ def test_windowed_counts_drop_late_rows(spark, tmp_dir):
     # every emitted window equals the batch count; the late rows never appear
     assert closed.exceptAll(batch).count() == 0
     assert closed.count() >= 0.9 * batch.count()
+
+
+def test_chunked_fold_equals_single_pass(spark):
+    """Folding in passes of 7 moves per game gives exactly the single-pass result."""
+    nodes, edges = _board(spark)
+    mv = fx.moves(spark, SF_SMALL)
+    st1, out1 = R.replay(mv, nodes, edges)
+    st7, out7 = R.replay(mv, nodes, edges, chunk_rows=7)
+    assert st1.count() == st7.count()
+    assert st1.exceptAll(st7).count() == 0
+    assert out1.exceptAll(out7).count() == 0

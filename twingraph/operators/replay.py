@@ -22,12 +22,14 @@ is joined onto the move first (M2), so the fold does no lookups.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from .graph import undirected
-from .kernel import prefix_sum
+from .kernel import cut_lineage, prefix_rank, prefix_sum
 
 VERDICTS = ["thief_wins", "policeman_wins", "thief_no_moves", "policeman_no_moves"]
 STATE_TYPE = ("struct<t:bigint,p:bigint,turn:string,verdict:string,"
@@ -107,41 +109,66 @@ def _step(acc, m):
         F.concat(acc["pn"], F.array(p)).alias("pn")).cast(STATE_TYPE)
 
 
-def replay(moves: DataFrame, nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+CHUNK_ROWS = 10_000  # moves folded per game and pass
+
+
+def replay(moves: DataFrame, nodes: DataFrame, edges: DataFrame,
+           chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, DataFrame]:
     """M4: returns ``(statuses, outcomes)``.
 
     statuses: one row per move ``(game_id, seq, round, user, target, status,
     thief_node, police_node)`` (positions after the move); outcomes: one row
     per (game, round) with placement, final verdict and final positions.
+
+    Moves are numbered inside their (game, round) (skew-safe) and cut into
+    chunks of ``chunk_rows``; pass ``c`` folds chunk ``c`` of every game,
+    starting from the state the previous pass left. No array ever holds more
+    than ``chunk_rows`` moves, a long game just takes more passes, and the
+    state between passes is written to the shared checkpoint folder.
     """
     facts = node_facts(nodes, edges)
     mv = with_rounds(moves)
-    enriched = mv.join(facts.withColumnRenamed("node", "target"), "target", "left")
+    mv = prefix_rank(mv, ["game_id", "round"], ["seq"], out="_rn")
+    enriched = (mv.join(facts.withColumnRenamed("node", "target"), "target", "left")
+                .withColumn("_chunk", (F.col("_rn") / F.lit(chunk_rows)).cast("bigint")))
     place = placement(mv, facts)
-    grouped = enriched.groupBy("game_id", "round").agg(
-        F.array_sort(F.collect_list(F.struct(
-            "seq", "user", "target", "nbrs", F.coalesce("sink", F.lit(False)).alias("sink"),
-            F.coalesce("valuable", F.lit(False)).alias("valuable")))).alias("ms"))
-    g = grouped.join(place, ["game_id", "round"])
-    init = F.struct(
-        F.col("thief_start").alias("t"), F.col("police_start").alias("p"), F.lit(C.THIEF).alias("turn"),
-        F.col("placement_verdict").alias("verdict"), F.array().cast("array<string>").alias("st"),
-        F.array().cast("array<bigint>").alias("tn"), F.array().cast("array<bigint>").alias("pn")).cast(STATE_TYPE)
-    folded = g.select("game_id", "round", "thief_start", "police_start", "placement_verdict", "ms",
-                      F.aggregate("ms", init, _step).alias("s"))
-    statuses = folded.select(
-        "game_id", "round",
-        F.explode(F.arrays_zip(F.col("ms"), F.col("s.st"), F.col("s.tn"), F.col("s.pn"))).alias("z")
-    ).select("game_id", F.col("z.ms.seq").alias("seq"), "round", F.col("z.ms.user").alias("user"),
-             F.col("z.ms.target").alias("target"), F.col("z.st").alias("status"),
-             F.col("z.tn").alias("thief_node"), F.col("z.pn").alias("police_node"))
-    outcomes = folded.select(
-        "game_id", "round", "thief_start", "police_start", "placement_verdict",
-        F.coalesce(F.col("s.verdict"), F.lit("open")).alias("outcome"),
-        F.when(F.col("placement_verdict").isNotNull(), F.lit("placement"))
-        .when(F.col("s.verdict").isNotNull(), F.lit("play")).alias("decided_at"),
-        F.col("s.t").alias("thief_node"), F.col("s.p").alias("police_node"),
-        F.size("ms").cast("bigint").alias("n_moves"))
+    n_chunks = (enriched.agg(F.max("_chunk")).first()[0] or 0) + 1
+    state = place.select("game_id", "round", F.col("thief_start").alias("t"), F.col("police_start").alias("p"),
+                         F.lit(C.THIEF).alias("turn"), F.col("placement_verdict").alias("verdict"))
+    parts = []
+    for c in range(n_chunks):
+        rows = enriched.where(F.col("_chunk") == c) if n_chunks > 1 else enriched
+        grouped = rows.groupBy("game_id", "round").agg(
+            F.array_sort(F.collect_list(F.struct(
+                "seq", "user", "target", "nbrs", F.coalesce("sink", F.lit(False)).alias("sink"),
+                F.coalesce("valuable", F.lit(False)).alias("valuable")))).alias("ms"))
+        g = grouped.join(state, ["game_id", "round"])
+        init = F.struct(
+            F.col("t"), F.col("p"), F.col("turn"), F.col("verdict"), F.array().cast("array<string>").alias("st"),
+            F.array().cast("array<bigint>").alias("tn"), F.array().cast("array<bigint>").alias("pn")).cast(STATE_TYPE)
+        folded = g.select("game_id", "round", "ms", F.aggregate("ms", init, _step).alias("s"))
+        if n_chunks > 1:
+            folded = cut_lineage(folded)
+        parts.append(folded.select(
+            "game_id", "round",
+            F.explode(F.arrays_zip(F.col("ms"), F.col("s.st"), F.col("s.tn"), F.col("s.pn"))).alias("z")
+        ).select("game_id", F.col("z.ms.seq").alias("seq"), "round", F.col("z.ms.user").alias("user"),
+                 F.col("z.ms.target").alias("target"), F.col("z.st").alias("status"),
+                 F.col("z.tn").alias("thief_node"), F.col("z.pn").alias("police_node")))
+        moved = folded.select("game_id", "round", F.col("s.t").alias("t"), F.col("s.p").alias("p"),
+                              F.col("s.turn").alias("turn"), F.col("s.verdict").alias("verdict"))
+        # Games with no move in this chunk keep their state.
+        state = state.join(moved.select("game_id", "round"), ["game_id", "round"], "left_anti").unionByName(moved)
+        if n_chunks > 1:
+            state = cut_lineage(state)
+    statuses = reduce(DataFrame.unionByName, parts)
+    counts = mv.groupBy("game_id", "round").agg(F.count(F.lit(1)).cast("bigint").alias("n_moves"))
+    outcomes = (place.join(state, ["game_id", "round"]).join(counts, ["game_id", "round"])
+                .select("game_id", "round", "thief_start", "police_start", "placement_verdict",
+                        F.coalesce(F.col("verdict"), F.lit("open")).alias("outcome"),
+                        F.when(F.col("placement_verdict").isNotNull(), F.lit("placement"))
+                        .when(F.col("verdict").isNotNull(), F.lit("play")).alias("decided_at"),
+                        F.col("t").alias("thief_node"), F.col("p").alias("police_node"), "n_moves"))
     return statuses, outcomes
 
 
