@@ -39,3 +39,11 @@ def test_best_match_ladder_equals_plain(graphs):
     b = sim.best_match(_brute(graphs, 41))
     assert a.count() == b.count()
     assert a.exceptAll(b).count() == 0
+
+
+def test_top_k_ranks(graphs):
+    cand = sim.candidate_pairs(graphs.o_nodes, graphs.p_nodes, 41)
+    top2 = sim.best_match(cand, top_k=2)
+    top1 = sim.best_match(cand, top_k=1)
+    assert top2.where("rank = 1").select("p_id", "o_id", "pts", "score").exceptAll(top1).count() == 0
+    assert top2.groupBy("p_id").count().agg(F.max("count")).first()[0] <= 2

@@ -110,6 +110,14 @@ def _step(acc, m):
 
 
 CHUNK_ROWS = 10_000  # moves folded per game and pass
+BOARD_MAX_NODES = 100_000  # neighbour lists of board nodes travel with each move
+
+
+def check_board(facts: DataFrame) -> None:
+    """The board's neighbour lists are attached to moves, so its size must be bounded."""
+    n = facts.count()
+    if n > BOARD_MAX_NODES:
+        raise ValueError(f"board has {n} nodes; the replay accepts at most {BOARD_MAX_NODES}")
 
 
 def replay(moves: DataFrame, nodes: DataFrame, edges: DataFrame,
@@ -127,6 +135,7 @@ def replay(moves: DataFrame, nodes: DataFrame, edges: DataFrame,
     state between passes is written to the shared checkpoint folder.
     """
     facts = node_facts(nodes, edges)
+    check_board(facts)
     mv = with_rounds(moves)
     mv = prefix_rank(mv, ["game_id", "round"], ["seq"], out="_rn")
     enriched = (mv.join(facts.withColumnRenamed("node", "target"), "target", "left")

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions import scores as S
 from ..schemas import NODE_FIELDS, NODE_PROPS
-from .kernel import cut_lineage
+from .kernel import cut_lineage, prefix_rank
 
 
 def prefixed(nodes: DataFrame, prefix: str) -> DataFrame:
@@ -226,17 +226,17 @@ def best_match(cands: DataFrame, top_k: int = 1) -> DataFrame:
     """Best original per perturbed node (highest points, ties: smallest id).
 
     ``top_k = 1`` is a partial ``max`` aggregate (map-side combine, no
-    whole group in one task); larger ``k`` keeps the k best with a bounded
-    ``max_by``-style array per group.
+    whole group in one task); larger ``k`` ranks candidates with the
+    skew-safe :func:`prefix_rank` and keeps the first k.
     """
     if top_k == 1:
         best = cands.groupBy("p_id").agg(F.max(F.struct("pts", (-F.col("o_id")).alias("neg"))).alias("b"))
         return best.select("p_id", (-F.col("b.neg")).alias("o_id"), F.col("b.pts").alias("pts"),
                            S.rounded(S.points_score(F.col("b.pts"))).alias("score"))
-    from pyspark.sql import Window
-    w = Window.partitionBy("p_id").orderBy(F.desc("pts"), "o_id")
-    return (cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_k)
-            .select("p_id", "o_id", "pts", S.rounded(S.points_score("pts")).alias("score"), "rank"))
+    ranked = prefix_rank(cands.withColumn("_neg", -F.col("pts")), ["p_id"], ["_neg", "o_id"], out="_r")
+    return (ranked.where(F.col("_r") < top_k)
+            .select("p_id", "o_id", "pts", S.rounded(S.points_score("pts")).alias("score"),
+                    (F.col("_r") + 1).alias("rank")))
 
 
 LADDER = (69,)

@@ -23,9 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import constants as C
-from ..operators.replay import RESTART, VERDICTS, node_facts
+from ..operators.replay import BOARD_MAX_NODES, RESTART, VERDICTS, node_facts
 
-BOARD_MAX_NODES = 100_000  # the board is shipped to the tasks; its size is checked
 
 OUT_SCHEMA = ("game_id long, seq long, round long, user string, target long, status string, "
               "thief_node long, police_node long")
