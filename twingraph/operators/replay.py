@@ -137,11 +137,14 @@ def replay(moves: DataFrame, nodes: DataFrame, edges: DataFrame,
     facts = node_facts(nodes, edges)
     check_board(facts)
     mv = with_rounds(moves)
-    mv = prefix_rank(mv, ["game_id", "round"], ["seq"], out="_rn")
-    enriched = (mv.join(facts.withColumnRenamed("node", "target"), "target", "left")
-                .withColumn("_chunk", (F.col("_rn") / F.lit(chunk_rows)).cast("bigint")))
+    # Longest (game, round): one partial aggregate decides how many passes are needed.
+    longest = mv.groupBy("game_id", "round").count().agg(F.max("count")).first()[0] or 0
+    n_chunks = max(1, -(-longest // chunk_rows))
+    if n_chunks > 1:
+        mv = prefix_rank(mv, ["game_id", "round"], ["seq"], out="_rn")
+        mv = mv.withColumn("_chunk", (F.col("_rn") / F.lit(chunk_rows)).cast("bigint"))
+    enriched = mv.join(facts.withColumnRenamed("node", "target"), "target", "left")
     place = placement(mv, facts)
-    n_chunks = (enriched.agg(F.max("_chunk")).first()[0] or 0) + 1
     state = place.select("game_id", "round", F.col("thief_start").alias("t"), F.col("police_start").alias("p"),
                          F.lit(C.THIEF).alias("turn"), F.col("placement_verdict").alias("verdict"))
     parts = []
