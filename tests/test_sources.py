@@ -141,3 +141,25 @@ def test_read_pairs_by_name(spark, tmp_dir):
     df = codecs.read_pairs(spark, p)
     rows = {r["o_id"]: r for r in df.collect()}
     assert rows[1]["p_stored_value"] == 0.25 and rows[2]["p_id"] == 9 and rows[2]["p_valuable_data"] is True
+
+
+def test_pair_and_status_writers(spark, tmp_dir):
+    from twingraph import fixtures as fx
+    from twingraph.operators import similarity as sim
+    from .conftest import SF_SMALL
+    g = fx.graph_pair(spark, SF_SMALL)
+    pairs = sim.pairs_by_id(g.o_nodes, g.p_nodes, "full_outer")
+    sinks.write_node_pairs_csv(pairs, os.path.join(tmp_dir, "k2"))
+    k2 = spark.read.option("header", True).csv(os.path.join(tmp_dir, "k2"))
+    assert k2.columns == sinks.PAIR18 and k2.count() == pairs.count()
+    ep = sim.edge_pairs(g.o_edges, g.p_edges)
+    sinks.write_edge_pairs_csv(ep, os.path.join(tmp_dir, "k3"))
+    k3 = spark.read.option("header", True).csv(os.path.join(tmp_dir, "k3"))
+    assert k3.columns == sinks.EDGE_PAIR6 and k3.count() == ep.count()
+    assert k3.where("o_src IS NULL AND p_src IS NULL").count() == 0
+    status = spark.createDataFrame([(1, "thief", 3, "2,4", 2, 1.5, "3,4,13", 0.5, 7)],
+                                   "game_id long, role string, node long, adjacent string, hops long, "
+                                   "distance double, path string, confidence double, n_moves long")
+    sinks.write_status_json(status, os.path.join(tmp_dir, "k10"))
+    doc = spark.read.json(os.path.join(tmp_dir, "k10")).first()
+    assert doc["status"]["path"] == "3,4,13" and doc["status"]["n_moves"] == 7
