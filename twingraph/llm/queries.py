@@ -111,8 +111,8 @@ OP3_SQL = """
 WITH RECURSIVE ok AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 pair AS (
   SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b
     ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
@@ -139,7 +139,7 @@ SELECT page_id, url, trim(regexp_replace(h, '\s+', ' ', 'g')) AS text,
 OP6_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id,
-         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 words AS (SELECT rid, unnest(generate_series(1, len(w))) AS i, unnest(w) AS word FROM d),
 win AS (
   SELECT rid, i, string_agg(word, ' ') OVER f AS k, count(*) OVER f AS c, word FROM words
@@ -173,8 +173,8 @@ FROM s GROUP BY conv_id
 
 OP8_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS q FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 p AS (
   SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
   FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
