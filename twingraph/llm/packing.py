@@ -13,13 +13,12 @@ they meet the rest of other problems.
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Iterator
-from itertools import chain, islice
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +28,8 @@ from .common import materialise, positive_partitions, small_batches, spans_gathe
 
 LENGTH = 2048
 END_ID = 0
-UNITS_KEPT = 400_000
+SPLITS_KEPT = 500_000  # splits that a worker remembers
+BATCH_BYTES = 8 << 20
 
 PROBLEM = 4096      # pieces of a problem, on average
 ISLANDS = 2
@@ -40,39 +40,11 @@ OFFSPRING = 4       # crossovers of an island in an epoch
 FULL = 0.998        # fill of a bin that is final before the last round
 
 
-class _Numbers(dict):
-    """Numbers new keys in the order in which they come."""
-
-    def __missing__(self, key):
-        n = self[key] = len(self)
-        return n
-
-
-class _Table:
-    """Lists of ids by number, kept flat."""
-
-    def __init__(self, dtype):
-        self.number, self.flat = _Numbers(), np.zeros(0, dtype)
-        self.lens = self.starts = np.zeros(0, np.int64)
-
-    def new(self) -> list:
-        return list(islice(self.number, len(self.lens), None))
-
-    def add(self, flat: np.ndarray, lens: np.ndarray) -> None:
-        self.flat = np.concatenate((self.flat, flat.astype(self.flat.dtype)))
-        self.lens = np.concatenate((self.lens, lens))
-        self.starts = np.cumsum(self.lens) - self.lens
-
-    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        lens = self.lens[numbers]
-        return self.flat[spans_gather(self.starts[numbers], lens)], lens
-
-
-# Words of these characters alone: none is white space or combines with a neighbour,
-# so many of them are normalised as one string.
-PLAIN = re.compile("[!-~\u00a1-\u02af\u0400-\u0482\u048a-\u04ff]+")
+# Words of these characters alone: none is white space, combines with a neighbour or has
+# another lower case than its letter's own, so they are lower-cased and split in bulk.
+PLAIN = r"^[!-~\x{00a1}-\x{012f}\x{0131}-\x{02af}\x{0400}-\x{0482}\x{048a}-\x{04ff}]+$"
 # The file's own split pattern (fixed value).
-SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+SPLIT = r"('s|'t|'re|'ve|'m|'ll|'d|\pL+|\pN|[^\s\pL\pN]+)"
 
 
 def _byte_letters() -> dict[int, int]:
@@ -85,9 +57,9 @@ def _byte_letters() -> dict[int, int]:
 class WordEncoder:
     """Token ids of texts by a ``tokenizers`` file that splits at white space.
 
-    Words between ASCII white space are encoded once while they are remembered, and
-    so are the splits of the file's pattern: new splits go through the file's merges
-    together. Words outside ``PLAIN`` go through the whole tokenizer one by one.
+    The distinct words of a batch are lower-cased and split by the file's pattern; the
+    distinct splits go through the file's merges together, once while they are
+    remembered. Words outside ``PLAIN`` go through the whole tokenizer one by one.
     """
 
     def __init__(self, raw: str):
@@ -99,47 +71,70 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.words, self.splits = _Table(np.uint32), _Table(np.uint32)
-
-    def _learn(self) -> None:
-        new = b" ".join(self.words.new()).decode("utf-8", "replace").split(" ")
-        if len(self.words.number) == len(self.words.lens):
-            return
-        odd = {i: self.tok.encode(w, add_special_tokens=False).ids for i, w in enumerate(new)
-               if not (w.isascii() and w.isprintable() or PLAIN.fullmatch(w))}
-        plain = " ".join([w for i, w in enumerate(new) if i not in odd] if odd else new)
-        # The file's normaliser composes and lower-cases; in ASCII only the latter does anything.
-        normal = (plain.lower() if plain.isascii() else self.tok.normalizer.normalize_str(plain)).split(" ") if plain else []
-        found = [(w,) if w.isalpha() else SPLIT.findall(w) for w in normal]
-        of = np.fromiter(map(self.splits.number.__getitem__, chain.from_iterable(found)), np.int64)
-        fresh = self.splits.new()
-        if fresh:
-            text = " ".join(fresh).encode().decode("latin-1").translate(self.letters)
-            done = self.model.encode(text, add_special_tokens=False)
-            self.splits.add(np.array(done.ids, np.uint32), np.bincount(np.array(done.word_ids, np.int64), minlength=len(fresh)))
-        ids, per_split = self.splits.gather(of)
-        ends = np.concatenate(([0], np.cumsum(per_split)))[np.cumsum([0, *map(len, found)])]
-        lens = np.zeros(len(new), np.int64)
-        is_odd = np.zeros(len(new), bool)
-        is_odd[list(odd)] = True
-        lens[~is_odd] = np.diff(ends)
-        if odd:
-            lens[is_odd] = [len(odd[i]) for i in sorted(odd)]
-            pool = np.concatenate((ids, np.array([x for i in sorted(odd) for x in odd[i]], np.uint32)))
-            starts = np.zeros(len(new), np.int64)
-            starts[~is_odd] = ends[:-1]
-            starts[is_odd] = len(ids) + np.cumsum(lens[is_odd]) - lens[is_odd]
-            ids = pool[spans_gather(starts, lens)]
-        self.words.add(ids, lens)
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text; the tokenizer's pre-tokens never cross ASCII white space."""
-        if len(self.words.number) + len(self.splits.number) > 2 * UNITS_KEPT:
+        """No split is known; the known ones' ids lie flat, in the order of ``known``."""
+        self.known = pa.array([], pa.large_string())
+        self.flat, self.lens = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def _learn(self, splits: pa.Array) -> None:
+        plain = np.asarray(pc.string_is_ascii(splits))
+        splits = pa.concat_arrays([splits.filter(pa.array(plain)), splits.filter(pa.array(~plain))])
+        ascii_part = splits.slice(0, int(plain.sum())).to_pylist()
+        other = " ".join(splits.slice(len(ascii_part)).to_pylist()).encode().decode("latin-1").translate(self.letters)
+        done = self.model.encode(" ".join([*ascii_part, other] if other else ascii_part), add_special_tokens=False)
+        self.known = pa.concat_arrays([self.known, splits])
+        self.flat = np.concatenate((self.flat, np.array(done.ids, np.uint32)))
+        self.lens = np.concatenate((self.lens, np.bincount(np.array(done.word_ids, np.int64), minlength=len(splits))))
+
+    def _numbers(self, splits: pa.Array) -> np.ndarray:
+        """Places of the splits among the known ones; new ones are learned."""
+        coded = splits.dictionary_encode()
+        at = pc.index_in(coded.dictionary, value_set=self.known)
+        if at.null_count:
+            self._learn(coded.dictionary.filter(at.is_null()))
+            at = pc.index_in(coded.dictionary, value_set=self.known)
+        return at.to_numpy(zero_copy_only=False).astype(np.int64)[coded.indices.to_numpy()]
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words, concatenated, and their number for each word."""
+        plain = np.asarray(pc.match_substring_regex(words, PLAIN))
+        lower = pc.utf8_lower(words.filter(pa.array(plain)))
+        whole = np.asarray(pc.utf8_is_alpha(lower))  # one split
+        parts = pc.ascii_split_whitespace(pc.utf8_rtrim_whitespace(
+            pc.replace_substring_regex(lower.filter(pa.array(~whole)), SPLIT, r"\1 ")))
+        splits = pa.concat_arrays([lower.filter(pa.array(whole)), parts.flatten()])
+        number = self._numbers(splits)
+        lens = self.lens[number]
+        ids = self.flat[spans_gather((np.cumsum(self.lens) - self.lens)[number], lens)]
+        n, running = int(whole.sum()), np.concatenate(([0], np.cumsum(lens)))
+        ends = running[n + np.concatenate(([0], np.cumsum(np.asarray(pc.list_value_length(parts), np.int64))))]
+        size, start = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        one, some = np.flatnonzero(plain)[whole], np.flatnonzero(plain)[~whole]
+        size[one], start[one] = lens[:n], running[:n]
+        size[some], start[some] = np.diff(ends), ends[:-1]
+        if not plain.all():
+            alone = [self.tok.encode(w, add_special_tokens=False).ids for w in words.filter(pa.array(~plain)).to_pylist()]
+            size[~plain] = [len(x) for x in alone]
+            start[~plain] = len(ids) + np.cumsum(size[~plain]) - size[~plain]
+            ids = np.concatenate((ids, np.array([x for a in alone for x in a], np.uint32)))
+        return ids[spans_gather(start, size)], size
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, concatenated, and offsets by text; pre-tokens never cross ASCII white space."""
+        if len(self.known) > SPLITS_KEPT:
             self._forget()
-        number = self.words.number.__getitem__
-        rows = [np.fromiter(map(number, (t or "").encode("utf-8", "replace").split()), np.int64) for t in texts]
-        self._learn()
-        return [self.words.gather(r)[0] for r in rows]
+        split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+        coded = split.flatten().dictionary_encode()  # may hold an empty string, which has no ids
+        ids, lens = self._words(coded.dictionary)
+        at = coded.indices.to_numpy()
+        out = ids[spans_gather((np.cumsum(lens) - lens)[at], lens[at])]
+        per_text = np.asarray(pc.list_value_length(split), np.int64)
+        return out, np.concatenate(([0], np.cumsum(lens[at])))[np.concatenate(([0], np.cumsum(per_text)))]
+
+
+@lru_cache(maxsize=2)
+def encoder(raw: str) -> WordEncoder:
+    """One encoder for a Python worker, so that its tasks share the words that it remembers."""
+    return WordEncoder(raw)
 
 
 def pieces(df: DataFrame, tokenizer_path: str, length: int = LENGTH, end_id: int = END_ID, doc_id: str = "doc_id",
@@ -157,12 +152,13 @@ def pieces(df: DataFrame, tokenizer_path: str, length: int = LENGTH, end_id: int
                            T.StructField("ids", T.BinaryType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordEncoder(raw.value)
+        coder = encoder(raw.value)
         for big in batches:
-            for b in small_batches(big, "_text", 4 << 20):
+            for b in small_batches(big, "_text", BATCH_BYTES):
                 at, piece, start, size, data = [], [], [], [], []
-                for row, ids in enumerate(coder.encode(b.column("_text").to_pylist())):
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                flat, off = coder.encode(b.column("_text"))
+                for row in range(b.num_rows):
+                    ids = np.append(flat[off[row]:off[row + 1]], np.uint32(end_id)).astype("<u4")
                     for n, s in enumerate(range(0, len(ids), length)):
                         part = ids[s:s + length]
                         at.append(row), piece.append(n), start.append(s), size.append(len(part)), data.append(part.tobytes())
