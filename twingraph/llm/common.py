@@ -95,5 +95,12 @@ def small_batches(batch: pa.RecordBatch, column: str, limit: int = 4 << 20):
         yield batch.slice(a, b - a)
 
 
+def with_text(df: DataFrame, keep: list[str], text: str) -> tuple[DataFrame, str]:
+    """``keep`` columns and the text column, which is not doubled where it is kept as a string anyway."""
+    if text in keep and df.schema[text].dataType.simpleString() == "string":
+        return df.select(*keep), text
+    return df.select(*keep, df[text].cast("string").alias("_text")), "_text"
+
+
 def positive_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .calibration import apply_isotonic, fit_isotonic
-from .common import materialise, small_batches, utf8
+from .common import materialise, small_batches, utf8, with_text
 from .toxicity import MAX_LABELLED, labelled
 
 FEATURES = 384       # random Fourier features
@@ -99,20 +99,27 @@ def statistics(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.hstack((np.sqrt(share), more))
 
 
-def document_statistics(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """``keep`` columns and ``stats`` (doubles, in the order of ``STATISTICS``) of every row; null text counts as empty."""
-    width = len(STATISTICS)
+def _texts_to(df: DataFrame, keep: list[str], text: str, name: str, kind: str, made) -> DataFrame:
+    """``keep`` columns and ``name``, which ``made`` computes from the statistics of the texts."""
+    source, column = with_text(df, keep, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
-            for b in small_batches(big, "_text", 2 << 20):
-                m = statistics(*utf8(b.column("_text")))
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, m.size + 1, width, dtype=np.int32)),
-                                                 pa.array(m.ravel().astype(np.float32)))
-                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), lists], names=[*keep, "stats"])
+            for b in small_batches(big, column, 2 << 20):
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), made(statistics(*utf8(b.column(column))))], names=[*keep, name])
 
     fields = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    return df.select(*keep, df[text].cast("string").alias("_text")).mapInArrow(run, f"{fields}, stats array<float>")
+    return source.mapInArrow(run, f"{fields}, `{name}` {kind}")
+
+
+def document_statistics(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
+    """``keep`` columns and ``stats`` (in the order of ``STATISTICS``) of every row; null text counts as empty."""
+    width = len(STATISTICS)
+
+    def lists(m: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, m.size + 1, width, dtype=np.int32)), pa.array(m.ravel().astype(np.float32)))
+
+    return _texts_to(df, keep, text, "stats", "array<float>", lists)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -132,24 +139,28 @@ class QualityModel:
     def raw(self, stats: np.ndarray) -> np.ndarray:
         return self.features(stats) @ self.weights
 
-    def _apply(self, stats_df: DataFrame, keep: list[str], out: str, final: bool) -> DataFrame:
+    def raw_scores(self, stats_df: DataFrame, keep: list[str]) -> DataFrame:
+        """``keep`` columns and ``raw`` of a table with ``stats``."""
         model = stats_df.sparkSession.sparkContext.broadcast(self)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            m = model.value
             for big in batches:
                 for at in range(0, big.num_rows, 4096):
                     b = big.slice(at, 4096)
-                    raw = m.raw(_matrix(b.column("stats")))
-                    value = apply_isotonic(raw, m.knots) if final else raw
-                    yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(value, pa.float64())], names=[*keep, out])
+                    yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(model.value.raw(_matrix(b.column("stats"))))],
+                                                     names=[*keep, "raw"])
 
         fields = ", ".join(f"`{c}` {stats_df.schema[c].dataType.simpleString()}" for c in keep)
-        return stats_df.select(*keep, "stats").mapInArrow(run, f"{fields}, `{out}` double")
+        return stats_df.select(*keep, "stats").mapInArrow(run, f"{fields}, raw double")
 
     def score(self, df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
         """``keep`` columns, ``score`` (0 to 1) and ``predicted`` of every row; null text counts as empty."""
-        return self._apply(document_statistics(df, keep, text), keep, "score", True).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+        model = df.sparkSession.sparkContext.broadcast(self)
+
+        def probabilities(stats: np.ndarray) -> pa.Array:
+            return pa.array(apply_isotonic(model.value.raw(stats.astype(np.float32).astype(np.float64)), model.value.knots), pa.float64())
+
+        return _texts_to(df, keep, text, "score", "double", probabilities).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def _normal_equations(train: DataFrame, model: QualityModel, label: str) -> tuple[np.ndarray, np.ndarray]:
@@ -205,7 +216,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out, doc_id: str = "doc_id", te
     gram, right = _normal_equations(train.where("part > 0"), model, label)
     rows_fit = max(float(gram[-1, -1]), 1.0)
     model.weights = np.linalg.solve(gram + RIDGE * rows_fit / FEATURES * np.eye(FEATURES + 1), right)
-    apart = model._apply(train.where("part = 0"), [label], "raw", False)
+    apart = model.raw_scores(train.where("part = 0"), [label])
     apart, _ = materialise(apart, "quality-scored")
     model.knots = fit_isotonic(apart, "raw", label, -0.5, 1.5)
     return model

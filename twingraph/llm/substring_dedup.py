@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, positive_partitions, small_batches, spans_gather, utf8
+from .common import materialise, positive_partitions, small_batches, spans_gather, utf8, with_text
 
 WINDOW = 35
 GRAM = 5             # words of the k-gram that anchors a window
@@ -375,17 +375,18 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
 
 def _cut(df: DataFrame, doc_id: str, text: str, th, spans: DataFrame, keep: list[str], window: int) -> DataFrame:
     """Apply the reported windows to the texts."""
-    source = df.select(*keep, df[doc_id].alias("_id"), th.alias("_th"), df[text].cast("string").alias("_text"))
+    _, column = with_text(df, keep, text)
+    source = df.select(*keep, *([df[text].cast("string").alias(column)] if column not in keep else []), df[doc_id].alias("_id"), th.alias("_th"))
     joined = (source.join(spans, [source["_id"].eqNullSafe(spans["doc_id"]), source["_th"] == spans["th"]], "left")
-              .select(*[source[c] for c in keep], "_text", "spans"))
+              .select(*[source[c] for c in dict.fromkeys([*keep, column])], "spans"))
     schema = T.StructType([*(df.schema[c] for c in keep), T.StructField("n_words", T.LongType(), False),
                            T.StructField("n_removed", T.LongType(), False), T.StructField("kept", T.StringType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
-            for b in small_batches(big, "_text", 2 << 20):
+            for b in small_batches(big, column, 2 << 20):
                 total, removed, kept = [], [], []
-                for t, found in zip(b.column("_text").to_pylist(), b.column("spans").to_pylist()):
+                for t, found in zip(b.column(column).to_pylist(), b.column("spans").to_pylist()):
                     words = (t or "").encode("utf-8", "surrogatepass").split()
                     gone = np.zeros(len(words) + 1, np.int64)
                     for s in found or ():

@@ -20,11 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .calibration import fit_isotonic
-from .common import materialise, small_batches
+from .common import materialise, small_batches, with_text
 
 MAX_LABELLED = 40_000   # labelled rows that the lexicon is learned from, at most
 MAX_CANDIDATES = 50_000
 MAX_TERMS = 5_000
+COUNTED_AT_ONCE = 200_000  # terms that a task counts before it passes the counts on
 PREFIX = range(3, 11)
 MIN_SUPPORT = 4         # toxic texts that a term must stand in, and their least share
 MIN_SHARE = 0.01
@@ -109,13 +110,20 @@ def learn_lexicon(texts: DataFrame) -> dict[str, float]:
         known = spark.sparkContext.broadcast(among) if among is not None else None
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                seen: dict[str, int] = {}
-                for t in b.column("text").to_pylist():
-                    for term in text_terms(t) if known is None else text_terms(t) & known.value:
-                        seen[term] = seen.get(term, 0) + 1
-                yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
-                                                 names=["term", "n"])
+            seen: dict[str, int] = {}
+            for big in batches:
+                for b in small_batches(big, "text", 1 << 20):
+                    for t in b.column("text").to_pylist():
+                        for term in text_terms(t) if known is None else text_terms(t) & known.value:
+                            seen[term] = seen.get(term, 0) + 1
+                    if len(seen) > COUNTED_AT_ONCE:
+                        yield counts(seen)
+                        seen = {}
+            yield counts(seen)
+
+        def counts(seen: dict[str, int]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
+                                              names=["term", "n"])
 
         return df.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
@@ -149,16 +157,17 @@ def learn_lexicon(texts: DataFrame) -> dict[str, float]:
 def raw_scores(df: DataFrame, weights: dict[str, float], exceptions: tuple[str, ...], keep: list[str], text: str) -> DataFrame:
     """``keep`` columns and ``raw``; the lexicon has at most ``MAX_TERMS`` entries."""
     lexicon = df.sparkSession.sparkContext.broadcast((weights, exceptions))
+    source, column = with_text(df, keep, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(*lexicon.value)
         for big in batches:
-            for b in small_batches(big, "_text"):
-                raw = [matcher.raw(t) for t in b.column("_text").to_pylist()]
+            for b in small_batches(big, column):
+                raw = [matcher.raw(t) for t in b.column(column).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(raw, pa.float64())], names=[*keep, "raw"])
 
     fields = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    return df.select(*keep, df[text].cast("string").alias("_text")).mapInArrow(run, f"{fields}, raw double")
+    return source.mapInArrow(run, f"{fields}, raw double")
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, doc_id: str, text: str, held_out, limit: int) -> DataFrame:
