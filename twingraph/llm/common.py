@@ -93,6 +93,7 @@ def small_batches(batch: pa.RecordBatch, column: str, limit: int = 4 << 20):
     lens = np.asarray(pc.binary_length(sizes).fill_null(0), dtype=np.int64) if batch.num_rows else []
     for a, b in slices(np.asarray(lens, np.int64) + 16, limit):
         yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()
 
 
 def with_text(df: DataFrame, keep: list[str], text: str) -> tuple[DataFrame, str]:

@@ -263,29 +263,34 @@ def _runs(docs: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def _pieces(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """Words of the wanted runs: ``doc_id, th, start, n, shard, hot, piece``; hot runs as single windows."""
+    """Words of the wanted runs: ``doc_id, th, starts, n, shard, hot, piece``; hot runs as single windows.
+
+    What a document holds several times (a text that goes round in a circle) is one row with all its starts.
+    """
     keyed = docs.join(wanted, [docs.doc_id.eqNullSafe(wanted.doc_id), docs.th == wanted.th]).select(
         docs.doc_id, docs.th, "text", "runs")
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("th", T.LongType()), T.StructField("start", T.IntegerType()),
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("th", T.LongType()), T.StructField("starts", T.ArrayType(T.IntegerType())),
                            T.StructField("n", T.ByteType()), T.StructField("shard", T.LongType()),
                            T.StructField("hot", T.BooleanType()), T.StructField("piece", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for b in small_batches(big, "text", 1 << 20):
-                at, start, n, shard, hot, piece = [], [], [], [], [], []
+                at, keys, starts = [], [], []
                 for row, (text, runs) in enumerate(zip(b.column("text").to_pylist(), b.column("runs").to_pylist())):
                     words = text.encode("utf-8", "surrogatepass").split()
+                    own: dict[tuple, list[int]] = {}
                     for r in runs:
-                        step = range(r["n"]) if r["hot"] else (0,)
                         size = 1 if r["hot"] else r["n"]
-                        for k in step:
-                            s = r["start"] + k
-                            at.append(row), start.append(s), n.append(size), shard.append(r["anchor"]), hot.append(r["hot"])
-                            piece.append(b" ".join(words[s:s + window - 1 + size]))
+                        for s in range(r["start"], r["start"] + r["n"]) if r["hot"] else (r["start"],):
+                            own.setdefault((size, r["anchor"], r["hot"], b" ".join(words[s:s + window - 1 + size])), []).append(s)
+                    at.extend([row] * len(own))
+                    keys.extend(own)
+                    starts.extend(own.values())
                 take = pa.array(at, pa.int64())
+                n, shard, hot, piece = zip(*keys) if keys else ((), (), (), ())
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").take(take), b.column("th").take(take), pa.array(start, pa.int32()), pa.array(n, pa.int8()),
+                    [b.column("doc_id").take(take), b.column("th").take(take), pa.array(starts, pa.list_(pa.int32())), pa.array(n, pa.int8()),
                      pa.array(shard, pa.int64()), pa.array(hot, pa.bool_()), pa.array(piece, pa.binary())], names=schema.names)
 
     return keyed.mapInArrow(run, schema)
@@ -358,18 +363,18 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     wanted = (runs.join(again, "anchor").groupBy("doc_id", "th")
               .agg(F.collect_set(F.struct("start", "n", "anchor", (F.col("c") > hot_runs).alias("hot"))).alias("runs")))
     pieces, _ = materialise(_pieces(docs, wanted, window), "pieces")
-    cold = pieces.where("not hot").withColumn("weight", F.lit(1).cast("long"))
-    found = _search(cold, ["doc_id", "th", "start", "n"], window, shard_words)
+    pieces = pieces.withColumn("weight", F.size("starts").cast("long"))
+    found = _search(pieces.where("not hot"), ["doc_id", "th", "starts", "n"], window, shard_words)
     # Windows of split anchors: counted by content, searched once, and told to all their starts.
     ids = [F.xxhash64("piece").alias("id1"), F.xxhash64(F.lit(1), "piece").alias("id2")]
-    single = pieces.where("hot").select("doc_id", "th", "start", "n", "piece", *ids)
-    counted = (single.groupBy("id1", "id2", "piece").agg(F.count(F.lit(1)).alias("weight"))
+    single = pieces.where("hot").select("doc_id", "th", "starts", "n", "piece", "weight", *ids)
+    counted = (single.groupBy("id1", "id2", "piece").agg(F.sum("weight").alias("weight"))
                .select(F.col("id1").alias("shard"), F.lit(1).cast("byte").alias("n"), "piece", "weight", "id2"))
-    known = _search(counted, ["shard", "id2"], window, shard_words)
-    single = (single.select("doc_id", "th", "start", "n", "id1", "id2")
-              .join(known.withColumnRenamed("shard", "id1"), ["id1", "id2"]).select("doc_id", "th", "start", "n", "mask"))
-    spans = (found.unionByName(single).groupBy("doc_id", "th")
-             .agg(F.collect_set(F.struct("start", "n", "mask")).alias("spans")))
+    known = _search(counted, ["shard", "id2"], window, shard_words).withColumnRenamed("shard", "id1")
+    single = single.select("doc_id", "th", "starts", "n", "id1", "id2").join(known, ["id1", "id2"]).select("doc_id", "th", "starts", "n", "mask")
+    spans = (found.unionByName(single)
+             .select("doc_id", "th", F.transform("starts", lambda s: F.struct(s.alias("start"), F.col("n"), F.col("mask"))).alias("spans"))
+             .groupBy("doc_id", "th").agg(F.flatten(F.collect_list("spans")).alias("spans")))
     return _cut(df, doc_id, text, th, spans, keep, window)
 
 
