@@ -1,199 +1,107 @@
 """Shared DataFrame algorithms: skew-safe ranking and lineage cuts.
 
-``prefix_rank`` / ``prefix_sum`` number or accumulate rows inside a group
-without ever sending a huge group to one task. Groups up to ``HOT_ROWS`` rows
-use a plain window; larger ones (found by a partial count, at most
-rows / HOT_ROWS of them) are cut into order-preserving blocks of the first
-order column, numbered inside each (group, block) slice, and each slice
-receives the totals of the same group's earlier blocks as an offset. A group
-holding a third of all rows is therefore spread over many tasks.
+``prefix_rank``, ``prefix_sum`` and ``with_next`` have one path for all sizes. Rows
+are range-partitioned by (group, all order columns), so a group of any size spreads
+over as many slices as its rows need, and are written once with their slice number.
+Each (slice, group) is numbered on its own. Only the first group of a slice can go on
+from an earlier slice, so at most one row per slice carries what came before; these
+few rows are broadcast. Any sortable type works, and null is a group like any other.
 """
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+import uuid
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 
 
-def _num_partitions(df: DataFrame, partitions: int | None) -> int:
-    if partitions:
-        return partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
 
-MAX_BLOCKS = 64
+    Survives executor loss, unlike a local checkpoint or a cache, and later reads
+    still prune columns and push filters down.
+    """
+    path = scratch_path(df.sparkSession, f"cut-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _block_column(df: DataFrame, order_col: str, n_blocks: int) -> Column:
-    """Order-preserving block number of ``order_col`` from approximate quantiles.
+def _sliced(df: DataFrame, groups: list[str], order_cols: list[str], partitions: int | None) -> DataFrame:
+    """Rows with ``_slice``, the number of their range of (group, order columns).
 
-    The boundaries are a handful of scalars computed once (one partial
-    aggregate); the block of a row is then a pure function of its key, so
-    every later evaluation of the plan assigns the same block, whatever the
-    shuffle order or retries.
-    """
-    n_blocks = max(1, min(n_blocks, MAX_BLOCKS))
-    key = F.col(order_col)
-    if isinstance(df.schema[order_col].dataType, (T.TimestampType, T.TimestampNTZType)):
-        key = F.unix_micros(key.cast("timestamp"))
-    key = key.cast("double")
-    if n_blocks == 1:
-        return F.lit(0)
-    qs = [i / n_blocks for i in range(1, n_blocks)]
-    row = df.select(F.percentile_approx(key, qs, 10000).alias("q")).first()
-    bounds = sorted({b for b in (row["q"] or []) if b is not None})
-    block = F.lit(0)
-    for b in bounds:
-        block = block + F.when(key >= F.lit(float(b)), F.lit(1)).otherwise(F.lit(0))
-    return block
-
-
-HOT_ROWS = 1_000_000  # a group up to this size is ranked by one task
-
-
-def _split_hot(df: DataFrame, groups: list[str], hot_rows: int) -> tuple[DataFrame | None, DataFrame | None]:
-    """Split ``df`` into rows of ordinary groups and rows of groups above ``hot_rows``.
-
-    The hot-group list has at most ``rows / hot_rows`` entries, a proven bound,
-    so it is broadcast and the split costs no shuffle of ``df``.
+    The written copy fixes the slices: every later read sees the same ones, whatever
+    is recomputed.
     """
-    counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_cnt"))
-    hot = counts.where(F.col("_cnt") > hot_rows).select(*groups)
-    if hot.isEmpty():
-        return df, None
-    if groups == ["_g"]:  # one global group, and it is hot
-        return None, df
-    flagged = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), groups, "left")
-    return (flagged.where(F.col("_hot").isNull()).drop("_hot"),
-            flagged.where(F.col("_hot")).drop("_hot"))
+    keys = [F.col(c) for c in [*groups, *order_cols]]
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    return cut_lineage(ranged.withColumn("_slice", F.spark_partition_id()))
 
 
-def _prepare(df: DataFrame, groups: list[str], order_cols: list[str], partitions: int | None):
-    n = _num_partitions(df, partitions)
-    return df.withColumn("_blk", _block_column(df, order_cols[0], n))
+def _meet(rows: DataFrame, few: DataFrame, groups: list[str]) -> DataFrame:
+    """Left join on slice and group; ``few`` has at most one row per slice."""
+    named = few.select(F.col("_slice").alias("_s"), *[F.col(g).alias(f"_g_{g}") for g in groups],
+                       *[c for c in few.columns if c not in ("_slice", *groups)])
+    on = [rows["_slice"] == named["_s"], *[rows[g].eqNullSafe(named[f"_g_{g}"]) for g in groups]]
+    return rows.join(F.broadcast(named), on, "left").drop("_s", *[f"_g_{g}" for g in groups])
+
+
+def _earlier(groups: list[str]):
+    """Window over the slices of a group before the present one."""
+    w = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
+    return w.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
 
 
 def prefix_rank(df: DataFrame, group_cols: list[str], order_cols: list[str], out: str = "rn",
-                partitions: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+                partitions: int | None = None) -> DataFrame:
     """Add ``out``: 0-based position of each row inside its group.
 
-    Ordinary groups are numbered by a window. Groups above ``hot_rows`` are
-    split into (group, block) slices, blocks being order-preserving ranges of
-    the first order column; each slice is numbered by a window and shifted by
-    the sizes of the same group's earlier blocks, so a group holding a third
-    of all rows is spread over up to 64 tasks. ``group_cols + order_cols``
-    must identify a row.
+    ``group_cols + order_cols`` must identify a row for the numbers to be unique in
+    meaning; ties are numbered in any order.
     """
-    groups = list(group_cols) or ["_g"]
-    base = df if group_cols else df.withColumn("_g", F.lit(0))
-    cold, hot = _split_hot(base, groups, hot_rows)
-    if hot is not None and groups == ["_g"]:
-        cold = None
-    res = None if cold is None else cold.withColumn(out, (F.row_number().over(Window.partitionBy(*groups).orderBy(*order_cols)) - 1)
-                          .cast("bigint"))
-    if hot is not None:
-        hb = _prepare(hot, groups, order_cols, partitions)
-        local = Window.partitionBy(*groups, "_blk").orderBy(*order_cols)
-        ranked = hb.withColumn("_lr", F.row_number().over(local) - 1)
-        slices = hb.groupBy(*groups, "_blk").agg(F.count(F.lit(1)).alias("_n"))
-        before = Window.partitionBy(*groups).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = slices.select(*groups, "_blk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-        hres = (ranked.join(offsets, [*groups, "_blk"])
-                .withColumn(out, (F.col("_off") + F.col("_lr")).cast("bigint"))
-                .drop("_blk", "_lr", "_off"))
-        res = hres if res is None else res.unionByName(hres)
-    return res if group_cols else res.drop("_g")
+    groups = list(group_cols)
+    rows = _sliced(df, groups, order_cols, partitions)
+    local = F.row_number().over(Window.partitionBy("_slice", *groups).orderBy(*order_cols)) - 1
+    totals = rows.groupBy("_slice", *groups).agg(F.count(F.lit(1)).alias("_n"))
+    before = totals.select("_slice", *groups, F.sum("_n").over(_earlier(groups)).alias("_off")).where("_off > 0")
+    joined = _meet(rows.withColumn("_lr", local), before, groups)
+    return joined.withColumn(out, (F.col("_lr") + F.coalesce("_off", F.lit(0))).cast("bigint")).drop("_slice", "_lr", "_off")
 
 
 def prefix_sum(df: DataFrame, group_cols: list[str], order_cols: list[str], value_cols: dict[str, Column | str],
-               partitions: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Running (inclusive) sums of ``value_cols`` inside each group, skew-safe.
-
-    Same scheme as :func:`prefix_rank`: a window for ordinary groups,
-    (group, block) slices plus offsets for groups above ``hot_rows``.
-    """
-    groups = list(group_cols) or ["_g"]
-    base = df if group_cols else df.withColumn("_g", F.lit(0))
-    vals = {k: (F.col(v) if isinstance(v, str) else v) for k, v in value_cols.items()}
-    for k, v in vals.items():
-        base = base.withColumn(f"_v_{k}", v)
-    cold, hot = _split_hot(base, groups, hot_rows)
-    if hot is not None and groups == ["_g"]:
-        cold = None
-    frame = Window.partitionBy(*groups).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    res = cold
-    if res is not None:
-        for k in vals:
-            res = res.withColumn(k, F.sum(f"_v_{k}").over(frame))
-    if hot is not None:
-        hb = _prepare(hot, groups, order_cols, partitions)
-        local = Window.partitionBy(*groups, "_blk").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-        ranked = hb
-        for k in vals:
-            ranked = ranked.withColumn(f"_l_{k}", F.sum(f"_v_{k}").over(local))
-        slices = hb.groupBy(*groups, "_blk").agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in vals])
-        before = Window.partitionBy(*groups).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = slices.select(*groups, "_blk", *[
-            F.coalesce(F.sum(f"_t_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in vals])
-        hres = ranked.join(offsets, [*groups, "_blk"])
-        for k in vals:
-            hres = hres.withColumn(k, F.col(f"_o_{k}") + F.col(f"_l_{k}"))
-        hres = hres.drop("_blk", *[c for k in vals for c in (f"_l_{k}", f"_o_{k}")])
-        res = hres if res is None else res.unionByName(hres)
-    res = res.drop(*[f"_v_{k}" for k in vals])
-    return res if group_cols else res.drop("_g")
+               partitions: int | None = None) -> DataFrame:
+    """Running (inclusive) sums of ``value_cols`` inside each group; null values add nothing."""
+    groups = list(group_cols)
+    for k, v in value_cols.items():
+        df = df.withColumn(f"_v_{k}", F.col(v) if isinstance(v, str) else v)
+    rows = _sliced(df, groups, order_cols, partitions)
+    frame = (Window.partitionBy("_slice", *groups).orderBy(*order_cols)
+             .rowsBetween(Window.unboundedPreceding, 0))
+    totals = rows.groupBy("_slice", *groups).agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in value_cols])
+    before = totals.select("_slice", *groups, F.count(F.lit(1)).over(_earlier(groups)).alias("_b"),
+                           *[F.sum(f"_t_{k}").over(_earlier(groups)).alias(f"_o_{k}") for k in value_cols]).where("_b > 0")
+    for k in value_cols:
+        rows = rows.withColumn(f"_l_{k}", F.sum(f"_v_{k}").over(frame))
+    joined = _meet(rows, before, groups)
+    for k in value_cols:
+        joined = joined.withColumn(k, F.coalesce(F.col(f"_l_{k}") + F.col(f"_o_{k}"), f"_l_{k}", f"_o_{k}"))
+    return joined.drop("_slice", "_b", *[f"{p}{k}" for k in value_cols for p in ("_v_", "_l_", "_o_")])
 
 
 def with_next(df: DataFrame, group_cols: list[str], order_cols: list[str], value_col: str, out: str,
-              hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add ``out``: ``value_col`` of the next row of the group in ``order_cols`` order.
-
-    ``lead`` over a window for ordinary groups; rows of groups above
-    ``hot_rows`` are numbered with the block scheme of :func:`prefix_rank`
-    and meet their successor through an equi-join on ``(group, rn + 1)``,
-    which spreads a hot group over many tasks.
-    """
-    cold, hot = _split_hot(df, list(group_cols), hot_rows)
-    res = None
-    if cold is not None:
-        w = Window.partitionBy(*group_cols).orderBy(*order_cols)
-        res = cold.withColumn(out, F.lead(value_col).over(w))
-    if hot is not None:
-        ranked = prefix_rank(hot, group_cols, order_cols, out="_rn", hot_rows=0)
-        nxt = ranked.select(*group_cols, (F.col("_rn") - 1).alias("_rn"), F.col(value_col).alias(out))
-        hres = ranked.join(nxt, [*group_cols, "_rn"], "left").drop("_rn")
-        res = hres if res is None else res.unionByName(hres)
-    return res
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (reliable checkpoint).
-
-    Survives executor loss, unlike a local checkpoint or a cache.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    # Persist first: the checkpoint write then reads the computed blocks
-    # instead of recomputing the whole plan a second time.
-    df = df.persist()
-    out = df.checkpoint(eager=True)
-    df.unpersist()
-    return out
-
-
-@contextmanager
-def session_conf(spark, key: str, value: str):
-    """Temporarily set a runtime SQL conf for a block of small iterative jobs, then restore it."""
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
+              partitions: int | None = None) -> DataFrame:
+    """Add ``out``: ``value_col`` of the next row of the group in ``order_cols`` order, else null."""
+    groups = list(group_cols)
+    rows = _sliced(df, groups, order_cols, partitions)
+    w = Window.partitionBy("_slice", *groups).orderBy(*order_cols)
+    firsts = rows.groupBy("_slice", *groups).agg(
+        F.min(F.struct(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(order_cols)], F.col(value_col).alias("_v"))).alias("_f"))
+    following = (Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))).orderBy("_slice")
+    after = (firsts.select("_slice", *groups, F.lead("_f").over(following).alias("_f")).where("_f is not null")
+             .select("_slice", *groups, F.col("_f._v").alias("_after")))
+    local = rows.withColumn("_lead", F.lead(value_col).over(w)).withColumn("_more", F.lead(F.lit(True)).over(w))
+    joined = _meet(local, after, groups)
+    return (joined.withColumn(out, F.when(F.col("_more"), F.col("_lead")).otherwise(F.col("_after")))
+            .drop("_slice", "_lead", "_more", "_after"))
