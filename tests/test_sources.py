@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 from twingraph.operators import diff
 from twingraph.sources import codecs, readers, sinks
 
-DOT = '''digraph "Perturbed Net Graph with 5 nodes" {
-edge ["class"="link-class"]
-"0" ["color"="red","label"=<<b>Init</b>>,"fontcolor"="#1020d0"]
+DOT = '''digraph "five towns" {
+edge ["style"="thin"]
+"0" ["shape"="box","label"="harbour"]
 "4"
 "0" -> "1" ["weight"="4.0"]
-"1" -> "2" ["weight"="1.0"]
-"2" -> "0" ["weight"="6.5"]
-"2" -> "3" ["weight"="9.0"]
+"1" -> "2" ["style"="bold","weight"="1.0"]
+"2" -> "0" ["weight"="6.5"];
+"2" -> "3" ["shape"="dotted"]
+"3" -> "3"
+"north" -> "3" ["weight"="2.0"]
 }
 '''
 
@@ -28,10 +30,10 @@ Edges:
 \tModified:
 \t\t1: 2
 \tAdded:
-\t\t5: 63
+\t\t5: 44
 \t\t2: 20
 \tRemoved:
-\t\t5: 63
+\t\t5: 44
 \t\t5: 9
 \t\t9: 1
 """
@@ -47,10 +49,12 @@ def _write(tmp_dir, name, text):
 def test_read_dot(spark, tmp_dir):
     p = _write(tmp_dir, "g.dot", DOT)
     edges, nodes = readers.read_dot(spark, p)
-    assert edges.count() == 4
+    assert edges.count() == 5
+    assert [r["line"] for r in readers.dot_rejects(spark, p).collect()] == ['"north" -> "3" ["weight"="2.0"]']
     assert sorted(r["id"] for r in nodes.collect()) == [0, 1, 2, 3, 4]  # isolated "4" kept
     w = {(r["src"], r["dst"]): r["weight"] for r in edges.collect()}
-    assert w[(2, 0)] == 6.5
+    assert w[(2, 0)] == 6.5 and w[(1, 2)] == 1.0
+    assert w[(2, 3)] is None and w[(3, 3)] is None  # an edge without a weight is an edge
 
 
 def test_read_delta_counts_and_repeated_keys(spark, tmp_dir):
@@ -65,10 +69,10 @@ def test_read_delta_counts_and_repeated_keys(spark, tmp_dir):
 def test_reconcile_operation_log(spark, tmp_dir):
     """T4: the report is an operation log; an edge added then removed is not in a set diff."""
     report = readers.read_delta(spark, _write(tmp_dir, "r.yaml", REPORT))
-    set_diff = report.where(~((F.col("entity") == "Edges") & (F.col("a") == 5) & (F.col("b") == 63)))
+    set_diff = report.where(~((F.col("entity") == "Edges") & (F.col("a") == 5) & (F.col("b") == 44)))
     r = diff.reconcile(set_diff, report)
     only_report = {(x["change"], x["a"], x["b"]) for x in r.where("in_report AND NOT in_diff").collect()}
-    assert only_report == {("Added", 5, 63), ("Removed", 5, 63)}
+    assert only_report == {("Added", 5, 44), ("Removed", 5, 44)}
     assert r.where("in_diff AND NOT in_report").count() == 0
 
 
@@ -83,13 +87,13 @@ def test_report_writer_round_trip(spark, tmp_dir):
 
 def test_parse_nodes_and_rejects(spark):
     lines = spark.createDataFrame([
-        ("NodeObject(395,2,9,1,65,0,6,6,0.8868890135357071,true)",),
-        ("Move(thief,NodeObject(185,3,16,1,79,1,1,5,0.7547969141065618,false))",),
+        ("NodeObject(12,1,4,2,30,3,5,7,0.125,true)",),
+        ("Move(thief,NodeObject(34,0,8,1,22,2,4,9,0.375,false))",),
         ("NodeObject(1,2,3,4,5,6,7,8,9)",),
         ("garbage",)], ["value"])
     p = codecs.parse_nodes(lines).collect()
-    assert p[0]["id"] == 395 and p[0]["stored_value"] == 0.8868890135357071 and p[0]["valuable_data"] is True
-    assert p[1]["id"] == 185 and p[1]["valid"]
+    assert p[0]["id"] == 12 and p[0]["stored_value"] == 0.125 and p[0]["valuable_data"] is True
+    assert p[1]["id"] == 34 and p[1]["valid"]
     assert p[2]["arity"] == 9 and not p[2]["valid"]
     assert not p[3]["valid"]
 

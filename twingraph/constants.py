@@ -96,7 +96,6 @@ HASH_SHIFT = 65536
 SEED = 42
 N_WALKS = 500
 MAX_STEPS = 50
-ADDED_ID_OFFSET = 1000000
 BEST_MATCH_MIN_POINTS = 41  # score >= 0.5
 WINDOW_MINUTES = 60
 

@@ -33,7 +33,15 @@ class GraphPair:
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self._spark, self._dir, self._mat = spark, sf_dir, materialize
         self.o_nodes = original_nodes(spark, sf_dir)
-        self.p_nodes = perturbed_nodes(self.o_nodes)
+
+    @cached_property
+    def n_parts(self) -> int:
+        """One above the largest original id: what added ids start from, whatever the size of the table."""
+        return (table(self._spark, self._dir, "part").agg(F.max("p_partkey")).first()[0] or 0) + 1
+
+    @cached_property
+    def p_nodes(self) -> DataFrame:
+        return perturbed_nodes(self.o_nodes, self.n_parts)
 
     @cached_property
     def o_edges(self) -> DataFrame:
@@ -42,9 +50,7 @@ class GraphPair:
 
     @cached_property
     def p_edges(self) -> DataFrame:
-        # One scalar (the part count) is needed by the rewiring rule.
-        n_parts = table(self._spark, self._dir, "part").count()
-        e = perturbed_edges(self.o_edges, self.o_nodes, n_parts)
+        e = perturbed_edges(self.o_edges, self.o_nodes, self.n_parts)
         return cut_lineage(e) if self._mat else e
 
 
@@ -86,7 +92,7 @@ def _dropped(idcol):
     return idcol % 14 == 3
 
 
-def perturbed_nodes(o_nodes: DataFrame) -> DataFrame:
+def perturbed_nodes(o_nodes: DataFrame, n_parts: int) -> DataFrame:
     kept = o_nodes.where(~_dropped(F.col("id")))
     mod = F.col("id") % 20 == 7
     changed = kept.select(
@@ -100,7 +106,7 @@ def perturbed_nodes(o_nodes: DataFrame) -> DataFrame:
         "valuable_data",
     )
     added = kept.where(F.col("id") % 15 == 4).select(
-        (F.col("id") + C.ADDED_ID_OFFSET).alias("id"),
+        (F.col("id") + n_parts).alias("id"),
         ((F.col("children") + 1) % 7).alias("children"),
         ((F.col("props") + 3) % 20).alias("props"),
         F.lit(1).cast("bigint").alias("current_depth"),
@@ -125,11 +131,11 @@ def perturbed_edges(o_edges: DataFrame, o_nodes: DataFrame, n_parts: int) -> Dat
     parents = F.col("id")
     parents_df = o_nodes.select("id").where(~_dropped(parents) & (parents % 15 == 4))
     to_new = parents_df.select(
-        parents.alias("src"), (parents + C.ADDED_ID_OFFSET).alias("dst"),
+        parents.alias("src"), (parents + n_parts).alias("dst"),
         (parents % 9 + 1).cast("double").alias("weight"))
     target = (parents * 7 + 1) % n_parts
     from_new = (parents_df.where((parents % 30 == 4) & ~_dropped(target))
-                .select((parents + C.ADDED_ID_OFFSET).alias("src"), target.alias("dst"),
+                .select((parents + n_parts).alias("src"), target.alias("dst"),
                         (parents % 5 + 1).cast("double").alias("weight")))
     return base.unionByName(to_new).unionByName(from_new)
 

@@ -15,8 +15,14 @@ from .graph import node_value_match
 
 
 def _endpoint_counts(edges: DataFrame, name: str) -> DataFrame:
-    ends = edges.select(F.col("src").alias("node")).unionByName(edges.select(F.col("dst").alias("node")))
-    return ends.groupBy("node").agg(F.count(F.lit(1)).alias(name))
+    """Per node its incident edges (``name``) and its degree (``<name>_d``).
+
+    Incident edges are a set, so a self loop is one of them; in the degree it counts twice.
+    """
+    loop = F.col("src") == F.col("dst")
+    ends = (edges.select(F.col("src").alias("node"), F.when(loop, F.lit(2)).otherwise(F.lit(1)).alias("_w"))
+            .unionByName(edges.where(~loop).select(F.col("dst").alias("node"), F.lit(1).alias("_w"))))
+    return ends.groupBy("node").agg(F.count(F.lit(1)).alias(name), F.sum("_w").alias(f"{name}_d"))
 
 
 def _score(n, m, present, same_deg):
@@ -39,7 +45,7 @@ def confidence(o_nodes: DataFrame, o_edges: DataFrame, p_nodes: DataFrame, p_edg
            .join(m, base["id"] == m["node"], "left").drop("node"))
     n = F.coalesce("deg_o", F.lit(0))
     mm = F.coalesce("m", F.lit(0))
-    same = n == F.coalesce("deg_p", F.lit(0))
+    same = F.coalesce("deg_o_d", F.lit(0)) == F.coalesce("deg_p_d", F.lit(0))
     pres = F.coalesce("present", F.lit(False))
     return res.select(
         "id",
@@ -86,7 +92,7 @@ def confidence_pairs(pairs: DataFrame, o_nodes: DataFrame, o_edges: DataFrame,
            .join(m, ["original_id", "perturbed_id"], "left"))
     n = F.coalesce("deg_o", F.lit(0))
     mm = F.coalesce("m", F.lit(0))
-    same = n == F.coalesce("deg_p", F.lit(0))
+    same = F.coalesce("deg_o_d", F.lit(0)) == F.coalesce("deg_p_d", F.lit(0))
     pres = F.coalesce("present", F.lit(False))
     return res.select("original_id", "perturbed_id", n.cast("bigint").alias("n_edges"),
                       mm.cast("bigint").alias("shared"), _score(n, mm, pres, same).alias("score"))

@@ -28,13 +28,16 @@ def node_diff(o_nodes: DataFrame, p_nodes: DataFrame) -> DataFrame:
 
 
 def edge_diff(o_edges: DataFrame, p_edges: DataFrame) -> DataFrame:
-    """``(src, dst, change, o_weight, p_weight)``; one full outer join."""
-    o = o_edges.select("src", "dst", F.col("weight").alias("o_weight"))
-    p = p_edges.select("src", "dst", F.col("weight").alias("p_weight"))
+    """``(src, dst, change, o_weight, p_weight)``; one full outer join.
+
+    Presence is flagged: an edge without a weight is still an edge, and two null weights are equal.
+    """
+    o = o_edges.select("src", "dst", F.col("weight").alias("o_weight"), F.lit(True).alias("_o"))
+    p = p_edges.select("src", "dst", F.col("weight").alias("p_weight"), F.lit(True).alias("_p"))
     j = o.join(p, ["src", "dst"], "full_outer")
-    change = (F.when(F.col("o_weight").isNull(), F.lit("Added"))
-              .when(F.col("p_weight").isNull(), F.lit("Removed"))
-              .when(F.col("o_weight") != F.col("p_weight"), F.lit("Modified"))
+    change = (F.when(F.col("_o").isNull(), F.lit("Added"))
+              .when(F.col("_p").isNull(), F.lit("Removed"))
+              .when(~F.col("o_weight").eqNullSafe(F.col("p_weight")), F.lit("Modified"))
               .otherwise(F.lit("Same")))
     return j.select("src", "dst", change.alias("change"), "o_weight", "p_weight")
 

@@ -47,17 +47,17 @@ def as_lists(long: DataFrame, name: str = "nbrs") -> DataFrame:
 
 
 def incident_edges(edges: DataFrame) -> DataFrame:
-    """Every edge once per endpoint: ``(node, src, dst, weight, direction)``."""
+    """Every edge once per endpoint: ``(node, src, dst, weight, direction)``; a self loop is one "out" row."""
     out_e = edges.select(F.col("src").alias("node"), "src", "dst", "weight", F.lit("out").alias("direction"))
-    in_e = edges.select(F.col("dst").alias("node"), "src", "dst", "weight", F.lit("in").alias("direction"))
+    in_e = edges.where("src <> dst").select(F.col("dst").alias("node"), "src", "dst", "weight", F.lit("in").alias("direction"))
     return out_e.unionByName(in_e)
 
 
 def degrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """``(id, in_deg, out_deg, degree)`` for every node (0 when isolated)."""
+    """``(id, in_deg, out_deg, degree)`` for every node (0 when isolated); a self loop counts in both."""
     inc = incident_edges(edges)
     counts = inc.groupBy("node").agg(
-        F.count_if(F.col("direction") == "in").alias("in_deg"),
+        F.count_if((F.col("direction") == "in") | (F.col("src") == F.col("dst"))).alias("in_deg"),
         F.count_if(F.col("direction") == "out").alias("out_deg"))
     res = nodes.select("id").join(counts, nodes["id"] == counts["node"], "left")
     return res.select(

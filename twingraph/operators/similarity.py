@@ -68,12 +68,14 @@ def edge_pairs(o_edges: DataFrame, p_edges: DataFrame) -> DataFrame:
     """J2 (re-aimed): each edge of O with the same (src, dst) edge of P.
 
     ``cost_in_original`` repeats the reference's lookup of the perturbed
-    edge's cost in the original graph (NULL = +Infinity).
+    edge's cost in the original graph (NULL = +Infinity). ``in_o`` and ``in_p`` say
+    where the edge exists; a null weight does not.
     """
-    o = o_edges.select("src", "dst", F.col("weight").alias("o_weight"))
-    p = p_edges.select("src", "dst", F.col("weight").alias("p_weight"))
+    o = o_edges.select("src", "dst", F.col("weight").alias("o_weight"), F.lit(True).alias("in_o"))
+    p = p_edges.select("src", "dst", F.col("weight").alias("p_weight"), F.lit(True).alias("in_p"))
     j = o.join(p, ["src", "dst"], "full_outer")
-    return j.select("src", "dst", "o_weight", "p_weight", F.col("o_weight").alias("cost_in_original"))
+    return j.select("src", "dst", "o_weight", "p_weight", F.col("o_weight").alias("cost_in_original"),
+                    F.coalesce("in_o", F.lit(False)).alias("in_o"), F.coalesce("in_p", F.lit(False)).alias("in_p"))
 
 
 def edge_scores(pairs: DataFrame) -> DataFrame:
@@ -93,7 +95,7 @@ def edge_set_jaccard(o_nodes: DataFrame, o_edges: DataFrame, p_nodes: DataFrame,
     j = o.join(p, ["src", "dst"], "full_outer").select(
         "src", "dst", F.coalesce("in_o", F.lit(0)).alias("in_o"), F.coalesce("in_p", F.lit(0)).alias("in_p"))
     ends = j.select(F.col("src").alias("node"), "in_o", "in_p").unionByName(
-        j.select(F.col("dst").alias("node"), "in_o", "in_p"))
+        j.where("src <> dst").select(F.col("dst").alias("node"), "in_o", "in_p"))
     counts = ends.groupBy("node").agg(
         F.sum(F.col("in_o") * F.col("in_p")).alias("inter"), F.count(F.lit(1)).alias("uni"))
     ids = o_nodes.select("id").join(p_nodes.select("id"), "id")

@@ -32,7 +32,7 @@ li_raw AS (
 o_edges AS (
   SELECT src, dst, CAST(min(w) AS DOUBLE) AS weight
   FROM li_raw WHERE dst IS NOT NULL AND src <> dst GROUP BY src, dst),
-n_parts AS (SELECT count(*) AS n FROM part),
+n_parts AS (SELECT max(p_partkey) + 1 AS n FROM part),
 p_nodes AS (
   SELECT id, children,
          CASE WHEN id % 20 = 7 THEN (props+9) % 20 ELSE props END AS props,
@@ -43,7 +43,7 @@ p_nodes AS (
          valuable_data
   FROM o_nodes WHERE id % 14 <> 3
   UNION ALL
-  SELECT id + {C.ADDED_ID_OFFSET}, (children+1) % 7, (props+3) % 20, CAST(1 AS BIGINT),
+  SELECT id + (SELECT n FROM n_parts), (children+1) % 7, (props+3) % 20, CAST(1 AS BIGINT),
          (prop_value_range+40) % 100, max_depth, max_branching_factor, (max_properties+7) % 20,
          stored_value * {D(0.9)}, false
   FROM o_nodes WHERE id % 14 <> 3 AND id % 15 = 4),
@@ -53,10 +53,10 @@ p_edges AS (
   FROM o_edges
   WHERE src % 14 <> 3 AND dst % 14 <> 3 AND (src*31+dst) % 25 <> 2
   UNION ALL
-  SELECT id, id + {C.ADDED_ID_OFFSET}, CAST(id % 9 + 1 AS DOUBLE)
+  SELECT id, id + (SELECT n FROM n_parts), CAST(id % 9 + 1 AS DOUBLE)
   FROM o_nodes WHERE id % 14 <> 3 AND id % 15 = 4
   UNION ALL
-  SELECT id + {C.ADDED_ID_OFFSET}, (id*7+1) % (SELECT n FROM n_parts), CAST(id % 5 + 1 AS DOUBLE)
+  SELECT id + (SELECT n FROM n_parts), (id*7+1) % (SELECT n FROM n_parts), CAST(id % 5 + 1 AS DOUBLE)
   FROM o_nodes WHERE id % 14 <> 3 AND id % 15 = 4 AND id % 30 = 4
     AND ((id*7+1) % (SELECT n FROM n_parts)) % 14 <> 3)
 """

@@ -154,7 +154,7 @@ def q_node_jaccard(spark, sf_dir):
 @register
 def q_edge_pairs(spark, sf_dir):
     g = _pair(spark, sf_dir)
-    return sim.edge_pairs(g.o_edges, g.p_edges)
+    return sim.edge_pairs(g.o_edges, g.p_edges).drop("in_o", "in_p")
 
 
 @register

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..schemas import EDGE, NODE
 
-_DOT_EDGE = r'^\s*"(-?\d+)"\s*->\s*"(-?\d+)"\s*(?:\[.*"weight"\s*=\s*"([^"]+)".*\])?\s*;?\s*$'
+_DOT_EDGE = r'^\s*"(-?\d+)"\s*->\s*"(-?\d+)"\s*(?:\[.*\])?\s*;?\s*$'
+_DOT_WEIGHT = r'[\[,]\s*"weight"\s*=\s*"([^"]+)"'
 _DOT_NODE = r'^\s*"(-?\d+)"\s*(?:\[.*\])?\s*;?\s*$'
 
 
@@ -22,8 +23,9 @@ def read_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """
     nodes = spark.read.schema(NODE).parquet(f"{path.rstrip('/')}/nodes")
     edges = spark.read.schema(EDGE).parquet(f"{path.rstrip('/')}/edges")
-    if nodes.isEmpty():
-        raise ValueError(f"no nodes under {path}")
+    for name, side in (("nodes", nodes), ("edges", edges)):
+        if side.isEmpty():
+            raise ValueError(f"no {name} under {path}")
     return nodes, edges
 
 
@@ -36,13 +38,15 @@ def read_dot(spark: SparkSession, glob: str) -> tuple[DataFrame, DataFrame]:
     """``(edges, nodes)`` from DOT files.
 
     edges: ``(src, dst, weight, file)``; nodes: ``(id, file)`` for every id
-    declared alone (isolated or attributed nodes) or used by an edge.
+    declared alone (isolated or attributed nodes) or used by an edge. An edge
+    without a readable weight has a null one; see :func:`dot_rejects` for statements
+    that are neither.
     """
     lines = spark.read.text(glob).select(F.col("value").alias("line"), F.input_file_name().alias("file"))
     e = lines.where(F.col("line").rlike(_DOT_EDGE)).select(
         F.regexp_extract("line", _DOT_EDGE, 1).cast("bigint").alias("src"),
         F.regexp_extract("line", _DOT_EDGE, 2).cast("bigint").alias("dst"),
-        F.regexp_extract("line", _DOT_EDGE, 3).try_cast("double").alias("weight"),
+        F.regexp_extract("line", _DOT_WEIGHT, 1).try_cast("double").alias("weight"),
         "file")
     decl = lines.where(F.col("line").rlike(_DOT_NODE)).select(
         F.regexp_extract("line", _DOT_NODE, 1).cast("bigint").alias("id"), "file")
@@ -50,6 +54,13 @@ def read_dot(spark: SparkSession, glob: str) -> tuple[DataFrame, DataFrame]:
     return e, decl.unionByName(ends).distinct()
 
 
+def dot_rejects(spark: SparkSession, glob: str) -> DataFrame:
+    """``(line, file)`` of statements that :func:`read_dot` cannot read, such as ids that are no integers."""
+    lines = spark.read.text(glob).select(F.col("value").alias("line"), F.input_file_name().alias("file"))
+    statement = F.col("line").rlike(r'^\s*("|-?\w+\s*->)')
+    return lines.where(statement & ~F.col("line").rlike(_DOT_EDGE) & ~F.col("line").rlike(_DOT_NODE))
+
+
 def edges_to_dot(edges: DataFrame) -> DataFrame:
     """DOT statement lines for edges (column ``value``)."""
     return edges.select(F.format_string('"%d" -> "%d" ["weight"="%s"]', "src", "dst",

@@ -27,10 +27,8 @@ def write_node_pairs_csv(pairs: DataFrame, path: str) -> None:
 def write_edge_pairs_csv(edge_pairs: DataFrame, path: str) -> None:
     """K3: 6 columns ``o_src, o_dst, o_weight, p_src, p_dst, p_weight``."""
     ep = edge_pairs.select(
-        F.when(F.col("o_weight").isNotNull(), F.col("src")).alias("o_src"),
-        F.when(F.col("o_weight").isNotNull(), F.col("dst")).alias("o_dst"), "o_weight",
-        F.when(F.col("p_weight").isNotNull(), F.col("src")).alias("p_src"),
-        F.when(F.col("p_weight").isNotNull(), F.col("dst")).alias("p_dst"), "p_weight")
+        F.when(F.col("in_o"), F.col("src")).alias("o_src"), F.when(F.col("in_o"), F.col("dst")).alias("o_dst"), "o_weight",
+        F.when(F.col("in_p"), F.col("src")).alias("p_src"), F.when(F.col("in_p"), F.col("dst")).alias("p_dst"), "p_weight")
     ep.write.mode("overwrite").option("header", True).csv(path)
 
 
