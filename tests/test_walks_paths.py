@@ -49,7 +49,7 @@ def _bfs(adj, sources):
 
 
 def test_nearest_valuable_equals_python_bfs(g):
-    res = paths.nearest_valuable(g.p_nodes, g.p_edges).collect()
+    res = paths.nearest_valuable(g.p_nodes, g.p_edges, paths=True).collect()
     adj = {}
     for r in g.p_edges.collect():
         adj.setdefault(r["src"], set()).add(r["dst"])
@@ -70,12 +70,30 @@ def test_small_graph_hops(spark):
     # chain 0-1-2-3-4-5 with valuable 5 plus a shortcut 0-4
     nodes = spark.createDataFrame([(i, 0.5, i == 5) for i in range(7)], "id long, stored_value double, valuable_data boolean")
     edges = spark.createDataFrame([(i, i + 1, 1.0) for i in range(5)] + [(0, 4, 1.0)], "src long, dst long, weight double")
-    r = {x["id"]: x for x in paths.nearest_valuable(nodes, edges).collect()}
+    r = {x["id"]: x for x in paths.nearest_valuable(nodes, edges, paths=True).collect()}
     assert [r[i]["hops"] for i in range(6)] == [2, 3, 3, 2, 1, 0]
     assert r[6]["hops"] == 2147483647 and r[6]["distance"] is None
     assert r[0]["path"] == "0,4,5" and r[0]["distance"] == 1.0
 
 
+def test_long_chain_paths_and_weights(spark):
+    # 0 - 1 - ... - 20, valuable 0; a heavy shortcut 0 - 20 is one hop but 100 away; 30 is alone
+    ids = [*range(21), 30]
+    nodes = spark.createDataFrame([(i, 1.0, i == 0) for i in ids], "id long, stored_value double, valuable_data boolean")
+    edges = spark.createDataFrame([(i, i + 1, 1.0) for i in range(20)] + [(0, 20, 100.0), (3, 30, None)],
+                                  "src long, dst long, weight double")
+    chain = edges.where("weight = 1.0")
+    r = {x["id"]: x for x in paths.nearest_valuable(nodes, chain, paths=True).collect()}
+    assert r[20]["hops"] == 20 and r[20]["path"] == ",".join(str(i) for i in range(20, -1, -1))
+    assert r[0]["path"] == "0" and r[30]["path"] == ""
+    assert {x["id"]: x["hops"] for x in paths.nearest_valuable(nodes, edges).collect()}[20] == 1
+    w = {x["id"]: x for x in paths.nearest_valuable_weighted(nodes, edges).collect()}
+    assert w[20]["distance"] == 20.0 and w[20]["target"] == 0 and w[0]["distance"] == 0.0
+    assert w[30]["distance"] is None and w[30]["target"] is None  # its only edge has no weight
+    none = paths.nearest_valuable(nodes.where("id = 5"), edges, paths=True).collect()
+    assert none[0]["hops"] == 2147483647 and none[0]["path"] == ""
+
+
 def test_dense_adjacency_bounded(spark):
     e = spark.createDataFrame([(1, 2, 4.0), (2, 3, 1.0), (3, 1, 2.5)], "src long, dst long, weight double")
     ids = spark.createDataFrame([(1,), (2,), (3,)], "id long")

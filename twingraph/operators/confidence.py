@@ -3,7 +3,7 @@
 score = 0 when the node (compared by value) is absent from P or has no edge
 in O; otherwise min(1, (1 + m) / n) with n its O-degree and m the edges
 incident to it in both graphs, counted only when its O- and P-degrees agree.
-All counts are partial aggregates followed by joins on node id.
+Edges of both graphs are counted together: one aggregate per edge, one per node.
 """
 
 from __future__ import annotations
@@ -11,18 +11,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .graph import node_value_match
+from ..schemas import NODE_PROPS
 
 
-def _endpoint_counts(edges: DataFrame, name: str) -> DataFrame:
-    """Per node its incident edges (``name``) and its degree (``<name>_d``).
+def _incidence(o_edges: DataFrame, p_edges: DataFrame) -> DataFrame:
+    """Per node ``(node, n, m, deg_o, deg_p)``: incident O edges, edges in both graphs, both degrees.
 
-    Incident edges are a set, so a self loop is one of them; in the degree it counts twice.
+    One union of flagged edges and one aggregate per edge and per node. Incident
+    edges are a set, so a self loop is one of them; in a degree it counts twice.
     """
+    flagged = (o_edges.select("src", "dst", F.lit(1).alias("o"), F.lit(0).alias("p"))
+               .unionByName(p_edges.select("src", "dst", F.lit(0).alias("o"), F.lit(1).alias("p"))))
+    edges = flagged.groupBy("src", "dst").agg(F.max("o").alias("o"), F.max("p").alias("p"))
     loop = F.col("src") == F.col("dst")
-    ends = (edges.select(F.col("src").alias("node"), F.when(loop, F.lit(2)).otherwise(F.lit(1)).alias("_w"))
-            .unionByName(edges.where(~loop).select(F.col("dst").alias("node"), F.lit(1).alias("_w"))))
-    return ends.groupBy("node").agg(F.count(F.lit(1)).alias(name), F.sum("_w").alias(f"{name}_d"))
+    ends = edges.select(F.explode(F.when(loop, F.array("src")).otherwise(F.array("src", "dst"))).alias("node"),
+                        "o", "p", F.when(loop, F.lit(2)).otherwise(F.lit(1)).alias("_w"))
+    return ends.groupBy("node").agg(
+        F.sum("o").alias("n"), F.sum(F.col("o") * F.col("p")).alias("m"),
+        F.sum(F.col("o") * F.col("_w")).alias("deg_o"), F.sum(F.col("p") * F.col("_w")).alias("deg_p"))
+
+
+def _present(o_nodes: DataFrame, p_nodes: DataFrame) -> DataFrame:
+    """Every O id with ``present``: whether the P node of that id holds the same values (ids are unique)."""
+    o = o_nodes.select("id", F.struct(*NODE_PROPS).alias("_o"))
+    p = p_nodes.select(F.col("id").alias("_pid"), F.struct(*NODE_PROPS).alias("_p"))
+    return (o.join(p, o["id"] == p["_pid"], "left")
+            .select("id", (F.col("_pid").isNotNull() & F.col("_o").eqNullSafe(F.col("_p"))).alias("present")))
 
 
 def _score(n, m, present, same_deg):
@@ -33,27 +47,13 @@ def _score(n, m, present, same_deg):
 
 def confidence(o_nodes: DataFrame, o_edges: DataFrame, p_nodes: DataFrame, p_edges: DataFrame) -> DataFrame:
     """C1 for every original node: ``(id, n_edges, shared, same_degree, present, score)``."""
-    shared = o_edges.select("src", "dst").join(p_edges.select("src", "dst"), ["src", "dst"])
-    deg_o = _endpoint_counts(o_edges, "deg_o")
-    deg_p = _endpoint_counts(p_edges, "deg_p")
-    m = _endpoint_counts(shared, "m")
-    present = node_value_match(o_nodes, p_nodes, "left_semi").select("id").withColumn("present", F.lit(True))
-    base = o_nodes.select("id")
-    res = (base.join(present, "id", "left")
-           .join(deg_o, base["id"] == deg_o["node"], "left").drop("node")
-           .join(deg_p, base["id"] == deg_p["node"], "left").drop("node")
-           .join(m, base["id"] == m["node"], "left").drop("node"))
-    n = F.coalesce("deg_o", F.lit(0))
-    mm = F.coalesce("m", F.lit(0))
-    same = F.coalesce("deg_o_d", F.lit(0)) == F.coalesce("deg_p_d", F.lit(0))
-    pres = F.coalesce("present", F.lit(False))
-    return res.select(
-        "id",
-        n.cast("bigint").alias("n_edges"),
-        mm.cast("bigint").alias("shared"),
-        same.alias("same_degree"),
-        pres.alias("present"),
-        _score(n, mm, pres, same).alias("score"))
+    base = _present(o_nodes, p_nodes)
+    inc = _incidence(o_edges, p_edges)
+    res = base.join(inc, base["id"] == inc["node"], "left")
+    n, m = F.coalesce("n", F.lit(0)), F.coalesce("m", F.lit(0))
+    same = F.coalesce("deg_o", F.lit(0)) == F.coalesce("deg_p", F.lit(0))
+    return res.select("id", n.cast("bigint").alias("n_edges"), m.cast("bigint").alias("shared"),
+                      same.alias("same_degree"), "present", _score(n, m, F.col("present"), same).alias("score"))
 
 
 def confidence_pairs(pairs: DataFrame, o_nodes: DataFrame, o_edges: DataFrame,
@@ -65,10 +65,8 @@ def confidence_pairs(pairs: DataFrame, o_nodes: DataFrame, o_edges: DataFrame,
     the *perturbed* node in O (an edge is incident to both only when it joins
     them), counted only when the original node's O- and P-degrees agree.
     """
-    deg_o = _endpoint_counts(o_edges, "deg_o")
-    deg_p = _endpoint_counts(p_edges, "deg_p")
-    present = node_value_match(o_nodes, p_nodes, "left_semi").select(
-        F.col("id").alias("original_id")).withColumn("present", F.lit(True))
+    inc = _incidence(o_edges, p_edges).select(F.col("node").alias("original_id"), "n", "deg_o", "deg_p")
+    present = _present(o_nodes, p_nodes).withColumnRenamed("id", "original_id")
     # P edges incident to the original node that are O edges incident to the perturbed node.
     pe = p_edges.select("src", "dst")
     oe = o_edges.select("src", "dst")
@@ -84,15 +82,12 @@ def confidence_pairs(pairs: DataFrame, o_nodes: DataFrame, o_edges: DataFrame,
                        .unionByName(both.select(F.col("dst").alias("node"), "src", "dst")),
                        F.col("original_id") == F.col("node"))
                  .select("original_id", "perturbed_id", "src", "dst"))
-    m = (hits.where(F.col("original_id") != F.col("perturbed_id")).unionByName(self_hits)
-         .distinct().groupBy("original_id", "perturbed_id").agg(F.count(F.lit(1)).alias("m")))
-    res = (pr.join(present, "original_id", "left")
-           .join(deg_o, pr["original_id"] == deg_o["node"], "left").drop("node")
-           .join(deg_p, pr["original_id"] == deg_p["node"], "left").drop("node")
-           .join(m, ["original_id", "perturbed_id"], "left"))
-    n = F.coalesce("deg_o", F.lit(0))
-    mm = F.coalesce("m", F.lit(0))
-    same = F.coalesce("deg_o_d", F.lit(0)) == F.coalesce("deg_p_d", F.lit(0))
+    hit = (hits.where(F.col("original_id") != F.col("perturbed_id")).unionByName(self_hits)
+           .distinct().groupBy("original_id", "perturbed_id").agg(F.count(F.lit(1)).alias("m")))
+    res = (pr.join(present, "original_id", "left").join(inc, "original_id", "left")
+           .join(hit, ["original_id", "perturbed_id"], "left"))
+    n, m = F.coalesce("n", F.lit(0)), F.coalesce("m", F.lit(0))
+    same = F.coalesce("deg_o", F.lit(0)) == F.coalesce("deg_p", F.lit(0))
     pres = F.coalesce("present", F.lit(False))
     return res.select("original_id", "perturbed_id", n.cast("bigint").alias("n_edges"),
-                      mm.cast("bigint").alias("shared"), _score(n, mm, pres, same).alias("score"))
+                      m.cast("bigint").alias("shared"), _score(n, m, pres, same).alias("score"))

@@ -1,76 +1,131 @@
 """Shortest paths on the undirected view of a graph.
 
-Multi-source breadth-first search as a frontier loop: each level joins only
-the newest frontier with the undirected edge list, keeps for every newly
-reached node the smallest-id parent (``min`` of a struct, a partial
-aggregate), and drops nodes already settled with an anti-join. Every edge
-costs the same, so the weighted distance of the reference (each hop costs
-the asking player's stored value) is ``hops * stored_value``. Paths run
-from the node to its target and are carried as arrays whose length is the
-hop count. Lineage is cut in the shared checkpoint folder every few levels.
+``bfs`` is a multi-source breadth-first search. A level joins the frontier with the
+undirected edges and keeps for every newly reached node its smallest-id parent
+(a partial ``min``). The neighbours of a level lie in the level before, in itself or
+in the next one, so new nodes are told from old ones by the last two levels alone
+and nothing settled earlier is shuffled again. Each level is written once to the
+shared checkpoint folder as a partition ``hops=<level>``.
+
+Rows carry ``(node, parent, target)`` only. :func:`with_paths` rebuilds paths where
+they are asked for, by pointer doubling: log2(hops) joins.
+
+``weighted`` adds up edge weights instead: nodes whose distance fell in a round are
+the next frontier, until none falls.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from ..session import scratch_path
 from .graph import undirected
 from .kernel import cut_lineage
 
-CUT_EVERY = 4
+LEVEL = "node bigint, parent bigint, target bigint"
 
 
 def bfs(sources: DataFrame, edges: DataFrame, max_levels: int | None = None) -> DataFrame:
-    """Rows ``(node, hops, target, parent, path)`` for every node reachable from ``sources``.
+    """Rows ``(node, hops, target, parent)`` for every node reachable from ``sources``.
 
     ``sources`` has one column ``node``. ``target`` is the source the path
     ends at; ``parent`` is the smallest-id neighbour one level closer.
     """
+    spark = edges.sparkSession
     und = cut_lineage(undirected(edges))
-    sources = cut_lineage(sources.select("node"))
-    level0 = sources.select(
-        "node", F.lit(0).cast("bigint").alias("hops"), F.col("node").alias("target"),
-        F.lit(None).cast("bigint").alias("parent"), F.array(F.col("node")).alias("path")).distinct()
-    settled = cut_lineage(level0)
-    frontier = settled
-    level = 0
+    root = scratch_path(spark, f"bfs-{uuid.uuid4().hex}")
+
+    def settle(rows: DataFrame, level: int) -> DataFrame:
+        rows.write.parquet(f"{root}/hops={level}")
+        return spark.read.schema(LEVEL).parquet(f"{root}/hops={level}")
+
+    start = sources.where("node is not null").select("node").distinct()
+    frontier = settle(start.select("node", F.lit(None).cast("bigint").alias("parent"), F.col("node").alias("target")), 0)
+    previous, level = None, 0
     while max_levels is None or level < max_levels:
         level += 1
-        reach = (frontier.select(F.col("node").alias("from_node"), "target", "path")
-                 .join(und, F.col("from_node") == und["node"])
-                 .select(F.col("nbr").alias("node"),
-                         F.struct(F.col("from_node").alias("parent"), "target", "path").alias("via")))
-        fresh = (reach.join(settled.select("node"), "node", "left_anti")
-                 .groupBy("node").agg(F.min("via").alias("via")))
-        frontier = fresh.select(
-            "node", F.lit(level).cast("bigint").alias("hops"), F.col("via.target").alias("target"),
-            F.col("via.parent").alias("parent"), F.concat(F.array(F.col("node")), F.col("via.path")).alias("path"))
-        frontier = cut_lineage(frontier)
+        known = frontier if previous is None else frontier.unionByName(previous)
+        reach = (frontier.select(F.col("node").alias("parent"), "target").join(und, F.col("parent") == und["node"])
+                 .groupBy(F.col("nbr").alias("node")).agg(F.min(F.struct("parent", "target")).alias("via")))
+        fresh = reach.join(known.select("node"), "node", "left_anti").select("node", "via.parent", "via.target")
+        previous, frontier = frontier, settle(fresh, level)
         if frontier.isEmpty():
             break
-        settled = settled.unionByName(frontier)
-        if level % CUT_EVERY == 0:
-            settled = cut_lineage(settled)
-    return settled
+    return spark.read.schema(f"{LEVEL}, hops bigint").parquet(root).select("node", "hops", "target", "parent")
 
 
-def nearest_valuable(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """D1/D3/D5 for every node: hops and weighted distance to the nearest valuable node.
+def with_paths(reached: DataFrame) -> DataFrame:
+    """``reached`` (from :func:`bfs`) plus ``path``, the nodes from ``node`` to ``target``.
 
-    Unreachable nodes get ``hops = 2147483647`` and NULL target / distance.
+    Every round appends to the known part of a path the part known at its end, so
+    parts double in length.
     """
-    sources = nodes.where(F.col("valuable_data")).select(F.col("id").alias("node"))
-    reached = bfs(sources, edges)
-    res = nodes.select("id", "stored_value").join(
-        reached.select(F.col("node").alias("id"), "hops", "target", "path"), "id", "left")
-    return res.select(
-        "id",
-        F.coalesce("hops", F.lit(C.UNREACHABLE).cast("bigint")).alias("hops"),
-        "target",
-        (F.col("hops").cast("double") * F.col("stored_value")).alias("distance"),
-        F.coalesce(F.array_join(F.col("path").cast("array<string>"), ","), F.lit("")).alias("path"))
+    longest = reached.agg(F.max("hops")).first()[0] or 0
+    paths = reached.select("node", F.array("node").alias("path"), F.col("parent").alias("next"))
+    for _ in range(longest.bit_length()):
+        paths = cut_lineage(paths)
+        ahead = paths.select(F.col("node").alias("_at"), F.col("path").alias("_more"), F.col("next").alias("_next"))
+        paths = paths.join(ahead, F.col("next") == F.col("_at"), "left").select(
+            "node", F.when(F.col("_at").isNull(), F.col("path")).otherwise(F.concat("path", "_more")).alias("path"),
+            F.col("_next").alias("next"))
+    return reached.join(paths.select("node", "path"), "node")
+
+
+def _valuable(nodes: DataFrame) -> DataFrame:
+    return nodes.where(F.col("valuable_data")).select(F.col("id").alias("node"))
+
+
+def nearest_valuable(nodes: DataFrame, edges: DataFrame, paths: bool = False) -> DataFrame:
+    """D1/D3/D5 for every node: hops and distance to the nearest valuable node, with ``path`` if asked for.
+
+    Every hop costs the stored value of the node itself (M6 prices it with the
+    thief's). Unreachable nodes get ``hops = 2147483647``, NULL target / distance
+    and an empty path.
+    """
+    reached = bfs(_valuable(nodes), edges)
+    if paths:
+        reached = with_paths(reached)
+    res = nodes.select("id", "stored_value").join(reached.withColumnRenamed("node", "id"), "id", "left")
+    cols = ["id", F.coalesce("hops", F.lit(C.UNREACHABLE).cast("bigint")).alias("hops"), "target",
+            (F.col("hops").cast("double") * F.col("stored_value")).alias("distance")]
+    if paths:
+        cols.append(F.coalesce(F.array_join(F.col("path").cast("array<string>"), ","), F.lit("")).alias("path"))
+    return res.select(*cols)
+
+
+def weighted(sources: DataFrame, edges: DataFrame) -> DataFrame:
+    """D1 by edge weights: ``(node, distance, target)``, the least sum of weights to a source.
+
+    Edges go both ways at the smaller of their two weights; those without a weight
+    cannot be taken, and a negative one is an error. Equal distances: smallest target.
+    """
+    both = (edges.select(F.col("src").alias("node"), F.col("dst").alias("nbr"), "weight")
+            .unionByName(edges.select(F.col("dst").alias("node"), F.col("src").alias("nbr"), "weight")))
+    ways = cut_lineage(both.where("weight is not null and node <> nbr").groupBy("node", "nbr").agg(F.min("weight").alias("weight")))
+    if not ways.where("weight < 0").isEmpty():
+        raise ValueError("negative edge weight")
+    best = cut_lineage(sources.where("node is not null").select("node").distinct().select(
+        "node", F.struct(F.lit(0.0).alias("distance"), F.col("node").alias("target")).alias("at"), F.lit(True).alias("fell")))
+    while True:
+        offers = (best.where("fell").select(F.col("node").alias("_from"), "at").join(ways, F.col("_from") == ways["node"])
+                  .groupBy(F.col("nbr").alias("node"))
+                  .agg(F.min(F.struct((F.col("at.distance") + F.col("weight")).alias("distance"),
+                                      F.col("at.target").alias("target"))).alias("offer")))
+        better = F.col("offer").isNotNull() & (F.col("at").isNull() | (F.col("offer") < F.col("at")))
+        best = cut_lineage(best.select("node", "at").join(offers, "node", "full_outer").select(
+            "node", F.when(better, F.col("offer")).otherwise(F.col("at")).alias("at"), better.alias("fell")))
+        if best.where("fell").isEmpty():
+            return best.select("node", "at.distance", "at.target")
+
+
+def nearest_valuable_weighted(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """D1 by edge weights for every node: ``(id, target, distance)``, NULL when unreachable."""
+    reached = weighted(_valuable(nodes), edges)
+    return nodes.select("id").join(reached.withColumnRenamed("node", "id"), "id", "left").select("id", "target", "distance")
 
 
 def single_source_hops(source: DataFrame, edges: DataFrame) -> DataFrame:

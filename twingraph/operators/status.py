@@ -22,7 +22,7 @@ def player_status(positions: DataFrame, moves: DataFrame, nodes: DataFrame, edge
     """M6 flattened: ``(game_id, role, node, adjacent, hops, distance, path, confidence, n_moves)``."""
     adj = (undirected(edges).groupBy("node")
            .agg(F.sort_array(F.collect_list("nbr")).alias("adjacent_ids")))
-    near = nearest_valuable(nodes, p_edges).select(
+    near = nearest_valuable(nodes, p_edges, paths=True).select(
         F.col("id").alias("node"), "hops", F.col("path").alias("path"))
     conf = confidence(nodes, edges, nodes, p_edges).select(F.col("id").alias("node"), F.col("score").alias("confidence"))
     n_moves = (moves.groupBy("game_id", F.lower("user").alias("role"))

@@ -449,6 +449,20 @@ oracle("q_nearest_valuable", with_ctes("SELECT id, hops, target, distance FROM n
 oracle("q_path_to_valuable", with_ctes("""
 SELECT id, path, CAST(CASE WHEN path = '' THEN 0 ELSE len(string_split(path, ',')) END AS BIGINT) AS path_nodes
 FROM nearest""", BFS_VALUABLE, recursive=True))
+oracle("q_nearest_valuable_weighted", with_ctes("""
+SELECT n.id, b.t AS target, b.d AS distance FROM p_nodes n LEFT JOIN far b ON b.node = n.id""", """
+ways AS (SELECT node, nbr, min(weight) AS w
+         FROM (SELECT src AS node, dst AS nbr, weight FROM p_edges UNION ALL SELECT dst, src, weight FROM p_edges)
+         WHERE weight IS NOT NULL AND node <> nbr GROUP BY node, nbr),
+far(node, d, t) USING KEY (node) AS (
+  SELECT id, CAST(0 AS DOUBLE), id FROM p_nodes WHERE valuable_data
+  UNION
+  SELECT node, o.d, o.t
+  FROM (SELECT u.nbr AS node, min({'d': b.d + u.w, 't': b.t}) AS o
+        FROM far b JOIN ways u ON u.node = b.node GROUP BY u.nbr) x
+  LEFT JOIN recurring.far r USING (node)
+  WHERE r.d IS NULL OR o.d < r.d OR (o.d = r.d AND o.t < r.t))
+""", recursive=True))
 oracle("q_sssp_hops", with_ctes("""
 SELECT node, d AS hops FROM bfs1""", """
 und AS (SELECT src AS node, dst AS nbr FROM p_edges UNION SELECT dst, src FROM p_edges),

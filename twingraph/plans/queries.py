@@ -335,11 +335,18 @@ def q_nearest_valuable(spark, sf_dir):
 @register
 def q_path_to_valuable(spark, sf_dir):
     g = _pair(spark, sf_dir)
-    r = P.nearest_valuable(g.p_nodes, g.p_edges)
+    r = P.nearest_valuable(g.p_nodes, g.p_edges, paths=True)
     return r.select("id", "path", F.when(F.col("path") == "", F.lit(0))
                     .otherwise(F.size(F.split("path", ","))).cast("bigint").alias("path_nodes"))
 
 
+@register
+def q_nearest_valuable_weighted(spark, sf_dir):
+    """D1 by edge weights."""
+    g = _pair(spark, sf_dir)
+    return P.nearest_valuable_weighted(g.p_nodes, g.p_edges)
+
+
 @register
 def q_sssp_hops(spark, sf_dir):
     g = _pair(spark, sf_dir)
