@@ -102,11 +102,20 @@ def test_json_codec_writes_flag_as_string(spark):
     lines = spark.createDataFrame([("NodeObject(1,2,3,4,5,6,7,8,0.25,true)",)], ["value"])
     nodes = codecs.parse_nodes(lines).select(*codecs.NODE_OUT)
     doc = codecs.nodes_to_json(nodes).first()["json"]
-    assert '"valuable_data":"true"' in doc
+    assert '"valuableData":"true"' in doc and '"maxBranchingFactor":7' in doc
     back = codecs.nodes_from_json(codecs.nodes_to_json(nodes))
     assert back.exceptAll(nodes).count() == 0
 
 
+def test_json_rejects_other_keys_and_types(spark):
+    good = ('{"id":1,"children":2,"props":3,"currentDepth":1,"propValueRange":9,"maxDepth":2,"maxBranchingFactor":4,'
+            '"maxProperties":5,"storedValue":0.5,"valuableData":"false"}')
+    bad = [good.replace("maxDepth", "max_depth"), good.replace('"id":1', '"id":"one"'), "no json"]
+    docs = spark.createDataFrame([(d,) for d in [good, *bad]], "json string")
+    assert [r["id"] for r in codecs.nodes_from_json(docs).collect()] == [1]
+    assert sorted(r["json"] for r in codecs.json_rejects(docs).collect()) == sorted(bad)
+
+
 def test_extract_node_number(spark):
     df = spark.createDataFrame([("1,2,3,4,5,6,7,8,9,true, 42,2,3,4,5,6,7,8,9,false",), ("1,2",),
                                 ("1,2,3,4,5,6,7,8,9,true, x,2",)], ["line"])

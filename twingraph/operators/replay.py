@@ -4,8 +4,8 @@ Replay contract (batch, stream and oracle agree):
 
 * state per (game, round): thief node, policeman node, whose turn, verdict;
 * placement verdict, first match wins: thief on a valuable node ->
-  ``thief_wins``; both on one node -> ``policeman_wins``; thief on a sink ->
-  ``thief_no_moves``; policeman on a sink -> ``policeman_no_moves``;
+  ``thief_wins``; thief on a sink -> ``thief_no_moves``; policeman on a sink ->
+  ``policeman_no_moves``; both on one node -> ``policeman_wins``;
 * then per move in ``seq`` order: verdict set -> ``game_over``; unknown user
   -> ``invalid_user``; policeman row while on the thief -> ``policeman_wins``;
   target not adjacent (either direction) to the mover's node ->
@@ -37,13 +37,21 @@ STATE_TYPE = ("struct<t:bigint,p:bigint,turn:string,verdict:string,"
 RESTART = "restart"
 
 
-def start_positions(games: DataFrame, board_size: int = C.BOARD_SIZE) -> DataFrame:
-    """``(game_id, round, thief_start, police_start)`` from a seeded formula."""
+def start_positions(games: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``(game_id, round, thief_start, police_start)``, nodes of the board picked by a seeded formula.
+
+    The formula gives a place in the ascending list of the column ``node``, whatever
+    the ids are; an empty board gives null positions.
+    """
+    places = prefix_rank(nodes.select("node").distinct(), [], ["node"], out="_place")
+    size = places.count()
     g, r = F.col("game_id"), F.col("round")
-    return games.select(
-        "game_id", "round",
-        ((g * 7 + r * 3 + 1) % board_size).alias("thief_start"),
-        ((g * 11 + r * 5 + 5) % board_size).alias("police_start"))
+    n = F.lit(size or None).cast("bigint")
+    drawn = games.select("game_id", "round", F.pmod(g * 7 + r * 3 + 1, n).alias("_t"), F.pmod(g * 11 + r * 5 + 5, n).alias("_p"))
+    t = places.select(F.col("_place").alias("_t"), F.col("node").alias("thief_start"))
+    p = places.select(F.col("_place").alias("_p"), F.col("node").alias("police_start"))
+    return (drawn.join(t, "_t", "left").join(p, "_p", "left")
+            .select("game_id", "round", "thief_start", "police_start"))
 
 
 def node_facts(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -66,15 +74,15 @@ def with_rounds(moves: DataFrame) -> DataFrame:
 def placement(moves: DataFrame, facts: DataFrame) -> DataFrame:
     """Per (game, round) start positions and the placement verdict."""
     games = moves.select("game_id", "round").distinct()
-    sp = start_positions(games)
+    sp = start_positions(games, facts)
     tf = facts.select(F.col("node").alias("thief_start"), F.col("sink").alias("t_sink"),
                       F.col("valuable").alias("t_val"))
     pf = facts.select(F.col("node").alias("police_start"), F.col("sink").alias("p_sink"))
     j = sp.join(tf, "thief_start", "left").join(pf, "police_start", "left")
     verdict = (F.when(F.col("t_val"), F.lit("thief_wins"))
-               .when(F.col("thief_start") == F.col("police_start"), F.lit("policeman_wins"))
                .when(F.col("t_sink"), F.lit("thief_no_moves"))
-               .when(F.col("p_sink"), F.lit("policeman_no_moves")))
+               .when(F.col("p_sink"), F.lit("policeman_no_moves"))
+               .when(F.col("thief_start") == F.col("police_start"), F.lit("policeman_wins")))
     return j.select("game_id", "round", "thief_start", "police_start", verdict.alias("placement_verdict"))
 
 

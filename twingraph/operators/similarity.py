@@ -12,10 +12,14 @@ points still open, a pair may miss at most ``avail - need``; so it must
 match at least one property of any group whose weights sum to more than
 that. Splitting on the members of the smallest such group, ordered by
 weight, and excluding earlier members in later branches, partitions the
-qualifying pairs into disjoint branches. Each branch is an equi-join on the
-accepted value ranges of its matched properties (integer ranges exploded,
-stored values in logarithmic buckets), so no ``distinct`` is needed and hot
-values are split by the extra keys.
+qualifying pairs into disjoint branches, so no ``distinct`` is needed. A
+branch is an equi-join on buckets of its matched properties: a value is its own
+bucket while small and falls into a logarithmic one beyond, so a tolerance range
+covers a few buckets however large the values. Each side is read once: a row is
+exploded into the keys of all branches.
+
+Equal nodes are joined once: :func:`profiles` keeps one row per distinct property
+tuple, with its smallest id and its count, and results are expanded afterwards.
 """
 
 from __future__ import annotations
@@ -116,9 +120,9 @@ _SV_FRAC = S.tolerance(dict((n, b) for n, b, _ in C.TOLERANT_PROPS)["stored_valu
 _SV_W = dict((n, w) for n, _, w in C.TOLERANT_PROPS)["stored_value"]
 _WEIGHTS = {**{n: w for n, (_, w) in _INT_PROPS.items()}, "stored_value": _SV_W,
             "valuable_data": C.VALUABLE_POINTS}
-# Log-bucket width for stored values; zero gets its own bucket.
-_LOG_W = math.log1p(_SV_FRAC)
+_FRAC = {**{n: f for n, (f, _) in _INT_PROPS.items()}, "stored_value": _SV_FRAC}
 _ZERO_BUCKET = -(2 ** 40)
+_SMALL = 32  # integers up to here are their own bucket
 _EPS = 1e-9
 
 
@@ -153,75 +157,69 @@ def _branches(min_points: int, max_keys: int = 3) -> list[tuple[tuple[str, ...],
     return out
 
 
-def _key_values(side: str, name: str) -> F.Column:
-    """Key value(s) of one property: an array on the original side, a scalar on the other."""
-    v = F.col(f"{side}_{name}")
-    if name == "valuable_data":
-        return F.array(F.lit(1).cast("bigint")) if side == "o" else F.lit(1).cast("bigint")
+def _bucket(name: str, v: F.Column) -> F.Column:
+    """Bucket number of a value: never falls as the value grows, null for what cannot match."""
+    log = F.floor(F.log(v) / math.log1p(_FRAC[name])).cast("bigint")
     if name == "stored_value":
-        if side == "p":
-            return F.when(v == 0, F.lit(_ZERO_BUCKET)).when(v > 0, F.floor(F.log(v) / _LOG_W).cast("bigint"))
-        lo = F.floor((F.log(v * (1 - _SV_FRAC)) / _LOG_W) - _EPS).cast("bigint")
-        hi = F.floor((F.log(v * (1 + _SV_FRAC)) / _LOG_W) + _EPS).cast("bigint")
-        return F.when(v == 0, F.array(F.lit(_ZERO_BUCKET))).when(v > 0, F.sequence(lo, hi))
-    if side == "p":
-        return v.cast("bigint")
-    frac = _INT_PROPS[name][0]
-    d = v.cast("double")
-    lo = F.ceil(d - d * frac - _EPS).cast("bigint")
-    hi = F.floor(d + d * frac + _EPS).cast("bigint")
-    return F.when(d >= 0, F.sequence(lo, hi))
-
-
-def _product(arrays: list[F.Column]) -> F.Column:
-    """Cartesian product of small arrays as an array of structs ``(k0, k1, ...)``."""
-    names = [f"k{i}" for i in range(len(arrays))]
+        return F.when(v == 0, F.lit(_ZERO_BUCKET)).when(v > 0, log)
+    base = math.floor(math.log(_SMALL) / math.log1p(_FRAC[name]))
+    return F.when((v >= 0) & (v <= _SMALL), F.floor(v).cast("bigint")).when(v > _SMALL, log - base + _SMALL)
 
-    def build(i: int, bound: list) -> F.Column:
-        if i == len(arrays) - 1:
-            return F.transform(arrays[i], lambda x: F.struct(*bound, x.alias(names[i])))
-        return F.flatten(F.transform(arrays[i], lambda x: build(i + 1, bound + [x.alias(names[i])])))
 
-    return build(0, [])
+def _range(side: str, name: str) -> list[F.Column]:
+    """First and last bucket of one property: of all that can match on the original side, of itself on the other."""
+    if name == "valuable_data":
+        one = F.when(F.col(f"{side}_{name}"), F.lit(1).cast("bigint"))
+        return [one, one]
+    v = F.col(f"{side}_{name}").cast("double")
+    if side == "p":
+        return [_bucket(name, v)] * 2
+    if name == "stored_value":
+        return [_bucket(name, v * (1 - _FRAC[name]) * (1 - _EPS)), _bucket(name, v * (1 + _FRAC[name]) * (1 + _EPS))]
+    return [_bucket(name, F.ceil(v - v * _FRAC[name] - _EPS).cast("double")),
+            _bucket(name, F.floor(v + v * _FRAC[name] + _EPS).cast("double"))]
 
 
 def candidate_pairs(o_nodes: DataFrame, p_nodes: DataFrame, min_points: int = C.BEST_MATCH_MIN_POINTS) -> DataFrame:
     """All (o, p) pairs with tolerant points >= ``min_points``: ``(o_id, p_id, pts)``.
 
     Exact (equals brute force). All branches go through ONE equi-join on
-    ``(branch, k0, k1, k2)``: each side is the union of its per-branch key
-    rows, so the plan has a single shuffle per side whatever the number of
-    branches; the branch's match / exclusion test runs after the join.
+    ``(branch, k0, k1, ...)``: each side is read once and its rows exploded into
+    their keys; the branch's match / exclusion test runs after the join.
     """
     branches = _branches(min_points)
     if any(not m for m, _ in branches):
         raise ValueError(f"min_points={min_points} is too low for a candidate join")
     width = max(len(m) for m, _ in branches)
     keys = [f"k{i}" for i in range(width)]
-    o_all, p_all = prefixed(o_nodes, "o_"), prefixed(p_nodes, "p_")
-    zero = F.array(F.lit(0).cast("bigint"))
-    o_parts, p_parts = [], []
-    for b, (matched, _) in enumerate(branches):
-        o_b, p_b = o_all, p_all
-        if "valuable_data" in matched:
-            o_b, p_b = o_b.where(F.col("o_valuable_data")), p_b.where(F.col("p_valuable_data"))
-        arrays = [_key_values("o", n) for n in matched] + [zero] * (width - len(matched))
-        o_parts.append(o_b.select(*o_all.columns, F.lit(b).alias("branch"),
-                                  F.explode(_product(arrays)).alias("_k"))
-                       .select(*o_all.columns, "branch", *[F.col(f"_k.{k}").alias(k) for k in keys]))
-        pk = [_key_values("p", n).alias(keys[i]) for i, n in enumerate(matched)]
-        pk += [F.lit(0).cast("bigint").alias(keys[i]) for i in range(len(matched), width)]
-        p_parts.append(p_b.select(*p_all.columns, F.lit(b).alias("branch"), *pk))
-    o_keys = reduce(DataFrame.union, o_parts)
-    p_keys = reduce(DataFrame.union, p_parts)
-    j = o_keys.join(p_keys, ["branch", *keys])
-    m = S.tolerant_matches()
-    test = None
-    for b, (matched, excluded) in enumerate(branches):
-        cond = reduce(lambda a, c: a & c, [m[n] for n in matched] + [~m[n] for n in excluded])
-        test = F.when(F.col("branch") == b, cond) if test is None else test.when(F.col("branch") == b, cond)
+
+    def keyed(nodes: DataFrame, side: str) -> DataFrame:
+        rows = prefixed(nodes, f"{side}_")
+        ends = [c.alias(f"_{e}_{n}") for n in _WEIGHTS for e, c in zip(("lo", "hi"), _range(side, n))]
+        out = rows.select("*", *ends).select("*", F.explode(F.lit(list(range(len(branches))))).alias("branch"))
+        for i, k in enumerate(keys):
+            by_prop = {}
+            for b, (matched, _) in enumerate(branches):
+                by_prop.setdefault(matched[i] if i < len(matched) else None, []).append(b)
+
+            def of_branch(end: str) -> F.Column:
+                return F.coalesce(*[F.when(F.col("branch").isin(bs), F.col(f"_{end}_{n}") if n else F.lit(0).cast("bigint"))
+                                    for n, bs in by_prop.items()])
+
+            lo, hi = of_branch("lo"), of_branch("hi")
+            out = out.select("*", F.explode(F.when(lo <= hi, F.sequence(lo, hi))).alias(k))
+        return out.select(*rows.columns, "branch", *keys)
+
+    j = keyed(o_nodes, "o").join(keyed(p_nodes, "p"), ["branch", *keys])
+    # One bit per matching property; a branch wants some bits set and others not.
+    bit = {n: 1 << i for i, n in enumerate(_WEIGHTS)}
+    flags = S.tolerant_matches()
+    mask = reduce(lambda x, y: x + y, [F.when(flags[n], F.lit(bit[n])).otherwise(F.lit(0)) for n in bit])
+    wanted, barred = ([sum(bit[n] for n in names) for names in side] for side in zip(*branches))
+    want = F.get(F.lit(wanted), F.col("branch"))
+    test = mask.bitwiseAND(F.get(F.lit([w | x for w, x in zip(wanted, barred)]), F.col("branch"))) == want
     pts = S.tolerant_points()
-    return j.where(test.otherwise(F.lit(False)) & (pts >= min_points)).select("o_id", "p_id", pts.alias("pts"))
+    return j.where(test & (pts >= min_points)).select("o_id", "p_id", pts.alias("pts"))
 
 
 def best_match(cands: DataFrame, top_k: int = 1) -> DataFrame:
@@ -241,27 +239,52 @@ def best_match(cands: DataFrame, top_k: int = 1) -> DataFrame:
                     (F.col("_r") + 1).alias("rank")))
 
 
-LADDER = (69,)
+LADDER = (75, 60)  # 75 points: every property but the flag
+
+
+def profiles(nodes: DataFrame) -> DataFrame:
+    """Distinct property tuples with ``id`` (the smallest) and ``n`` (how many nodes hold it), written once."""
+    return cut_lineage(nodes.groupBy(*NODE_PROPS).agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")))
+
+
+def expand(per_profile: DataFrame, p_profiles: DataFrame, p_nodes: DataFrame) -> DataFrame:
+    """Rows keyed by the ``p_id`` of a profile, once for every node that holds it."""
+    rep = p_profiles.select(F.col("id").alias("_rep"), *[F.col(c).alias(f"_{c}") for c in NODE_PROPS])
+    members = (p_nodes.join(rep, [p_nodes[c].eqNullSafe(rep[f"_{c}"]) for c in NODE_PROPS])
+               .select("_rep", F.col("id").alias("_member")))
+    return (per_profile.join(members, per_profile["p_id"] == members["_rep"])
+            .select(F.col("_member").alias("p_id"), *[c for c in per_profile.columns if c != "p_id"]))
 
 
 def best_match_exact(o_nodes: DataFrame, p_nodes: DataFrame, min_points: int = C.BEST_MATCH_MIN_POINTS,
                      ladder: tuple[int, ...] = LADDER) -> DataFrame:
     """X10 top-1 without enumerating every qualifying pair.
 
-    Thresholds are tried from high to low: a perturbed node whose best pair
-    reaches a higher threshold has its exact best among those pairs, so only
-    the nodes left without a match go on to the next (wider) candidate join.
-    Equal to ``best_match(candidate_pairs(o, p, min_points))``.
+    Profiles are joined, not nodes. Thresholds are tried from high to low: a
+    perturbed profile whose best pair reaches a higher threshold has its exact
+    best among those pairs, so only the ones left without a match go on to the
+    next (wider) candidate join. Equal to ``best_match(candidate_pairs(o, p, min_points))``.
     """
-    steps = [t for t in sorted(set(ladder), reverse=True) if t > min_points] + [min_points]
-    rest = p_nodes
-    found = []
-    for i, t in enumerate(steps):
-        best = best_match(candidate_pairs(o_nodes, rest, t))
-        if i < len(steps) - 1:
-            best = cut_lineage(best)  # at most one row per perturbed node; read twice below
+    o_prof, p_prof = profiles(o_nodes), profiles(p_nodes)
+    rest, found = p_prof, []
+    for t in [t for t in sorted(set(ladder), reverse=True) if t > min_points] + [min_points]:
+        best = cut_lineage(best_match(candidate_pairs(o_prof, rest, t)))
         found.append(best)
-        if i < len(steps) - 1:
-            # Written once: every branch of the next join reads it.
-            rest = cut_lineage(rest.join(best.select(F.col("p_id").alias("id")), "id", "left_anti"))
-    return reduce(DataFrame.unionByName, found)
+        rest = cut_lineage(rest.join(best.select(F.col("p_id").alias("id")), "id", "left_anti"))
+        if rest.isEmpty():
+            break
+    return expand(reduce(DataFrame.unionByName, found), p_prof, p_nodes)
+
+
+def best_match_counted(o_nodes: DataFrame, p_nodes: DataFrame, min_points: int = C.BEST_MATCH_MIN_POINTS) -> DataFrame:
+    """Best match of every perturbed node and ``n_matches``, the originals that reach ``min_points``.
+
+    The count needs every qualifying pair of profiles, once; it is summed from their counts.
+    """
+    o_prof, p_prof = profiles(o_nodes), profiles(p_nodes)
+    sizes = o_prof.select(F.col("id").alias("o_id"), "n")
+    pairs = candidate_pairs(o_prof, p_prof, min_points).join(sizes, "o_id")
+    best = pairs.groupBy("p_id").agg(F.max(F.struct("pts", (-F.col("o_id")).alias("neg"))).alias("b"),
+                                     F.sum("n").cast("bigint").alias("n_matches"))
+    return expand(best.select("p_id", (-F.col("b.neg")).alias("o_id"), F.col("b.pts").alias("pts"),
+                              S.rounded(S.points_score(F.col("b.pts"))).alias("score"), "n_matches"), p_prof, p_nodes)

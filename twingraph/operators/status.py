@@ -3,7 +3,7 @@
 For every player of every game at once: current node, adjacent nodes in the
 original board, hops / path / distance to the nearest valuable node in the
 perturbed board, confidence of the node, and the moves the player sent.
-Unknown players get the defaults of P8 (no moves, unreachable, 0.0).
+:func:`status_of` answers for any user; unknown ones get the defaults of P8.
 """
 
 from __future__ import annotations
@@ -45,6 +45,17 @@ def player_status(positions: DataFrame, moves: DataFrame, nodes: DataFrame, edge
         "adjacent_ids", F.split(F.coalesce("path", F.lit("")), ",").alias("path_ids"))
 
 
+def status_of(players: DataFrame, status: DataFrame) -> DataFrame:
+    """Status of the asked ``(game_id, role)``; a user without one has no moves, is unreachable and scores 0.0."""
+    known = status.drop("path_ids", "adjacent_ids")
+    asked = players.select("game_id", F.lower("role").alias("role")).distinct()
+    return asked.join(known, ["game_id", "role"], "left").select(
+        "game_id", "role", "node", F.coalesce("adjacent", F.lit("")).alias("adjacent"),
+        F.coalesce("hops", F.lit(C.UNREACHABLE).cast("bigint")).alias("hops"), "distance",
+        F.coalesce("path", F.lit("")).alias("path"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"),
+        F.coalesce("n_moves", F.lit(0)).cast("bigint").alias("n_moves"))
+
+
 def opponent_view(status: DataFrame) -> DataFrame:
     """M7: each player sees the opponent's node and its adjacent nodes."""
     opp = status.select("game_id", F.col("role").alias("opp_role"), F.col("node").alias("opponent_node"),

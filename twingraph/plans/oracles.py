@@ -499,8 +499,8 @@ starts AS (
   FROM (SELECT DISTINCT game_id, round FROM mv)),
 place AS (
   SELECT s.game_id, s.round, s.thief_start, s.police_start,
-         CASE WHEN t.valuable THEN 'thief_wins' WHEN s.thief_start = s.police_start THEN 'policeman_wins'
-              WHEN t.sink THEN 'thief_no_moves' WHEN p.sink THEN 'policeman_no_moves' END AS placement_verdict
+         CASE WHEN t.valuable THEN 'thief_wins' WHEN t.sink THEN 'thief_no_moves'
+              WHEN p.sink THEN 'policeman_no_moves' WHEN s.thief_start = s.police_start THEN 'policeman_wins' END AS placement_verdict
   FROM starts s LEFT JOIN bfacts t ON t.node = s.thief_start LEFT JOIN bfacts p ON p.node = s.police_start)
 """
 _V = "('thief_wins', 'policeman_wins', 'thief_no_moves', 'policeman_no_moves')"
@@ -689,3 +689,43 @@ SELECT o_id, p_id,
                       / ((CASE WHEN tp_run + fp_run <> 0 THEN CAST(tp_run AS DOUBLE) / (tp_run + fp_run) END)
                       + (CASE WHEN tp_run <> 0 THEN CAST(tp_run AS DOUBLE) / tp_run END)) END AS VARCHAR), 'NaN') AS text
 FROM node_verdicts""", NODE_SCORES, NODE_RUNNING))
+
+# --- Further operators ----------------------------------------------------------
+
+oracle("q_adjacency_dense", with_ctes("""
+SELECT a.id AS node, string_agg(CASE WHEN e.weight IS NULL THEN '-' ELSE printf('%.3f', e.weight) END, ',' ORDER BY b.id) AS costs
+FROM sub a CROSS JOIN sub b LEFT JOIN p_edges e ON e.src = a.id AND e.dst = b.id GROUP BY a.id""", """
+start AS (SELECT coalesce((SELECT min(dst) FROM p_edges WHERE src = (SELECT min(src) FROM p_edges)),
+                          (SELECT min(src) FROM p_edges)) AS s),
+sub AS (SELECT s AS id FROM start UNION SELECT dst FROM p_edges JOIN start ON src = s)"""))
+oracle("q_has_edge", with_ctes("SELECT o.src, o.dst FROM o_edges o JOIN p_edges p ON o.src = p.src AND o.dst = p.dst"))
+oracle("q_reconcile", with_ctes("""
+SELECT 'Nodes' AS entity, change, id AS a, CAST(NULL AS BIGINT) AS b, true AS in_diff, change <> 'Modified' AS in_report
+FROM node_d WHERE change IN ('Modified', 'Removed')
+UNION ALL
+SELECT 'Nodes', 'Added', coalesce((SELECT min(src) FROM p_edges e WHERE e.dst = n.id), -1), n.id, true, true
+FROM node_d n WHERE change = 'Added'
+UNION ALL
+SELECT 'Edges', change, src, dst, true, change <> 'Modified' FROM edge_d WHERE change <> 'Same'
+UNION ALL
+SELECT 'Edges', 'Added', src, dst, false, true FROM edge_d WHERE change = 'Removed'""", NODE_DIFF, EDGE_DIFF))
+oracle("q_best_match_top3", with_ctes(f"""
+SELECT p_id, o_id, pts, round({score_sql('pts')}, 2) AS score, rank
+FROM (SELECT *, row_number() OVER (PARTITION BY p_id ORDER BY pts DESC, o_id) AS rank
+      FROM (SELECT o.id AS o_id, p.id AS p_id, {PTS} AS pts FROM o_nodes o, p_nodes p) WHERE pts >= 60)
+WHERE rank <= 3"""))
+oracle("q_walk_node_stats", with_ctes("""
+SELECT CAST(min(node_id) AS BIGINT) AS min_v, CAST(max(node_id) AS BIGINT) AS max_v,
+       quantile_cont(CAST(node_id AS DOUBLE), 0.5) AS median_v, avg(CAST(node_id AS DOUBLE)) AS mean_v, count(*) AS n
+FROM walks WHERE step > 0""", WALKS, recursive=True))
+oracle("q_pair_text", with_ctes(
+    "SELECT " + ", ".join(f"{s}.{c} AS {s}_{c}" for s in ("o", "p") for c in ["id", *NODE_PROPS])
+    + " FROM o_nodes o JOIN p_nodes p ON o.id = p.id"))
+oracle("q_moves_json", with_ctes("""
+SELECT m.game_id, m.seq, m."user", n.* FROM moves m JOIN board_nodes n ON n.id = m.target""", **_MOVES))
+oracle("q_status_of_users", with_ctes(f"""
+SELECT u.game_id, u.role, s.node, coalesce(s.adjacent, '') AS adjacent, coalesce(s.hops, {C.UNREACHABLE}) AS hops,
+       s.distance, coalesce(s.path, '') AS path, coalesce(s.confidence, CAST(0 AS DOUBLE)) AS confidence,
+       coalesce(s.n_moves, 0) AS n_moves
+FROM (SELECT DISTINCT game_id, lower("user") AS role FROM moves) u
+LEFT JOIN status s ON s.game_id = u.game_id AND s.role = u.role""", *_ALL_STATUS, recursive=True, **_MOVES))

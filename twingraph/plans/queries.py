@@ -301,20 +301,12 @@ def q_walk_stats(spark, sf_dir):
     return W.walk_stats(W.walk_summary(w, g.p_nodes, g.p_edges, C.MAX_STEPS), w, over="length")
 
 
-def _walked_matches(spark, g, w):
-    walked = w.select(F.col("node_id").alias("id")).distinct()
-    p = g.p_nodes.join(walked, "id", "left_semi")
-    return sim.candidate_pairs(g.o_nodes, p)
-
-
 @register
 def q_walk_pairs_scored(spark, sf_dir):
     """J3 (re-aimed): every walked node against all originals, through the exact candidate join."""
     g = _pair(spark, sf_dir)
-    c = _walked_matches(spark, g, _walks(spark, g))
-    best = sim.best_match(c)
-    n = c.groupBy("p_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_matches"))
-    return best.join(n, "p_id")
+    walked = _walks(spark, g).select(F.col("node_id").alias("id")).distinct()
+    return sim.best_match_counted(g.o_nodes, g.p_nodes.join(walked, "id", "left_semi"))
 
 
 @register
@@ -371,7 +363,7 @@ def _replayed(spark, sf_dir):
 @register
 def q_start_positions(spark, sf_dir):
     games = R.with_rounds(fx.moves(spark, sf_dir)).select("game_id", "round").distinct()
-    return R.start_positions(games)
+    return R.start_positions(games, fx.board_nodes(spark).select(F.col("id").alias("node")))
 
 
 @register
@@ -488,3 +480,72 @@ def q_moves_per_window(spark, sf_dir):
 def q_score_text(spark, sf_dir):
     """One text block per scored node pair."""
     return M.score_text(M.node_traceability_running(_node_score_rows(_pair(spark, sf_dir))))
+
+
+# --- Further operators ----------------------------------------------------------
+
+@register
+def q_adjacency_dense(spark, sf_dir):
+    """Cost rows over the start node of the walks and its successors."""
+    g = _pair(spark, sf_dir)
+    start = graph.walk_start(g.p_edges).select(F.col("start_id").alias("src"))
+    ids = start.select(F.col("src").alias("id")).unionByName(
+        g.p_edges.join(start, "src", "left_semi").select(F.col("dst").alias("id")))
+    dense = graph.adjacency_dense(ids, g.p_edges)
+    return dense.select("node", F.array_join(F.transform("costs", graph.format_cost), ",").alias("costs"))
+
+
+@register
+def q_has_edge(spark, sf_dir):
+    """Original edges that are still there."""
+    g = _pair(spark, sf_dir)
+    return graph.has_edge(g.o_edges.select("src", "dst"), g.p_edges)
+
+
+@register
+def q_reconcile(spark, sf_dir):
+    """T4: the diff against an operation log without modifications, in which removed edges were added first."""
+    g = _pair(spark, sf_dir)
+    delta = diff.as_delta(diff.node_diff(g.o_nodes, g.p_nodes), diff.edge_diff(g.o_edges, g.p_edges), g.p_edges)
+    undone = delta.where("entity = 'Edges' AND change = 'Removed'").withColumn("change", F.lit("Added"))
+    path = _scratch(spark, "log")
+    log = delta.where("change <> 'Modified'").unionByName(undone)
+    SK.write_text(SK.delta_report_docs(log), path)
+    return diff.reconcile(delta, RD.read_delta(spark, path))
+
+
+@register
+def q_best_match_top3(spark, sf_dir):
+    """X10 with k = 3 among pairs of 60 points and more."""
+    g = _pair(spark, sf_dir)
+    return sim.best_match(sim.candidate_pairs(g.o_nodes, g.p_nodes, 60), top_k=3)
+
+
+@register
+def q_walk_node_stats(spark, sf_dir):
+    """A8 over visited node ids."""
+    w = _walks(spark, _pair(spark, sf_dir))
+    return W.walk_stats(None, w, over="node_id")
+
+
+@register
+def q_pair_text(spark, sf_dir):
+    """S6 + K6: node pairs written as combined lines and read back by name."""
+    g = _pair(spark, sf_dir)
+    path = _scratch(spark, "pairs")
+    SK.write_combined_pairs(sim.pairs_by_id(g.o_nodes, g.p_nodes), path)
+    return codecs.read_pairs(spark, path)
+
+
+@register
+def q_moves_json(spark, sf_dir):
+    """Moves through Move documents and back."""
+    return codecs.moves_from_json(codecs.moves_to_json(fx.moves(spark, sf_dir), fx.board_nodes(spark)))
+
+
+@register
+def q_status_of_users(spark, sf_dir):
+    """M6 + P8: status of every user who sent a move, players or not."""
+    from ..operators import status as ST
+    users = fx.moves(spark, sf_dir).select("game_id", F.col("user").alias("role"))
+    return ST.status_of(users, _status(spark, sf_dir))

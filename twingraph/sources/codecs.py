@@ -53,21 +53,65 @@ def node_rejects(parsed: DataFrame) -> DataFrame:
     return parsed.where(~F.col("valid"))
 
 
-_JSON_SCHEMA = T.StructType(
-    [f if f.name != "valuable_data" else T.StructField("valuable_data", T.StringType()) for f in NODE.fields])
+# FIXED values: keys of the JSON documents, in the order of NODE_FIELDS.
+_JSON_KEYS = ["id", "children", "props", "currentDepth", "propValueRange", "maxDepth",
+              "maxBranchingFactor", "maxProperties", "storedValue", "valuableData"]
+# The flag is written as a string.
+_NODE_JSON = T.StructType([T.StructField(k, T.StringType() if f.name == "valuable_data" else f.dataType)
+                           for k, f in zip(_JSON_KEYS, NODE.fields)])
+_MOVE_JSON = T.StructType([T.StructField("userId", T.StringType()), T.StructField("node", _NODE_JSON)])
+
+
+def _json_node(prefix: str = "") -> F.Column:
+    """The NODE columns ``<prefix><field>`` as one JSON-shaped struct."""
+    return F.struct(*[F.col(f"{prefix}{c}").cast("string" if c == "valuable_data" else NODE[c].dataType).alias(k)
+                      for c, k in zip(NODE_FIELDS, _JSON_KEYS)])
+
+
+def _node_columns(doc: str) -> list[F.Column]:
+    return [F.col(f"{doc}.{k}").try_cast(NODE[c].dataType).alias(c) for c, k in zip(NODE_FIELDS, _JSON_KEYS)]
 
 
 def nodes_to_json(nodes: DataFrame) -> DataFrame:
     """One JSON document per node; the flag is written as a string."""
-    cols = [F.col(c) if c != "valuable_data" else F.col(c).cast("string").alias(c) for c in NODE_FIELDS]
-    return nodes.select(F.to_json(F.struct(*cols)).alias("json"))
+    return nodes.select(F.to_json(_json_node()).alias("json"))
+
+
+def _read_nodes(docs: DataFrame, col: str) -> DataFrame:
+    parsed = docs.select(F.col(col).alias("_doc"), F.from_json(F.col(col), _NODE_JSON).alias("n"))
+    return parsed.select("_doc", *_node_columns("n"))
+
+
+def _complete() -> F.Column:
+    ok = F.lit(True)
+    for c in NODE_FIELDS:
+        ok = ok & F.col(c).isNotNull()
+    return ok
 
 
 def nodes_from_json(docs: DataFrame, col: str = "json") -> DataFrame:
-    """Read node documents back; the string flag is cast to boolean."""
-    parsed = docs.select(F.from_json(F.col(col), _JSON_SCHEMA).alias("n"))
-    return parsed.select(*[F.col(f"n.{c}") if c != "valuable_data"
-                           else F.col("n.valuable_data").cast("boolean").alias(c) for c in NODE_FIELDS])
+    """Read node documents back; those with a missing or mistyped field are left to :func:`json_rejects`."""
+    return _read_nodes(docs, col).where(_complete()).drop("_doc")
+
+
+def json_rejects(docs: DataFrame, col: str = "json") -> DataFrame:
+    """The documents that lack a field or hold one of another type, as they are (column ``col``)."""
+    return _read_nodes(docs, col).where(~_complete()).select(F.col("_doc").alias(col))
+
+
+def moves_to_json(moves: DataFrame, nodes: DataFrame) -> DataFrame:
+    """One Move document per move whose target is a node: ``(game_id, seq, json)``."""
+    at = nodes.select(*[F.col(c).alias(f"_n_{c}") for c in NODE_FIELDS])
+    j = moves.join(at, moves["target"] == at["_n_id"])
+    doc = F.struct(F.col("user").alias("userId"), _json_node("_n_").alias("node"))
+    return j.select("game_id", "seq", F.to_json(doc).alias("json"))
+
+
+def moves_from_json(docs: DataFrame, col: str = "json") -> DataFrame:
+    """Move documents as their other columns, ``user`` and the NODE columns of the target."""
+    rest = [c for c in docs.columns if c != col]
+    parsed = docs.select(*rest, F.from_json(F.col(col), _MOVE_JSON).alias("m"))
+    return parsed.select(*rest, F.col("m.userId").alias("user"), *_node_columns("m.node"))
 
 
 def pair_lines(pairs: DataFrame) -> DataFrame:

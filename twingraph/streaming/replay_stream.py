@@ -32,18 +32,20 @@ STATE_SCHEMA = ("t long, p long, turn string, verdict string, round long, next_s
                 "started boolean, pending string")
 
 
-def _placement(game: int, rnd: int, facts: dict) -> tuple[int, int, str | None]:
-    t = (game * 7 + rnd * 3 + 1) % C.BOARD_SIZE
-    p = (game * 11 + rnd * 5 + 5) % C.BOARD_SIZE
-    tf, pf = facts.get(t, (False, False)), facts.get(p, (False, False))
-    if tf[1]:
+def _placement(game: int, rnd: int, facts: dict) -> tuple[int | None, int | None, str | None]:
+    ids = list(facts)  # ascending, see board_fact_map
+    if not ids:
+        return None, None, None
+    t = ids[(game * 7 + rnd * 3 + 1) % len(ids)]
+    p = ids[(game * 11 + rnd * 5 + 5) % len(ids)]
+    if facts[t][1]:
         v = "thief_wins"
-    elif t == p:
-        v = "policeman_wins"
-    elif tf[0]:
+    elif facts[t][0]:
         v = "thief_no_moves"
-    elif pf[0]:
+    elif facts[p][0]:
         v = "policeman_no_moves"
+    elif t == p:
+        v = "policeman_wins"
     else:
         v = None
     return t, p, v
@@ -105,7 +107,8 @@ def _make_fold(facts: dict):
         for pdf in batches:
             for rec in pdf.to_dict("records"):
                 rec["nbrs"] = None if rec["nbrs"] is None else [int(x) for x in rec["nbrs"]]
-                buf[int(rec["seq"])] = rec
+                if int(rec["seq"]) >= next_seq:  # a move sent again is applied once
+                    buf.setdefault(int(rec["seq"]), rec)
         out = []
         while next_seq in buf:
             rec = buf.pop(next_seq)
@@ -128,7 +131,7 @@ def board_fact_map(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, dict]
     if n > BOARD_MAX_NODES:
         raise ValueError(f"board has {n} nodes; the streaming replay ships at most {BOARD_MAX_NODES}")
     small = {int(r["node"]): (bool(r["sink"]), bool(r["valuable"]))
-             for r in facts.select("node", "sink", "valuable").collect()}
+             for r in facts.select("node", "sink", "valuable").orderBy("node").collect()}
     return facts, small
 
 
