@@ -95,6 +95,21 @@ def test_windowed_counts_drop_late_rows(spark, tmp_dir):
     assert closed.count() >= 0.9 * batch.count()
 
 
+def test_start_positions_are_nodes_of_the_board(spark):
+    nodes = spark.createDataFrame([(n,) for n in (100, 7, 52)], "node long")
+    games = spark.createDataFrame([(1, 0), (2, 0), (2, 1)], "game_id long, round long")
+    got = {(r["game_id"], r["round"]): (r["thief_start"], r["police_start"]) for r in R.start_positions(games, nodes).collect()}
+    order = [7, 52, 100]
+    assert got == {(g, r): (order[(g * 7 + r * 3 + 1) % 3], order[(g * 11 + r * 5 + 5) % 3]) for g, r in [(1, 0), (2, 0), (2, 1)]}
+    assert R.start_positions(games, nodes.where("node < 0")).where("thief_start is null and police_start is null").count() == 3
+
+
+def test_no_moves_comes_before_caught(spark):
+    facts = spark.createDataFrame([(3, True, False)], "node long, sink boolean, valuable boolean")
+    mv = spark.createDataFrame([(1, 0)], "game_id long, round long")
+    assert R.placement(mv, facts).first()["placement_verdict"] == "thief_no_moves"
+
+
 def test_chunked_fold_equals_single_pass(spark):
     """Folding in passes of 7 moves per game gives exactly the single-pass result."""
     nodes, edges = _board(spark)

@@ -41,6 +41,17 @@ def test_best_match_ladder_equals_plain(graphs):
     assert a.exceptAll(b).count() == 0
 
 
+def test_equal_nodes_and_large_values(spark, graphs):
+    """Every copy of a node gets its match, ties go to the smallest id, large ranges need few buckets."""
+    rows = [(i, 3, 4, 1, 1_000_000 + i // 2, 2, 5, 6, 0.0, i == 0) for i in range(6)]
+    o = spark.createDataFrame(rows, graphs.o_nodes.schema)
+    p = o.withColumn("id", F.col("id") + 100)
+    best = {r["p_id"]: (r["o_id"], r["pts"]) for r in sim.best_match_exact(o, p).collect()}
+    assert best == {100: (0, 90), **{100 + i: (0, 75) for i in range(1, 6)}}
+    counted = {r["p_id"]: r["n_matches"] for r in sim.best_match_counted(o, p).collect()}
+    assert counted == {100 + i: 6 for i in range(6)}
+
+
 def test_top_k_ranks(graphs):
     cand = sim.candidate_pairs(graphs.o_nodes, graphs.p_nodes, 41)
     top2 = sim.best_match(cand, top_k=2)
