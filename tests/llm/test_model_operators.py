@@ -117,6 +117,20 @@ def test_article_inside_dropped_parts_and_comments():
     assert html_extract.extract("<main><p>m</p><aside>no</aside></main>x", "") == "m"
 
 
+@pytest.mark.parametrize("inner", [
+    '<p style="overflow:hidden">x</p>', '<p title="hidden gems">x</p>', "<a href=/hidden/x>x</a>", '<div data-id="sidebar">x</div>',
+    '<h2 id="related-work">x</h2>', '<p id="search-results">x</p>', '<section id="related-work">x</section>', '<h2 id="main">x</h2>',
+    '<svg class="icon"/>x', "<math/>x", "<svg/>x<svg><text>no</text></svg>", "<title-block>x</title-block>"])
+def test_article_text_that_only_looks_like_boilerplate(inner):
+    assert html_extract.extract(f"<article><p>a</p>{inner}<p>b</p></article><p>c</p>", "") == "a x b"
+    assert html_extract.extract(f"<div><p>a</p>{inner}<p>b</p></div>", "") == "a x b"
+
+
+def test_hidden_and_named_containers_stay_out():
+    assert html_extract.extract('<article id="alert-systems">a<p hidden>no</p><div HIDDEN="">no</div></article>b', "") == "a"
+    assert html_extract.extract('<article>a<div id="cookie-notice">no</div><div class="promo-box">no</div></article>', "") == "a"
+
+
 def accuracy(spark, name, label):
     out = queries()[name](spark, MID)
     assert out.count() == spark.read.parquet(f"{MID}/documents.parquet").count()

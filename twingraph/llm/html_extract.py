@@ -30,10 +30,11 @@ from .common import materialise, positive_partitions, small_batches
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
-    r"|<(script|style|noscript|template|svg|iframe|textarea|select|title|button|object|canvas|math|audio|video|xmp)\b"
+    r"|<(?:svg|math)(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>"
+    r"|<(script|style|noscript|template|svg|iframe|textarea|select|title|button|object|canvas|math|audio|video|xmp)(?=[\s/>])"
     r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.S | re.I)
-ATTRIBUTE = re.compile(r"(class|id|role|itemprop|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 NAME = re.compile(r"[a-z]+")
 
 # The roles of HTML elements, and words that sites use in class and id names.
@@ -57,18 +58,29 @@ class Element:
 
     def __init__(self, tag: str, attributes: str):
         self.tag, self.names, hidden = tag, (), False
+        found: dict[str, str] = {}
         if attributes:
-            found = {m[1].lower(): (m[2] or "").strip("\"'").lower() for m in ATTRIBUTE.finditer(attributes)}
+            for m in ATTRIBUTE.finditer(attributes):
+                found.setdefault(m[1].lower(), (m[2] or "").strip("\"'").lower())
             hidden = "hidden" in found or found.get("aria-hidden") == "true"
             self.names = tuple(NAME.findall(" ".join(found.get(k, "") for k in ("class", "id", "role", "itemprop"))))
-        self.main = tag in ("article", "main") or any(n in MAIN_NAMES for n in self.names)
-        named = any(n in BOILERPLATE_NAMES for n in self.names)
+        self.main = tag in ("article", "main") or tag in CONTAINERS and any(n in MAIN_NAMES for n in self.names)
+        named = bool(self.names) and tag in CONTAINERS and self.is_boilerplate(found)
         self.drop = hidden or tag in BOILERPLATE or (named and tag not in ("html", "body"))
         if self.main and named:
             self.main = False  # an advertisement or a comment marked up as an article
         elif self.main:
             self.drop = hidden
 
+    def is_boilerplate(self, found: dict[str, str]) -> bool:
+        """Whether names mark a container: any part of a class, an id only with all its parts (ids are anchors
+        of headings as well), an article only by a whole class or role."""
+        if self.tag in ("article", "main"):
+            return any(n in BOILERPLATE_NAMES for k in ("class", "role") for n in found.get(k, "").split())
+        anchor = NAME.findall(found.get("id", ""))
+        return (bool(anchor) and all(n in BOILERPLATE_NAMES for n in anchor)
+                or any(n in BOILERPLATE_NAMES for k in ("class", "role", "itemprop") for n in NAME.findall(found.get(k, ""))))
+
     @property
     def sign(self) -> str:
         return ".".join((self.tag, *self.names)) if self.names else self.tag
