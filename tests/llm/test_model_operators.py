@@ -111,6 +111,23 @@ def test_wrapper_finds_the_article_without_landmarks(spark):
     assert html_extract.extract_pages(df.limit(0)).count() == 0
 
 
+BOXED = """<html><body><div class="top">Our site</div><article><h1>Title %d</h1><p>Text number %d here</p>%s
+<div class="qx1"><p>Get our letter</p><p>every week</p></div><p>The end of %d</p></article><div class="below">Imprint</div></body></html>"""
+TEASED = """<html><body><article class="qx2"><p>Buy a boat today</p></article><div class="qx3"><h2>Head %d</h2>
+<p>The running text of page %d</p></div></body></html>"""
+
+
+def test_wrapper_cuts_template_text_and_chooses_the_region(spark):
+    rows = [(i, f"http://a.example/{i}", BOXED % (i, i, f"<p>more {i}</p>" * (i % 3), i)) for i in range(9)]
+    rows += [(20 + i, f"http://b.example/{i}", TEASED % (i, i)) for i in range(9)]
+    rows += [(40 + i, "http://c.example/", BOXED % (1, 1, "", 1)) for i in range(5)]  # copies: nothing tells the box apart
+    out = {r.page_id: r.text for r in html_extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(9):
+        assert out[i] == f"Title {i} Text number {i} here " + f"more {i} " * (i % 3) + f"The end of {i}"
+        assert out[20 + i] == f"Head {i} The running text of page {i}"
+    assert {out[40 + i] for i in range(5)} == {"Title 1 Text number 1 here Get our letter every week The end of 1"}
+
+
 def test_article_inside_dropped_parts_and_comments():
     assert html_extract.extract('<div class="ad">ad<article>art</article>', "") == "art"
     assert html_extract.extract('<article>a<article class="comment">no</article>b</article>', "") == "a b"

@@ -5,8 +5,10 @@ stream of tags and text slots. Repeated runs of the stream fold into ``( )+``
 groups; streams are then aligned one after the other: what matches stays, what
 only one of them has becomes optional, and texts that differ become slots, while
 texts that are the same everywhere stay constant. The result is the wrapper of the
-class. It says which container holds the varying running text where the markup
-names no article.
+class. It says which container holds the varying running text (an article or main
+element is only a hint for that), and which boxes inside it hold nothing but constant
+text. Each page is aligned with the wrapper of its class, and what falls into
+constant boxes is cut out of its text.
 
 Tasks infer wrappers of their own pages, and the wrappers are aligned with each
 other in two grouped steps; so a host with a third of all pages meets in one task
@@ -16,6 +18,7 @@ only as one small wrapper per earlier task.
 from __future__ import annotations
 
 import html
+import itertools
 import json
 import re
 import zlib
@@ -139,18 +142,25 @@ def frame(stream: list[tuple]) -> str:
 
 
 # --- wrappers: lists of items. A tag is {"t": sign}; a text slot {"s": path, "h": hash or None,
-# "n": pages, "c": characters, "l": characters in links, "d": in dropped parts}; a repeated group
-# {"r": items}. "o": True marks what not every page has.
+# "n": pages, "c": characters, "l": characters in links, "d": in dropped parts, "m": inside an article};
+# a repeated group {"r": items}. "o": True marks what not every page has, "k": True a slot to cut. Slots
+# of a single page may carry "i": the positions of their texts in the stream.
 
-def items_of(stream: list[tuple]) -> list[dict]:
+LEAST_PAGES = 3            # pages that show a text before it can be template text,
+LEAST_OPTIONAL_PAGES = 10  # and if it is not on every page of the class
+
+
+def items_of(stream: list[tuple], positions: bool = False) -> list[dict]:
     out = []
-    for t in stream:
+    for at, t in enumerate(stream):
         if t[0] != "text":
             out.append({"t": ("/" if t[0] == "close" else "") + t[1]})
         elif t[1].strip():
             text = t[1].strip()
             out.append({"s": t[2], "h": zlib.crc32(text.encode("utf-8", "replace")), "n": 1, "c": len(text),
-                        "l": len(text) if t[4] else 0, "d": t[3] == 0})
+                        "l": len(text) if t[4] else 0, "d": t[3] == 0, "m": t[3] == 2})
+            if positions:
+                out[-1]["i"] = [at]
     return out
 
 
@@ -167,8 +177,14 @@ def both(a: dict, b: dict, same_page: bool) -> dict:
     if "t" in a:
         out = {"t": a["t"]}
     elif "s" in a:
-        out = {"s": a["s"], "h": a["h"] if a["h"] == b["h"] else None, "n": max(a["n"], b["n"]) if same_page else a["n"] + b["n"],
-               "c": a["c"] + b["c"], "l": a["l"] + b["l"], "d": a["d"] and b["d"]}
+        if same_page:  # the texts of a repeated slot are constant together
+            h = None if a["h"] is None or b["h"] is None else a["h"] + b["h"] & 0xFFFFFFFF
+        else:
+            h = a["h"] if a["h"] == b["h"] else None
+        out = {"s": a["s"], "h": h, "n": max(a["n"], b["n"]) if same_page else a["n"] + b["n"],
+               "c": a["c"] + b["c"], "l": a["l"] + b["l"], "d": a["d"] and b["d"], "m": a["m"] and b["m"]}
+        if "i" in a and "i" in b:
+            out["i"] = a["i"] + b["i"]
     else:
         out = {"r": align(a["r"], b["r"], same_page)}
     if a.get("o") or b.get("o"):
@@ -235,6 +251,14 @@ def align(a: list[dict], b: list[dict], same_page: bool = False) -> list[dict]:
     if [sign(i) for i in a] == [sign(i) for i in b]:
         return [both(x, y, same_page) for x, y in zip(a, b)]
     a, b = wrap_known(a, b), wrap_known(b, a)
+    whole = []
+    for x, y in _pairs(a, b):
+        whole.append(both(x, y, same_page) if x and y else (x or y) | {"o": True})
+    return fold_repeats(whole)
+
+
+def _pairs(a: list[dict], b: list[dict]) -> Iterator[tuple[dict | None, dict | None]]:
+    """Items of a longest common subsequence in pairs, all others with None on the other side, in order."""
     head = 0
     while head < min(len(a), len(b)) and _matches(a[head], b[head]):
         head += 1
@@ -246,20 +270,31 @@ def align(a: list[dict], b: list[dict], same_page: bool = False) -> list[dict]:
     for i in range(len(x) - 1, -1, -1):
         for j in range(len(y) - 1, -1, -1):
             best[i][j] = best[i + 1][j + 1] + 1 if _matches(x[i], y[j]) else max(best[i + 1][j], best[i][j + 1])
-    middle, i, j = [], 0, 0
+    yield from zip(a[:head], b[:head])
+    i = j = 0
     while i < len(x) or j < len(y):
         if i < len(x) and j < len(y) and _matches(x[i], y[j]):
-            middle.append(both(x[i], y[j], same_page))
+            yield x[i], y[j]
             i, j = i + 1, j + 1
         elif j == len(y) or i < len(x) and best[i + 1][j] >= best[i][j + 1]:
-            middle.append(x[i] | {"o": True})
+            yield x[i], None
             i += 1
         else:
-            middle.append(y[j] | {"o": True})
+            yield None, y[j]
             j += 1
-    whole = ([both(p, q, same_page) for p, q in zip(a[:head], b[:head])] + middle
-             + [both(p, q, same_page) for p, q in zip(a[len(a) - tail:], b[len(b) - tail:])])
-    return fold_repeats(whole)
+    yield from zip(a[len(a) - tail:], b[len(b) - tail:])
+
+
+def template_texts(wrapper: list[dict], page: list[dict]) -> Iterator[int]:
+    """Stream positions of the texts of a page (folded, with positions) that stand in slots to cut."""
+    if [sign(i) for i in wrapper] != [sign(i) for i in page]:
+        wrapper, page = wrap_known(wrapper, page), wrap_known(page, wrapper)
+    for w, p in _pairs(wrapper, page):
+        if w and p:
+            if "r" in w:
+                yield from template_texts(w["r"], p["r"])
+            elif w.get("k") and w["h"] == p["h"]:
+                yield from p["i"]
 
 
 def expression(wrapper: list[dict]) -> str:
@@ -275,6 +310,10 @@ def _slots(wrapper: list[dict]) -> Iterator[dict]:
             yield i
 
 
+def _varies(slot: dict) -> bool:
+    return slot["h"] is None or slot["n"] == 1
+
+
 def main_container(wrapper: list[dict]) -> str:
     """Path of the container with the most running text in slots that vary (or stand on one page only).
 
@@ -283,7 +322,7 @@ def main_container(wrapper: list[dict]) -> str:
     """
     own: dict[str, int] = {}
     for s in _slots(wrapper):
-        if not s["d"] and (s["h"] is None or s["n"] == 1):
+        if not s["d"] and _varies(s):
             own[s["s"]] = own.get(s["s"], 0) + s["c"] - 2 * s["l"]
     if not own:
         return ""
@@ -298,13 +337,59 @@ def main_container(wrapper: list[dict]) -> str:
         at = top
 
 
-def extract(source: str | None, container: str) -> str:
-    """The main text of one page, given the main container of its class."""
+def article_is_main(wrapper: list[dict]) -> bool:
+    """Whether the hint of an article or main element holds: text varies in it, and running text outside is not four times as much."""
+    varying = [s for s in _slots(wrapper) if not s["d"] and _varies(s)]
+    if not varying:
+        return any(s["m"] for s in _slots(wrapper))
+    inside, outside = (sum(s["c"] - 2 * s["l"] for s in varying if s["m"] is m) for m in (True, False))
+    return any(s["m"] for s in varying) and outside <= 4 * max(inside, 0)
+
+
+def mark_template(wrapper: list[dict]) -> bool:
+    """Mark the slots to cut ("k") and tell whether there are any.
+
+    These are constant texts on enough pages whose innermost container holds no text that varies. A
+    constant heading or phrase beside varying text belongs to it. Where nothing varies at all (one page,
+    or copies of one) nothing is marked.
+    """
+    kept, slots, opened, boxes = set(), [], [(0, "")], itertools.count(1)
+    pages = max((s["n"] for s in _slots(wrapper)), default=0)
+
+    def walk(items: list[dict], optional: bool) -> None:
+        for i in items:
+            if "r" in i:
+                walk(i["r"], optional or i.get("o", False))
+            elif "t" in i and i["t"].lstrip("/").split(".")[0] in CONTAINERS:
+                if not i["t"].startswith("/"):
+                    opened.append((next(boxes), i["t"]))
+                elif at := next((k for k in range(len(opened) - 1, 0, -1) if opened[k][1] == i["t"][1:]), 0):
+                    del opened[at:]
+            elif "s" in i and not i["d"]:
+                least = LEAST_OPTIONAL_PAGES if optional or i.get("o") else LEAST_PAGES
+                constant = i["h"] is not None and i["n"] >= least and 2 * i["n"] > pages
+                if not constant:
+                    kept.update(n for n, _ in opened)
+                slots.append((i, constant, opened[-1][0]))
+
+    walk(wrapper, False)
+    if all(constant for _, constant, _ in slots):
+        return False
+    marked = [i for i, constant, box in slots if constant and box not in kept]
+    for i in marked:
+        i["k"] = True
+    return bool(marked)
+
+
+def extract(source: str | None, container: str, article: bool = True, wrapper: list[dict] | None = None) -> str:
+    """The main text of one page, given the main container of its class, whether articles are the
+    main region there, and the marked wrapper if it has slots to cut."""
     stream = page_stream(source)
-    inside = any(t[0] == "text" and t[3] == 2 and t[1].strip() for t in stream)
+    cut = set(template_texts(wrapper, fold_repeats(items_of(stream, True)))) if wrapper else ()
+    inside = article and any(t[0] == "text" and t[3] == 2 and t[1].strip() for t in stream)
     blocks: dict[int, list[str]] = {}
-    for t in stream:
-        if t[0] == "text" and (t[3] == 2 if inside else t[3] == 1 and (
+    for at, t in enumerate(stream):
+        if t[0] == "text" and at not in cut and (t[3] == 2 if inside else t[3] != 0 and (
                 not container or t[2] == container or t[2].startswith(container + ">"))):
             blocks.setdefault(t[5], []).append(t[1])
     texts = (" ".join(html.unescape("".join(parts)).split()) for parts in blocks.values())
@@ -320,7 +405,11 @@ def _dump(wrapper: list[dict]) -> str:
 
 
 def infer_wrappers(df: DataFrame, url: str = "url", source: str = "html") -> DataFrame:
-    """``host, frame, wrapper (JSON), expression, container`` of every page class."""
+    """``host, frame, wrapper (JSON), expression, container, article, template`` of every page class.
+
+    ``article`` tells whether article and main elements are the main region, and ``template`` is the
+    wrapper with its slots to cut marked (null if it has none).
+    """
     spark = df.sparkSession
     n = positive_partitions(spark)
     pages = df.select(_host(df[url]).alias("host"), df[source].cast("string").alias("_html"))
@@ -384,10 +473,12 @@ def infer_wrappers(df: DataFrame, url: str = "url", source: str = "html") -> Dat
         for b in batches:
             parsed = [json.loads(w) for w in b.column("wrapper").to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(list(map(expression, parsed)), pa.string()),
-                                              pa.array(list(map(main_container, parsed)), pa.string())],
-                                             names=["host", "frame", "wrapper", "expression", "container"])
+                                              pa.array(list(map(main_container, parsed)), pa.string()),
+                                              pa.array(list(map(article_is_main, parsed)), pa.bool_()),
+                                              pa.array([_dump(w) if mark_template(w) else None for w in parsed], pa.string())],
+                                             names=["host", "frame", "wrapper", "expression", "container", "article", "template"])
 
-    return part.mapInArrow(finish, schema + ", expression string, container string")
+    return part.mapInArrow(finish, schema + ", expression string, container string, article boolean, template string")
 
 
 def extract_pages(df: DataFrame, page_id: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
@@ -396,7 +487,7 @@ def extract_pages(df: DataFrame, page_id: str = "page_id", url: str = "url", sou
     Pages without a host form a class of their own. Repeated rows come out each;
     other columns are ignored; no rows give no rows.
     """
-    wrappers, _ = materialise(infer_wrappers(df, url, source).select("host", "frame", "container"), "wrappers")
+    wrappers, _ = materialise(infer_wrappers(df, url, source).select("host", "frame", "container", "article", "template"), "wrappers")
     pages = df.select(df[page_id].alias("page_id"), df[url].alias("url"), _host(df[url]).alias("host"),
                       df[source].cast("string").alias("_html"))
     with_frame = T.StructType([*pages.schema.fields, T.StructField("frame", T.StringType())])
@@ -408,12 +499,19 @@ def extract_pages(df: DataFrame, page_id: str = "page_id", url: str = "url", sou
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(shapes, pa.string())], names=with_frame.names)
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parsed: dict[str, list[dict]] = {}
         for big in batches:
             for b in small_batches(big, "_html", 1 << 20):
-                out = [extract(t, c or "") for t, c in zip(b.column("_html").to_pylist(), b.column("container").to_pylist())]
+                out = []
+                for t, c, m, w in zip(*(b.column(k).to_pylist() for k in ("_html", "container", "article", "template"))):
+                    if w is not None and w not in parsed:
+                        if len(parsed) == 256:
+                            parsed.clear()
+                        parsed[w] = json.loads(w)
+                    out.append(extract(t, c or "", m is not False, parsed.get(w)))
                 yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(out, pa.string())],
                                                  names=["page_id", "url", "text"])
 
     joined = (pages.mapInArrow(framed, with_frame).join(wrappers, ["host", "frame"], "left")
-              .select("page_id", "url", "_html", "container"))
+              .select("page_id", "url", "_html", "container", "article", "template"))
     return joined.mapInArrow(texts, T.StructType([pages.schema["page_id"], pages.schema["url"], T.StructField("text", T.StringType(), False)]))
