@@ -161,6 +161,14 @@ def test_toxicity_held_out_accuracy(spark):
     assert accuracy(spark, "op5_toxicity", "toxic") >= 0.9
 
 
+def test_toxic_words_in_a_small_share_of_toxic_texts(spark):
+    toxic = [(f"common{'x' if i % 2 else 'y'} w{i:04d}" if i >= 8 else f"plain rareslur words {'abcdefgh'[i]}", 1) for i in range(1000)]
+    clean = [(f"plain filler words {chr(97 + i % 26)}{chr(97 + i // 26)}", 0) for i in range(600)]
+    weights = toxicity.learn_lexicon(spark.createDataFrame(toxic + clean, "text string, toxic int"))
+    m = toxicity.Matcher(weights, ())
+    assert m.raw("plain rareslur") > 0 and m.raw("commonx") > 0 and m.raw("plain filler words") == 0
+
+
 def test_quality_held_out_accuracy(spark):
     assert accuracy(spark, "op9_quality_classifier", "quality") >= 0.95
 

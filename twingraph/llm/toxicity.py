@@ -23,12 +23,10 @@ from .calibration import fit_isotonic
 from .common import materialise, small_batches, with_text
 
 MAX_LABELLED = 40_000   # labelled rows that the lexicon is learned from, at most
-MAX_CANDIDATES = 50_000
 MAX_TERMS = 5_000
 COUNTED_AT_ONCE = 200_000  # terms that a task counts before it passes the counts on
 PREFIX = range(3, 11)
-MIN_SUPPORT = 4         # toxic texts that a term must stand in, and their least share
-MIN_SHARE = 0.01
+MIN_SUPPORT = 4         # toxic texts that a term must stand in
 MIN_PRECISION = 0.6     # lower confidence bound of a term's share of toxic texts
 
 # Letters that look like Latin ones (Cyrillic, Greek), and signs read as letters.
@@ -93,46 +91,47 @@ class Matcher:
         return total / np.sqrt(max(folded.count(" ") - 1, 1)) if total else 0.0
 
 
+def _low(t, c, root):
+    """Lower confidence bound of the share of toxic texts, of numbers or columns."""
+    n, z = t + c, 1.64
+    share = t / n
+    return (share + z * z / (2 * n) - z * root(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
 def learn_lexicon(texts: DataFrame) -> dict[str, float]:
     """Weights of the terms that mark toxic texts; ``texts`` has ``text`` and ``toxic`` (0/1).
 
-    Equal texts count once. Candidates are the terms of toxic texts; they are then
-    counted in the clean ones. Of beginnings with one count the longest stands for
+    Equal texts count once. Terms are counted in toxic and clean texts, and those that
+    stand in enough toxic ones with a high share of them are collected. Of beginnings with one count the longest stands for
     all; a longer one is dropped where a shorter one that is kept already marks it.
     """
-    spark = texts.sparkSession
     once = texts.groupBy("text").agg(F.max("toxic").alias("toxic"))
     sizes = {r["toxic"]: r["count"] for r in once.groupBy("toxic").count().collect()}
     if not sizes.get(1) or not sizes.get(0):
         return {}
 
-    def counted(df: DataFrame, among: frozenset | None) -> DataFrame:
-        known = spark.sparkContext.broadcast(among) if among is not None else None
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seen: dict[str, int] = {}
-            for big in batches:
-                for b in small_batches(big, "text", 1 << 20):
-                    for t in b.column("text").to_pylist():
-                        for term in text_terms(t) if known is None else text_terms(t) & known.value:
-                            seen[term] = seen.get(term, 0) + 1
-                    if len(seen) > COUNTED_AT_ONCE:
-                        yield counts(seen)
-                        seen = {}
-            yield counts(seen)
-
-        def counts(seen: dict[str, int]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
-                                              names=["term", "n"])
-
-        return df.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-
-    toxic = (counted(once.where("toxic = 1"), None).where(F.col("n") >= max(MIN_SUPPORT, MIN_SHARE * sizes[1]))
-             .orderBy(F.desc("n"), "term").limit(MAX_CANDIDATES).collect())
-    hits = {r["term"]: r["n"] for r in toxic}
-    if not hits:
-        return {}
-    clean = {r["term"]: r["n"] for r in counted(once.where("toxic = 0"), frozenset(hits)).collect()}
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, list[int]] = {}
+        for big in batches:
+            for b in small_batches(big, "text", 1 << 20):
+                for t, label in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
+                    for term in text_terms(t):
+                        seen.setdefault(term, [0, 0])[label] += 1
+                if len(seen) > COUNTED_AT_ONCE:
+                    yield counts(seen)
+                    seen = {}
+        yield counts(seen)
+
+    def counts(seen: dict[str, list[int]]) -> pa.RecordBatch:
+        clean, toxic = ([v[k] for v in seen.values()] for k in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(toxic, pa.int64()), pa.array(clean, pa.int64())],
+                                          names=["term", "t", "c"])
+
+    found = once.select("text", "toxic").mapInArrow(counted, "term string, t long, c long")
+    found = found.groupBy("term").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).where(F.col("t") >= MIN_SUPPORT)
+    # What marks a longer beginning as good as a shorter one has its toxic count and no more clean ones: it passes with it.
+    rows = found.where(_low(F.col("t"), F.col("c"), F.sqrt) >= MIN_PRECISION - 1e-9).collect()
+    hits, clean = {r["term"]: r["t"] for r in rows}, {r["term"]: r["c"] for r in rows}
     longer = {}  # the largest count among the entries that go on from a beginning
     for term, n in hits.items():
         word = term.strip()
@@ -140,10 +139,8 @@ def learn_lexicon(texts: DataFrame) -> dict[str, float]:
             longer[f" {word[:k]}"] = max(longer.get(f" {word[:k]}", 0), n)
     weights: dict[str, float] = {}
     for term in sorted(hits, key=lambda t: (len(t.rstrip()) + t.endswith(" "), t)):
-        t, c = hits[term], clean.get(term, 0)
-        share, n, z = t / (t + c), t + c, 1.64
-        low = (share + z * z / (2 * n) - z * np.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
-        if low < MIN_PRECISION or longer.get(term, 0) == t:
+        t, c = hits[term], clean[term]
+        if _low(t, c, np.sqrt) < MIN_PRECISION or longer.get(term, 0) == t:
             continue
         word = term.strip()
         if any(f" {word[:k]}" in weights for k in PREFIX if k <= len(word) and f" {word[:k]}" != term):
