@@ -30,12 +30,18 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the document with the smallest id; rows with one id are one document."""
+    """Of each group of linked fingerprints one row: the one with the smallest id, null ids last.
+
+    A row is known by its id and a hash of all its columns, so rows that share an id, or have
+    none, but not a text are documents of their own; rows that are equal throughout are one.
+    """
     share_package(spark)
-    groups = simhash.near_duplicates(docs, shingle=3, radius=3)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
-    return rows.dropDuplicates(["doc_id"]).select(*docs.columns)
+    content = F.sha2(F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"}), 256)
+    rows = docs.withColumn("_row", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", content.alias("content")))
+    groups = simhash.near_duplicates(rows, "_row", shingle=3, radius=3)
+    kept = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id.content").alias("_kept")).distinct()
+    rows = rows.withColumn("_content", F.col("_row.content")).drop("_row").join(kept, F.col("_content") == kept["_kept"], "left_semi")
+    return rows.dropDuplicates(["_content"]).select(*docs.columns)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -223,6 +223,18 @@ def test_pipeline_stages_take_effect(spark):
     assert packed == again
 
 
+def test_pipeline_keeps_a_row_of_every_group_of_texts(spark):
+    import corpus_pipeline
+    texts = [" ".join(f"{w}{k}" for w in "abcdefghij") for k in range(6)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (None, texts[2]), (5, texts[3]), (5, texts[4]),
+            (3, texts[3]), (None, texts[4]), (7, texts[5]), (7, texts[5])]
+    docs = spark.createDataFrame([(*r, "en", "s", 7) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert kept.columns == docs.columns
+    want = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (3, texts[3]), (5, texts[4]), (7, texts[5])]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(map(str, want))
+
+
 def test_pipeline_filters_odd_rows(spark):
     import corpus_pipeline
     docs = spark.createDataFrame([(1, "a b c d", "en", "s", 7), (1, "a b c d", "en", "s", 7), (2, "A b c d", None, None, None),
