@@ -70,6 +70,13 @@ def test_top_k_against_plain(spark):
     assert topk.top_k(table.limit(0), table.limit(0)).count() == 0
 
 
+def test_top_k_of_empty_vectors(spark):
+    df = spark.createDataFrame([(0, []), (1, []), (2, []), (3, [1.0]), (100, [2.0])], "vec_id long, embedding array<double>")
+    table = df.select("vec_id", topk.quantised(F.col("embedding")).alias("vector"))
+    got = sorted(tuple(r) for r in topk.top_k(table, table.where("vec_id % 100 = 0"), 10).collect())
+    assert got == [(0, 1, 1, 0), (0, 2, 2, 0), (100, 1, 3, 1024 * 2048)]
+
+
 def test_top_k_beyond_doubles(spark):
     rows = [(0, [2**40, 3]), (1, [2**20, 1]), (2, [2**20, 2]), (3, [-(2**20), 5])]
     df = spark.createDataFrame(rows, "vec_id long, vector array<long>")

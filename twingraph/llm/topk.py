@@ -36,6 +36,8 @@ def quantised(vector, scale: int = 1024):
 
 def _block_order(m: np.ndarray) -> np.ndarray:
     """Rows sorted by the signs of the terms that spread most: rows of a block are alike."""
+    if not m.shape[1]:
+        return np.arange(len(m))
     strong = np.argsort(-m.std(axis=0), kind="stable")[:16]
     return np.lexsort((m[:, strong] >= np.median(m[:, strong], axis=0)).T[::-1])
 
