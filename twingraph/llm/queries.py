@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embed_dedup, html_extract, packing, quality, simhash, substring_dedup, topk, toxicity
+from . import (
+    bpe,
+    chat,
+    embed_dedup,
+    forced_bpe,
+    hard_negatives,
+    html_extract,
+    packing,
+    quality,
+    simhash,
+    source_audit,
+    substring_dedup,
+    topk,
+    toxicity,
+)
 from .common import fold_of, share_package, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -86,6 +100,25 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op11_source_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.divergence(table(spark, sf_dir, "documents"), least_docs=3, term_ranks=200)
+
+
+def op12_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = forced_bpe.encode(table(spark, sf_dir, "documents"), WORD_BPE)
+    text = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return forced_bpe.decode(ids, WORD_BPE).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(text.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op13_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", hard_negatives.shift_labels(F.col("label"), F.col("vec_id")).alias("label"),
+        topk.quantised(F.col("embedding"), 256).alias("vector"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0, positives=5, negatives=3)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -103,7 +136,7 @@ def _with_workers(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     all_queries = (op1_byte_bpe, op2_simhash_near_dedup, op3_embedding_near_dedup, op4_html_extraction, op5_toxicity,
                    op6_substring_dedup, op7_chat_formatting, op8_exact_top_k, op9_quality_classifier, op10_best_fit_packing,
-                   pipeline)
+                   op11_source_divergence_audit, op12_forced_boundary_bpe, op13_hard_negative_mining, pipeline)
     return {q.__name__: _with_workers(q) for q in all_queries}
 
 
@@ -182,7 +215,55 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+w AS (SELECT rid, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*)::BIGINT AS ln FROM w GROUP BY lang, term HAVING count(DISTINCT rid) >= 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v, sum(ln) AS ln FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY lang, source, term),
+dense AS (
+  SELECT g.lang, g.source, k.term, k.ln, coalesce(c.n, 0) AS n, sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS gn
+  FROM g JOIN k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (
+  SELECT d.lang, d.source, d.term, d.n,
+         (1 + 1000000000::HUGEINT * (d.n + 1) // (d.gn + v.v))::BIGINT AS p,
+         (1 + 1000000000::HUGEINT * (d.ln + 1) // (v.ln + v.v))::BIGINT AS q
+  FROM dense d JOIN v ON v.lang = d.lang),
+f AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM every)
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 200
+"""
+
+OP13_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor, b.vec_id AS other, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+p AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) AS i FROM s WHERE same) WHERE i <= 5),
+n AS (
+  SELECT p.anchor AS anchor_id, p.other AS positive_id, s.other AS negative_id, p.score AS positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY s.score DESC, s.other)::INTEGER AS rank
+  FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {"op3_embedding_near_dedup": OP3_SQL, "op4_html_extraction": OP4_SQL, "op6_substring_dedup": OP6_SQL,
-            "op7_chat_formatting": OP7_SQL, "op8_exact_top_k": OP8_SQL}
+            "op7_chat_formatting": OP7_SQL, "op8_exact_top_k": OP8_SQL, "op11_source_divergence_audit": OP11_SQL,
+            "op13_hard_negative_mining": OP13_SQL}
