@@ -18,59 +18,86 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop_path, materialise, positive_partitions, slices, spans_gather
+from .common import drop_path, materialise, positive_partitions, slices, spans_gather, utf8
 
-BLOCK_BYTES = 16 << 20  # text of a block; a longer document is a block of its own
-TOGETHER = 4            # blocks whose counts are summed before they are shuffled, on average
+BLOCK_BYTES = 8 << 20  # text of a block; a longer document is a block of its own
+TOGETHER = 6            # blocks whose counts are summed before they are shuffled, on average
 SCALE = 1_000_000_000
 # What a term does not hold: ASCII without its letters (fixed pattern; upper case is folded first).
 OUTSIDE_TERMS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 
 
-def _int32(a: np.ndarray) -> bytes:
-    return np.ascontiguousarray(a, np.int32).tobytes()
+def _packed(a: np.ndarray) -> bytes:
+    """Integers as four planes of bytes, which compress well: the upper planes are almost all zero."""
+    return np.ascontiguousarray(a.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+def _buckets(chunks: pa.Array, buckets: int) -> np.ndarray:
+    """A bucket for each (not empty) chunk, from a polynomial of its bytes."""
+    data, off = utf8(chunks)
+    if not len(chunks):
+        return np.zeros(0, np.int64)
+    place = np.arange(len(data)) - np.repeat(off[:-1], np.diff(off))
+    powers = np.cumprod(np.full(int(place.max()) + 1, 0x9E3779B97F4A7C15, np.uint64))
+    h = np.add.reduceat(data.astype(np.uint64) * powers[place], off[:-1])
+    return ((h ^ (h >> np.uint64(29))) % np.uint64(buckets)).astype(np.int64)
 
 
 def _block(parts: list[pa.RecordBatch], buckets: int) -> dict:
-    """One block: its groups, its distinct chunks by bucket, and its packed document counts."""
+    """One block: its groups, its distinct chunks by bucket, and its packed document counts.
+
+    The documents' chunk numbers are ascending, so they are kept as differences; the first of a
+    document is its number plus one.
+    """
     t = pa.Table.from_batches(parts)
-    pairs = pa.StructArray.from_arrays([t["lang"].combine_chunks(), t["source"].combine_chunks()], names=["lang", "source"])
-    names: dict[tuple[str, str], int] = {}
-    group = [names.setdefault((p["lang"], p["source"]), len(names)) for p in pairs.to_pylist()]
-    split = pc.ascii_split_whitespace(t["text"].combine_chunks().cast(pa.large_string()))
+    langs, sources = (t[c].combine_chunks().dictionary_encode() for c in ("lang", "source"))
+    pair, group = np.unique(langs.indices.to_numpy().astype(np.int64) * len(sources.dictionary) + sources.indices.to_numpy(),
+                            return_inverse=True)
+    split = pc.ascii_split_whitespace(t["text"].combine_chunks())
     per_doc = np.asarray(pc.list_value_length(split), np.int64)
     words = split.flatten()
-    there = np.asarray(pc.greater(pc.binary_length(words), 0))
-    doc = np.repeat(np.arange(len(per_doc)), per_doc)[there]
-    coded = words.filter(pa.array(there)).dictionary_encode()
-    chunks = coded.dictionary
-    if len(chunks):
-        bucket = pd.util.hash_array(chunks.to_numpy(zero_copy_only=False), categorize=False) % np.uint64(buckets)
-    else:
-        bucket = np.zeros(0, np.uint64)
+    there = pc.not_equal(words, "")
+    doc = np.repeat(np.arange(len(per_doc)), per_doc)[np.asarray(there)]
+    coded = words.filter(there).dictionary_encode()
+    del split, words, there
+    chunks, index = coded.dictionary, coded.indices.to_numpy()
+    bucket = _buckets(chunks, buckets)
     order = np.argsort(bucket, kind="stable")
     number = np.empty(len(order), np.int64)
     number[order] = np.arange(len(order))
-    key, n = np.unique(doc * max(len(chunks), 1) + number[coded.indices.to_numpy()], return_counts=True)
-    sizes = np.bincount(bucket.astype(np.int64), minlength=buckets)
-    lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)),
-                                     chunks.take(pa.array(order)).cast(pa.string()))
-    return {"langs": [a for a, _ in names], "sources": [b for _, b in names], "doc_group": _int32(np.array(group)),
-            "doc": _int32(key // max(len(chunks), 1)), "at": _int32(key % max(len(chunks), 1)), "n": _int32(n),
-            "chunks": pc.binary_join(lists, " ").to_pylist()}
-
-
-BLOCK_SCHEMA = ("block long, langs array<string>, sources array<string>, doc_group binary, doc binary, at binary, n binary, "
+    size = max(len(chunks), 1)
+    key = number[index]
+    key += doc * size
+    del doc, coded, index
+    key.sort()
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+    n, key = np.diff(np.append(first, len(key))), key[first]
+    doc, at = np.divmod(key, size)
+    gap = np.diff(at, prepend=0)
+    head = np.concatenate(([True], doc[1:] != doc[:-1])) if len(doc) else np.zeros(0, bool)
+    gap[head] = at[head] + 1
+    sizes = np.bincount(bucket, minlength=buckets)
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), chunks.take(pa.array(order)))
+    return {"langs": langs.dictionary.take(pa.array(pair // len(sources.dictionary))).to_pylist(),
+            "sources": sources.dictionary.take(pa.array(pair % len(sources.dictionary))).to_pylist(),
+            "doc_group": _packed(group), "doc_size": _packed(np.bincount(doc, minlength=len(per_doc))),
+            "gap": _packed(gap), "n": _packed(n), "chunks": pc.binary_join(lists, " ").to_pylist()}
+
+
+BLOCK_SCHEMA = ("block long, langs array<string>, sources array<string>, doc_group binary, doc_size binary, gap binary, n binary, "
                 "chunks array<string>")
 BLOCK_ARROW = pa.schema([("block", pa.int64()), ("langs", pa.list_(pa.string())), ("sources", pa.list_(pa.string())),
-                         *[(c, pa.binary()) for c in ("doc_group", "doc", "at", "n")], ("chunks", pa.list_(pa.string()))])
+                         *[(c, pa.binary()) for c in ("doc_group", "doc_size", "gap", "n")], ("chunks", pa.list_(pa.string()))])
 
 
 def chunk_blocks(docs: DataFrame, buckets: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -119,7 +146,13 @@ def _term_counts(block: dict, lines: pa.Array) -> pa.Table | None:
         return None
     code, terms = coded.indices.to_numpy().astype(np.int64), coded.dictionary
     per_chunk = np.bincount(of_chunk, minlength=len(split))
-    doc, at, n, group = (np.frombuffer(block[c], np.int32).astype(np.int64) for c in ("doc", "at", "n", "doc_group"))
+    group, size, gap, n = (_unpacked(block[c]) for c in ("doc_group", "doc_size", "gap", "n"))
+    doc = np.repeat(np.arange(len(size)), size)
+    # running sums within each document give the chunk numbers back
+    starts = (np.cumsum(size) - size)[size > 0]
+    total = np.cumsum(gap)
+    at = total - np.repeat(total[starts] - gap[starts], size[size > 0]) - 1
+    at[starts] = gap[starts] - 1
     take = spans_gather((np.cumsum(per_chunk) - per_chunk)[at], per_chunk[at])
     doc, n, term = np.repeat(doc, per_chunk[at]), np.repeat(n, per_chunk[at]), code[take]
     group_term = group[doc] * len(terms) + term
