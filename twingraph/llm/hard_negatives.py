@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from .common import materialise, positive_partitions
 
 ANCHORS = 8192   # anchors of a cell, on average; a cell holds them in memory
-GROUP = 65536    # candidates of a cell, on average; they are streamed
+GROUP = 16384    # candidates of a cell, on average; they are streamed
+SALT = 32        # shares of a part while its rows learn how many cells it has
 TILE = (256, 2048)
 LEAF = 32        # sides up to this are multiplied directly
 NONE = -(2**63 - 1)  # score of an empty heap place; real scores are kept above it
@@ -208,8 +209,9 @@ def _cells(anchors: DataFrame, rows: DataFrame, part, group: int, block: int) ->
     counts = (rows.select(part.alias("part"), F.size("v").alias("width"), F.lit(1).alias("r"), F.lit(0).alias("a"))
               .unionByName(anchors.select(part.alias("part"), F.size("v").alias("width"), F.lit(0).alias("r"), F.lit(1).alias("a")))
               .groupBy("part", "width").agg(F.ceil(F.sum("r") / group).alias("groups"), F.ceil(F.sum("a") / block).alias("blocks"))
-              .where("groups > 0 and blocks > 0"))
-    with_part = lambda df: df.select(part.alias("part"), F.size("v").alias("width"), "*").join(counts, ["part", "width"])
+              .where("groups > 0 and blocks > 0").withColumn("salt", _every(F.lit(SALT))))
+    with_part = lambda df: (df.select(part.alias("part"), F.size("v").alias("width"), _spread(F.lit(SALT), 3).alias("salt"), "*")
+                            .join(counts, ["part", "width", "salt"]))
     front = with_part(anchors).select("part", "width", _every(F.col("groups")).alias("g"), _spread(F.col("blocks"), 1).alias("b"),
                                       F.lit(0).alias("kind"), *anchors.columns)
     back = with_part(rows).select("part", "width", _spread(F.col("groups"), 2).alias("g"), _every(F.col("blocks")).alias("b"),
