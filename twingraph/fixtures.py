@@ -148,11 +148,13 @@ def graph_pair(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Gr
 # Move log and board
 # ---------------------------------------------------------------------------
 
-def moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+def moves(spark: SparkSession, sf_dir: str, restarts: bool = True) -> DataFrame:
+    """One game per user; with ``restarts`` every third event of a bystander opens a new round."""
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "value")
     et = F.col("event_type")
     user = (F.when(et.isin("click", "view"), F.lit(C.THIEF))
             .when(et.isin("purchase", "signup"), F.lit(C.POLICEMAN))
+            .when((F.col("event_id") % 3 == 0) & F.lit(restarts), F.lit("restart"))
             .otherwise(F.lit("bystander")))
     base = ev.select(
         F.col("user_id").alias("game_id"), "ts", "event_id", user.alias("user"),
@@ -186,3 +188,11 @@ def board_edges(spark: SparkSession, perturbed: bool = False) -> DataFrame:
     if perturbed:
         e = e.where((F.col("src") + F.col("dst")) % 9 != 4)
     return e
+
+
+def board_rewired(spark: SparkSession) -> DataFrame:
+    """The perturbed board with edges that the original lacks, so that a move can be possible in it alone."""
+    n = F.col("id")
+    added = (spark.range(0, C.BOARD_SIZE).where(n % 2 == 1)
+             .select(n.alias("src"), ((n + 3) % C.BOARD_SIZE).alias("dst"), F.lit(1.0).alias("weight")))
+    return board_edges(spark, perturbed=True).unionByName(added)

@@ -3,97 +3,124 @@
 A walk moves from its node to the out-neighbour at position
 ``mix(walk, step) % out_degree`` of the ascending neighbour list and stops
 at a sink or after ``max_steps`` nodes. The neighbour lists are long rows
-``(node, pos, nbr, nbr_deg)`` persisted once in the shared checkpoint
-folder; each step is one equi-join of the frontier on ``(node, pos)``, so a
-hub's neighbours stay spread over many partitions. The frontier has at most
-``n_walks`` rows, which is the proven bound that allows broadcasting it.
+``(node, pos, nbr, nbr_deg)``, written once as a table bucketed by
+``(node, pos)``: a hub's neighbours lie in many buckets, and a join on these
+columns reads the table where it lies. Every step therefore exchanges the
+frontier alone, one narrow row per walk that still moves. ``STEPS_A_JOB``
+steps are one job, whose result is appended to a log of ``(walk, node)``
+columns; the next job starts from the last column of that part.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.hashing import draw, mix
+from ..session import drop_path, scratch_path
 from .graph import successors, usable_edges, walk_start
 from .kernel import cut_lineage
 
-BROADCAST_FRONTIER_MAX = 2_000_000
-BROADCAST_STEPS = True  # frontier <= n_walks rows: broadcast it, stream the neighbour table
-CUT_EVERY = 8
+STEPS_A_JOB = 7  # joins of one plan; the log is a lineage cut after each
 
 
 def neighbour_table(edges: DataFrame) -> DataFrame:
-    """``(node, pos, nbr, nbr_deg)`` with ``nbr_deg`` the out-degree of ``nbr`` (0 = sink).
-
-    Every sink also gets one row ``(sink, 0, sink, 0)``: a walk standing on a
-    sink "moves" onto itself, so every step is one inner join that keeps all
-    walks and the plan stays a linear chain.
-    """
+    """``(node, pos, nbr, nbr_deg)`` with ``nbr_deg`` the out-degree of ``nbr`` (0 = sink)."""
     edges = usable_edges(edges)  # idempotent; callers may pass raw edges
     succ = successors(edges)
     deg = edges.groupBy(F.col("src").alias("nbr")).agg(F.count(F.lit(1)).alias("nbr_deg"))
-    rows = (succ.join(deg, "nbr", "left")
+    return (succ.join(deg, "nbr", "left")
             .select("node", "pos", "nbr", F.coalesce("nbr_deg", F.lit(0)).cast("bigint").alias("nbr_deg")))
-    ends = edges.select(F.col("dst").alias("node")).unionByName(edges.select(F.col("src").alias("node")))
-    sinks = (ends.distinct().join(deg.withColumnRenamed("nbr", "node"), "node", "left_anti")
-             .select("node", F.lit(0).cast("bigint").alias("pos"), F.col("node").alias("nbr"),
-                     F.lit(0).cast("bigint").alias("nbr_deg")))
-    return rows.unionByName(sinks)
+
+
+class BucketedNeighbours:
+    """The neighbour table, written in buckets of ``(node, pos)`` in the shared folder.
+
+    As a context manager it drops the table and its files at the end.
+    """
+
+    def __init__(self, edges: DataFrame, buckets: int | None = None):
+        self.spark = edges.sparkSession
+        buckets = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.name = f"neighbours_{uuid.uuid4().hex}"
+        self.path = scratch_path(self.spark, self.name)
+        # dealt by the same hash as the buckets, so a bucket is one sorted file
+        (neighbour_table(edges).repartition(buckets, "node", "pos").write.bucketBy(buckets, "node", "pos")
+         .sortBy("node", "pos").option("path", self.path).saveAsTable(self.name))
+
+    def table(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def __enter__(self) -> BucketedNeighbours:
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        drop_path(self.spark, self.path)
+
+
+def take_step(frontier: DataFrame, nbrs: DataFrame, step: int, seed: int, out: str) -> DataFrame:
+    """Add ``out``, the node of every walk after ``step`` (null for a walk that has ended), and renew ``deg``.
+
+    ``frontier`` has ``walk_id``, ``at`` (present node), ``deg``. An ended walk asks for a place of its own
+    that no neighbour has, so ended walks do not gather under one key.
+    """
+    place = F.when(F.col("deg") > 0, mix("walk_id", F.lit(step), seed) % F.col("deg")).otherwise(-1 - F.col("walk_id"))
+    asked = frontier.withColumn("_at", F.coalesce("at", "walk_id")).withColumn("_pos", place.cast("bigint"))
+    met = asked.join(nbrs.hint("merge"), (F.col("_at") == nbrs["node"]) & (F.col("_pos") == nbrs["pos"]), "left")
+    kept = [c for c in frontier.columns if c not in ("at", "deg")]
+    return met.select(*kept, F.col("nbr").alias(out), F.col("nbr").alias("at"),
+                      F.coalesce("nbr_deg", F.lit(0)).cast("bigint").alias("deg"))
 
 
 def random_walks(spark: SparkSession, edges: DataFrame, n_walks: int = C.N_WALKS, seed: int = C.SEED,
                  max_steps: int = C.MAX_STEPS, start: DataFrame | None = None) -> DataFrame:
     """Rows ``(walk_id, step, node_id)``, step 0 being the start node.
 
-    ``start`` is a one-row frame with column ``start_id`` (default: G10).
-    The frontier keeps one row per walk with its path so far (at most
-    ``max_steps`` ids); walks on a sink stay put and stop growing. Each step
-    is one join of the (broadcast, at most ``n_walks`` rows) frontier with
-    the persisted neighbour table; the frontier is checkpointed every
-    ``CUT_EVERY`` steps.
+    ``start`` is a one-row frame with column ``start_id`` (default: G10). The plan is the same for any number
+    of walks: each step sorts and exchanges the frontier and merges it with the bucketed neighbours.
     """
     if max_steps < 1:
         raise ValueError("max_steps must be >= 1")
-    # The edge table feeds several jobs below (ranking, degrees, start node):
-    # derive it once and read the written copy from then on.
+    # The edge table feeds several jobs below (ranking, degrees, start node): derive it once.
     edges = cut_lineage(usable_edges(edges))
-    n_part = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Reliable copy, then hash-partitioned on the join key and kept in memory:
-    # every step shuffles only the frontier, never the neighbour table.
-    nbrs = cut_lineage(neighbour_table(edges))
-    if not (BROADCAST_STEPS and n_walks <= BROADCAST_FRONTIER_MAX):
-        nbrs = nbrs.repartition(n_part, "node", "pos")
-    nbrs = nbrs.persist()
     start = start if start is not None else walk_start(edges)
     out_deg = edges.groupBy(F.col("src").alias("start_id")).agg(F.count(F.lit(1)).alias("deg"))
     s = (start.select("start_id").join(out_deg, "start_id", "left")
-         .select("start_id", F.coalesce("deg", F.lit(0)).cast("bigint").alias("deg")))
-    walks = spark.range(0, n_walks).withColumnRenamed("id", "walk_id")
+         .select("start_id", F.coalesce("deg", F.lit(0)).cast("bigint").alias("deg")).withColumn("_k", F.lit(0)))
     # s has exactly one row: an equi-join on a constant key broadcasts it.
-    frontier = (walks.withColumn("_k", F.lit(0)).join(F.broadcast(s.withColumn("_k", F.lit(0))), "_k")
-                .select("walk_id", F.col("start_id").alias("node_id"), "deg",
-                        F.array(F.col("start_id")).alias("path")))
-    frontier = cut_lineage(frontier)
-    small = n_walks <= BROADCAST_FRONTIER_MAX
-    for step in range(1, max_steps):
-        pick = frontier.select(
-            "walk_id", F.col("node_id").alias("node"), "path", F.col("deg").alias("_d"),
-            F.when(F.col("deg") > 0, mix("walk_id", F.lit(step), seed) % F.col("deg"))
-            .otherwise(F.lit(0)).cast("bigint").alias("pos"))
-        side = F.broadcast(pick) if small and BROADCAST_STEPS else pick
-        frontier = (side.join(nbrs, ["node", "pos"])
-                    .select("walk_id", F.col("nbr").alias("node_id"), F.col("nbr_deg").alias("deg"),
-                            F.when(F.col("_d") > 0, F.concat("path", F.array(F.col("nbr"))))
-                            .otherwise(F.col("path")).alias("path")))
-        if step % CUT_EVERY == 0:
-            frontier = cut_lineage(frontier)
-            if frontier.where(F.col("deg") > 0).isEmpty():
+    walks = spark.range(0, n_walks).select(F.col("id").alias("walk_id"), F.lit(0).alias("_k")).join(F.broadcast(s), "_k")
+    log = scratch_path(spark, f"walks-{uuid.uuid4().hex}")
+    parts = []
+
+    def append(wide: DataFrame, first: int, steps: int) -> DataFrame:
+        """Add a part of the log: columns ``n0, n1, ...`` are the nodes of steps ``first, first + 1, ...``."""
+        path = f"{log}/{first}"
+        wide.write.parquet(path)
+        part = spark.read.schema(wide.schema).parquet(path)
+        nodes = F.array(*[F.col(f"n{i}") for i in range(steps)])
+        parts.append(part.select("walk_id", F.posexplode(nodes).alias("i", "node_id")).where("node_id is not null")
+                     .select("walk_id", (F.col("i") + first).cast("bigint").alias("step"), "node_id"))
+        return part
+
+    part = append(walks.select("walk_id", F.col("start_id").alias("n0"), "deg"), 0, 1)
+    last = "n0"
+    with BucketedNeighbours(edges) as nbrs:
+        for first in range(1, max_steps, STEPS_A_JOB):
+            moving = part.where("deg > 0").select("walk_id", F.col(last).alias("at"), "deg")
+            if moving.isEmpty():
                 break
-    result = cut_lineage(frontier.select("walk_id", F.posexplode("path").alias("step", "node_id")).select(
-        "walk_id", F.col("step").cast("bigint").alias("step"), "node_id"))
-    nbrs.unpersist()
+            steps = min(STEPS_A_JOB, max_steps - first)
+            for i in range(steps):
+                moving = take_step(moving, nbrs.table(), first + i, seed, f"n{i}")
+            last = f"n{steps - 1}"
+            part = append(moving.select("walk_id", *[f"n{i}" for i in range(steps)], "deg"), first, steps)
+    result = parts[0]
+    for more in parts[1:]:
+        result = result.unionByName(more)
     return result
 
 

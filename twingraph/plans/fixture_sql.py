@@ -68,6 +68,7 @@ moves AS (
          ts,
          CASE WHEN event_type IN ('click', 'view') THEN '{C.THIEF}'
               WHEN event_type IN ('purchase', 'signup') THEN '{C.POLICEMAN}'
+              WHEN event_id % 3 = 0 THEN 'restart'
               ELSE 'bystander' END AS "user",
          CAST(floor(value) AS BIGINT) % {C.BOARD_SIZE} AS target,
          event_id
@@ -90,7 +91,11 @@ board_edges AS (
   UNION ALL
   SELECT i, (i+7) % {C.BOARD_SIZE}, {D(1.0)}
   FROM (SELECT CAST(range AS BIGINT) AS i FROM range(0, {C.BOARD_SIZE})) WHERE i % 12 <> 11),
-board_p_edges AS (SELECT * FROM board_edges WHERE (src+dst) % 9 <> 4)
+board_p_edges AS (SELECT * FROM board_edges WHERE (src+dst) % 9 <> 4),
+board_rewired AS (
+  SELECT * FROM board_p_edges UNION ALL
+  SELECT i, (i+3) % {C.BOARD_SIZE}, {D(1.0)}
+  FROM (SELECT CAST(range AS BIGINT) AS i FROM range(0, {C.BOARD_SIZE})) WHERE i % 2 = 1)
 """
 
 

@@ -503,8 +503,16 @@ place AS (
               WHEN p.sink THEN 'policeman_no_moves' WHEN s.thief_start = s.police_start THEN 'policeman_wins' END AS placement_verdict
   FROM starts s LEFT JOIN bfacts t ON t.node = s.thief_start LEFT JOIN bfacts p ON p.node = s.police_start)
 """
-_V = "('thief_wins', 'policeman_wins', 'thief_no_moves', 'policeman_no_moves')"
-REPLAY = f"""
+_V = "('thief_wins', 'policeman_wins', 'thief_no_moves', 'policeman_no_moves', 'thief_illegal', 'policeman_illegal')"
+
+
+def _replay(illegal_loses: bool) -> str:
+    """The fold, one move a step; ``illegal_loses`` looks the move up in the rewired board too."""
+    own_turn_in_p = "padj AND u = turn" if illegal_loses else "false"
+    p_board = "SELECT src AS a, dst AS b FROM board_rewired UNION SELECT dst, src FROM board_rewired" if illegal_loses \
+        else "SELECT a, b FROM bund WHERE false"
+    return f"""
+rund AS ({p_board}),
 rep(game_id, round, k, seq, t, p, turn, verdict, status) AS (
   SELECT game_id, round, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), thief_start, police_start,
          'thief', placement_verdict, CAST(NULL AS VARCHAR)
@@ -522,7 +530,7 @@ rep(game_id, round, k, seq, t, p, turn, verdict, status) AS (
            WHEN verdict IS NOT NULL THEN 'game_over'
            WHEN u NOT IN ('thief', 'policeman') THEN 'invalid_user'
            WHEN u = 'policeman' AND p = t THEN 'policeman_wins'
-           WHEN NOT adj THEN 'invalid_move'
+           WHEN NOT adj THEN CASE WHEN {own_turn_in_p} THEN u || '_illegal' ELSE 'invalid_move' END
            WHEN u <> turn THEN 'wrong_turn'
            WHEN is_thief AND valuable THEN 'thief_wins'
            WHEN is_thief AND sink THEN 'thief_no_moves'
@@ -534,12 +542,17 @@ rep(game_id, round, k, seq, t, p, turn, verdict, status) AS (
       SELECT r.game_id, r.round, r.k + 1 AS k, m.seq, r.t, r.p, r.turn, r.verdict,
              lower(m."user") AS u, lower(m."user") = 'thief' AS is_thief, m.target,
              coalesce(f.valuable, false) AS valuable, coalesce(f.sink, false) AS sink,
-             b.a IS NOT NULL AS adj
+             b.a IS NOT NULL AS adj, pb.a IS NOT NULL AS padj
       FROM rep r
       JOIN mvr m ON m.game_id = r.game_id AND m.round = r.round AND m.rn = r.k + 1
       LEFT JOIN bfacts f ON f.node = m.target
-      LEFT JOIN bund b ON b.a = CASE WHEN lower(m."user") = 'thief' THEN r.t ELSE r.p END AND b.b = m.target)))
+      LEFT JOIN bund b ON b.a = CASE WHEN lower(m."user") = 'thief' THEN r.t ELSE r.p END AND b.b = m.target
+      LEFT JOIN rund pb ON pb.a = CASE WHEN lower(m."user") = 'thief' THEN r.t ELSE r.p END AND pb.b = m.target)))
 """
+
+
+REPLAY = _replay(False)
+REPLAY_ILLEGAL = _replay(True)
 OUTCOMES = """
 outcomes AS (
   SELECT pl.game_id, pl.round, pl.thief_start, pl.police_start, pl.placement_verdict,
@@ -573,6 +586,12 @@ oracle("q_replay_moves", with_ctes("""
 SELECT r.game_id, r.seq, r.round, m."user", m.target, r.status, r.t AS thief_node, r.p AS police_node
 FROM rep r JOIN mv m ON m.game_id = r.game_id AND m.seq = r.seq WHERE r.k > 0""",
     ROUNDS, BOARD_FACTS, PLACE, REPLAY, recursive=True, **_MOVES))
+oracle("q_replay_illegal_loses", with_ctes("""
+SELECT r.game_id, r.seq, r.round, m."user", m.target, r.status, r.t AS thief_node, r.p AS police_node
+FROM rep r JOIN mv m ON m.game_id = r.game_id AND m.seq = r.seq WHERE r.k > 0""",
+    ROUNDS, BOARD_FACTS, PLACE, REPLAY_ILLEGAL, recursive=True, **_MOVES))
+oracle("q_outcomes_illegal_loses", with_ctes("SELECT * FROM outcomes",
+                                             ROUNDS, BOARD_FACTS, PLACE, REPLAY_ILLEGAL, OUTCOMES, recursive=True, **_MOVES))
 oracle("q_game_outcomes", with_ctes("SELECT * FROM outcomes",
                                     ROUNDS, BOARD_FACTS, PLACE, REPLAY, OUTCOMES, recursive=True, **_MOVES))
 oracle("q_latest_positions", with_ctes("SELECT * FROM latest",

@@ -393,6 +393,22 @@ def q_game_outcomes(spark, sf_dir):
     return _replayed(spark, sf_dir)[1]
 
 
+def _replayed_illegal(spark, sf_dir):
+    nodes, edges, _ = _board(spark)
+    return R.replay(fx.moves(spark, sf_dir), nodes, edges, fx.board_rewired(spark), illegal_loses=True)
+
+
+@register
+def q_replay_illegal_loses(spark, sf_dir):
+    """M4, rule f: a move that only the perturbed board allows loses the game."""
+    return _replayed_illegal(spark, sf_dir)[0]
+
+
+@register
+def q_outcomes_illegal_loses(spark, sf_dir):
+    return _replayed_illegal(spark, sf_dir)[1]
+
+
 @register
 def q_latest_positions(spark, sf_dir):
     return R.latest_positions(_replayed(spark, sf_dir)[1])

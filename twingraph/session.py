@@ -69,3 +69,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/tables/{name}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a written intermediate table, wherever the shared folder lies."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package where it lies at the driver's path.
+
+    On a cluster that has it elsewhere, ship it with ``--py-files`` as usual.
+    """
+    env = spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if PACKAGE_ROOT not in known:
+        env["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *known])
