@@ -33,13 +33,22 @@ SCALE = 1_000_000_000
 OUTSIDE_TERMS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 
 
+def _squeezed(raw: bytes) -> bytes:
+    """Compressed bytes behind their length; nothing for nothing."""
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True) if raw else b""
+
+
+def _restored(raw: bytes) -> bytes:
+    return pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True) if raw else b""
+
+
 def _packed(a: np.ndarray) -> bytes:
     """Integers as four planes of bytes, which compress well: the upper planes are almost all zero."""
-    return np.ascontiguousarray(a.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    return _squeezed(a.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
 def _unpacked(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+    return np.ascontiguousarray(np.frombuffer(_restored(raw), np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
 
 def _buckets(chunks: pa.Array, buckets: int) -> np.ndarray:
@@ -91,13 +100,13 @@ def _block(parts: list[pa.RecordBatch], buckets: int) -> dict:
     return {"langs": langs.dictionary.take(pa.array(pair // len(sources.dictionary))).to_pylist(),
             "sources": sources.dictionary.take(pa.array(pair % len(sources.dictionary))).to_pylist(),
             "doc_group": _packed(group), "doc_size": _packed(np.bincount(doc, minlength=len(per_doc))),
-            "gap": _packed(gap), "n": _packed(n), "chunks": pc.binary_join(lists, " ").to_pylist()}
+            "gap": _packed(gap), "n": _packed(n), "chunks": [_squeezed(c.as_buffer().to_pybytes()) for c in pc.binary_join(lists, " ")]}
 
 
 BLOCK_SCHEMA = ("block long, langs array<string>, sources array<string>, doc_group binary, doc_size binary, gap binary, n binary, "
-                "chunks array<string>")
+                "chunks array<binary>")
 BLOCK_ARROW = pa.schema([("block", pa.int64()), ("langs", pa.list_(pa.string())), ("sources", pa.list_(pa.string())),
-                         *[(c, pa.binary()) for c in ("doc_group", "doc_size", "gap", "n")], ("chunks", pa.list_(pa.string()))])
+                         *[(c, pa.binary()) for c in ("doc_group", "doc_size", "gap", "n")], ("chunks", pa.list_(pa.binary()))])
 
 
 def chunk_blocks(docs: DataFrame, buckets: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -128,66 +137,77 @@ def chunk_blocks(docs: DataFrame, buckets: int, block_bytes: int = BLOCK_BYTES)
 
 def _tokenize(table: pa.Table) -> pa.Table:
     """The rows of one bucket with the terms of their chunks: a line for each chunk, its terms joined by one space."""
-    lists = pc.split_pattern(table["chunks"].combine_chunks(), " ")
+    lists = pc.split_pattern(pa.array([_restored(c.as_py()) for c in table["chunks"]]).cast(pa.string()), " ")
     coded = lists.flatten().dictionary_encode()
     terms = pc.ascii_trim_whitespace(pc.replace_substring_regex(pc.ascii_lower(coded.dictionary), OUTSIDE_TERMS, " "))
-    lines = pa.ListArray.from_arrays(lists.offsets, terms.take(coded.indices))
-    return pa.table({"super": table["super"], "block": table["block"], "bucket": table["bucket"], "lines": pc.binary_join(lines, "\n")})
+    lines = pc.binary_join(pa.ListArray.from_arrays(lists.offsets, terms.take(coded.indices)), "\n")
+    return pa.table({"super": table["super"], "block": table["block"], "bucket": table["bucket"],
+                     "lines": pa.array([_squeezed(x.as_buffer().to_pybytes()) for x in lines], pa.binary())})
 
 
-def _term_counts(block: dict, lines: pa.Array) -> pa.Table | None:
-    """Distinct documents and occurrences of each group and term of one block."""
+def _term_counts(block: dict, lines: pa.Array, groups: dict) -> pa.Table | None:
+    """``g, term, docs, n`` of one block; ``groups`` numbers the (lang, source) pairs met so far."""
     split = pc.ascii_split_whitespace(lines)
     flat = split.flatten()
-    there = np.asarray(pc.greater(pc.binary_length(flat), 0))
-    of_chunk = np.repeat(np.arange(len(split)), np.asarray(pc.list_value_length(split), np.int64))[there]
-    coded = flat.filter(pa.array(there)).dictionary_encode()
+    there = pc.not_equal(flat, "")
+    of_chunk = np.repeat(np.arange(len(split)), np.asarray(pc.list_value_length(split), np.int64))[np.asarray(there)]
+    coded = flat.filter(there).dictionary_encode()
     if not len(coded):
         return None
     code, terms = coded.indices.to_numpy().astype(np.int64), coded.dictionary
     per_chunk = np.bincount(of_chunk, minlength=len(split))
     group, size, gap, n = (_unpacked(block[c]) for c in ("doc_group", "doc_size", "gap", "n"))
+    group = np.array([groups.setdefault(p, len(groups)) for p in zip(block["langs"], block["sources"])], np.int64)[group]
     doc = np.repeat(np.arange(len(size)), size)
     # running sums within each document give the chunk numbers back
     starts = (np.cumsum(size) - size)[size > 0]
     total = np.cumsum(gap)
     at = total - np.repeat(total[starts] - gap[starts], size[size > 0]) - 1
-    at[starts] = gap[starts] - 1
-    take = spans_gather((np.cumsum(per_chunk) - per_chunk)[at], per_chunk[at])
-    doc, n, term = np.repeat(doc, per_chunk[at]), np.repeat(n, per_chunk[at]), code[take]
-    group_term = group[doc] * len(terms) + term
-    keys, place = np.unique(group_term, return_inverse=True)
-    # chunks come by document, so a document's copies of a term are found by one sort of the pairs
-    pair = np.unique(doc * len(terms) + term)
-    docs = np.bincount(np.searchsorted(keys, group[pair // len(terms)] * len(terms) + pair % len(terms)), minlength=len(keys))
-    count = np.zeros(len(keys), np.int64)
-    np.add.at(count, place, n)
-    g, t = pa.array(keys // len(terms)), pa.array(keys % len(terms))
-    return pa.table({"lang": pa.array(block["langs"], pa.string()).take(g), "source": pa.array(block["sources"], pa.string()).take(g),
-                     "term": terms.take(t), "docs": pa.array(docs.astype(np.int64)), "n": pa.array(count)})
+    many = per_chunk[at]
+    term = code[spans_gather((np.cumsum(per_chunk) - per_chunk)[at], many)]
+    doc, n = np.repeat(doc, many), np.repeat(n, many)
+    # a document's copies of a term meet when its pairs are sorted; then the pairs of a group
+    pair = doc * len(terms) + term
+    order = np.argsort(pair, kind="stable")
+    first = _firsts(pair[order])
+    n, pair = np.add.reduceat(n[order], first), pair[order[first]]
+    pair = group[pair // len(terms)] * len(terms) + pair % len(terms)
+    order = np.argsort(pair, kind="stable")
+    first = _firsts(pair[order])
+    keys = pair[order[first]]
+    return pa.table({"g": pa.array((keys // len(terms)).astype(np.int32)), "term": terms.take(pa.array(keys % len(terms))),
+                     "docs": pa.array(np.diff(np.append(first, len(pair)))), "n": pa.array(np.add.reduceat(n[order], first))})
+
+
+def _firsts(keys: np.ndarray) -> np.ndarray:
+    """Where a run of equal sorted keys begins."""
+    return np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
 
 
 COUNT_SCHEMA = "lang string, source string, term string, docs long, n long"
 
 
 def _count_blocks(blocks: pa.Table, lines: pa.Table) -> pa.Table:
-    """The summed counts of a few blocks, each with the lines of all its buckets."""
-    out = []
+    """The summed counts of a few blocks, each with the lines of all its buckets; one block is held at a time."""
+    whole, groups = None, {}
     lines = lines.sort_by([("block", "ascending"), ("bucket", "ascending")])
     whose = lines["block"].to_numpy()
-    for block in blocks.to_pylist():
+    for i in range(blocks.num_rows):
+        block = blocks.slice(i, 1).to_pylist()[0]
         a, z = np.searchsorted(whose, [block["block"], block["block"] + 1])
-        if a < z:
-            joined = pc.split_pattern(lines["lines"].slice(a, z - a).combine_chunks(), "\n").flatten()
-            if (t := _term_counts(block, joined)) is not None:
-                out.append(t)
-    if not out:
-        return pa.table({"lang": pa.array([], pa.string()), "source": pa.array([], pa.string()), "term": pa.array([], pa.string()),
-                         "docs": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
-    if len(out) == 1:
-        return out[0]
-    summed = pa.concat_tables(out).group_by(["lang", "source", "term"]).aggregate([("docs", "sum"), ("n", "sum")])
-    return summed.rename_columns(["lang", "source", "term", "docs", "n"])
+        if a == z:
+            continue
+        text = b"\n".join(_restored(x.as_py()) for x in lines["lines"].slice(a, z - a))
+        t = _term_counts(block, pc.split_pattern(pa.array([text.decode()]), "\n").flatten(), groups)
+        if t is not None and whole is not None:
+            t = (pa.concat_tables([whole, t]).group_by(["g", "term"]).aggregate([("docs", "sum"), ("n", "sum")])
+                 .rename_columns(["g", "term", "docs", "n"]))
+        whole = whole if t is None else t
+    if whole is None:
+        whole = pa.table({"g": pa.array([], pa.int32()), "term": pa.array([], pa.string()), "docs": pa.array([], pa.int64()),
+                          "n": pa.array([], pa.int64())})
+    lang, source = (pa.array([p[k] for p in groups], pa.string()).take(whole["g"].combine_chunks()) for k in (0, 1))
+    return pa.table({"lang": lang, "source": source, "term": whole["term"], "docs": whole["docs"], "n": whole["n"]})
 
 
 def term_counts(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, str]:
@@ -197,8 +217,8 @@ def term_counts(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFr
     blocks, path = materialise(chunk_blocks(docs, buckets, block_bytes), "chunk-blocks")
     supers = max(positive_partitions(spark), -(-blocks.count() // TOGETHER))
     blocks = blocks.withColumn("super", F.pmod(F.xxhash64("block"), F.lit(supers)))
-    dealt = blocks.select("super", "block", F.posexplode("chunks").alias("bucket", "chunks")).where("chunks <> ''")
-    lines = dealt.groupBy("bucket").applyInArrow(_tokenize, "super long, block long, bucket int, lines string")
+    dealt = blocks.select("super", "block", F.posexplode("chunks").alias("bucket", "chunks")).where("length(chunks) > 0")
+    lines = dealt.groupBy("bucket").applyInArrow(_tokenize, "super long, block long, bucket int, lines binary")
     counted = (blocks.drop("chunks").groupBy("super").cogroup(lines.groupBy("super"))
                .applyInArrow(_count_blocks, COUNT_SCHEMA))
     return counted.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")), path
