@@ -9,13 +9,16 @@ block counts) over the different runs it holds. Then the runs are streamed again
 backward search gives the longest matches with a second occurrence, and the stretches
 of at least ``window`` words are reported.
 
-An anchor with many runs (a passage in a third of all documents) is split: its runs
-are cut into single windows, equal windows are counted before the shuffle, and the
-window's own content names the shard.
+The words of equal runs are kept once, by a hash of 128 bits, with how often they occur;
+what each occurrence must know travels as numbers. An anchor with more runs than one
+index holds is dealt by further anchors of the same windows (smallest hashes of the
+k-grams under other functions), so its runs become shorter and go to different shards;
+they are searched there like all others.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,13 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, positive_partitions, small_batches, spans_gather, utf8, with_text
+from .common import drop_path, materialise, positive_partitions, small_batches, spans_gather, utf8, with_text
 
 WINDOW = 35
 GRAM = 5             # words of the k-gram that anchors a window
 RUN = 32             # windows of a run at most (bits of its mask)
-HOT = 2_000          # runs of one anchor above which it is split
 SHARD_WORDS = 400_000  # words of one index
+FURTHER = (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)  # what makes further anchors differ
+SEEN = 200_000       # run texts that a task remembers having sent
+SALT = 8             # shares of one anchor or run text in the joins of narrow rows
 
 _P = 0x9E3779B97F4A7C15 | 1
 _P_INVERSE = pow(_P, -1, 1 << 64)
@@ -83,17 +88,34 @@ def _sliding(values: np.ndarray, need: int, pick) -> np.ndarray:
     return pick(out[:len(out) - (need - span)], out[need - span:]) if span < need else out
 
 
-def anchored_runs(row: np.ndarray, hashes: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(first window, windows, anchor, places of the anchor) of the runs; windows are numbered by their first word."""
-    n = len(hashes) - window + 1
-    if n <= 0:
-        return tuple(np.zeros(0, np.int64) for _ in range(4))
+def gram_hashes(hashes: np.ndarray, gram: int) -> np.ndarray:
     grams = np.zeros(len(hashes) - gram + 1, np.uint64)
     factor = np.uint64(1)
     for k in range(gram):
         grams += hashes[k:len(grams) + k] * factor
         factor = np.uint64((int(factor) * 0xD1342543DE82EF95) & 0xFFFFFFFFFFFFFFFF)
-    grams, need = mixed(grams), window - gram + 1
+    return mixed(grams)
+
+
+def further_runs(grams: np.ndarray, first: int, count: int, need: int) -> Iterator[tuple[int, int, int]]:
+    """(first window, windows, key) of the stretches of a run whose further anchors are the same."""
+    lows = [_sliding(mixed(grams[first:first + count + need - 1] ^ np.uint64(f)), need, np.minimum) for f in FURTHER]
+    change = np.ones(count, bool)
+    change[1:] = np.any([low[1:] != low[:-1] for low in lows], axis=0)
+    start = np.flatnonzero(change)
+    key = lows[0].copy()
+    for low in lows[1:]:
+        key = mixed(key ^ low)
+    for s, z in zip(start.tolist(), [*start[1:].tolist(), count]):
+        yield first + s, z - s, int(key[s:s + 1].view(np.int64)[0])
+
+
+def anchored_runs(row: np.ndarray, hashes: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
+    """(first window, windows, anchor, places of the anchor) of the runs; windows are numbered by their first word."""
+    n = len(hashes) - window + 1
+    if n <= 0:
+        return tuple(np.zeros(0, np.int64) for _ in range(4))
+    grams, need = gram_hashes(hashes, gram), window - gram + 1
     low = _sliding(grams, need, np.minimum)
     inside = row[:n] == row[window - 1:]
     change = np.ones(n, bool)
@@ -262,47 +284,67 @@ def _runs(docs: DataFrame, window: int, gram: int) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _pieces(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """Words of the wanted runs: ``doc_id, th, starts, n, shard, hot, piece``; hot runs as single windows.
+def _pieces(docs: DataFrame, wanted: DataFrame, window: int, gram: int) -> DataFrame:
+    """The wanted runs: ``doc_id, th, starts, n, shard, id1, id2, weight, piece``; runs of split anchors as shorter ones.
 
+    ``id1`` and ``id2`` name the words; the words themselves stand in the first row of a task that has them.
     What a document holds several times (a text that goes round in a circle) is one row with all its starts.
     """
     keyed = docs.join(wanted, [docs.doc_id.eqNullSafe(wanted.doc_id), docs.th == wanted.th]).select(
         docs.doc_id, docs.th, "text", "runs")
     schema = T.StructType([docs.schema["doc_id"], T.StructField("th", T.LongType()), T.StructField("starts", T.ArrayType(T.IntegerType())),
-                           T.StructField("n", T.ByteType()), T.StructField("shard", T.LongType()),
-                           T.StructField("hot", T.BooleanType()), T.StructField("piece", T.BinaryType())])
+                           T.StructField("n", T.ByteType()), T.StructField("shard", T.LongType()), T.StructField("id1", T.LongType()),
+                           T.StructField("id2", T.LongType()), T.StructField("weight", T.LongType()), T.StructField("piece", T.BinaryType())])
+    need = window - gram + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        hasher = _Hasher()
         for big in batches:
             for b in small_batches(big, "text", 1 << 20):
-                at, keys, starts = [], [], []
+                rows = []
                 for row, (text, runs) in enumerate(zip(b.column("text").to_pylist(), b.column("runs").to_pylist())):
-                    words = text.encode("utf-8", "surrogatepass").split()
+                    raw = text.encode("utf-8", "surrogatepass")
+                    words = raw.split()
+                    if any(r["split"] for r in runs):
+                        data = np.frombuffer(raw, np.uint8)
+                        _, first, end = words_of(data, np.array([0, len(data)]))
+                        grams = gram_hashes(hasher.words(data, first, end), gram)
                     own: dict[tuple, list[int]] = {}
                     for r in runs:
-                        size = 1 if r["hot"] else r["n"]
-                        for s in range(r["start"], r["start"] + r["n"]) if r["hot"] else (r["start"],):
-                            own.setdefault((size, r["anchor"], r["hot"], b" ".join(words[s:s + window - 1 + size])), []).append(s)
-                    at.extend([row] * len(own))
-                    keys.extend(own)
-                    starts.extend(own.values())
+                        parts = further_runs(grams, r["start"], r["n"], need) if r["split"] else ((r["start"], r["n"], 0),)
+                        for start, n, key in parts:
+                            own.setdefault((r["anchor"] ^ key, n, b" ".join(words[start:start + window - 1 + n])), []).append(start)
+                    for (shard, n, piece), starts in own.items():
+                        name = hashlib.blake2b(piece, digest_size=16).digest()
+                        fresh = name not in seen
+                        if fresh:
+                            if len(seen) >= SEEN:
+                                seen.clear()
+                            seen.add(name)
+                        rows.append((row, starts, n, shard, name, len(starts), piece if fresh else None))
+                at, starts, n, shard, names, weight, piece = zip(*rows) if rows else ((),) * 7
                 take = pa.array(at, pa.int64())
-                n, shard, hot, piece = zip(*keys) if keys else ((), (), (), ())
+                ids = np.frombuffer(b"".join(names), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id").take(take), b.column("th").take(take), pa.array(starts, pa.list_(pa.int32())), pa.array(n, pa.int8()),
-                     pa.array(shard, pa.int64()), pa.array(hot, pa.bool_()), pa.array(piece, pa.binary())], names=schema.names)
+                     pa.array(shard, pa.int64()), pa.array(ids[:, 0]), pa.array(ids[:, 1]), pa.array(weight, pa.int64()),
+                     pa.array(piece, pa.binary())], names=schema.names)
 
     return keyed.mapInArrow(run, schema)
 
 
-def _search(pieces: DataFrame, keep: list[str], window: int, shard_words: int) -> DataFrame:
-    """``keep`` columns and ``mask`` of the pieces with repeated windows, shard by shard.
+def _search(pieces: DataFrame, window: int, shard_words: int) -> DataFrame:
+    """``id1, id2, mask`` of the different pieces with repeated windows, shard by shard.
 
-    ``weight`` says how many starts a row stands for.
+    A shard's rows are the words of its pieces (several tasks may have sent the same) and, in other
+    rows, how often each piece occurs.
     """
     n = positive_partitions(pieces.sparkSession)
-    schema = T.StructType([*(pieces.schema[c] for c in keep), T.StructField("mask", T.LongType())])
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("id1", "id2", "mask")])
+    key = ["shard", "id1", "id2", "n"]
+    words = pieces.where("piece is not null").select(*key, "piece", F.lit(0).cast("long").alias("weight"))
+    counts = pieces.groupBy(*key).agg(F.sum("weight").alias("weight")).select(*key, F.lit(None).cast("binary").alias("piece"), "weight")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -311,7 +353,7 @@ def _search(pieces: DataFrame, keep: list[str], window: int, shard_words: int) -
             shard = b.column("shard").to_numpy()
             # A batch is cut at the shards' edges so that an index holds whole shards.
             edges = np.concatenate(([0], np.flatnonzero(shard[1:] != shard[:-1]) + 1, [len(shard)]))
-            n_words = np.cumsum(np.asarray(b.column("n").to_numpy(), np.int64) + window)
+            n_words = np.cumsum((np.asarray(b.column("n").to_numpy(), np.int64) + window) * np.asarray(b.column("piece").is_valid()))
             at = 0
             for a, z in zip(edges[:-1].tolist(), edges[1:].tolist()):
                 if z == a:
@@ -329,26 +371,34 @@ def _search(pieces: DataFrame, keep: list[str], window: int, shard_words: int) -
 
     def found(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(parts).combine_chunks()
-        number: dict[bytes, int] = {}
-        of = [number.setdefault(p, len(number)) for p in t["piece"].to_pylist()]
-        of = np.array(of, np.int64)
-        weights = np.bincount(of, t["weight"].to_numpy()).astype(np.int64)
-        windows = np.zeros(len(number), np.int64)
+        ids = np.stack([t["id1"].to_numpy(), t["id2"].to_numpy()], axis=1)
+        names, of = np.unique(ids, axis=0, return_inverse=True)
+        of = of.ravel()
+        weights, windows = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+        np.add.at(weights, of, t["weight"].to_numpy())
         windows[of] = t["n"].to_numpy()
         word: dict[bytes, int] = {}
-        numbered = [[word.setdefault(w, len(word) + 1) for w in p.split(b" ")] for p in number]
-        masks = repeated_windows(numbered, windows, weights, window)[of] if len(of) else np.zeros(0, np.uint64)
-        hit = pa.array(np.flatnonzero(masks))
-        cols = [t[c].take(hit).combine_chunks() for c in keep]
-        cols = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in cols]
-        return pa.RecordBatch.from_arrays([*cols, pa.array(masks[masks > 0].view(np.int64))], names=schema.names)
+        numbered: list[list[int]] = [[] for _ in names]
+        for i, p in zip(of.tolist(), t["piece"].to_pylist()):
+            if p is not None and not numbered[i]:
+                numbered[i] = [word.setdefault(w, len(word) + 1) for w in p.split(b" ")]
+        masks = repeated_windows(numbered, windows, weights, window)
+        hit = masks > 0
+        return pa.RecordBatch.from_arrays([pa.array(names[hit, 0]), pa.array(names[hit, 1]), pa.array(masks[hit].view(np.int64))],
+                                          names=schema.names)
+
+    return words.unionByName(counts).repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(run, schema)
+
 
-    return (pieces.select("shard", "n", "piece", "weight", *[c for c in keep if c not in ("shard", "n", "piece", "weight")])
-            .repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(run, schema))
+def _salted_join(many: DataFrame, few: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join in which the rows of one key of ``many`` are dealt to ``SALT`` shares."""
+    return (many.withColumn("_salt", F.pmod(F.xxhash64(*many.columns[:3]), F.lit(SALT)))
+            .join(few.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long")))), [*on, "_salt"])
+            .drop("_salt"))
 
 
 def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, keep: list[str] | None = None,
-                   gram: int = GRAM, hot_runs: int = HOT, shard_words: int = SHARD_WORDS) -> DataFrame:
+                   gram: int = GRAM, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``keep`` columns, ``n_words``, ``n_removed`` and ``kept`` (words left, joined by one blank) of every row.
 
     Null, empty and short texts lose nothing; nothing is kept of a document whose words
@@ -356,25 +406,22 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     the input. No rows give no rows. Texts are compared as bytes.
     """
     keep = keep if keep is not None else ["doc_id"]
+    spark = df.sparkSession
     th = F.xxhash64(df[doc_id], df[text])
     docs = df.select(df[doc_id].alias("doc_id"), th.alias("th"), F.coalesce(df[text].cast("string"), F.lit("")).alias("text"))
-    runs, _ = materialise(_runs(docs, window, gram), "runs")
+    runs, runs_path = materialise(_runs(docs, window, gram), "runs")
     again = runs.groupBy("anchor").agg(F.sum("times").alias("c")).where("c > 1")
-    wanted = (runs.join(again, "anchor").groupBy("doc_id", "th")
-              .agg(F.collect_set(F.struct("start", "n", "anchor", (F.col("c") > hot_runs).alias("hot"))).alias("runs")))
-    pieces, _ = materialise(_pieces(docs, wanted, window), "pieces")
-    pieces = pieces.withColumn("weight", F.size("starts").cast("long"))
-    found = _search(pieces.where("not hot"), ["doc_id", "th", "starts", "n"], window, shard_words)
-    # Windows of split anchors: counted by content, searched once, and told to all their starts.
-    ids = [F.xxhash64("piece").alias("id1"), F.xxhash64(F.lit(1), "piece").alias("id2")]
-    single = pieces.where("hot").select("doc_id", "th", "starts", "n", "piece", "weight", *ids)
-    counted = (single.groupBy("id1", "id2", "piece").agg(F.sum("weight").alias("weight"))
-               .select(F.col("id1").alias("shard"), F.lit(1).cast("byte").alias("n"), "piece", "weight", "id2"))
-    known = _search(counted, ["shard", "id2"], window, shard_words).withColumnRenamed("shard", "id1")
-    single = single.select("doc_id", "th", "starts", "n", "id1", "id2").join(known, ["id1", "id2"]).select("doc_id", "th", "starts", "n", "mask")
-    spans = (found.unionByName(single)
-             .select("doc_id", "th", F.transform("starts", lambda s: F.struct(s.alias("start"), F.col("n"), F.col("mask"))).alias("spans"))
+    again = again.select("anchor", (F.col("c") * window > shard_words).alias("split"))
+    wanted = (_salted_join(runs.select("th", "start", "doc_id", "n", "anchor"), again, ["anchor"]).groupBy("doc_id", "th")
+              .agg(F.collect_set(F.struct("start", "n", "anchor", "split")).alias("runs")))
+    pieces, pieces_path = materialise(_pieces(docs, wanted, window, gram), "pieces")
+    drop_path(spark, runs_path)
+    known = _search(pieces, window, shard_words)
+    found = _salted_join(pieces.select("th", "starts", "doc_id", "n", "id1", "id2"), known, ["id1", "id2"])
+    spans = (found.select("doc_id", "th", F.transform("starts", lambda s: F.struct(s.alias("start"), F.col("n"), F.col("mask"))).alias("spans"))
              .groupBy("doc_id", "th").agg(F.flatten(F.collect_list("spans")).alias("spans")))
+    spans, _ = materialise(spans, "spans")
+    drop_path(spark, pieces_path)
     return _cut(df, doc_id, text, th, spans, keep, window)
 
 
