@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from .common import drop_path, materialise, positive_partitions, slices, spans_gather, utf8
 
 BLOCK_BYTES = 8 << 20  # text of a block; a longer document is a block of its own
-TOGETHER = 6            # blocks whose counts are summed before they are shuffled, on average
+TOGETHER = 6            # blocks that one task counts, on average
+SUMMED = 500_000        # rows of counts that a task sums before it passes them on
 SCALE = 1_000_000_000
 # What a term does not hold: ASCII without its letters (fixed pattern; upper case is folded first).
 OUTSIDE_TERMS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -126,6 +127,7 @@ def chunk_blocks(docs: DataFrame, buckets: int, block_bytes: int = BLOCK_BYTES)
                 more = int(lens[a:z].sum())
                 if held and size + more > block_bytes:
                     yield close()
+                    pa.default_memory_pool().release_unused()
                     held, size, made = [], 0, made + 1
                 held.append(big.slice(a, z - a))
                 size += more
@@ -185,11 +187,15 @@ def _firsts(keys: np.ndarray) -> np.ndarray:
 
 
 COUNT_SCHEMA = "lang string, source string, term string, docs long, n long"
+COUNT_ARROW = pa.schema([*((c, pa.string()) for c in ("lang", "source", "term")), ("docs", pa.int64()), ("n", pa.int64())])
 
 
 def _count_blocks(blocks: pa.Table, lines: pa.Table) -> pa.Table:
-    """The summed counts of a few blocks, each with the lines of all its buckets; one block is held at a time."""
-    whole, groups = None, {}
+    """The counts of a few blocks, each with the lines of all its buckets.
+
+    One block is held at a time; counts are summed until they have ``SUMMED`` rows.
+    """
+    done, whole, groups = [], None, {}
     lines = lines.sort_by([("block", "ascending"), ("bucket", "ascending")])
     whose = lines["block"].to_numpy()
     for i in range(blocks.num_rows):
@@ -199,15 +205,21 @@ def _count_blocks(blocks: pa.Table, lines: pa.Table) -> pa.Table:
             continue
         text = b"\n".join(_restored(x.as_py()) for x in lines["lines"].slice(a, z - a))
         t = _term_counts(block, pc.split_pattern(pa.array([text.decode()]), "\n").flatten(), groups)
+        del text
         if t is not None and whole is not None:
             t = (pa.concat_tables([whole, t]).group_by(["g", "term"]).aggregate([("docs", "sum"), ("n", "sum")])
                  .rename_columns(["g", "term", "docs", "n"]))
         whole = whole if t is None else t
-    if whole is None:
-        whole = pa.table({"g": pa.array([], pa.int32()), "term": pa.array([], pa.string()), "docs": pa.array([], pa.int64()),
-                          "n": pa.array([], pa.int64())})
-    lang, source = (pa.array([p[k] for p in groups], pa.string()).take(whole["g"].combine_chunks()) for k in (0, 1))
-    return pa.table({"lang": lang, "source": source, "term": whole["term"], "docs": whole["docs"], "n": whole["n"]})
+        if whole is not None and whole.num_rows >= SUMMED:
+            done, whole = [*done, whole], None
+    done += [whole] if whole is not None else []
+    names = [pa.array([p[k] for p in groups], pa.string()) for k in (0, 1)]
+    # small batches: the JVM holds one of them at a time
+    batches = [pa.RecordBatch.from_arrays([names[0].take(b["g"]), names[1].take(b["g"]), b["term"], b["docs"], b["n"]], schema=COUNT_ARROW)
+               for t in done for b in t.to_batches(max_chunksize=50_000)]
+    del done, whole
+    pa.default_memory_pool().release_unused()
+    return pa.Table.from_batches(batches, schema=COUNT_ARROW)
 
 
 def term_counts(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, str]:
