@@ -251,3 +251,25 @@ def test_pipeline_filters_odd_rows(spark):
     assert sorted(str(r.doc_id) for r in kept) == ["1", "3", "None"]
     out = corpus_pipeline.pack_sequences(spark, corpus_pipeline.drop_repeated_passages(spark, docs, SF), SF)
     assert out.count() == 5
+
+
+WORKING_NAMES = ["raw", "score", "predicted", "_row", "_content", "_kept", "kept", "n_words", "n_removed", "spans", "_id", "_th", "stats", "fp",
+                 "th", "runs", "component_id", "no id.x", "column_1"]
+
+
+@pytest.mark.parametrize("rows", [True, False])
+def test_pipeline_keeps_columns_of_any_name(spark, rows):
+    """Extra columns named like the operators' own come through every stage unchanged; empty tables too."""
+    import corpus_pipeline
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 120" if rows else "false")
+    plain = docs
+    for i, c in enumerate(WORKING_NAMES):
+        docs = docs.withColumn(c, F.concat(F.lit(f"v{i} "), F.col("doc_id").cast("string")))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert all(r[c] == f"v{i} {r.doc_id}" for r in got for i, c in enumerate(WORKING_NAMES)), name
+        want = stage(spark, plain, SF).collect()
+        assert sorted(map(str, ((r.doc_id, r.text, r.n_chars) for r in got))) == sorted(map(str, ((r.doc_id, r.text, r.n_chars) for r in want))), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() >= docs.count()
