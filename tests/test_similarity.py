@@ -58,3 +58,16 @@ def test_top_k_ranks(graphs):
     top1 = sim.best_match(cand, top_k=1)
     assert top2.where("rank = 1").select("p_id", "o_id", "pts", "score").exceptAll(top1).count() == 0
     assert top2.groupBy("p_id").count().agg(F.max("count")).first()[0] <= 2
+
+
+@pytest.mark.parametrize("ladder", [(), (80, 69, 60, 50)])
+def test_top_k_ladder_equals_brute_force(spark, graphs, ladder):
+    """Bounds only decide when a profile stops; copies of a node count as matches of their own."""
+    copies = graphs.o_nodes.where("id % 5 = 0").withColumn("id", F.col("id") + 100_000)
+    o = graphs.o_nodes.unionByName(copies)
+    got = sim.best_match_top(o, graphs.p_nodes, 3, ladder=ladder)
+    allp = sim.prefixed(o, "o_").crossJoin(sim.prefixed(graphs.p_nodes, "p_")).select("o_id", "p_id", S.tolerant_points().alias("pts"))
+    ranked = allp.where("pts >= 41").withColumn("rank", F.expr("row_number() over (partition by p_id order by pts desc, o_id)"))
+    want = ranked.where("rank <= 3").select("p_id", "o_id", "pts", F.col("rank").cast("bigint").alias("rank"))
+    assert got.count() == want.count()
+    assert got.select(*want.columns).exceptAll(want).count() == 0

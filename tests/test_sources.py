@@ -129,12 +129,71 @@ def test_csv_sinks_round_trip(spark, tmp_dir):
     sinks.write_nodes_csv(nodes, os.path.join(tmp_dir, "k1"))
     back = spark.read.csv(os.path.join(tmp_dir, "k1"))
     assert back.count() == 29 and len(back.columns) == 10
-    sharded = sinks.shard(nodes, ["id"], 10)
-    sinks.write_shards(sharded, os.path.join(tmp_dir, "k4"))
-    dirs = sorted(d for d in os.listdir(os.path.join(tmp_dir, "k4")) if d.startswith("shard_id="))
-    assert dirs == ["shard_id=0", "shard_id=1", "shard_id=2"]
-    sizes = {r["shard_id"]: r["count"] for r in sharded.groupBy("shard_id").count().collect()}
-    assert sizes == {0: 10, 1: 10, 2: 9}
+    assert codecs.read_nodes_csv(spark, os.path.join(tmp_dir, "k1")).exceptAll(nodes).count() == 0
+
+
+def test_shards_are_packed_and_read_back(spark, tmp_dir):
+    """Files hold many shards, a reader of many splits gets every row under its shard."""
+    rows = spark.createDataFrame([(i, f'"q", #shard=3,{i}' if i % 7 else None, i / 8) for i in range(995)], "id long, text string, x double")
+    sharded = sinks.shard(rows, ["id"], 10)
+    path = os.path.join(tmp_dir, "k4")
+    sinks.write_shards(sharded, path, per_file=40)
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert 3 <= len(files) < 30
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        back = readers.read_shards(spark, path, "id long, text string, x double")
+        assert back.exceptAll(sharded.select(*back.columns)).count() == 0 and back.count() == 995
+        some = readers.read_shards(spark, path, "id long, text string, x double", shards=[3, 99])
+        assert sorted(r["id"] for r in some.collect()) == [*range(30, 40), *range(990, 995)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_report_of_many_splits(spark, tmp_dir):
+    """One report file in many splits: several tasks, the same rows, headers carried over the splits."""
+    body = ["Nodes:", "\tModified: [1, 2, 3]", "\tRemoved: []", "\tAdded:", *[f"\t\t{i}: {i + 1}" for i in range(200)],
+            "Edges:", "\tModified:", "\t\t1: 2", "\tRemoved:", *[f"\t\t{i}: {i % 3}" for i in range(400)], "\tAdded:", *[f"\t\t{i}: 9" for i in range(300)]]
+    path = _write(tmp_dir, "big.yaml", "\n".join(body))
+    whole = sorted(map(tuple, readers.read_delta(spark, path).select("entity", "change", "a", "b").collect()), key=str)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        assert spark.read.text(path).rdd.getNumPartitions() > 5
+        split = sorted(map(tuple, readers.read_delta(spark, path).select("entity", "change", "a", "b").collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", old[1])
+    want = ([("Nodes", "Modified", i, None) for i in (1, 2, 3)] + [("Nodes", "Added", i, i + 1) for i in range(200)]
+            + [("Edges", "Modified", 1, 2)] + [("Edges", "Removed", i, i % 3) for i in range(400)] + [("Edges", "Added", i, 9) for i in range(300)])
+    assert whole == split == sorted(want, key=str)
+
+
+def test_header_option_and_default(spark, tmp_dir):
+    """By default the first line is data; with the option it is skipped in every file."""
+    line = "1,2,3,1,5,6,7,8,0.5,true, 1,2,3,1,5,6,7,8,0.25,false"
+    head = ",".join(["o_" + c for c in codecs.NODE_OUT] + ["p_" + c for c in codecs.NODE_OUT])
+    os.makedirs(os.path.join(tmp_dir, "p"))
+    for name in ("a", "b"):
+        _write(os.path.join(tmp_dir, "p"), name + ".csv", f"{head}\n{line}\n{line}\n")
+    assert codecs.read_pairs(spark, os.path.join(tmp_dir, "p"), header=True).count() == 4
+    plain = codecs.read_pairs(spark, os.path.join(tmp_dir, "p"))
+    assert plain.count() == 6 and plain.where("o_id = 1").count() == 4
+
+
+def test_move_documents_and_rejects(spark):
+    lines = spark.createDataFrame([(f"NodeObject({i},2,3,1,5,6,7,8,0.5,false)",) for i in range(3)], ["value"])
+    nodes = codecs.parse_nodes(lines).select(*codecs.NODE_OUT)
+    moves = spark.createDataFrame([(1, 1, "thief", 0), (1, 2, "policeman", 9), (1, 3, "thief", None), (1, 4, None, 1)],
+                                  "game_id long, seq long, user string, target long")
+    docs = codecs.moves_to_json(moves, nodes)
+    assert sorted(r["seq"] for r in docs.collect()) == [1, 4]
+    assert sorted(r["seq"] for r in codecs.move_rejects(moves, nodes).collect()) == [2, 3]
+    more = docs.unionByName(spark.createDataFrame([(1, 7, "no json"), (1, 8, '{"userId":"thief","node":{"id":1}}')], docs.schema))
+    assert [r["seq"] for r in codecs.moves_from_json(more).collect()] == [1]
+    assert sorted(r["seq"] for r in codecs.move_json_rejects(more).collect()) == [4, 7, 8]
 
 
 def test_parquet_graph_round_trip(spark, tmp_dir):

@@ -94,13 +94,74 @@ def test_long_chain_paths_and_weights(spark):
     assert none[0]["hops"] == 2147483647 and none[0]["path"] == ""
 
 
-def test_dense_adjacency_bounded(spark):
-    e = spark.createDataFrame([(1, 2, 4.0), (2, 3, 1.0), (3, 1, 2.5)], "src long, dst long, weight double")
-    ids = spark.createDataFrame([(1,), (2,), (3,)], "id long")
-    rows = {r["node"]: r["costs"] for r in graph.adjacency_dense(ids, e).collect()}
-    assert rows == {1: [None, 4.0, None], 2: [None, None, 1.0], 3: [2.5, None, None]}
+def test_weighted_distances_equal_dijkstra(spark):
+    """Zero weights, ties, parallel directions, isolated nodes; any width of the buckets."""
+    import heapq
+    import random
+    rng = random.Random(3)
+    links = [(rng.randrange(60), rng.randrange(60), rng.choice([0.0, 0.5, 1.0, 2.5, 7.0, 20.0, None])) for _ in range(130)]
+    edges = spark.createDataFrame(links, "src long, dst long, weight double").dropDuplicates(["src", "dst"])
+    kept = [tuple(r) for r in edges.collect()]
+    sources = spark.createDataFrame([(3,), (17,), (90,)], "node long")
+    best = {}
+    heap = [(0.0, s, s) for s in (3, 17, 90)]
+    while heap:
+        d, target, node = heapq.heappop(heap)
+        if node in best:
+            continue
+        best[node] = (d, target)
+        for a, b, w in kept:
+            for x, y in ((a, b), (b, a)):
+                if x == node and w is not None and y not in best:
+                    heapq.heappush(heap, (d + w, target, y))
+    for width in (None, 0.3, 100.0):
+        got = {r["node"]: (r["distance"], r["target"]) for r in paths.weighted(sources, edges, width).collect()}
+        assert got == best
     with pytest.raises(ValueError):
-        graph.adjacency_dense(ids, e, max_nodes=2)
+        paths.weighted(sources, spark.createDataFrame([(1, 2, -1.0)], "src long, dst long, weight double"))
+
+
+@pytest.mark.parametrize("values", [[5], [1, 2], [7, 7, 7, 7], [3, 1, 2, 2, 9], [-2**62, 2**62, 0, 5], list(range(0, 10**13, 10**10 + 7)), []])
+def test_selected_ranks(spark, values):
+    """The median by selection equals the sorted list's, for odd, even and tied counts and wide ranges."""
+    from twingraph.operators.kernel import select_ranks
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v long")
+    ranks = [0, len(values) // 2, max(len(values) - 1, 0) // 2, len(values) - 1, len(values)]
+    assert select_ranks(df, "v", ranks) == [sorted(values)[r] if 0 <= r < len(values) else None for r in ranks]
+    w = spark.createDataFrame([(0, i + 1, v) for i, v in enumerate(values)], "walk_id long, step long, node_id long")
+    r = walks.walk_stats(None, w, over="node_id").first()
+    n, o = len(values), sorted(values)
+    assert r["n"] == n and r["median_v"] == ((o[(n - 1) // 2] + o[n // 2]) / 2 if n else None)
+
+
+def test_dense_adjacency_in_tiles(spark):
+    e = spark.createDataFrame([(1, 2, 4.0), (2, 3, 1.0), (3, 1, 2.5), (3, 8, 1.0), (1, 1, 6.0), (2, 1, None)], "src long, dst long, weight double")
+    ids = spark.createDataFrame([(1,), (2,), (3,), (3,), (None,), (70,), (5,)], "id long")
+    want = {1: [6.0, 4.0, None, None, None], 2: [None, None, 1.0, None, None], 3: [2.5, None, None, None, None], 5: [None] * 5, 70: [None] * 5}
+    for tile in (1, 2, 256):
+        assert {r["node"]: r["costs"] for r in graph.adjacency_dense(ids, e, tile).collect()} == want
+        assert {len(r["costs"]) for r in graph.adjacency_tiles(ids, e, tile).collect()} <= {1, tile, 5}
+    assert graph.adjacency_dense(ids.where("id < 0"), e).count() == 0
+
+
+def _exchanges(df):
+    """Lines of the plan that shuffle or broadcast, and those that read the bucketed table."""
+    plan = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    return [x.strip() for x in plan if "Exchange" in x], [x for x in plan if "bucketed_" in x]
+
+
+def test_a_walk_step_exchanges_only_the_frontier(spark, g):
+    from twingraph.operators.kernel import Bucketed
+    with Bucketed(walks.neighbour_table(g.p_edges), ["node", "pos"]) as nbrs:
+        frontier = spark.range(100).selectExpr("id as walk_id", "id as at", "cast(2 as bigint) as deg")
+        one = walks.take_step(frontier, nbrs.table(), 1, 42, "n0")
+        three = walks.take_step(walks.take_step(one, nbrs.table(), 2, 42, "n1"), nbrs.table(), 3, 42, "n2")
+        for df, steps in ((one, 1), (three, 3)):
+            moved, read = _exchanges(df)
+            assert len(moved) == steps and len(read) == steps
+            assert all("hashpartitioning(_at" in x for x in moved)
+        assert spark.table(nbrs.name).count() > 0
+    assert nbrs.name not in [t.name for t in spark.catalog.listTables()]
 
 
 def test_jitter_is_seeded_and_bounded(spark):

@@ -3,8 +3,7 @@
 Neighbour lists are produced in long form ``(node, nbr, pos)`` with ``pos``
 the 0-based position in the ascending list, so a hub with a huge neighbour
 list never becomes one row or one task (ranking goes through
-:func:`prefix_rank`). :func:`as_lists` folds them into arrays when a caller
-knows the lists are bounded (e.g. a game board).
+:func:`prefix_rank`).
 """
 
 from __future__ import annotations
@@ -40,12 +39,6 @@ def adjacent(edges: DataFrame) -> DataFrame:
     return prefix_rank(undirected(edges), ["node"], ["nbr"], out="pos")
 
 
-def as_lists(long: DataFrame, name: str = "nbrs") -> DataFrame:
-    """Fold bounded long-form neighbour rows into ``(node, <name> array, deg)``."""
-    return long.groupBy("node").agg(
-        F.sort_array(F.collect_list("nbr")).alias(name), F.count(F.lit(1)).alias("deg"))
-
-
 def incident_edges(edges: DataFrame) -> DataFrame:
     """Every edge once per endpoint: ``(node, src, dst, weight, direction)``; a self loop is one "out" row."""
     out_e = edges.select(F.col("src").alias("node"), "src", "dst", "weight", F.lit("out").alias("direction"))
@@ -112,29 +105,50 @@ def node_value_match(a: DataFrame, b: DataFrame, how: str = "left_semi") -> Data
     return a.join(b, cond, how)
 
 
-DENSE_MAX_NODES = 5000
+def contained_nodes(a: DataFrame, b: DataFrame, by: str = "value", negate: bool = False) -> DataFrame:
+    """Nodes of ``a`` that are in ``b``, by ``id`` or by ``value`` (all fields); with ``negate`` those that are not."""
+    how = "left_anti" if negate else "left_semi"
+    if by == "value":
+        return node_value_match(a, b, how)
+    if by != "id":
+        raise ValueError(by)
+    return a.join(b.select("id"), "id", how)
+
 
+TILE = 256
 
-def adjacency_dense(node_ids: DataFrame, edges: DataFrame, max_nodes: int = DENSE_MAX_NODES) -> DataFrame:
-    """Dense cost rows ``(node, costs)`` over a caller-supplied node subset.
 
-    ``costs[j]`` is the cost to the j-th node of the subset (ascending ids),
-    NULL for no edge (the reference's +Infinity). Quadratic by nature, so the
-    subset size is checked first; the subset ids (bounded) are the only data
-    shipped with the plan, and no join is needed.
+def adjacency_tiles(node_ids: DataFrame, edges: DataFrame, tile: int = TILE) -> DataFrame:
+    """G8 in tiles: ``(node, row, col_tile, costs)``, the costs from a node to ``tile`` neighbouring columns.
+
+    Columns are the nodes of the subset in ascending order; NULL is no edge (the reference's +Infinity).
+    Node numbers come from a skew-safe ranking and meet the edges by joins; a row of the result is one
+    tile of one node, so no array is longer than ``tile``. The last tile of a row is as long as is left.
     """
-    ids = node_ids.select(F.col("id").cast("bigint")).distinct()
+    ids = prefix_rank(node_ids.select(F.col("id").cast("bigint").alias("id")).where("id is not null").distinct(), [], ["id"], out="at")
     n = ids.count()
-    if n > max_nodes:
-        raise ValueError(f"dense adjacency over {n} nodes exceeds max_nodes={max_nodes}")
-    order = sorted(r["id"] for r in ids.collect())
-    cols = F.array(*[F.lit(i).cast("bigint") for i in order]) if order else F.array().cast("array<bigint>")
-    inside = edges.where(F.col("src").isin(order) & F.col("dst").isin(order))
-    rows = inside.groupBy(F.col("src").alias("node")).agg(
-        F.map_from_entries(F.collect_list(F.struct("dst", "weight"))).alias("m"))
-    base = ids.withColumnRenamed("id", "node").join(rows, "node", "left")
-    return base.select("node", F.transform(cols, lambda j: F.when(F.col("m").isNotNull(), F.col("m")[j]))
-                       .alias("costs"))
+    i = ids.select(F.col("id").alias("src"), F.col("at").alias("row"))
+    j = ids.select(F.col("id").alias("dst"), F.col("at").alias("col"))
+    filled = (edges.select("src", "dst", "weight").where("weight is not null").join(i, "src").join(j, "dst")
+              .groupBy("row", F.expr(f"col div {tile}").cast("bigint").alias("col_tile"))
+              .agg(F.map_from_entries(F.collect_list(F.struct((F.col("col") % tile).cast("int"), "weight"))).alias("m")))
+    grid = ids.select(F.col("id").alias("node"), F.col("at").alias("row"),
+                      F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(max(n - 1, 0) // tile).cast("bigint"))).alias("col_tile"))
+    width = F.least(F.lit(tile), F.lit(n) - F.col("col_tile") * tile).cast("int")
+    at = F.sequence(F.lit(0), width - 1)
+    return grid.join(filled, ["row", "col_tile"], "left").select(
+        "node", "row", "col_tile", F.transform(at, lambda c: F.when(F.col("m").isNotNull(), F.col("m")[c])).alias("costs"))
+
+
+def adjacency_dense(node_ids: DataFrame, edges: DataFrame, tile: int = TILE) -> DataFrame:
+    """Dense cost rows ``(node, costs)`` over a caller-supplied node subset, put together from tiles.
+
+    ``costs[j]`` is the cost to the j-th node of the subset (ascending ids), NULL for no edge. A row is as
+    long as the subset; where that is too long for one value, use :func:`adjacency_tiles`.
+    """
+    tiles = adjacency_tiles(node_ids, edges, tile)
+    rows = tiles.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("col_tile", "costs"))).alias("t"))
+    return rows.select("node", F.flatten(F.transform("t", lambda t: t["costs"])).alias("costs"))
 
 
 def usable_edges(edges: DataFrame) -> DataFrame:

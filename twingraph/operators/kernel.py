@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import drop_path, scratch_path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -29,6 +29,33 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Bucketed:
+    """``df`` written as a table in buckets of ``keys``, in the shared folder.
+
+    A join on exactly these keys reads the table where it lies: only the other side is exchanged.
+    As a context manager it drops the table and its files at the end.
+    """
+
+    def __init__(self, df: DataFrame, keys: list[str], buckets: int | None = None):
+        self.spark = df.sparkSession
+        buckets = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.name = f"bucketed_{uuid.uuid4().hex}"
+        self.path = scratch_path(self.spark, self.name)
+        # dealt by the same hash as the buckets, so a bucket is one sorted file
+        (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+         .option("path", self.path).saveAsTable(self.name))
+
+    def table(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def __enter__(self) -> Bucketed:
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        drop_path(self.spark, self.path)
+
+
 def _sliced(df: DataFrame, groups: list[str], order_cols: list[str], partitions: int | None) -> DataFrame:
     """Rows with ``_slice``, the number of their range of (group, order columns).
 
@@ -105,3 +132,35 @@ def with_next(df: DataFrame, group_cols: list[str], order_cols: list[str], value
     joined = _meet(local, after, groups)
     return (joined.withColumn(out, F.when(F.col("_more"), F.col("_lead")).otherwise(F.col("_after")))
             .drop("_slice", "_lead", "_more", "_after"))
+
+
+FINER = 1024  # parts into which a pass of :func:`select_ranks` cuts a range
+
+
+def select_ranks(df: DataFrame, value: str, ranks: list[int]) -> list[int | None]:
+    """The values at 0-based ``ranks`` of the ascending whole numbers in column ``value``.
+
+    Each pass counts the rows of ``FINER`` equal parts of a range and goes on in the part that holds the
+    rank, until that part is one value: at most seven passes, whose only state is the counts of the parts.
+    Nulls have no rank; a rank beyond the last row gives None.
+    """
+    rows = cut_lineage(df.select(F.col(value).cast("bigint").alias("v")).where("v is not null"))
+    low, high, n = rows.agg(F.min("v"), F.max("v"), F.count("v")).first()
+    out: list[int | None] = []
+    for rank in ranks:
+        if not 0 <= rank < n:
+            out.append(None)
+            continue
+        a, z, before = low, high, 0
+        while a < z:
+            step = -(-(z - a + 1) // FINER)
+            inside = rows.where(F.col("v").between(a, z))
+            part = F.floor((F.col("v").cast("decimal(20,0)") - F.lit(a)) / F.lit(step)).cast("int")
+            counts = dict(inside.groupBy(part.alias("part")).count().collect())  # at most FINER rows
+            for i in range(FINER):
+                if before + counts.get(i, 0) > rank:
+                    break
+                before += counts.get(i, 0)
+            a, z = a + i * step, min(z, a + (i + 1) * step - 1)
+        out.append(a)
+    return out

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import scores as S
-from .kernel import prefix_sum
+from .kernel import prefix_rank, prefix_sum
 
 
 def _i(cond) -> F.Column:
@@ -121,13 +121,19 @@ def graph_counter_rows(strict: DataFrame, discarded: DataFrame) -> DataFrame:
         _i(disc & (ds < C.GRAPH_DISCARD_NONE)).alias("dtl"))
 
 
-def graph_counters(rows: DataFrame) -> DataFrame:
-    """A11 totals: ATL = TP, WTL = FP, CTL = FN, DTL; TN stays 0."""
+def graph_counters(rows: DataFrame, triangular: bool = False) -> DataFrame:
+    """A11 totals: ATL = TP, WTL = FP, CTL = FN, DTL; TN stays 0.
+
+    ``triangular`` counts the k-th original (in id order) k times, as a pass over the remaining originals
+    after each one does.
+    """
+    times = F.lit(1)
+    if triangular:
+        rows, times = prefix_rank(rows, [], ["o_id", "p_id"], out="_k"), F.col("_k") + 1
+    total = lambda c: F.sum(F.col(c) * times).cast("bigint")
     return rows.agg(
-        F.sum("atl").cast("bigint").alias("atl"), F.sum("atl").cast("bigint").alias("tp"),
-        F.sum("wtl").cast("bigint").alias("wtl"), F.sum("wtl").cast("bigint").alias("fp"),
-        F.sum("ctl").cast("bigint").alias("ctl"), F.sum("ctl").cast("bigint").alias("fn"),
-        F.sum("dtl").cast("bigint").alias("dtl"), F.lit(0).cast("bigint").alias("tn"))
+        total("atl").alias("atl"), total("atl").alias("tp"), total("wtl").alias("wtl"), total("wtl").alias("fp"),
+        total("ctl").alias("ctl"), total("ctl").alias("fn"), total("dtl").alias("dtl"), F.lit(0).cast("bigint").alias("tn"))
 
 
 def precision_recall(counters: DataFrame) -> DataFrame:

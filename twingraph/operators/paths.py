@@ -1,21 +1,28 @@
 """Shortest paths on the undirected view of a graph.
 
+The edges are written once as a table in buckets of ``(node, slot)``; a hub's edges
+lie in several slots. A round moves its few nodes to the edges and never the edges.
+
 ``bfs`` is a multi-source breadth-first search. A level joins the frontier with the
-undirected edges and keeps for every newly reached node its smallest-id parent
-(a partial ``min``). The neighbours of a level lie in the level before, in itself or
-in the next one, so new nodes are told from old ones by the last two levels alone
-and nothing settled earlier is shuffled again. Each level is written once to the
-shared checkpoint folder as a partition ``hops=<level>``.
+edges and keeps for every newly reached node its smallest-id parent (a partial
+``min``). The neighbours of a level lie in the level before, in itself or in the next
+one, so new nodes are told from old ones by the last two levels alone and nothing
+settled earlier is shuffled again. Each level is written once to the shared
+checkpoint folder as a partition ``hops=<level>``.
 
 Rows carry ``(node, parent, target)`` only. :func:`with_paths` rebuilds paths where
 they are asked for, by pointer doubling: log2(hops) joins.
 
-``weighted`` adds up edge weights instead: nodes whose distance fell in a round are
-the next frontier, until none falls.
+``weighted`` adds up edge weights by delta-stepping. Offered distances wait in files by
+bucket, a range of distances of one ``width``. The lowest bucket is opened: its nodes
+are improved among themselves until none falls, then they are settled and make offers
+to later buckets. A node that was settled before lies at most two of the largest
+weights below the open bucket, so only these last buckets are looked at.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import DataFrame
@@ -24,9 +31,21 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..session import scratch_path
 from .graph import undirected
-from .kernel import cut_lineage
+from .kernel import Bucketed, cut_lineage
 
 LEVEL = "node bigint, parent bigint, target bigint"
+SLOTS = 8  # shares of a node's edges
+
+
+def _edge_table(ways: DataFrame) -> Bucketed:
+    """``(node, slot, nbr, ...)`` in buckets."""
+    return Bucketed(ways.withColumn("slot", F.pmod(F.xxhash64("nbr"), F.lit(SLOTS)).cast("int")), ["node", "slot"])
+
+
+def _meet(frontier: DataFrame, edges: Bucketed) -> DataFrame:
+    """The edges of the nodes of ``frontier`` (column ``node``)."""
+    asked = frontier.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
+    return asked.join(edges.table(), ["node", "slot"]).drop("slot")
 
 
 def bfs(sources: DataFrame, edges: DataFrame, max_levels: int | None = None) -> DataFrame:
@@ -36,7 +55,6 @@ def bfs(sources: DataFrame, edges: DataFrame, max_levels: int | None = None) ->
     ends at; ``parent`` is the smallest-id neighbour one level closer.
     """
     spark = edges.sparkSession
-    und = cut_lineage(undirected(edges))
     root = scratch_path(spark, f"bfs-{uuid.uuid4().hex}")
 
     def settle(rows: DataFrame, level: int) -> DataFrame:
@@ -46,15 +64,17 @@ def bfs(sources: DataFrame, edges: DataFrame, max_levels: int | None = None) ->
     start = sources.where("node is not null").select("node").distinct()
     frontier = settle(start.select("node", F.lit(None).cast("bigint").alias("parent"), F.col("node").alias("target")), 0)
     previous, level = None, 0
-    while max_levels is None or level < max_levels:
-        level += 1
-        known = frontier if previous is None else frontier.unionByName(previous)
-        reach = (frontier.select(F.col("node").alias("parent"), "target").join(und, F.col("parent") == und["node"])
-                 .groupBy(F.col("nbr").alias("node")).agg(F.min(F.struct("parent", "target")).alias("via")))
-        fresh = reach.join(known.select("node"), "node", "left_anti").select("node", "via.parent", "via.target")
-        previous, frontier = frontier, settle(fresh, level)
-        if frontier.isEmpty():
-            break
+    with _edge_table(undirected(edges)) as und:
+        while max_levels is None or level < max_levels:
+            level += 1
+            known = frontier if previous is None else frontier.unionByName(previous)
+            reach = (_meet(frontier.select("node", "target"), und)
+                     .groupBy(F.col("nbr")).agg(F.min(F.struct(F.col("node").alias("parent"), "target")).alias("via"))
+                     .withColumnRenamed("nbr", "node"))
+            fresh = reach.join(known.select("node"), "node", "left_anti").select("node", "via.parent", "via.target")
+            previous, frontier = frontier, settle(fresh, level)
+            if frontier.isEmpty():
+                break
     return spark.read.schema(f"{LEVEL}, hops bigint").parquet(root).select("node", "hops", "target", "parent")
 
 
@@ -97,29 +117,67 @@ def nearest_valuable(nodes: DataFrame, edges: DataFrame, paths: bool = False) ->
     return res.select(*cols)
 
 
-def weighted(sources: DataFrame, edges: DataFrame) -> DataFrame:
+def weighted(sources: DataFrame, edges: DataFrame, width: float | None = None) -> DataFrame:
     """D1 by edge weights: ``(node, distance, target)``, the least sum of weights to a source.
 
     Edges go both ways at the smaller of their two weights; those without a weight
     cannot be taken, and a negative one is an error. Equal distances: smallest target.
+    ``width`` is the range of distances of a bucket, by default the mean weight.
     """
+    spark = edges.sparkSession
     both = (edges.select(F.col("src").alias("node"), F.col("dst").alias("nbr"), "weight")
             .unionByName(edges.select(F.col("dst").alias("node"), F.col("src").alias("nbr"), "weight")))
-    ways = cut_lineage(both.where("weight is not null and node <> nbr").groupBy("node", "nbr").agg(F.min("weight").alias("weight")))
-    if not ways.where("weight < 0").isEmpty():
-        raise ValueError("negative edge weight")
-    best = cut_lineage(sources.where("node is not null").select("node").distinct().select(
-        "node", F.struct(F.lit(0.0).alias("distance"), F.col("node").alias("target")).alias("at"), F.lit(True).alias("fell")))
-    while True:
-        offers = (best.where("fell").select(F.col("node").alias("_from"), "at").join(ways, F.col("_from") == ways["node"])
-                  .groupBy(F.col("nbr").alias("node"))
-                  .agg(F.min(F.struct((F.col("at.distance") + F.col("weight")).alias("distance"),
-                                      F.col("at.target").alias("target"))).alias("offer")))
-        better = F.col("offer").isNotNull() & (F.col("at").isNull() | (F.col("offer") < F.col("at")))
-        best = cut_lineage(best.select("node", "at").join(offers, "node", "full_outer").select(
-            "node", F.when(better, F.col("offer")).otherwise(F.col("at")).alias("at"), better.alias("fell")))
-        if best.where("fell").isEmpty():
-            return best.select("node", "at.distance", "at.target")
+    ways = both.where("weight is not null and node <> nbr").groupBy("node", "nbr").agg(F.min("weight").alias("weight"))
+    root = scratch_path(spark, f"weighted-{uuid.uuid4().hex}")
+    offer = "node bigint, distance double, target bigint"
+    waiting: dict[int, list[str]] = {}   # bucket -> folders with offers to it
+    settled: dict[int, DataFrame] = {}
+
+    def least(offers: DataFrame) -> DataFrame:
+        best = offers.groupBy("node").agg(F.min(F.struct("distance", "target")).alias("at"))
+        return best.select("node", "at.distance", "at.target")
+
+    def reach(rows: DataFrame, table: Bucketed) -> DataFrame:
+        return least(_meet(rows, table).select(F.col("nbr").alias("node"), (F.col("distance") + F.col("weight")).alias("distance"), "target"))
+
+    with _edge_table(ways) as table:
+        low, high, mean = table.table().agg(F.min("weight"), F.max("weight"), F.avg("weight")).first()
+        if low is not None and low < 0:
+            raise ValueError("negative edge weight")
+        high = high or 0.0
+        width = width or mean or 1.0
+        back = math.ceil(2 * high / width) + 1
+        start = sources.where("node is not null").select("node").distinct()
+        first = f"{root}/offers-start"
+        start.select("node", F.lit(0.0).alias("distance"), F.col("node").alias("target")).write.parquet(f"{first}/bucket=0")
+        waiting[0] = [first]
+        while waiting:
+            k = min(waiting)
+            offers = spark.read.schema(offer).parquet(*[f"{path}/bucket={k}" for path in waiting.pop(k)])
+            for old in [j for j in settled if j >= k - back]:
+                offers = offers.join(settled[old].select("node"), "node", "left_anti")
+            open_rows = cut_lineage(least(offers))
+            fell = open_rows
+            while low is not None and low < width and not fell.isEmpty():
+                inside = reach(fell, table).where(F.col("distance") < (k + 1) * width)
+                for old in [j for j in settled if j >= k - back]:
+                    inside = inside.join(settled[old].select("node"), "node", "left_anti")
+                new = F.struct(F.col("distance2").alias("distance"), F.col("target2").alias("target"))
+                better = F.col("distance2").isNotNull() & (F.col("distance").isNull() | (new < F.struct("distance", "target")))
+                met = open_rows.join(inside.select("node", F.col("distance").alias("distance2"), F.col("target").alias("target2")),
+                                     "node", "full_outer")
+                met = cut_lineage(met.select("node", F.when(better, F.col("distance2")).otherwise(F.col("distance")).alias("distance"),
+                                             F.when(better, F.col("target2")).otherwise(F.col("target")).alias("target"), better.alias("fell")))
+                open_rows, fell = met.drop("fell"), met.where("fell").drop("fell")
+            open_rows.write.parquet(f"{root}/settled/bucket={k}")
+            settled[k] = spark.read.schema(offer).parquet(f"{root}/settled/bucket={k}")
+            path = f"{root}/offers-{k}"
+            later = reach(settled[k], table).withColumn("bucket", F.floor(F.col("distance") / width)).where(F.col("bucket") > k)
+            later.write.partitionBy("bucket").parquet(path)
+            # at most one more than the largest weight has widths
+            for r in spark.read.schema(f"{offer}, bucket bigint").parquet(path).select("bucket").distinct().collect():
+                waiting.setdefault(r["bucket"], []).append(path)
+    return spark.read.schema(f"{offer}, bucket bigint").parquet(f"{root}/settled").select("node", "distance", "target")
 
 
 def nearest_valuable_weighted(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -240,6 +240,7 @@ def best_match(cands: DataFrame, top_k: int = 1) -> DataFrame:
 
 
 LADDER = (75, 60)  # 75 points: every property but the flag
+TOP_LADDER = (75, 69, 60, 50)
 
 
 def profiles(nodes: DataFrame) -> DataFrame:
@@ -276,6 +277,43 @@ def best_match_exact(o_nodes: DataFrame, p_nodes: DataFrame, min_points: int = C
     return expand(reduce(DataFrame.unionByName, found), p_prof, p_nodes)
 
 
+def smallest_members(nodes: DataFrame, p_profiles: DataFrame, k: int) -> DataFrame:
+    """``(rep, id)``: the ``k`` smallest node ids of every profile (``rep`` is its smallest)."""
+    rep = p_profiles.select(F.col("id").alias("rep"), *[F.col(c).alias(f"_{c}") for c in NODE_PROPS])
+    members = nodes.join(rep, [nodes[c].eqNullSafe(rep[f"_{c}"]) for c in NODE_PROPS]).select("rep", "id")
+    first = Window.partitionBy("rep").orderBy("id")  # cut to k rows a partition before the shuffle
+    return members.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= k).drop("_r")
+
+
+def best_match_top(o_nodes: DataFrame, p_nodes: DataFrame, k: int, min_points: int = C.BEST_MATCH_MIN_POINTS,
+                   ladder: tuple[int, ...] = TOP_LADDER) -> DataFrame:
+    """X10 with ``k`` matches a node: ``(p_id, o_id, pts, score, rank)``, ties by smaller original id.
+
+    Profiles are joined under falling bounds. A perturbed profile stops at the first bound above which it
+    has ``k`` original nodes, since all others have fewer points; only the unsettled ones meet the next,
+    wider join. A profile's best originals are ranked by the ``k`` smallest nodes of each matched profile,
+    and a row per partition and rank is all that is shuffled.
+    """
+    o_prof, p_prof = profiles(o_nodes), profiles(p_nodes)
+    sizes = o_prof.select(F.col("id").alias("o_id"), "n")
+    members = cut_lineage(smallest_members(o_nodes, o_prof, k))
+    best = Window.partitionBy("p_id").orderBy(F.desc("pts"), "o_id")
+    rest, found = p_prof, []
+    for t in [t for t in sorted(set(ladder), reverse=True) if t > min_points] + [min_points]:
+        pairs = cut_lineage(candidate_pairs(o_prof, rest, t))
+        enough = pairs.join(sizes, "o_id").groupBy("p_id").agg(F.sum("n").alias("c"))
+        settled = cut_lineage(enough if t == min_points else enough.where(F.col("c") >= k)).select("p_id")
+        nodes = (pairs.join(settled, "p_id", "left_semi").join(members, F.col("o_id") == F.col("rep"))
+                 .select("p_id", F.col("id").alias("o_id"), "pts"))
+        found.append(cut_lineage(nodes.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)))
+        rest = cut_lineage(rest.join(settled.select(F.col("p_id").alias("id")), "id", "left_anti"))
+        if rest.isEmpty():
+            break
+    per_profile = reduce(DataFrame.unionByName, found).select(
+        "p_id", "o_id", "pts", S.rounded(S.points_score("pts")).alias("score"), F.col("rank").cast("bigint").alias("rank"))
+    return expand(per_profile, p_prof, p_nodes)
+
+
 def best_match_counted(o_nodes: DataFrame, p_nodes: DataFrame, min_points: int = C.BEST_MATCH_MIN_POINTS) -> DataFrame:
     """Best match of every perturbed node and ``n_matches``, the originals that reach ``min_points``.
 

@@ -65,7 +65,10 @@ def opponent_view(status: DataFrame) -> DataFrame:
 
 
 def report_lines(status: DataFrame, moves: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The five report sections per player as ``(game_id, role, section, ord, line)``."""
+    """The five report sections per player as ``(game_id, role, section, ord, line)``.
+
+    A move whose target is no node names the target alone.
+    """
     ntext = nodes.select("id", F.concat(F.lit("NodeObject("), F.concat_ws(",", *[
         F.col(c).cast("string") for c in nodes.columns]), F.lit(")")).alias("txt"))
     path = (status.select("game_id", "role", F.posexplode("path_ids").alias("ord", "pid"))
@@ -81,9 +84,10 @@ def report_lines(status: DataFrame, moves: DataFrame, nodes: DataFrame) -> DataF
                    F.concat(F.lit("Adjacent Node: "), "txt").alias("line")))
     mv = (moves.select("game_id", F.lower("user").alias("role"), "seq", "user", "target")
           .join(status.select("game_id", "role"), ["game_id", "role"])
-          .join(ntext, F.col("target") == ntext["id"])
+          .join(ntext, F.col("target") == ntext["id"], "left")
+          .withColumn("txt", F.coalesce("txt", F.concat(F.lit("NodeObject("), F.coalesce(F.col("target").cast("string"), F.lit("")), F.lit(")"))))
           .select("game_id", "role", F.lit(4).alias("section"), F.col("seq").cast("bigint").alias("ord"),
-                  F.concat(F.lit("Move: Move("), F.col("user"), F.lit(","), F.col("txt"), F.lit(")")).alias("line")))
+                  F.concat(F.lit("Move: Move("), F.coalesce("user", F.lit("")), F.lit(","), F.col("txt"), F.lit(")")).alias("line")))
     dist = status.select("game_id", "role", F.lit(5).alias("section"), F.lit(0).cast("bigint").alias("ord"),
                          F.concat(F.lit("Distance to Valuable Node: "),
                                   F.coalesce(F.col("distance").cast("string"), F.lit(C.INFINITY_TEXT))).alias("line"))

@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.hashing import draw, mix
-from ..session import drop_path, scratch_path
+from ..session import scratch_path
 from .graph import successors, usable_edges, walk_start
-from .kernel import cut_lineage
+from .kernel import Bucketed, cut_lineage, select_ranks
 
 STEPS_A_JOB = 7  # joins of one plan; the log is a lineage cut after each
 
@@ -36,32 +36,6 @@ def neighbour_table(edges: DataFrame) -> DataFrame:
             .select("node", "pos", "nbr", F.coalesce("nbr_deg", F.lit(0)).cast("bigint").alias("nbr_deg")))
 
 
-class BucketedNeighbours:
-    """The neighbour table, written in buckets of ``(node, pos)`` in the shared folder.
-
-    As a context manager it drops the table and its files at the end.
-    """
-
-    def __init__(self, edges: DataFrame, buckets: int | None = None):
-        self.spark = edges.sparkSession
-        buckets = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        self.name = f"neighbours_{uuid.uuid4().hex}"
-        self.path = scratch_path(self.spark, self.name)
-        # dealt by the same hash as the buckets, so a bucket is one sorted file
-        (neighbour_table(edges).repartition(buckets, "node", "pos").write.bucketBy(buckets, "node", "pos")
-         .sortBy("node", "pos").option("path", self.path).saveAsTable(self.name))
-
-    def table(self) -> DataFrame:
-        return self.spark.table(self.name)
-
-    def __enter__(self) -> BucketedNeighbours:
-        return self
-
-    def __exit__(self, *exc) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
-        drop_path(self.spark, self.path)
-
-
 def take_step(frontier: DataFrame, nbrs: DataFrame, step: int, seed: int, out: str) -> DataFrame:
     """Add ``out``, the node of every walk after ``step`` (null for a walk that has ended), and renew ``deg``.
 
@@ -108,7 +82,7 @@ def random_walks(spark: SparkSession, edges: DataFrame, n_walks: int = C.N_WALKS
 
     part = append(walks.select("walk_id", F.col("start_id").alias("n0"), "deg"), 0, 1)
     last = "n0"
-    with BucketedNeighbours(edges) as nbrs:
+    with Bucketed(neighbour_table(edges), ["node", "pos"]) as nbrs:
         for first in range(1, max_steps, STEPS_A_JOB):
             moving = part.where("deg > 0").select("walk_id", F.col(last).alias("at"), "deg")
             if moving.isEmpty():
@@ -147,15 +121,19 @@ def honeypot_hits(walks: DataFrame, added_ids: DataFrame) -> DataFrame:
 
 
 def walk_stats(summary: DataFrame, walks: DataFrame, over: str = "length") -> DataFrame:
-    """Min / max / median / mean of walk lengths (or of visited node ids)."""
+    """Min / max / median / mean of walk lengths (or of visited node ids); the median is selected, not buffered."""
     if over == "length":
         v = summary.select(F.col("length").alias("v"))
     elif over == "node_id":
         v = walks.where(F.col("step") > 0).select(F.col("node_id").alias("v"))
     else:
         raise ValueError(over)
-    return v.agg(F.min("v").cast("bigint").alias("min_v"), F.max("v").cast("bigint").alias("max_v"),
-                 F.percentile(F.col("v").cast("double"), 0.5).alias("median_v"),
+    v = cut_lineage(v.select(F.col("v").cast("bigint").alias("v")))
+    n = v.count()
+    middle = select_ranks(v, "v", sorted({max(n - 1, 0) // 2, n // 2}))
+    known = [m for m in middle if m is not None]
+    median = F.lit((known[0] + known[-1]) / 2 if known else None).cast("double")
+    return v.agg(F.min("v").alias("min_v"), F.max("v").alias("max_v"), F.first(median).alias("median_v"),
                  F.avg(F.col("v").cast("double")).alias("mean_v"), F.count(F.lit(1)).alias("n"))
 
 

@@ -731,7 +731,7 @@ SELECT 'Edges', 'Added', src, dst, false, true FROM edge_d WHERE change = 'Remov
 oracle("q_best_match_top3", with_ctes(f"""
 SELECT p_id, o_id, pts, round({score_sql('pts')}, 2) AS score, rank
 FROM (SELECT *, row_number() OVER (PARTITION BY p_id ORDER BY pts DESC, o_id) AS rank
-      FROM (SELECT o.id AS o_id, p.id AS p_id, {PTS} AS pts FROM o_nodes o, p_nodes p) WHERE pts >= 60)
+      FROM (SELECT o.id AS o_id, p.id AS p_id, {PTS} AS pts FROM o_nodes o, p_nodes p) WHERE pts >= {C.BEST_MATCH_MIN_POINTS})
 WHERE rank <= 3"""))
 oracle("q_walk_node_stats", with_ctes("""
 SELECT CAST(min(node_id) AS BIGINT) AS min_v, CAST(max(node_id) AS BIGINT) AS max_v,
@@ -748,3 +748,27 @@ SELECT u.game_id, u.role, s.node, coalesce(s.adjacent, '') AS adjacent, coalesce
        coalesce(s.n_moves, 0) AS n_moves
 FROM (SELECT DISTINCT game_id, lower("user") AS role FROM moves) u
 LEFT JOIN status s ON s.game_id = u.game_id AND s.role = u.role""", *_ALL_STATUS, recursive=True, **_MOVES))
+oracle("q_graph_counters_triangular", with_ctes("""
+SELECT CAST(sum(atl * k) AS BIGINT) AS atl, CAST(sum(atl * k) AS BIGINT) AS tp,
+       CAST(sum(wtl * k) AS BIGINT) AS wtl, CAST(sum(wtl * k) AS BIGINT) AS fp,
+       CAST(sum(ctl * k) AS BIGINT) AS ctl, CAST(sum(ctl * k) AS BIGINT) AS fn,
+       CAST(sum(dtl * k) AS BIGINT) AS dtl, CAST(0 AS BIGINT) AS tn
+FROM (SELECT *, row_number() OVER (ORDER BY o_id, p_id) AS k FROM graph_rows)""", PRESENT, GRAPH_ROWS))
+oracle("q_contained_nodes", with_ctes("SELECT id FROM o_nodes WHERE id IN (SELECT id FROM p_nodes)"))
+oracle("q_adjacency_tiles", with_ctes("""
+SELECT a.id AS node, a.i AS row, b.i // 16 AS col_tile,
+       string_agg(CASE WHEN e.weight IS NULL THEN '-' ELSE printf('%.3f', e.weight) END, ',' ORDER BY b.i) AS costs
+FROM sub a CROSS JOIN sub b LEFT JOIN p_edges e ON e.src = a.id AND e.dst = b.id GROUP BY a.id, a.i, b.i // 16""", """
+start AS (SELECT coalesce((SELECT min(dst) FROM p_edges WHERE src = (SELECT min(src) FROM p_edges)),
+                          (SELECT min(src) FROM p_edges)) AS s),
+sub AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS i FROM (SELECT s AS id FROM start UNION SELECT dst FROM p_edges JOIN start ON src = s))"""))
+oracle("q_shards_roundtrip", with_ctes(f"""
+SELECT (row_number() OVER (ORDER BY src, dst) - 1) // {C.SHARD_SIZE} AS shard_id, src, dst, weight FROM p_edges"""))
+oracle("q_status_documents", with_ctes(f"""
+SELECT s.game_id, s.role, coalesce(m.part, 0) AS part, coalesce(m.moves, '') AS moves, s.adjacent,
+       coalesce(s.distance, CAST({C.UNREACHABLE} AS DOUBLE)) AS distance, s.path, s.confidence
+FROM status s LEFT JOIN (
+  SELECT game_id, role, part, string_agg(u || ':' || CAST(target AS VARCHAR), ',' ORDER BY seq) AS moves
+  FROM (SELECT game_id, lower("user") AS role, "user" AS u, target, seq,
+               (row_number() OVER (PARTITION BY game_id, lower("user") ORDER BY seq) - 1) // 20 AS part FROM moves)
+  GROUP BY game_id, role, part) m ON m.game_id = s.game_id AND m.role = s.role""", *_ALL_STATUS, recursive=True, **_MOVES))

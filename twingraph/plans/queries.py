@@ -532,9 +532,9 @@ def q_reconcile(spark, sf_dir):
 
 @register
 def q_best_match_top3(spark, sf_dir):
-    """X10 with k = 3 among pairs of 60 points and more."""
+    """X10 with k = 3 at its own threshold."""
     g = _pair(spark, sf_dir)
-    return sim.best_match(sim.candidate_pairs(g.o_nodes, g.p_nodes, 60), top_k=3)
+    return sim.best_match_top(g.o_nodes, g.p_nodes, k=3)
 
 
 @register
@@ -565,3 +565,48 @@ def q_status_of_users(spark, sf_dir):
     from ..operators import status as ST
     users = fx.moves(spark, sf_dir).select("game_id", F.col("user").alias("role"))
     return ST.status_of(users, _status(spark, sf_dir))
+
+
+@register
+def q_graph_counters_triangular(spark, sf_dir):
+    """A11 as a pass over the remaining originals after each one counts: the k-th original k times."""
+    return M.graph_counters(_graph_counter_rows(_pair(spark, sf_dir)), triangular=True)
+
+
+@register
+def q_contained_nodes(spark, sf_dir):
+    """G9 by id: original nodes whose id is still there."""
+    g = _pair(spark, sf_dir)
+    return graph.contained_nodes(g.o_nodes, g.p_nodes, by="id").select("id")
+
+
+@register
+def q_adjacency_tiles(spark, sf_dir):
+    """G8 in tiles of 16 columns, over the start node of the walks and its successors."""
+    g = _pair(spark, sf_dir)
+    start = graph.walk_start(g.p_edges).select(F.col("start_id").alias("src"))
+    ids = start.select(F.col("src").alias("id")).unionByName(
+        g.p_edges.join(start, "src", "left_semi").select(F.col("dst").alias("id")))
+    tiles = graph.adjacency_tiles(ids, g.p_edges, tile=16)
+    return tiles.select("node", "row", "col_tile", F.array_join(F.transform("costs", graph.format_cost), ",").alias("costs"))
+
+
+@register
+def q_shards_roundtrip(spark, sf_dir):
+    """K4: shards of 35 edges, packed into files and read back."""
+    path = _scratch(spark, "shards")
+    SK.write_shards(SK.shard(_pair(spark, sf_dir).p_edges, ["src", "dst"], C.SHARD_SIZE), path)
+    return RD.read_shards(spark, path, "src bigint, dst bigint, weight double")
+
+
+@register
+def q_status_documents(spark, sf_dir):
+    """Moves and status of every player as documents of 20 moves, read back."""
+    from ..sources import codecs as CD
+    nodes, _, _ = _board(spark)
+    docs = CD.status_documents(_status(spark, sf_dir), fx.moves(spark, sf_dir), nodes, per_document=20)
+    ids = lambda c: F.array_join(F.transform(c, lambda n: n["id"].cast("string")), ",")
+    return CD.status_from_json(docs).select(
+        "game_id", "role", "part", F.array_join(F.transform("moves", lambda m: F.concat(m["userId"], F.lit(":"), m["node"]["id"].cast("string"))), ",").alias("moves"),
+        ids("adjacentNodes").alias("adjacent"), F.col("distanceToValuableNode").alias("distance"),
+        ids("pathToValuableNode").alias("path"), F.col("confidenceScore").alias("confidence"))

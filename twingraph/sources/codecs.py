@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import constants as C
+from ..operators.kernel import prefix_rank
 from ..schemas import NODE, NODE_FIELDS, NODE_TEXT_PREFIX
 
 NODE_OUT = list(NODE_FIELDS)
@@ -100,18 +102,79 @@ def json_rejects(docs: DataFrame, col: str = "json") -> DataFrame:
 
 
 def moves_to_json(moves: DataFrame, nodes: DataFrame) -> DataFrame:
-    """One Move document per move whose target is a node: ``(game_id, seq, json)``."""
+    """One Move document per move whose target is a node: ``(game_id, seq, json)``; see :func:`move_rejects`."""
     at = nodes.select(*[F.col(c).alias(f"_n_{c}") for c in NODE_FIELDS])
     j = moves.join(at, moves["target"] == at["_n_id"])
     doc = F.struct(F.col("user").alias("userId"), _json_node("_n_").alias("node"))
     return j.select("game_id", "seq", F.to_json(doc).alias("json"))
 
 
+def move_rejects(moves: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The moves that have no document, as their target is null or no node."""
+    return moves.join(nodes.select(F.col("id").alias("_id")), moves["target"] == F.col("_id"), "left_anti")
+
+
+def _read_moves(docs: DataFrame, col: str) -> DataFrame:
+    rest = [c for c in docs.columns if c != col]
+    parsed = docs.select("*", F.from_json(F.col(col), _MOVE_JSON).alias("m"))
+    return parsed.select(*rest, F.col(col).alias("_doc"), F.col("m.userId").alias("user"), *_node_columns("m.node"))
+
+
 def moves_from_json(docs: DataFrame, col: str = "json") -> DataFrame:
-    """Move documents as their other columns, ``user`` and the NODE columns of the target."""
+    """Move documents as their other columns, ``user`` and the NODE columns of the target.
+
+    Those without a user, or whose node lacks a field or holds one of another type, are left to :func:`move_json_rejects`.
+    """
+    return _read_moves(docs, col).where(_complete() & F.col("user").isNotNull()).drop("_doc")
+
+
+def move_json_rejects(docs: DataFrame, col: str = "json") -> DataFrame:
+    """The documents that :func:`moves_from_json` leaves, as they are."""
+    bad = _read_moves(docs, col).where(~_complete() | F.col("user").isNull())
+    return bad.select(*[c for c in docs.columns if c != col], F.col("_doc").alias(col))
+
+
+# FIXED values: keys of the document of a player's moves and status.
+_STATUS_JSON = T.StructType([
+    T.StructField("moves", T.ArrayType(_MOVE_JSON)), T.StructField("adjacentNodes", T.ArrayType(_NODE_JSON)),
+    T.StructField("distanceToValuableNode", T.DoubleType()), T.StructField("pathToValuableNode", T.ArrayType(_NODE_JSON)),
+    T.StructField("confidenceScore", T.DoubleType())])
+
+
+def status_documents(status: DataFrame, moves: DataFrame, nodes: DataFrame, per_document: int = 1000) -> DataFrame:
+    """``(game_id, role, part, json)``, the moves and the status of every player as documents.
+
+    ``status`` is that of :func:`status.player_status`. A document holds at most ``per_document`` moves, in
+    ``seq`` order; a player with more has several parts, each with the status. An unreachable target has
+    the distance ``2147483647`` and an empty path. Moves to no node are left out (:func:`move_rejects`).
+    """
+    key = ["game_id", "role"]
+    at = nodes.select(F.col("id").alias("_id"), _json_node().alias("node"))
+
+    def listed(ids: str, out: str) -> DataFrame:
+        one = status.select(*key, F.posexplode(F.col(ids).cast("array<bigint>")).alias("i", "_id")).where("_id is not null")
+        rows = one.join(at, "_id").groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("i", "node"))).alias("l"))
+        return rows.select(*key, F.transform("l", lambda x: x["node"]).alias(out))
+
+    own = (moves.select("game_id", F.lower("user").alias("role"), "seq", F.col("user").alias("userId"), F.col("target").alias("_id"))
+           .join(status.select(*key), key, "left_semi").join(at, "_id"))
+    own = prefix_rank(own.select(*key, "seq", "userId", "node"), key, ["seq"], out="_n")
+    parts = (own.groupBy(*key, F.expr(f"_n div {per_document}").alias("part"))
+             .agg(F.sort_array(F.collect_list(F.struct("seq", "userId", "node"))).alias("l"))
+             .select(*key, "part", F.transform("l", lambda x: F.struct(x["userId"].alias("userId"), x["node"].alias("node"))).alias("moves")))
+    whole = (status.select(*key, "distance", "confidence").join(listed("adjacent_ids", "adjacentNodes"), key, "left")
+             .join(listed("path_ids", "pathToValuableNode"), key, "left").join(parts, key, "left"))
+    empty = lambda c, i: F.coalesce(c, F.array().cast(_STATUS_JSON[i].dataType))
+    doc = F.struct(empty("moves", 0).alias("moves"), empty("adjacentNodes", 1).alias("adjacentNodes"),
+                   F.coalesce("distance", F.lit(float(C.UNREACHABLE))).alias("distanceToValuableNode"),
+                   empty("pathToValuableNode", 3).alias("pathToValuableNode"), F.col("confidence").alias("confidenceScore"))
+    return whole.select(*key, F.coalesce("part", F.lit(0)).cast("bigint").alias("part"), F.to_json(doc).alias("json"))
+
+
+def status_from_json(docs: DataFrame, col: str = "json") -> DataFrame:
+    """Status documents as their other columns and one column for each of their five keys."""
     rest = [c for c in docs.columns if c != col]
-    parsed = docs.select(*rest, F.from_json(F.col(col), _MOVE_JSON).alias("m"))
-    return parsed.select(*rest, F.col("m.userId").alias("user"), *_node_columns("m.node"))
+    return docs.select(*rest, F.from_json(F.col(col), _STATUS_JSON).alias("d")).select(*rest, "d.*")
 
 
 def pair_lines(pairs: DataFrame) -> DataFrame:
@@ -128,8 +191,17 @@ def extract_node_number(line) -> F.Column:
     return F.trim(F.try_element_at(F.split(line, ","), F.lit(11))).try_cast("bigint")
 
 
-def read_pairs(spark, path: str) -> DataFrame:
-    """Pair lines from CSV text, addressed by name (o_* and p_* fields)."""
+def read_pairs(spark, path: str, header: bool = False) -> DataFrame:
+    """Pair lines from CSV text, addressed by name (o_* and p_* fields).
+
+    P7: with ``header`` the first line of every file is a header; by default every line is data.
+    """
     fields = [T.StructField(f"{s}{f.name}", f.dataType) for s in ("o_", "p_") for f in NODE.fields]
-    return spark.read.csv(path, schema=T.StructType(fields), ignoreLeadingWhiteSpace=True,
+    return spark.read.csv(path, schema=T.StructType(fields), header=header, enforceSchema=True,
+                          ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
+
+
+def read_nodes_csv(spark, path: str, header: bool = False) -> DataFrame:
+    """Node lines as the node CSV writer leaves them; ``header`` as in :func:`read_pairs`."""
+    return spark.read.csv(path, schema=NODE, header=header, enforceSchema=True, ignoreLeadingWhiteSpace=True,
                           ignoreTrailingWhiteSpace=True)

@@ -6,8 +6,9 @@ column expressions over ``spark.read.text``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import EDGE, NODE
 
@@ -71,24 +72,38 @@ def nodes_to_dot(nodes: DataFrame) -> DataFrame:
     return nodes.select(F.format_string('"%d"', "id").alias("value"))
 
 
+def carried_lines(spark: SparkSession, glob: str, headers: dict[str, Column]) -> DataFrame:
+    """Lines of text files with the last header before each of them: ``(file, block, pos, line, <headers>)``.
+
+    ``headers`` are expressions over ``line`` that are null on other lines. A file is read in splits;
+    ``block`` is where a split begins. Inside a split the header is carried by a window over its lines;
+    what a split inherits is carried over the splits of its file, of which there is one row each.
+    """
+    lines = spark.read.text(glob).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("pos"), F.col("value").alias("line"))
+    lines = lines.select("*", *[c.alias(n) for n, c in headers.items()])
+    last = lines.groupBy("file", "block").agg(*[F.max_by(F.when(F.col(n).isNotNull(), F.col(n)), F.when(F.col(n).isNotNull(), F.col("pos"))).alias(f"_{n}")
+                                                for n in headers])
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    inherited = last.select("file", "block", *[F.last(f"_{n}", ignorenulls=True).over(earlier).alias(f"_{n}") for n in headers])
+    within = Window.partitionBy("file", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    tagged = lines.select("file", "block", "pos", "line", *[F.last(n, ignorenulls=True).over(within).alias(n) for n in headers])
+    return tagged.join(inherited, ["file", "block"]).select(
+        "file", "block", "pos", "line", *[F.coalesce(n, f"_{n}").alias(n) for n in headers])
+
+
 def read_delta(spark: SparkSession, glob: str) -> DataFrame:
     """S3: perturbation report(s) as DELTA rows ``(entity, change, a, b, file)``.
 
     The report is an operation log with sections ``Nodes:``/``Edges:`` and
     sub-sections ``Modified``/``Removed``/``Added``; node lists are inline
-    ``[a, b, ...]``, pairs are ``a: b`` lines (keys may repeat). Section
-    headers are carried down with ``last(..., ignorenulls)`` over the line
-    order of each file.
+    ``[a, b, ...]``, pairs are ``a: b`` lines (keys may repeat). A large file is
+    read by several tasks; the section headers are carried over its splits.
     """
-    docs = spark.read.text(glob, wholetext=True).select(F.col("value"), F.input_file_name().alias("file"))
-    lines = docs.select("file", F.posexplode(F.split("value", "\n")).alias("pos", "line"))
     ent = F.nullif(F.regexp_extract("line", r"^(Nodes|Edges):\s*$", 1), F.lit(""))
     chg = F.nullif(F.regexp_extract("line", r"^\s+(Modified|Removed|Added):", 1), F.lit(""))
-    w = Window.partitionBy("file").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    tagged = lines.select(
-        "file", "pos", "line",
-        F.last(ent, ignorenulls=True).over(w).alias("entity"),
-        F.last(chg, ignorenulls=True).over(w).alias("change"))
+    tagged = carried_lines(spark, glob, {"entity": ent, "change": chg})
     inline = (tagged.where(F.col("line").rlike(r"^\s+(Modified|Removed|Added):\s*\[.*\]"))
               .select("file", "entity", "change",
                       F.explode(F.split(F.regexp_extract("line", r"\[(.*)\]", 1), ",")).alias("x"))
@@ -101,3 +116,16 @@ def read_delta(spark: SparkSession, glob: str) -> DataFrame:
         F.regexp_extract("line", pair_re, 1).cast("bigint").alias("a"),
         F.regexp_extract("line", pair_re, 2).cast("bigint").alias("b"), "file")
     return inline.unionByName(pairs)
+
+
+SHARD_MARK = "#shard="
+
+
+def read_shards(spark: SparkSession, path: str, schema: T.StructType | str, shards: list[int] | None = None) -> DataFrame:
+    """K4 read back: rows of packed shards with ``shard_id``; with ``shards`` only these."""
+    mark = F.regexp_extract("line", f"^{SHARD_MARK}(\\d+),", 1).try_cast("bigint")
+    rows = carried_lines(spark, path, {"shard_id": mark}).where(~F.col("line").startswith(SHARD_MARK))
+    if shards is not None:
+        rows = rows.where(F.col("shard_id").isin(shards))
+    ddl = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    return rows.select("shard_id", F.from_csv("line", ddl).alias("r")).select("shard_id", "r.*")

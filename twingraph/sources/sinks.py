@@ -12,6 +12,7 @@ from ..schemas import NODE_FIELDS
 PAIR18 = [f"{s}_{c}" for s in ("o", "p") for c in NODE_FIELDS[:9]]
 EDGE_PAIR6 = ["o_src", "o_dst", "o_weight", "p_src", "p_dst", "p_weight"]
 REPORT_CHUNK = 1000
+SHARDS_PER_FILE = 50_000
 
 
 def write_nodes_csv(nodes: DataFrame, path: str) -> None:
@@ -48,9 +49,18 @@ def shard(df: DataFrame, order_cols: list[str], size: int = C.SHARD_SIZE) -> Dat
             .withColumn("row_in_shard", (F.col("_rn") % size).cast("bigint")).drop("_rn"))
 
 
-def write_shards(sharded: DataFrame, path: str) -> None:
-    """K4 sink: one folder per shard, header in every file."""
-    sharded.write.mode("overwrite").partitionBy("shard_id").option("header", True).csv(path)
+def write_shards(sharded: DataFrame, path: str, per_file: int = SHARDS_PER_FILE) -> None:
+    """K4 sink: whole shards one after the other, at most ``per_file`` of them in a text file.
+
+    A shard is its header line ``#shard=<id>,<columns>`` and then its rows as quoted CSV, so a row never
+    looks like a header; values must not hold line breaks. :func:`readers.read_shards` reads them back.
+    """
+    columns = [c for c in sharded.columns if c not in ("shard_id", "row_in_shard")]
+    line = F.to_csv(F.struct(*columns), {"quoteAll": "true"})
+    packed = sharded.groupBy("shard_id").agg(F.sort_array(F.collect_list(F.struct("row_in_shard", line.alias("line")))).alias("rows"))
+    head = F.concat(F.lit("#shard="), F.col("shard_id").cast("string"), F.lit("," + ",".join(columns) + "\n"))
+    text = packed.sort("shard_id").select(F.concat(head, F.array_join(F.transform("rows", lambda r: r["line"]), "\n")).alias("value"))
+    text.write.mode("overwrite").option("maxRecordsPerFile", per_file).text(path)
 
 
 def extract_formatted(nodes: DataFrame, edges: DataFrame, cost_graph: DataFrame,
