@@ -8,13 +8,15 @@ integer rules, and the move log from ``events``.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import constants as C
-from .operators.kernel import cut_lineage, prefix_rank, with_next
+from .operators.kernel import prefix_rank, with_next
+from .session import path_exists, scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,8 +34,21 @@ class GraphPair:
 
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self._spark, self._dir, self._mat = spark, sf_dir, materialize
+        self._written: list[str] = []
         self.o_nodes = original_nodes(spark, sf_dir)
 
+    def _copy(self, df: DataFrame) -> DataFrame:
+        if not self._mat:
+            return df
+        path = scratch_path(self._spark, f"edges-{uuid.uuid4().hex}")
+        df.write.parquet(path)
+        self._written.append(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def usable(self) -> bool:
+        """Whether the written copies are still there."""
+        return all(path_exists(self._spark, p) for p in self._written)
+
     @cached_property
     def n_parts(self) -> int:
         """One above the largest original id: what added ids start from, whatever the size of the table."""
@@ -45,13 +60,11 @@ class GraphPair:
 
     @cached_property
     def o_edges(self) -> DataFrame:
-        e = original_edges(self._spark, self._dir)
-        return cut_lineage(e) if self._mat else e
+        return self._copy(original_edges(self._spark, self._dir))
 
     @cached_property
     def p_edges(self) -> DataFrame:
-        e = perturbed_edges(self.o_edges, self.o_nodes, self.n_parts)
-        return cut_lineage(e) if self._mat else e
+        return self._copy(perturbed_edges(self.o_edges, self.o_nodes, self.n_parts))
 
 
 def original_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +85,9 @@ def original_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def original_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Consecutive parts of every order, one weighted edge per ordered pair.
+    """Consecutive parts of every order, one edge per ordered pair; a part that follows itself is a self loop.
+
+    One edge in fifty has no weight.
 
     The next line of an order comes from :func:`with_next`: a ``lead`` window
     for ordinary orders, a skew-safe numbered self-join for an order holding
@@ -83,9 +98,9 @@ def original_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice")
     raw = with_next(li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"],
                     "l_partkey", "dst")
-    return (raw.where(F.col("dst").isNotNull() & (F.col("l_partkey") != F.col("dst")))
-            .groupBy(F.col("l_partkey").alias("src"), "dst")
-            .agg(F.min(F.col("l_quantity").cast("bigint") % 9 + 1).cast("double").alias("weight")))
+    edges = (raw.where(F.col("dst").isNotNull()).groupBy(F.col("l_partkey").alias("src"), "dst")
+             .agg(F.min(F.col("l_quantity").cast("bigint") % 9 + 1).cast("double").alias("weight")))
+    return edges.select("src", "dst", F.when((F.col("src") * 31 + F.col("dst")) % 50 != 7, F.col("weight")).alias("weight"))
 
 
 def _dropped(idcol):
@@ -140,8 +155,17 @@ def perturbed_edges(o_edges: DataFrame, o_nodes: DataFrame, n_parts: int) -> Dat
     return base.unionByName(to_new).unionByName(from_new)
 
 
+_PAIRS: dict[tuple[str, str], GraphPair] = {}
+
+
 def graph_pair(spark: SparkSession, sf_dir: str, materialize: bool = True) -> GraphPair:
-    return GraphPair(spark, sf_dir, materialize)
+    """The pair of a folder; within an application its edge tables are derived once, as long as the copies are there."""
+    if not materialize:
+        return GraphPair(spark, sf_dir, False)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PAIRS or not _PAIRS[key].usable():
+        _PAIRS[key] = GraphPair(spark, sf_dir)
+    return _PAIRS[key]
 
 
 # ---------------------------------------------------------------------------

@@ -99,11 +99,11 @@ def random_walks(spark: SparkSession, edges: DataFrame, n_walks: int = C.N_WALKS
 
 
 def walk_summary(walks: DataFrame, nodes: DataFrame, edges: DataFrame, max_steps: int = C.MAX_STEPS) -> DataFrame:
-    """Per walk its length, last node, success (last node valuable), truncation."""
+    """Per walk its length, last node, success (last node valuable), truncation (it could still have moved)."""
     last = walks.groupBy("walk_id").agg(
         F.count(F.lit(1)).alias("length"), F.max_by("node_id", "step").alias("last_node"))
     val = nodes.select(F.col("id").alias("last_node"), "valuable_data")
-    outd = edges.groupBy(F.col("src").alias("last_node")).agg(F.count(F.lit(1)).alias("_od"))
+    outd = usable_edges(edges).groupBy(F.col("src").alias("last_node")).agg(F.count(F.lit(1)).alias("_od"))
     res = last.join(val, "last_node", "left").join(outd, "last_node", "left")
     return res.select(
         "walk_id", F.col("length").cast("bigint").alias("length"), "last_node",

@@ -30,8 +30,8 @@ li_raw AS (
          CAST(l_quantity AS BIGINT) % 9 + 1 AS w
   FROM lineitem),
 o_edges AS (
-  SELECT src, dst, CAST(min(w) AS DOUBLE) AS weight
-  FROM li_raw WHERE dst IS NOT NULL AND src <> dst GROUP BY src, dst),
+  SELECT src, dst, CASE WHEN (src*31+dst) % 50 <> 7 THEN CAST(min(w) AS DOUBLE) END AS weight
+  FROM li_raw WHERE dst IS NOT NULL GROUP BY src, dst),
 n_parts AS (SELECT max(p_partkey) + 1 AS n FROM part),
 p_nodes AS (
   SELECT id, children,

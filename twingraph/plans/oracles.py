@@ -28,8 +28,8 @@ node_d AS (
 EDGE_DIFF = """
 edge_d AS (
   SELECT coalesce(o.src, p.src) AS src, coalesce(o.dst, p.dst) AS dst,
-         CASE WHEN o.weight IS NULL THEN 'Added' WHEN p.weight IS NULL THEN 'Removed'
-              WHEN o.weight <> p.weight THEN 'Modified' ELSE 'Same' END AS change,
+         CASE WHEN o.src IS NULL THEN 'Added' WHEN p.src IS NULL THEN 'Removed'
+              WHEN o.weight IS DISTINCT FROM p.weight THEN 'Modified' ELSE 'Same' END AS change,
          o.weight AS o_weight, p.weight AS p_weight
   FROM o_edges o FULL OUTER JOIN p_edges p ON o.src = p.src AND o.dst = p.dst)
 """
@@ -60,7 +60,7 @@ SELECT node, nbr, row_number() OVER (PARTITION BY node ORDER BY nbr) - 1 AS pos
 oracle("q_incident_edges", with_ctes("""
 SELECT src AS node, src, dst, weight, 'out' AS direction FROM p_edges
 UNION ALL
-SELECT dst, src, dst, weight, 'in' FROM p_edges"""))
+SELECT dst, src, dst, weight, 'in' FROM p_edges WHERE src <> dst"""))
 
 oracle("q_degrees", with_ctes("""
 SELECT n.id, coalesce(i.c, 0) AS in_deg, coalesce(o.c, 0) AS out_deg,
@@ -89,20 +89,22 @@ DEGREES_OP = """
 deg_o AS (SELECT node, count(*) AS c FROM (SELECT src AS node FROM o_edges UNION ALL SELECT dst FROM o_edges) GROUP BY node),
 deg_p AS (SELECT node, count(*) AS c FROM (SELECT src AS node FROM p_edges UNION ALL SELECT dst FROM p_edges) GROUP BY node),
 shared AS (SELECT o.src, o.dst FROM o_edges o JOIN p_edges p ON o.src = p.src AND o.dst = p.dst),
-shared_deg AS (SELECT node, count(*) AS c FROM (SELECT src AS node FROM shared UNION ALL SELECT dst FROM shared) GROUP BY node)
+shared_deg AS (SELECT node, count(*) AS c FROM (SELECT src AS node FROM shared UNION ALL SELECT dst FROM shared WHERE src <> dst) GROUP BY node),
+inc_o AS (SELECT node, count(*) AS c FROM (SELECT src AS node FROM o_edges UNION ALL SELECT dst FROM o_edges WHERE src <> dst) GROUP BY node)
 """
 
 CONFIDENCE = """
 conf AS (
-  SELECT n.id, coalesce(a.c, 0) AS n_edges, coalesce(m.c, 0) AS shared,
+  SELECT n.id, coalesce(i.c, 0) AS n_edges, coalesce(m.c, 0) AS shared,
          coalesce(a.c, 0) = coalesce(b.c, 0) AS same_degree,
          pr.id IS NOT NULL AS present,
-         CASE WHEN pr.id IS NULL OR coalesce(a.c, 0) = 0 THEN CAST(0 AS DOUBLE)
+         CASE WHEN pr.id IS NULL OR coalesce(i.c, 0) = 0 THEN CAST(0 AS DOUBLE)
               ELSE least(CAST(1 AS DOUBLE),
                          CAST(1 + CASE WHEN coalesce(a.c, 0) = coalesce(b.c, 0) THEN coalesce(m.c, 0) ELSE 0 END AS DOUBLE)
-                         / CAST(coalesce(a.c, 0) AS DOUBLE)) END AS score
+                         / CAST(i.c AS DOUBLE)) END AS score
   FROM o_nodes n
   LEFT JOIN present pr ON pr.id = n.id
+  LEFT JOIN inc_o i ON i.node = n.id
   LEFT JOIN deg_o a ON a.node = n.id
   LEFT JOIN deg_p b ON b.node = n.id
   LEFT JOIN shared_deg m ON m.node = n.id)
@@ -199,7 +201,7 @@ SELECT i.id, coalesce(c.inter, 0) AS inter, coalesce(c.uni, 0) AS uni,
 FROM (SELECT o.id FROM o_nodes o JOIN p_nodes p ON o.id = p.id) i
 LEFT JOIN (
   SELECT node, CAST(sum(in_o * in_p) AS BIGINT) AS inter, count(*) AS uni
-  FROM (SELECT src AS node, in_o, in_p FROM j UNION ALL SELECT dst, in_o, in_p FROM j) GROUP BY node) c
+  FROM (SELECT src AS node, in_o, in_p FROM j UNION ALL SELECT dst, in_o, in_p FROM j WHERE src <> dst) GROUP BY node) c
 ON c.node = i.id""", """
 j AS (SELECT coalesce(o.src, p.src) AS src, coalesce(o.dst, p.dst) AS dst,
              CASE WHEN o.src IS NULL THEN 0 ELSE 1 END AS in_o, CASE WHEN p.src IS NULL THEN 0 ELSE 1 END AS in_p
@@ -215,12 +217,13 @@ best AS (
 oracle("q_best_match", with_ctes(f"SELECT p_id, o_id, pts, round({score_sql('pts')}, 2) AS score FROM best", BEST))
 
 oracle("q_confidence_pairs", with_ctes("""
-SELECT b.o_id AS original_id, b.p_id AS perturbed_id, coalesce(a.c, 0) AS n_edges, coalesce(m.c, 0) AS shared,
-       CASE WHEN pr.id IS NULL OR coalesce(a.c, 0) = 0 THEN CAST(0 AS DOUBLE)
+SELECT b.o_id AS original_id, b.p_id AS perturbed_id, coalesce(i.c, 0) AS n_edges, coalesce(m.c, 0) AS shared,
+       CASE WHEN pr.id IS NULL OR coalesce(i.c, 0) = 0 THEN CAST(0 AS DOUBLE)
             ELSE least(CAST(1 AS DOUBLE),
                        CAST(1 + CASE WHEN coalesce(a.c, 0) = coalesce(bb.c, 0) THEN coalesce(m.c, 0) ELSE 0 END AS DOUBLE)
-                       / CAST(a.c AS DOUBLE)) END AS score
+                       / CAST(i.c AS DOUBLE)) END AS score
 FROM best b
+LEFT JOIN inc_o i ON i.node = b.o_id
 LEFT JOIN present pr ON pr.id = b.o_id
 LEFT JOIN deg_o a ON a.node = b.o_id
 LEFT JOIN deg_p bb ON bb.node = b.o_id
@@ -372,10 +375,11 @@ def oracle_sql() -> dict[str, str]:
 from ..functions.hashing import draw_sql, mix_sql  # noqa: E402
 
 WALKS = f"""
-adj AS (SELECT src AS node, dst AS nbr, row_number() OVER (PARTITION BY src ORDER BY dst) - 1 AS pos FROM p_edges),
-outdeg AS (SELECT src AS node, count(*) AS d FROM p_edges GROUP BY src),
-start AS (SELECT coalesce((SELECT min(dst) FROM p_edges WHERE src = (SELECT min(src) FROM p_edges)),
-                          (SELECT min(src) FROM p_edges)) AS s),
+usable AS (SELECT * FROM p_edges WHERE weight IS NOT NULL AND src <> dst),
+adj AS (SELECT src AS node, dst AS nbr, row_number() OVER (PARTITION BY src ORDER BY dst) - 1 AS pos FROM usable),
+outdeg AS (SELECT src AS node, count(*) AS d FROM usable GROUP BY src),
+start AS (SELECT coalesce((SELECT min(dst) FROM usable WHERE src = (SELECT min(src) FROM usable)),
+                          (SELECT min(src) FROM usable)) AS s),
 walks(walk_id, step, node_id) AS (
   SELECT CAST(range AS BIGINT), CAST(0 AS BIGINT), (SELECT s FROM start) FROM range(0, {C.N_WALKS})
   UNION ALL

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -65,10 +67,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written tables."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/tables/{name}"
+    """A sub-folder of the shared checkpoint folder for written tables; the innermost scope removes it."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables written inside when it ends; use results before that."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            drop_path(spark, path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
