@@ -32,8 +32,8 @@ def plain_links(rows, threshold=0.98):
     return [len(n) for n in near], label
 
 
-@pytest.mark.parametrize("window", [8, 1024])
-def test_embedding_dedup_against_plain(spark, window):
+@pytest.mark.parametrize("window,block,part", [(8, 16, 5), (4, 4, 1000), (256, 2048, 1024)])
+def test_embedding_dedup_against_plain(spark, window, block, part):
     rng = np.random.default_rng(2)
     rows = [(1, [1.0, 0.0], 1), (2, [1.0, 0.0], 1), (3, [2.0, 0.01], 1), (4, [1.0, 0.0], 2), (5, None, 1), (6, [0.0, 0.0], 1),
             (7, [math.nan, 1.0], 1), (8, [1.0, 0.0], None), (9, [1e-300, 0.0], 1), (10, [1.0], 1), (11, [None, 1.0], 1),
@@ -41,8 +41,8 @@ def test_embedding_dedup_against_plain(spark, window):
     for g in range(12):
         center = rng.standard_normal(16)
         rows += [(100 * g + 200 + i, (center + 0.12 * rng.standard_normal(16) / 2).tolist(), g % 2) for i in range(15)]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").selectExpr("*", "1 as v", "2 as keys", "3 as rep")
-    out = {r.vec_id: r for r in embed_dedup.near_duplicates(df, window=window).collect()}
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").selectExpr("*", "1 as v", "2 as keys", "3 as rep", "4 as cid", "5 as h1", "6 as n")
+    out = {r.vec_id: r for r in embed_dedup.near_duplicates(df, window=window, block=block, part=part).collect()}
     links, label = plain_links(rows)
     found = [out[r[0]].n_links for r in rows]
     assert all(f <= n for f, n in zip(found, links))
@@ -53,6 +53,23 @@ def test_embedding_dedup_against_plain(spark, window):
     assert embed_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embedding_windows_on_a_large_label(spark):
+    """Recall on a label far above a window, and windows that go on across blocks."""
+    rng = np.random.default_rng(7)
+    base = rng.standard_normal((6000, 24))
+    near = base[:1500] + 0.1 * rng.standard_normal((1500, 24))
+    far = base[1500:2500] + 0.5 * rng.standard_normal((1000, 24))
+    m = np.concatenate((base, near, far))
+    u = m / np.linalg.norm(m, axis=1, keepdims=True)
+    i, j = np.nonzero(np.triu(u @ u.T >= 0.98, 1))
+    want = np.bincount(np.concatenate((i, j)), minlength=len(m))
+    df = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(m)], "vec_id long, embedding array<double>, label int")
+    got = np.zeros(len(m), int)
+    for r in embed_dedup.near_duplicates(df, window=32, block=256).collect():
+        got[r.vec_id] = r.n_links
+    assert len(i) > 1000 and (got <= want).all() and got.sum() >= 0.97 * want.sum()
+
+
 def test_top_k_against_plain(spark):
     rng = np.random.default_rng(3)
     rows = [(i, (rng.standard_normal(8) / 3).tolist()) for i in range(700)]

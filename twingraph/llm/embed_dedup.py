@@ -1,23 +1,22 @@
 """Embedding near-duplicates by sorted projection passes.
 
-Each pass hashes a vector to the signs of random projections; within a label the
-vectors are ordered by these concatenated hashes. Vectors whose hashes share a
-leading prefix stand next to each other: they form a window and are compared by
-double-precision cosine. The prefix is as long as keeps an average window at
-``WINDOW`` rows whatever the size of the table. A window with more rows is cut
-into parts, and every pair of parts is a block of its own, so the neighbour
-window of a block is bounded and no pair of a full window is left out.
-
-A pair that shares the prefix in several passes counts in the first of them. The
-verified pairs of all passes are united by connected components. Only sums and
-spanning links leave a block, never all pairs of a group; equal vectors are one
-class with a count throughout.
+Each pass hashes a vector to the signs of random projections; a pass begins with
+its own hash and goes on with those of the others, so the concatenated hashes order
+all vectors of a label lexicographically. In that order every vector is compared
+with its next ``WINDOW`` neighbours by double-precision cosine. Positions come from a
+ranking that needs no label in one task; a block of ``BLOCK`` positions also gets
+the last ``WINDOW`` rows before it, so windows go on across blocks. Only spanning
+links leave a block, and the links of all passes are united by connected components.
+
+A bounded window cannot see all links of a large group, so links are counted
+afterwards inside each component: its vectors are cut into parts, every pair of parts
+is a cell, and a cell passes on sums only, never its pairs. A pair of one component
+counts even if no window held it. Equal vectors are one class with a count throughout.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -26,12 +25,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.kernel import prefix_rank
 from .common import materialise, positive_partitions
 from .components import connected_components
 from .simhash import _Forest
 
 PASSES = 8
-WINDOW = 1024
+WINDOW = 256   # neighbours after a vector that it is compared with in a pass
+BLOCK = 2048   # positions of a block
+PART = 1024    # vectors of a part of a component, on average
+SALT = 8       # shares of the rows of one vector
 BITS = 31
 SEED = 20_011
 
@@ -70,63 +73,108 @@ def _hashes(classes: DataFrame, passes: int) -> DataFrame:
     return classes.mapInArrow(run, fields + ", keys array<int>")
 
 
-def _compare(rows: pa.Table, threshold: float, shift: int) -> pa.RecordBatch | None:
-    """Of one block (a window, or two parts of one): new links per class and spanning links."""
-    ids, copies = rows["rep"].to_numpy(), rows["n"].to_numpy()
-    now = int(rows["pass"][0].as_py())
+def _matrix(rows: pa.Table) -> np.ndarray:
     width = int(pc.list_value_length(rows["v"][:1])[0].as_py())
-    m = unit(rows["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False), width)
-    keys = rows["keys"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)[:, :now] >> shift
-    part, cut = rows["part"].to_numpy(), int(rows["parts"][0].as_py())
-    cell = int(rows["cell"][0].as_py())
-    two = cell // cut != cell % cut
-    more, forest, links = np.zeros(len(ids), np.int64), _Forest(len(ids)), []
-    for a in range(0, len(ids), 512):
-        close = m[a:a + 512] @ m.T >= threshold
-        left, right = np.nonzero(close)
-        left += a
-        keep = left < right
-        if two:  # pairs inside a part belong to the part's own block
-            keep &= part[left] != part[right]
-        left, right = left[keep], right[keep]
-        fresh = ~(keys[left] == keys[right]).any(axis=1) if now else np.ones(len(left), bool)
-        left, right = left[fresh], right[fresh]
-        np.add.at(more, left, copies[right])
-        np.add.at(more, right, copies[left])
-        links.extend((i, j) for i, j in zip(left.tolist(), right.tolist()) if forest.join(i, j))
-    linked = np.flatnonzero(more)
-    if not len(linked):
+    return unit(rows["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False), width)
+
+
+def _neighbours(rows: pa.Table, threshold: float, window: int) -> list[np.ndarray] | None:
+    """Spanning links of one block, whose rows come by position; pairs of rows from before the block are not its own."""
+    ids, m = rows["cid"].to_numpy(), _matrix(rows)
+    before = rows["before"].to_numpy(zero_copy_only=False)
+    forest, links = _Forest(len(ids)), []
+    for a in range(0, len(ids), 128):
+        near = m[a:a + 128] @ m[a:a + 128 + window].T >= threshold
+        left, right = np.nonzero(near)
+        keep = (right > left) & (right - left <= window) & ~before[a + right]
+        links.extend((i, j) for i, j in zip((a + left[keep]).tolist(), (a + right[keep]).tolist()) if forest.join(i, j))
+    if not links:
         return None
-    pairs = np.array(links, np.int64).reshape(-1, 2)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate((ids[linked], ids[pairs[:, 0]]))),
-         pa.array(np.concatenate((ids[linked], ids[pairs[:, 1]]))),
-         pa.array(np.concatenate((more[linked], np.zeros(len(pairs), np.int64))))], names=["a", "b", "links"])
-
-
-def _blocks(hashed: DataFrame, bits: int, window: int) -> DataFrame:
-    """Rows of all windows, with the parts that a large window is cut into."""
-    keyed = hashed.select("rep", "n", "label", "v", "keys", F.posexplode("keys").alias("pass", "key")).withColumn(
-        "hash", F.col("key")).withColumn("key", F.shiftright("key", BITS - bits)).withColumn("width", F.size("v"))
-    at = ["pass", "label", "width", "key"]
-    large, _ = materialise(keyed.groupBy(*at).agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > 2 * window)
-                           .select(*at, F.ceil(F.col("m") / window).cast("int").alias("parts")), "windows")
-    parts = F.coalesce("parts", F.lit(1))
-    part = F.pmod(F.xxhash64("rep", "pass"), parts).cast("int")
-    return (keyed.join(large, at, "left").withColumn("parts", parts).withColumn("part", part)
-            .withColumn("cell", F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: (
-                F.least(o, F.col("part")).cast("long") * F.col("parts") + F.greatest(o, F.col("part")))))))
+    pairs = np.array(links, np.int64)
+    return [ids[pairs[:, 0]], ids[pairs[:, 1]]]
+
+
+def _counts(rows: pa.Table, threshold: float) -> list[np.ndarray] | None:
+    """Links of each class inside one cell of a component: a part with itself, or two parts with each other."""
+    ids, copies, part, m = rows["cid"].to_numpy(), rows["n"].to_numpy(), rows["part"].to_numpy(), _matrix(rows)
+    first, second = int(part[0]), int(part[-1])
+    own, other = np.flatnonzero(part == first), np.flatnonzero(part == second)
+    more = np.zeros(len(ids), np.int64)
+    for a in range(0, len(own), 512):
+        at = own[a:a + 512]
+        close = m[at] @ m[other].T >= threshold
+        if first == second:
+            close[np.arange(len(at)), a + np.arange(len(at))] = False
+            more[at] += close @ copies[other]
+        else:
+            more[at] += close @ copies[other]
+            more[other] += copies[at] @ close
+    linked = np.flatnonzero(more)
+    return [ids[linked], more[linked]] if len(linked) else None
+
+
+def _by_group(rows: DataFrame, key: list[str], order: list[str], made: Callable, schema: str) -> DataFrame:
+    """``made`` applied to the rows of each group of ``key``, in ``order``; a group is bounded by its caller."""
+    names = [f.split()[0] for f in schema.split(", ")]
+    dealt = rows.repartition(positive_partitions(rows.sparkSession), *key).sortWithinPartitions(*key, *order)
+
+    def close(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = made(pa.Table.from_batches(held)) if held else None
+        if out is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            codes = np.column_stack([b.column(c).dictionary_encode().indices.to_numpy() for c in key])
+            cuts = np.concatenate(([0], np.flatnonzero((codes[1:] != codes[:-1]).any(axis=1)) + 1, [b.num_rows]))
+            for x, z in zip(cuts.tolist(), cuts[1:].tolist()):
+                if z == x:
+                    continue
+                if held and any(held[0].column(c)[0] != b.column(c)[x] for c in key):
+                    yield from close(held)
+                    held = []
+                held.append(b.slice(x, z - x))
+        yield from close(held)
+
+    return dealt.mapInArrow(run, schema)
+
+
+def _window_links(hashed: DataFrame, threshold: float, passes: int, window: int, block: int) -> DataFrame:
+    """``a, b``: links that span what the windows of all passes see."""
+    turned = F.array(*[F.concat(F.slice("keys", t + 1, passes - t), F.slice("keys", 1, t)) if t else F.col("keys") for t in range(passes)])
+    narrow = hashed.select("cid", "label", F.size("v").alias("width"), F.posexplode(turned).alias("pass", "order"))
+    key = ["pass", "label", "width"]
+    ranked = prefix_rank(narrow, key, ["order", "cid"], out="pos").select(*key, "cid", "pos", F.expr(f"pos div {block}").alias("own"))
+    # the last rows of a block are looked back at from the next one
+    dealt = ranked.withColumn("block", F.explode(F.when(F.col("pos") % block >= block - window, F.array("own", F.col("own") + 1))
+                                                 .otherwise(F.array("own"))))
+    rows = dealt.join(hashed.select("cid", "v"), "cid").withColumn("before", F.col("block") > F.col("own"))
+    return _by_group(rows.select(*key, "block", "pos", "before", "cid", "v"), [*key, "block"], ["pos"],
+                     lambda t: _neighbours(t, threshold, window), "a long, b long")
+
+
+def _component_links(members: DataFrame, threshold: float, part: int) -> DataFrame:
+    """``cid, links``: for each class of ``members(cid, component, n, v)`` the other classes' rows that it links with."""
+    sizes = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / part).cast("int").alias("parts"))
+    sizes = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    cut = members.withColumn("salt", F.pmod(F.xxhash64("cid", F.lit(5)), F.lit(SALT)).cast("int")).join(sizes, ["component", "salt"])
+    cut = cut.withColumn("part", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
+    cells = cut.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "component", F.least("part", "with").alias("low"), F.greatest("part", "with").alias("high"), "part", "cid", "n", "v")
+    found = _by_group(cells, ["component", "low", "high"], ["part", "cid"], lambda t: _counts(t, threshold), "cid long, links long")
+    return found.groupBy("cid").agg(F.sum("links").alias("links"))
 
 
 def near_duplicates(df: DataFrame, threshold: float = 0.98, vec_id: str = "vec_id", vector: str = "embedding",
-                    label: str = "label", passes: int = PASSES, window: int = WINDOW) -> DataFrame:
+                    label: str = "label", passes: int = PASSES, window: int = WINDOW, block: int = BLOCK, part: int = PART) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row.
 
     Vectors meet only under equal, non-null labels and equal length. A null or zero
     vector, or one with null or non-finite components, links with nothing: zero
     links, a component of its own. Repeated rows and ids count each. No rows give no rows.
+    ``window`` must not be larger than ``block``.
     """
-    spark = df.sparkSession
     source = df.select(df[vec_id].cast("long").alias("vec_id"), df[vector].cast("array<double>").alias("v"),
                        df[label].cast("string").alias("label"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -135,40 +183,22 @@ def near_duplicates(df: DataFrame, threshold: float = 0.98, vec_id: str = "vec_i
     good = source.where(usable)
     narrow = F.col("v").cast("array<float>")
     good = good.withColumn("v", narrow) if "float" in df.schema[vector].dataType.simpleString() else good
-    classes = good.groupBy("label", "v").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"))
-    # Two classes may have one smallest id if ids repeat; then they are one node, as linked or not by that id.
+    # a class of equal vectors of one label is known by 128 bits of them
+    good = good.withColumn("h1", F.xxhash64("label", "v")).withColumn("h2", F.xxhash64(F.lit(1), "label", "v"))
+    classes = (good.groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("label").alias("label"),
+                                            F.first("v").alias("v")).withColumn("cid", F.monotonically_increasing_id()))
     hashed, _ = materialise(_hashes(classes, passes), "projections")
-    top = hashed.groupBy("label").agg(F.count(F.lit(1)).alias("m")).agg(F.max("m")).first()[0] or 0
-    bits = min(BITS, max(0, math.ceil(math.log2(max(top, 1) / window))))
-    blocks = _blocks(hashed, bits, window)
-    at = ["pass", "label", "width", "key", "cell"]
-    blocks = blocks.repartition(positive_partitions(spark), *at).sortWithinPartitions(*at, "hash", "rep")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for b in batches:
-            cols = [b.column(c) for c in at]
-            codes = np.column_stack([c.dictionary_encode().indices.to_numpy() for c in cols])
-            cuts = np.concatenate(([0], np.flatnonzero((codes[1:] != codes[:-1]).any(axis=1)) + 1, [b.num_rows]))
-            for x, z in zip(cuts.tolist(), cuts[1:].tolist()):
-                if held and any(held[0].column(c)[0] != b.column(c)[x] for c in at):
-                    out = _compare(pa.Table.from_batches(held), threshold, BITS - bits)
-                    held = []
-                    if out is not None:
-                        yield out
-                held.append(b.slice(x, z - x))
-        if held:
-            out = _compare(pa.Table.from_batches(held), threshold, BITS - bits)
-            if out is not None:
-                yield out
-
-    found, _ = materialise(blocks.mapInArrow(run, "a long, b long, links long"), "vector-links")
-    counts = found.where("a = b").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
-    parts = connected_components(found.where("a <> b"), "a", "b")
-    summary = (hashed.select("label", "v", "rep", "n").join(counts, "rep", "left")
-               .join(parts, hashed.rep == parts.node, "left")
-               .select("label", "v", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-                       F.coalesce("component", "rep").alias("component_id")))
-    linked = good.join(summary, ["label", "v"]).select("vec_id", "n_links", "component_id")
+    links, _ = materialise(_window_links(hashed, threshold, passes, window, block), "vector-links")
+    parts, _ = materialise(connected_components(links, "a", "b").select(F.col("node").alias("cid"), "component"), "vector-components")
+    members = parts.join(hashed.select("cid", "rep", "n", "v"), "cid")
+    counts = _component_links(members.drop("rep"), threshold, part)
+    low = members.groupBy("component").agg(F.min("rep").alias("component_id"))
+    summary = (hashed.select("cid", "h1", "h2", "rep", "n").join(parts, "cid", "left").join(low, "component", "left").join(counts, "cid", "left")
+               .select("h1", "h2", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+                       F.coalesce("component_id", "rep").alias("component_id"))
+               .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))))
+    rows = good.select("vec_id", "h1", "h2", F.pmod(F.xxhash64("vec_id"), F.lit(SALT)).cast("int").alias("salt"))
+    linked = rows.join(summary, ["h1", "h2", "salt"]).select("vec_id", "n_links", "component_id")
     alone = source.where(~usable).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
