@@ -71,3 +71,23 @@ def test_top_k_ladder_equals_brute_force(spark, graphs, ladder):
     want = ranked.where("rank <= 3").select("p_id", "o_id", "pts", F.col("rank").cast("bigint").alias("rank"))
     assert got.count() == want.count()
     assert got.select(*want.columns).exceptAll(want).count() == 0
+
+
+@pytest.mark.parametrize("t", [41, 50, 66])
+def test_counts_equal_brute_force(spark, graphs, t):
+    """Counting by classes and running sums gives the number of qualifying pairs, copies, zeros and nulls included."""
+    extra = graphs.o_nodes.where("id < 40").withColumn("id", F.col("id") + 500_000).withColumn(
+        "stored_value", F.when(F.col("id") % 4 == 0, F.lit(0.0)).when(F.col("id") % 4 == 1, F.lit(None)).otherwise(F.col("stored_value")))
+    o = graphs.o_nodes.unionByName(extra).unionByName(extra.withColumn("id", F.col("id") + 1000).withColumn("prop_value_range", F.lit(None).cast("bigint")))
+    p = graphs.p_nodes.unionByName(extra)
+    # values at the very ends of a range: p / (1 + f) and p / (1 - f), and their neighbours
+    f = S.tolerance(13.5)
+    ends = p.where("id < 12").withColumn("stored_value", F.col("stored_value") / (1 + f)).unionByName(
+        p.where("id < 12").withColumn("stored_value", F.col("stored_value") / (1 - f)))
+    o = o.unionByName(ends.withColumn("id", F.monotonically_increasing_id() + 900_000))
+    got = {r["p_id"]: r["n_matches"] for r in sim.expand(sim.match_counts(sim.profiles(o), sim.profiles(p), t), sim.profiles(p), p).collect()}
+    allp = sim.prefixed(o, "o_").crossJoin(sim.prefixed(p, "p_")).select("p_id", S.tolerant_points().alias("pts"))
+    want = {r["p_id"]: r["count"] for r in allp.where(F.col("pts") >= t).groupBy("p_id").count().collect()}
+    assert {k: v for k, v in got.items() if v} == want
+    with pytest.raises(ValueError):
+        sim.match_counts(sim.profiles(o), sim.profiles(p), 25)

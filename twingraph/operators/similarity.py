@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions import scores as S
 from ..schemas import NODE_FIELDS, NODE_PROPS
-from .kernel import cut_lineage, prefix_rank
+from .kernel import cut_lineage, prefix_rank, prefix_sum
 
 
 def prefixed(nodes: DataFrame, prefix: str) -> DataFrame:
@@ -126,9 +126,9 @@ _SMALL = 32  # integers up to here are their own bucket
 _EPS = 1e-9
 
 
-def _branches(min_points: int, max_keys: int = 3) -> list[tuple[tuple[str, ...], tuple[str, ...]]]:
-    """Disjoint (matched, excluded) property sets that cover every qualifying pair."""
-    order = sorted(_WEIGHTS, key=lambda n: (-_WEIGHTS[n], n))
+def _branches(min_points: int, props: list[str] | None = None, max_keys: int = 3) -> list[tuple[tuple[str, ...], tuple[str, ...]]]:
+    """Disjoint (matched, excluded) property sets that cover every qualifying pair; with ``props`` by these alone."""
+    order = sorted(props or _WEIGHTS, key=lambda n: (-_WEIGHTS[n], n))
     out = []
 
     def rec(matched: tuple, excluded: tuple):
@@ -180,14 +180,17 @@ def _range(side: str, name: str) -> list[F.Column]:
             _bucket(name, F.floor(v + v * _FRAC[name] + _EPS).cast("double"))]
 
 
-def candidate_pairs(o_nodes: DataFrame, p_nodes: DataFrame, min_points: int = C.BEST_MATCH_MIN_POINTS) -> DataFrame:
+def candidate_pairs(o_nodes: DataFrame, p_nodes: DataFrame, min_points: int = C.BEST_MATCH_MIN_POINTS,
+                    props: list[str] | None = None) -> DataFrame:
     """All (o, p) pairs with tolerant points >= ``min_points``: ``(o_id, p_id, pts)``.
 
+    With ``props`` the points of these alone count; the other properties must be null.
+
     Exact (equals brute force). All branches go through ONE equi-join on
     ``(branch, k0, k1, ...)``: each side is read once and its rows exploded into
     their keys; the branch's match / exclusion test runs after the join.
     """
-    branches = _branches(min_points)
+    branches = _branches(min_points, props)
     if any(not m for m, _ in branches):
         raise ValueError(f"min_points={min_points} is too low for a candidate join")
     width = max(len(m) for m, _ in branches)
@@ -314,15 +317,96 @@ def best_match_top(o_nodes: DataFrame, p_nodes: DataFrame, k: int, min_points: i
     return expand(per_profile, p_prof, p_nodes)
 
 
-def best_match_counted(o_nodes: DataFrame, p_nodes: DataFrame, min_points: int = C.BEST_MATCH_MIN_POINTS) -> DataFrame:
-    """Best match of every perturbed node and ``n_matches``, the originals that reach ``min_points``.
+RANGED = ("stored_value", "prop_value_range")  # what the classes of :func:`match_counts` leave out
+_EDGE = 1e-12  # how far around the ends of a range a stored value is tested for itself
+
+
+def _classes(prof: DataFrame, props: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The distinct values of ``props`` as nodes without the ranged properties, and the profiles with their class."""
+    classes = cut_lineage(prof.groupBy(*props).agg(F.min("id").alias("class")))
+    rows = prof.join(classes, [prof[c].eqNullSafe(classes[c]) for c in props]).select(
+        "id", "n", "class", F.col("prop_value_range").cast("bigint").alias("pvr"), "stored_value")
+    nodes = classes.withColumnRenamed("class", "id").withColumn("prop_value_range", F.lit(None).cast("bigint")).withColumn(
+        "stored_value", F.lit(None).cast("double"))
+    return nodes.select(*NODE_FIELDS), cut_lineage(rows)
+
+
+def _matching_values(o_rows: DataFrame, p_rows: DataFrame) -> DataFrame:
+    """``(pvr, o_pvr)``: the value ranges of originals that each value range of the other side matches."""
+    name = "prop_value_range"
+    o = o_rows.select(F.col("pvr").alias(f"o_{name}")).where("pvr is not null").distinct()
+    p = p_rows.select(F.col("pvr").alias(f"p_{name}")).where("pvr is not null").distinct()
+    lo, hi = _range("o", name)
+    o = o.withColumn("k", F.explode(F.when(lo <= hi, F.sequence(lo, hi))))
+    met = o.join(p.withColumn("k", _range("p", name)[0]), "k")
+    return met.where(S.tolerant_match(f"o_{name}", f"p_{name}", _FRAC[name])).select(F.col(f"p_{name}").alias("pvr"), F.col(f"o_{name}").alias("o_pvr"))
 
-    The count needs every qualifying pair of profiles, once; it is summed from their counts.
+
+def match_counts(o_prof: DataFrame, p_prof: DataFrame, min_points: int = C.BEST_MATCH_MIN_POINTS) -> DataFrame:
+    """``(p_id, n_matches)``: how many originals reach ``min_points`` with a profile, without their pairs.
+
+    Profiles are put into classes by all properties but the two ranged ones. What two classes have in common
+    decides what is still needed: nothing, either ranged property, the stored value, or both; by inclusion
+    and exclusion that is a sum of counts of originals by value range, by a range of stored values, and by
+    both. The originals of all classes that a class meets lie in the order of their stored values, and a
+    running sum is read at the ends of each profile's range. So rows are profiles times classes met, and
+    grow with the profiles alone once all combinations of the seven small properties occur.
     """
+    props = [c for c in NODE_PROPS if c not in RANGED]
+    w_value, w_range = _WEIGHTS["stored_value"], _WEIGHTS["prop_value_range"]
+    if w_range > w_value or min_points <= w_value + w_range:
+        raise ValueError(f"min_points={min_points} is too low to count by classes")
+    o_classes, o_rows = _classes(o_prof, props)
+    p_classes, p_rows = _classes(p_prof, props)
+    need = min_points - F.col("pts")
+    band = F.when(need <= 0, "all").when(need <= w_range, "either").when(need <= w_value, "value").otherwise("both")
+    pairs = candidate_pairs(o_classes, p_classes, min_points - w_value - w_range, props).select("o_id", F.col("p_id").alias("pc"), band.alias("band"))
+    met = cut_lineage(pairs.join(o_rows, F.col("o_id") == F.col("class")).groupBy("pc", "band", "pvr", "stored_value").agg(F.sum("n").alias("n")))
+
+    total = met.where("band = 'all'").groupBy("pc").agg(F.sum("n").alias("n"))
+    by_range = met.where("band = 'either'").groupBy("pc", F.col("pvr").alias("o_pvr")).agg(F.sum("n").alias("n"))
+    valued = met.where("stored_value >= 0")
+    # either = by range + by value - both; group null: whatever the value range
+    points = (valued.where("band in ('either', 'value')").select("pc", F.lit(None).cast("bigint").alias("g"), "stored_value", "n")
+              .unionByName(valued.where("band in ('either', 'both') and pvr is not null").select(
+                  "pc", F.col("pvr").alias("g"), "stored_value", F.when(F.col("band") == "both", F.col("n")).otherwise(-F.col("n")).alias("n"))))
+    points = cut_lineage(points.groupBy("pc", "g", "stored_value").agg(F.sum("n").alias("n")))
+
+    values = p_rows.join(_matching_values(o_rows, p_rows), "pvr").select(F.col("id").alias("p_id"), F.col("class").alias("pc"), "o_pvr", "stored_value")
+    values = cut_lineage(values)
+    asked = (p_rows.select(F.col("id").alias("p_id"), F.col("class").alias("pc"), F.lit(None).cast("bigint").alias("g"), "stored_value")
+             .unionByName(values.withColumnRenamed("o_pvr", "g").join(points.where("g is not null").select("pc", "g").distinct(), ["pc", "g"])
+                          .select("p_id", "pc", "g", "stored_value"))).where("stored_value >= 0")
+    low, high = F.col("stored_value") / (1 + _SV_FRAC), F.col("stored_value") / (1 - _SV_FRAC)
+    # order 0: before the originals of a value, 1: the originals, 2: after them
+    end = lambda v, order, name: F.struct(v.alias("at"), F.lit(order).alias("order"), F.lit(name).alias("end"))
+    ends = F.explode(F.array(end(low * (1 + _EDGE), 0, "a"), end(high * (1 - _EDGE), 2, "b"), end(low * (1 - _EDGE), 0, "c"), end(high * (1 + _EDGE), 2, "d")))
+    nothing = F.lit(0).cast("bigint")
+    queries = asked.select("p_id", "pc", "g", ends.alias("e")).select("p_id", "pc", "g", "e.*", nothing.alias("n"), nothing.alias("rows"))
+    line = queries.unionByName(points.select(F.lit(None).cast("bigint").alias("p_id"), "pc", "g", F.col("stored_value").alias("at"), F.lit(1).alias("order"),
+                                             F.lit(None).cast("string").alias("end"), "n", F.lit(1).cast("bigint").alias("rows")))
+    run = prefix_sum(line, ["pc", "g"], ["at", "order"], {"sum_n": "n", "sum_rows": "rows"}).where("end is not null")
+    at = lambda c, name: F.sum(F.when(F.col("end") == name, F.col(c)))
+    got = cut_lineage(run.groupBy("p_id", "pc", "g").agg(
+        (at("sum_n", "b") - at("sum_n", "a")).alias("n"),
+        (at("sum_rows", "d") - at("sum_rows", "c") - at("sum_rows", "b") + at("sum_rows", "a")).alias("unsure")))
+    # stored values within a rounding error of an end are tested one by one
+    edge = got.where("unsure > 0").join(p_rows.select(F.col("id").alias("p_id"), F.col("stored_value").alias("p_stored_value")), "p_id")
+    near = points.select(F.col("pc").alias("c"), F.col("g").alias("h"), F.col("stored_value").alias("o_stored_value"), F.col("n").alias("m"))
+    at_end = [F.col("o_stored_value").between(F.col("p_stored_value") / k * (1 - _EDGE), F.col("p_stored_value") / k * (1 + _EDGE))
+              for k in (1 + _SV_FRAC, 1 - _SV_FRAC)]
+    inside = [F.col("o_stored_value") >= F.col("p_stored_value") / (1 + _SV_FRAC) * (1 + _EDGE),
+              F.col("o_stored_value") <= F.col("p_stored_value") / (1 - _SV_FRAC) * (1 - _EDGE)]
+    tested = (edge.join(near, (F.col("pc") == F.col("c")) & F.col("g").eqNullSafe(F.col("h")) & (at_end[0] | at_end[1]))
+              .where(S.tolerant_match("o_stored_value", "p_stored_value", _SV_FRAC) & ~(inside[0] & inside[1])).select("p_id", F.col("m").alias("n")))
+    parts = (got.select("p_id", "n").unionByName(tested)
+             .unionByName(values.join(by_range, ["pc", "o_pvr"]).select("p_id", "n"))
+             .unionByName(p_rows.select(F.col("id").alias("p_id"), F.col("class").alias("pc")).join(total, "pc").select("p_id", "n")))
+    return parts.groupBy("p_id").agg(F.sum("n").cast("bigint").alias("n_matches"))
+
+
+def best_match_counted(o_nodes: DataFrame, p_nodes: DataFrame, min_points: int = C.BEST_MATCH_MIN_POINTS) -> DataFrame:
+    """Best match of every perturbed node and ``n_matches``, the originals that reach ``min_points``."""
     o_prof, p_prof = profiles(o_nodes), profiles(p_nodes)
-    sizes = o_prof.select(F.col("id").alias("o_id"), "n")
-    pairs = candidate_pairs(o_prof, p_prof, min_points).join(sizes, "o_id")
-    best = pairs.groupBy("p_id").agg(F.max(F.struct("pts", (-F.col("o_id")).alias("neg"))).alias("b"),
-                                     F.sum("n").cast("bigint").alias("n_matches"))
-    return expand(best.select("p_id", (-F.col("b.neg")).alias("o_id"), F.col("b.pts").alias("pts"),
-                              S.rounded(S.points_score(F.col("b.pts"))).alias("score"), "n_matches"), p_prof, p_nodes)
+    counted = expand(match_counts(o_prof, p_prof, min_points), p_prof, p_nodes)
+    return best_match_exact(o_nodes, p_nodes, min_points).join(counted, "p_id")
