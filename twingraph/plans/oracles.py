@@ -776,3 +776,20 @@ FROM status s LEFT JOIN (
   FROM (SELECT game_id, lower("user") AS role, "user" AS u, target, seq,
                (row_number() OVER (PARTITION BY game_id, lower("user") ORDER BY seq) - 1) // 20 AS part FROM moves)
   GROUP BY game_id, role, part) m ON m.game_id = s.game_id AND m.role = s.role""", *_ALL_STATUS, recursive=True, **_MOVES))
+oracle("q_graph_files", with_ctes("""
+SELECT e.src, e.dst, e.weight, a.stored_value AS src_value, b.stored_value AS dst_value
+FROM p_edges e LEFT JOIN p_nodes a ON a.id = e.src LEFT JOIN p_nodes b ON b.id = e.dst"""))
+oracle("q_node_csv", with_ctes(_NODE_VALUES + " FROM p_nodes"))
+oracle("q_pair_text_header", with_ctes(
+    "SELECT " + ", ".join(f"{s}.{c} AS {s}_{c}" for s in ("o", "p") for c in ["id", *NODE_PROPS])
+    + " FROM o_nodes o JOIN p_nodes p ON o.id = p.id"))
+oracle("q_walk_text", with_ctes("SELECT concat_ws(',', walk_id, step, node_id) AS value FROM walks", WALKS, recursive=True))
+oracle("q_score_lines", with_ctes("SELECT concat_ws(',', src, dst, CAST(score AS VARCHAR)) AS value FROM edge_scores", EDGE_PAIRS, EDGE_SCORES))
+_LINES = oracle_sql()["q_report_lines"]
+_CUT = _LINES.rindex("SELECT s.game_id, s.role, CAST(1 AS BIGINT) AS section")
+oracle("q_report_text", _LINES[:_CUT] + "SELECT line AS value FROM (" + _LINES[_CUT:] + ")")
+oracle("q_status_json", with_ctes("SELECT * FROM status", *_ALL_STATUS, recursive=True, **_MOVES))
+oracle("q_score_jitter", with_ctes(f"""
+SELECT o_id, p_id, round(round({score_sql('pts')}, 2) + {draw_sql('o_id', 'p_id', C.SEED)} * {dlit(0.2)} - {dlit(0.1)}, 9) AS score
+FROM (SELECT o.id AS o_id, p.id AS p_id, {PTS} AS pts FROM o_nodes o JOIN p_nodes p ON o.id = p.id)"""))
+oracle("q_stream_replay", oracle_sql()["q_replay_moves"])

@@ -610,3 +610,92 @@ def q_status_documents(spark, sf_dir):
         "game_id", "role", "part", F.array_join(F.transform("moves", lambda m: F.concat(m["userId"], F.lit(":"), m["node"]["id"].cast("string"))), ",").alias("moves"),
         ids("adjacentNodes").alias("adjacent"), F.col("distanceToValuableNode").alias("distance"),
         ids("pathToValuableNode").alias("path"), F.col("confidenceScore").alias("confidence"))
+
+
+@register
+def q_graph_files(spark, sf_dir):
+    """The perturbed graph written and loaded again, its edges with the stored values of their ends."""
+    g, path = _pair(spark, sf_dir), _scratch(spark, "graph")
+    RD.write_graph(g.p_nodes, g.p_edges, path)
+    nodes, edges = RD.read_graph(spark, path)
+    ends = [nodes.select(F.col("id").alias(e), F.col("stored_value").alias(f"{e}_value")) for e in ("src", "dst")]
+    return edges.join(ends[0], "src", "left").join(ends[1], "dst", "left").select("src", "dst", "weight", "src_value", "dst_value")
+
+
+@register
+def q_node_csv(spark, sf_dir):
+    """K1: node lines without a header, read back."""
+    path = _scratch(spark, "nodes")
+    SK.write_nodes_csv(_pair(spark, sf_dir).p_nodes, path)
+    return codecs.read_nodes_csv(spark, path)
+
+
+@register
+def q_pair_text_header(spark, sf_dir):
+    """Pair lines under a header line in every file, which the reader skips."""
+    g, path = _pair(spark, sf_dir), _scratch(spark, "pairs")
+    SK.write_combined_pairs(sim.pairs_by_id(g.o_nodes, g.p_nodes), path, header=True)
+    return codecs.read_pairs(spark, path, header=True)
+
+
+@register
+def q_walk_text(spark, sf_dir):
+    """K7: walk rows as text lines."""
+    path = _scratch(spark, "walks")
+    SK.write_text(_walks(spark, _pair(spark, sf_dir)).select(F.concat_ws(",", "walk_id", "step", "node_id").alias("value")), path)
+    return spark.read.text(path)
+
+
+@register
+def q_score_lines(spark, sf_dir):
+    """K8: edge scores as text lines."""
+    g, path = _pair(spark, sf_dir), _scratch(spark, "scores")
+    scored = sim.edge_scores(sim.edge_pairs(g.o_edges, g.p_edges))
+    SK.write_text(scored.select(F.concat_ws(",", "src", "dst", F.col("score").cast("string")).alias("value")), path)
+    return spark.read.text(path)
+
+
+@register
+def q_report_text(spark, sf_dir):
+    """K9: the report lines of all players as text."""
+    from ..operators import status as ST
+    nodes, _, _ = _board(spark)
+    path = _scratch(spark, "lines")
+    SK.write_text(ST.report_lines(_status(spark, sf_dir), fx.moves(spark, sf_dir), nodes).select(F.col("line").alias("value")), path)
+    return spark.read.text(path)
+
+
+@register
+def q_status_json(spark, sf_dir):
+    """The nested status document of every player, read back."""
+    path = _scratch(spark, "status")
+    status = _status(spark, sf_dir).drop("path_ids", "adjacent_ids")
+    SK.write_status_json(status, path)
+    inner = ", ".join(f"{c}: {t}" for c, t in status.dtypes if c not in ("game_id", "role"))
+    return spark.read.schema(f"game_id bigint, role string, status struct<{inner}>").json(path).select("game_id", "role", "status.*")
+
+
+@register
+def q_score_jitter(spark, sf_dir):
+    """X11: node scores with their seeded offset."""
+    g = _pair(spark, sf_dir)
+    scored = sim.node_scores(sim.pairs_by_id(g.o_nodes, g.p_nodes))
+    return scored.select("o_id", "p_id", F.round(S.jitter("score", "o_id", "p_id", C.SEED), 9).alias("score"))
+
+
+@register
+def q_stream_replay(spark, sf_dir):
+    """The move log as a stream of four files, newest moves first, replayed from start to end of the stream."""
+    from ..streaming import replay_stream as RS
+    nodes, edges, _ = _board(spark)
+    root = _scratch(spark, "stream")
+    mv = fx.moves(spark, sf_dir).select("game_id", "seq", F.col("ts").cast("timestamp").alias("ts"), "user", "target")
+    last = mv.agg(F.max("seq")).first()[0] or 1
+    for part in (3, 2, 1, 0):
+        quarter = F.least(F.lit(3), F.floor((F.col("seq") - 1) * 4 / F.lit(last)))
+        mv.where(quarter == part).write.parquet(f"{root}/in/{3 - part}")
+    stream = spark.readStream.schema(mv.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 16).parquet(f"{root}/in")
+    query = (RS.stream_replay(stream, nodes, edges, watermark="3650 days").writeStream.format("parquet").option("path", f"{root}/out")
+             .option("checkpointLocation", f"{root}/state").outputMode("append").trigger(availableNow=True).start())
+    query.awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("game_id", "seq", "round", "user", "target", "status", "thief_node", "police_node")

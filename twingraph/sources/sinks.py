@@ -33,9 +33,9 @@ def write_edge_pairs_csv(edge_pairs: DataFrame, path: str) -> None:
     ep.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_combined_pairs(pairs: DataFrame, path: str) -> None:
-    """K6: node pairs that exist already (by id, or the candidates of a join) as bare 20-column lines."""
-    pairs.select(*[f"{s}_{c}" for s in ("o", "p") for c in NODE_FIELDS]).write.mode("overwrite").csv(path)
+def write_combined_pairs(pairs: DataFrame, path: str, header: bool = False) -> None:
+    """K6: node pairs that exist already (by id, or the candidates of a join) as 20-column lines, bare by default."""
+    pairs.select(*[f"{s}_{c}" for s in ("o", "p") for c in NODE_FIELDS]).write.mode("overwrite").option("header", header).csv(path)
 
 
 def shard(df: DataFrame, order_cols: list[str], size: int = C.SHARD_SIZE) -> DataFrame:
