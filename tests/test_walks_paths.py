@@ -171,3 +171,17 @@ def test_jitter_is_seeded_and_bounded(spark):
     assert 0.4 <= lo < 0.45 and 0.55 < hi < 0.6
     again = spark.range(0, 1000).select(F.col("id"), S.jitter(F.lit(0.5), "id", F.lit(1), 42).alias("j"))
     assert df.exceptAll(again).count() == 0
+
+
+def test_graphs_without_edges(spark):
+    """Searches reach their sources alone; a walk without a start has no rows, one from a node without edges has one."""
+    none = spark.createDataFrame([], "src long, dst long, weight double")
+    sources = spark.createDataFrame([(4,), (7,), (None,)], "node long")
+    assert sorted((r["node"], r["hops"], r["target"]) for r in paths.bfs(sources, none).collect()) == [(4, 0, 4), (7, 0, 7)]
+    assert sorted(map(tuple, paths.weighted(sources, none).collect())) == [(4, 0.0, 4), (7, 0.0, 7)]
+    assert walks.random_walks(spark, none, n_walks=3, max_steps=4).count() == 0
+    start = spark.createDataFrame([(9,)], "start_id long")
+    assert sorted(map(tuple, walks.random_walks(spark, none, n_walks=2, max_steps=4, start=start).collect())) == [(0, 0, 9), (1, 0, 9)]
+    one = spark.createDataFrame([(1, 2, 1.0)], "src long, dst long, weight double")
+    w = walks.random_walks(spark, one, n_walks=2, max_steps=1, start=spark.createDataFrame([(1,)], "start_id long"))
+    assert sorted(map(tuple, w.collect())) == [(0, 0, 1), (1, 0, 1)]
