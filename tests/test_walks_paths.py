@@ -121,7 +121,7 @@ def test_weighted_distances_equal_dijkstra(spark):
         paths.weighted(sources, spark.createDataFrame([(1, 2, -1.0)], "src long, dst long, weight double"))
 
 
-@pytest.mark.parametrize("values", [[5], [1, 2], [7, 7, 7, 7], [3, 1, 2, 2, 9], [-2**62, 2**62, 0, 5], list(range(0, 10**13, 10**10 + 7)), []])
+@pytest.mark.parametrize("values", [[5], [1, 2], [7, 7, 7, 7], [3, 1, 2, 2, 9], [-2**62, 2**62, 0, 5], [-2**63, 2**63 - 1, 2**63 - 2, 2**63 - 2**53 - 1, -1], list(range(0, 10**13, 10**10 + 7)), []])
 def test_selected_ranks(spark, values):
     """The median by selection equals the sorted list's, for odd, even and tied counts and wide ranges."""
     from twingraph.operators.kernel import select_ranks

@@ -155,7 +155,7 @@ def select_ranks(df: DataFrame, value: str, ranks: list[int]) -> list[int | None
         while a < z:
             step = -(-(z - a + 1) // FINER)
             inside = rows.where(F.col("v").between(a, z))
-            part = F.floor((F.col("v").cast("decimal(20,0)") - F.lit(a)) / F.lit(step)).cast("int")
+            part = F.expr(f"cast((cast(v as decimal(20,0)) - cast('{a}' as decimal(20,0))) div cast('{step}' as decimal(20,0)) as int)")
             counts = dict(inside.groupBy(part.alias("part")).count().collect())  # at most FINER rows
             for i in range(FINER):
                 if before + counts.get(i, 0) > rank:
