@@ -290,3 +290,9 @@ def test_pipeline_keeps_columns_of_any_name(spark, rows):
         want = stage(spark, plain, SF).collect()
         assert sorted(map(str, ((r.doc_id, r.text, r.n_chars) for r in got))) == sorted(map(str, ((r.doc_id, r.text, r.n_chars) for r in want))), name
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() >= docs.count()
+
+
+def test_top_k_with_null_and_repeated_ids(spark):
+    df = spark.createDataFrame([(None, [1, 2]), (0, [3, 4]), (100, [5, 6]), (None, [7, 8]), (3, [1, 1]), (3, [1, 1]), (4, None)], "vec_id long, vector array<long>")
+    got = sorted(tuple(r) for r in topk.top_k(df, df.where("vec_id % 100 = 0 or vec_id is null"), k=3).collect())
+    assert got == [(0, 1, 100, 39), (0, 2, 3, 7), (0, 3, 3, 7), (100, 1, 0, 39), (100, 2, 3, 11), (100, 3, 3, 11)]

@@ -100,15 +100,15 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "vec_id"
           group: int = GROUP, query_block: int = QUERIES) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's ``k`` best rows of ``df``, all if fewer.
 
-    Both tables hold a long id and an array of longs; null vectors take no part, a row
-    never answers a query of its own id, ties go to the smaller id, and vectors of
+    Both tables hold a long id and an array of longs; null vectors and null ids take no part,
+    rows that share an id come out each, a row never answers a query of its own id, ties go to the smaller id, and vectors of
     different length do not meet. Every row is scored or bounded: nothing is sampled.
     Empty tables give no rows; other columns are ignored.
     """
     spark = df.sparkSession
     n = positive_partitions(spark)
-    rows = df.where(df[vector].isNotNull()).select(df[vec_id].cast("long").alias("id"), df[vector].alias("v"))
-    asks = queries.where(queries[vector].isNotNull()).select(queries[vec_id].cast("long").alias("id"), queries[vector].alias("v"))
+    rows = df.where(df[vector].isNotNull() & df[vec_id].isNotNull()).select(df[vec_id].cast("long").alias("id"), df[vector].alias("v"))
+    asks = queries.where(queries[vector].isNotNull() & queries[vec_id].isNotNull()).select(queries[vec_id].cast("long").alias("id"), queries[vector].alias("v"))
     n_rows, n_asks = rows.count(), asks.count()
     groups, blocks = max(1, -(-n_rows // group)), max(1, -(-n_asks // query_block))
     spread = lambda to, salt: F.pmod(F.xxhash64(F.col("id"), F.lit(salt)), F.lit(to)).cast("int")
