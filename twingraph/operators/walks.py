@@ -44,7 +44,8 @@ def take_step(frontier: DataFrame, nbrs: DataFrame, step: int, seed: int, out: s
     """
     place = F.when(F.col("deg") > 0, mix("walk_id", F.lit(step), seed) % F.col("deg")).otherwise(-1 - F.col("walk_id"))
     asked = frontier.withColumn("_at", F.coalesce("at", "walk_id")).withColumn("_pos", place.cast("bigint"))
-    met = asked.join(nbrs.hint("merge"), (F.col("_at") == nbrs["node"]) & (F.col("_pos") == nbrs["pos"]), "left")
+    # the few walks are hashed and the neighbours stream past them, unsorted
+    met = asked.hint("shuffle_hash").join(nbrs, (F.col("_at") == nbrs["node"]) & (F.col("_pos") == nbrs["pos"]), "left")
     kept = [c for c in frontier.columns if c not in ("at", "deg")]
     return met.select(*kept, F.col("nbr").alias(out), F.col("nbr").alias("at"),
                       F.coalesce("nbr_deg", F.lit(0)).cast("bigint").alias("deg"))
@@ -55,7 +56,7 @@ def random_walks(spark: SparkSession, edges: DataFrame, n_walks: int = C.N_WALKS
     """Rows ``(walk_id, step, node_id)``, step 0 being the start node.
 
     ``start`` is a one-row frame with column ``start_id`` (default: G10). The plan is the same for any number
-    of walks: each step sorts and exchanges the frontier and merges it with the bucketed neighbours.
+    of walks: each step exchanges and hashes the frontier and reads the bucketed neighbours.
     """
     if max_steps < 1:
         raise ValueError("max_steps must be >= 1")
