@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from .confidence import confidence
 from .graph import undirected
+from .kernel import cut_lineage
 from .paths import nearest_valuable
 
 
 def player_status(positions: DataFrame, moves: DataFrame, nodes: DataFrame, edges: DataFrame,
                   p_edges: DataFrame) -> DataFrame:
     """M6 flattened: ``(game_id, role, node, adjacent, hops, distance, path, confidence, n_moves)``."""
+    positions = cut_lineage(positions)  # read twice; comes from the fold of all moves
     adj = (undirected(edges).groupBy("node")
            .agg(F.sort_array(F.collect_list("nbr")).alias("adjacent_ids")))
     near = nearest_valuable(nodes, p_edges, paths=True).select(
@@ -69,6 +71,7 @@ def report_lines(status: DataFrame, moves: DataFrame, nodes: DataFrame) -> DataF
 
     A move whose target is no node names the target alone.
     """
+    status = cut_lineage(status)  # read by every section
     ntext = nodes.select("id", F.concat(F.lit("NodeObject("), F.concat_ws(",", *[
         F.col(c).cast("string") for c in nodes.columns]), F.lit(")")).alias("txt"))
     path = (status.select("game_id", "role", F.posexplode("path_ids").alias("ord", "pid"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as C
-from ..operators.kernel import prefix_rank
+from ..operators.kernel import HOT, cut_lineage, prefix_rank
 from ..schemas import NODE, NODE_FIELDS, NODE_TEXT_PREFIX
 
 NODE_OUT = list(NODE_FIELDS)
@@ -149,6 +149,7 @@ def status_documents(status: DataFrame, moves: DataFrame, nodes: DataFrame, per_
     the distance ``2147483647`` and an empty path. Moves to no node are left out (:func:`move_rejects`).
     """
     key = ["game_id", "role"]
+    status = cut_lineage(status)  # read by every part of a document
     at = nodes.select(F.col("id").alias("_id"), _json_node().alias("node"))
 
     def listed(ids: str, out: str) -> DataFrame:
@@ -158,7 +159,7 @@ def status_documents(status: DataFrame, moves: DataFrame, nodes: DataFrame, per_
 
     own = (moves.select("game_id", F.lower("user").alias("role"), "seq", F.col("user").alias("userId"), F.col("target").alias("_id"))
            .join(status.select(*key), key, "left_semi").join(at, "_id"))
-    own = prefix_rank(own.select(*key, "seq", "userId", "node"), key, ["seq"], out="_n")
+    own = prefix_rank(own.select(*key, "seq", "userId", "node"), key, ["seq"], out="_n", hot=HOT)
     parts = (own.groupBy(*key, F.expr(f"_n div {per_document}").alias("part"))
              .agg(F.sort_array(F.collect_list(F.struct("seq", "userId", "node"))).alias("l"))
              .select(*key, "part", F.transform("l", lambda x: F.struct(x["userId"].alias("userId"), x["node"].alias("node"))).alias("moves")))
