@@ -19,6 +19,7 @@ watermark are dropped by Spark.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -35,6 +36,7 @@ from ..session import share_package
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 WAIT_MINUTES = 24 * 60
 WATERMARK = "1 day"
+WAIT_BLOCK = 256  # numbers of a game whose waiting rows are one entry of the state
 #: What :func:`ordered_moves` reports beside moves.
 REPORTS = ("missing", "late", "duplicate")
 
@@ -52,30 +54,62 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 
 class _Order(StatefulProcessor):
-    """Releases the rows of a game in ``seq`` order, 1 upwards."""
+    """Releases the rows of a game in ``seq`` order, 1 upwards.
+
+    A call to the state store costs more than a row, so rows that follow on at once never go there, and
+    waiting rows lie in blocks of ``WAIT_BLOCK`` numbers, each read and written once for a frame of rows.
+    """
 
     def __init__(self, wait_ms: int):
         self.wait_ms = wait_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.at = handle.getValueState("at", "next_seq long, round long, timer long")
-        self.waiting = handle.getMapState("waiting", "seq long", "ts timestamp, user string, target long")
+        self.at = handle.getValueState("at", "next_seq long, round long, timer long, blocks long")
+        self.waiting = handle.getMapState("waiting", "block long", "first_ms long, rows string")
         self.given_up = handle.getMapState("given_up", "first long", "last long")  # ranges of missing numbers
+        self.open: dict[int, dict] = {}   # blocks in hand: seq -> (ts, user, target)
+        self.stored: set[int] = set()     # those of them that are in the store
+        self.blocks = 0                   # blocks in the store
+
+    @staticmethod
+    def _rows(text: str) -> dict:
+        return {s: (pd.NaT if us is None else pd.Timestamp(us, unit="us"), user, target) for s, us, user, target in json.loads(text)}
+
+    def _block(self, seq: int) -> dict:
+        n = seq // WAIT_BLOCK
+        if n not in self.open:
+            found = self.waiting.getValue((n,)) if self.blocks else None
+            self.open[n] = self._rows(found[1]) if found is not None else {}
+            if found is not None:
+                self.stored.add(n)
+        return self.open[n]
+
+    def _put_back(self) -> None:
+        """Write the blocks in hand to the store, and remove those without rows."""
+        for n, rows in self.open.items():
+            if rows:
+                text = json.dumps([(s, None if ts is pd.NaT else ts.value // 1000, user, target) for s, (ts, user, target) in rows.items()])
+                self.waiting.updateValue((n,), (min(ts.value // 1_000_000 for ts, _, _ in rows.values()), text))
+                self.blocks += n not in self.stored
+            elif n in self.stored:
+                self.waiting.removeKey((n,))
+                self.blocks -= 1
+        self.open, self.stored = {}, set()
 
     def _release(self, seq: int, rnd: int, floor_ms: int, rows: list) -> tuple[int, int]:
-        """Move the rows that follow on without a gap from the waiting map to ``rows``."""
-        while self.waiting.containsKey((seq,)):
-            ts, user, target = self.waiting.getValue((seq,))
-            self.waiting.removeKey((seq,))
-            rows.append((seq, ts, rnd, user, target, "move", None, max(pd.Timestamp(ts), pd.Timestamp(floor_ms, unit="ms"))))
+        """Move the rows that follow on without a gap from the waiting ones to ``rows``."""
+        floor = pd.Timestamp(floor_ms, unit="ms")
+        while (found := self._block(seq).pop(seq, None)) is not None:
+            ts, user, target = found
+            rows.append((seq, ts, rnd, user, target, "move", None, max(ts, floor)))
             rnd += (user or "").lower() == RESTART
             seq += 1
         return seq, rnd
 
     def _set_timer(self, old: int) -> int:
         """One timer a game, for the row that has waited longest; 0 for none."""
-        first = min((pd.Timestamp(v[0]).value // 1_000_000 for v in self.waiting.values()), default=None)
+        first = min((v[0] for v in self.waiting.values()), default=None) if self.blocks else None
         due = 0 if first is None else first + self.wait_ms
         if old and old != due:
             self.handle.deleteTimer(old)
@@ -94,28 +128,32 @@ class _Order(StatefulProcessor):
         return df
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        seq, rnd, timer = self.at.get() if self.at.exists() else (1, 0, 0)
+        seq, rnd, timer, self.blocks = self.at.get() or (1, 0, 0, 0)
         floor = max(timerValues.getCurrentWatermarkInMs(), 0)
-        out: list[tuple] = []
         for pdf in rows:
+            out: list[tuple] = []
             for s, ts, user, target in zip(pdf["seq"], pdf["ts"], pdf["user"], pdf["target"]):
-                s, user = int(s), user if isinstance(user, str) else None
+                s, ts, user = int(s), pd.Timestamp(ts), user if isinstance(user, str) else None
                 target = None if pd.isna(target) else int(target)
-                if s >= seq and not self.waiting.containsKey((s,)):
-                    self.waiting.updateValue((s,), (ts, user, target))
+                if s >= seq and s not in self._block(s):
+                    self._block(s)[s] = (ts, user, target)
                 else:
                     kind = "late" if s < seq and any(a[0] <= s <= z[0] for a, z in self.given_up.iterator()) else "duplicate"
-                    out.append((s, ts, None, user, target, kind, None, max(pd.Timestamp(ts), pd.Timestamp(floor, unit="ms"))))
+                    out.append((s, ts, None, user, target, kind, None, max(ts, pd.Timestamp(floor, unit="ms"))))
             seq, rnd = self._release(seq, rnd, floor, out)
-        self.at.update((seq, rnd, self._set_timer(timer)))
-        yield self._frame(int(key[0]), out)
+            self._put_back()
+            if out:
+                yield self._frame(int(key[0]), out)
+        timer = self._set_timer(timer)
+        self.at.update((seq, rnd, timer, self.blocks))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        seq, rnd, _ = self.at.get()
+        seq, rnd, _, self.blocks = self.at.get()
         floor = max(timerValues.getCurrentWatermarkInMs(), 0)
         out: list[tuple] = []
         # every gap in front of a row that is overdue is given up
-        overdue = sorted(k[0] for k, v in self.waiting.iterator() if pd.Timestamp(v[0]).value // 1_000_000 + self.wait_ms <= floor)
+        late = [self._rows(text) for first, text in self.waiting.values() if first + self.wait_ms <= floor]
+        overdue = sorted(s for held in late for s, v in held.items() if v[0].value // 1_000_000 + self.wait_ms <= floor)
         for s in overdue:
             if s > seq:
                 self.given_up.updateValue((seq,), (s - 1,))
@@ -123,7 +161,9 @@ class _Order(StatefulProcessor):
                 seq = s
             if s == seq:
                 seq, rnd = self._release(seq, rnd, floor, out)
-        self.at.update((seq, rnd, self._set_timer(0)))
+        self._put_back()
+        timer = self._set_timer(0)
+        self.at.update((seq, rnd, timer, self.blocks))
         yield self._frame(int(key[0]), out)
 
     def close(self) -> None:
@@ -152,7 +192,7 @@ class _Fold(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         plain = lambda x: None if x is None or x is pd.NA or x != x else int(x)
-        held = list(self.state.get()) if self.state.exists() else [-1, None, None, C.THIEF, None]
+        held = list(self.state.get() or (-1, None, None, C.THIEF, None))
         pdf = pd.concat(list(rows)).sort_values(["seq", "kind"], kind="stable")
         out = []
         for r in pdf.itertuples(index=False):
