@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from twingraph import fixtures as fx
 from twingraph.operators import graph, kernel
 
 
@@ -37,3 +38,19 @@ def test_small_groups_are_exchanged_once(spark):
     e = spark.range(60).selectExpr("id % 7 as src", "id as dst", "cast(1 as double) as weight")
     plan = graph.successors(e)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "cut-" not in plan
+
+
+def test_edges_exchange_no_price(spark, tmp_dir):
+    """Lines alike but for the price follow one another in any order: same edges, and the price stays out of the exchange."""
+    rows = [(o, 1 + (o + n // 3) % 5, n // 2, None if n % 7 == 6 else float(n // 6), float((n * 37 + o) % 11)) for o in range(20) for n in range(24)]
+    lines = spark.createDataFrame(rows, "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, l_extendedprice double")
+    lines.write.parquet(f"{tmp_dir}/lineitem.parquet")
+    edges = fx.original_edges(spark, tmp_dir)
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+    src, dst = F.col("src"), F.col("dst")
+    want = (lines.select(F.col("l_partkey").alias("src"), F.lead("l_partkey").over(w).alias("dst"), "l_quantity").where("dst is not null")
+            .groupBy("src", "dst").agg(F.min(F.col("l_quantity").cast("bigint") % 9 + 1).cast("double").alias("weight"))
+            .select("src", "dst", F.when((src * 31 + dst) % 50 != 7, F.col("weight")).alias("weight")))
+    assert edges.count() == want.count() > 0
+    assert edges.exceptAll(want).count() == 0
+    assert "l_extendedprice" not in edges._jdf.queryExecution().executedPlan().toString()
